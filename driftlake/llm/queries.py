@@ -5,10 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftlake.llm import language_id
+from driftlake.llm.decontamination import benchmark_overlap
 from driftlake.llm.jaccard_join import jaccard_classes
+from driftlake.llm.packing import pack
 from driftlake.llm.substring_dedup import remove_repeats
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_overlap(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -19,5 +44,5 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op7_jaccard_join": op7_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+QUERIES = {"op1_packing": op1_packing, "op2_language_id": op2_language_id, "op5_decontamination": op5_decontamination, "op7_jaccard_join": op7_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
 ORACLES: dict[str, str] = {}
