@@ -111,7 +111,7 @@ def _predict(shared):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            text = batch.column("text")
+            text = batch.column("__text")
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             lang, score = np.full(len(text), "und", object), np.zeros(len(text))
             lowered = pa.RecordBatch.from_arrays([pc.utf8_lower(text)], ["text"])
@@ -144,7 +144,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(_predict(shared), f"{types}, lang_pred string, score double")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftlake.llm import language_id
+from driftlake.llm import chat_format, language_id, pii
+from driftlake.llm.ann import nearest
 from driftlake.llm.decontamination import benchmark_overlap
 from driftlake.llm.jaccard_join import jaccard_classes
+from driftlake.llm.html_text import extract
+from driftlake.llm.language_model import score_documents
 from driftlake.llm.packing import pack
 from driftlake.llm.substring_dedup import remove_repeats
 
@@ -30,19 +33,54 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    hard = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], rows.schema)
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    log = rows.unionByName(extra).withColumn("message", F.row_number().over(order))
+    events = log.select("conv_id", "message", F.col("turn").alias("seq"), F.lit("delta").alias("kind"), "role", "text")
+    done = chat_format.read_back(chat_format.render(chat_format.final_messages(events)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    trained = F.array_join("trained", "")
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), sha(turns).alias("turns_sha256"), F.length(trained).cast("long").alias("loss_chars"), sha(trained).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlap(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    found = score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), train)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_language_id": op2_language_id, "op5_decontamination": op5_decontamination, "op7_jaccard_join": op7_jaccard_join, "op10_substring_dedup": op10_substring_dedup}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id, op3_chat_format, op4_html_text, op5_decontamination, op6_nearest, op7_jaccard_join, op8_language_model, op9_pii, op10_substring_dedup)}
 ORACLES: dict[str, str] = {}
