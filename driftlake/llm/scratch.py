@@ -8,11 +8,14 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Every bitmap has 2**BITMAP_BITS bits (2 MB), however many keys go in: a fuller one lets more rows through.
-BITMAP_BITS = 24
+from driftlake.llm.words import ids_of, xxhash64
+
+#: Every filter has 2**BITMAP_BITS bits (8 MB), however many keys go in: a fuller one lets more rows through.
+BITMAP_BITS = 26
 
 
 def ship(spark: SparkSession) -> None:
@@ -48,15 +51,48 @@ def write_shared(df: DataFrame, name: str) -> DataFrame:
 
 
 def bitmap(df: DataFrame, key: Column) -> np.ndarray:
-    """A bit for every value of key, a well mixed long. At most 2**18 rows reach the driver."""
-    at = df.select(F.shiftrightunsigned(key, 64 - BITMAP_BITS).alias("at"))
-    rows = at.selectExpr("at >> 6 AS word", "shiftleft(1L, CAST(at & 63 AS INT)) AS bit").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    """A Bloom filter of the values of key, a well mixed long: four bits each. At most 2**20 rows reach the driver."""
+    keys = df.select(key.alias("a")).withColumn("b", F.xxhash64("a"))
+    mask, low = (1 << BITMAP_BITS) - 1, 64 - BITMAP_BITS
+    places = ", ".join(f"shiftrightunsigned({x}, {low}), shiftrightunsigned({x}, 12) & {mask}L" for x in "ab")
+    rows = keys.selectExpr(f"explode(array({places})) AS at").selectExpr("at >> 6 AS word", "shiftleft(1L, CAST(at & 63 AS INT)) AS bit").groupBy("word")
+    rows = rows.agg(F.bit_or("bit").alias("bits")).toArrow()
     bits = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return bits
 
 
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether each uint64 key may be among those of the bitmap."""
-    at = keys >> np.uint64(64 - BITMAP_BITS)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    """Whether each uint64 key may be among those of the filter."""
+    mask, low = np.uint64((1 << BITMAP_BITS) - 1), np.uint64(64 - BITMAP_BITS)
+
+    def has(at: np.ndarray) -> np.ndarray:
+        return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+    found = has(keys >> low)
+    left = np.flatnonzero(found)
+    some = keys[left]
+    other = xxhash64(some)
+    found[left] = has(some >> np.uint64(12) & mask) & has(other >> low) & has(other >> np.uint64(12) & mask)
+    return found
+
+
+def _those(bits, hit: bool, id_col: str):
+    def go(batches):
+        for batch in batches:
+            ids, known = ids_of(batch, id_col)
+            yield batch.filter(pa.array((in_bitmap(bits.value, xxhash64(ids)) & known) == hit))
+
+    return go
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id isn't in gone (one column of longs); rows of null id stay.
+
+    Only rows whose id may be in gone, by a Bloom filter, take part in the anti-join and its shuffle."""
+    spark = docs.sparkSession
+    ship(spark)
+    gone = write_shared(gone.toDF(id_col).distinct(), "gone")
+    bits = spark.sparkContext.broadcast(bitmap(gone, F.xxhash64(id_col)))
+    may = docs.mapInArrow(_those(bits, True, id_col), docs.schema).join(gone, id_col, "left_anti")
+    return docs.mapInArrow(_those(bits, False, id_col), docs.schema).unionByName(may)
