@@ -15,7 +15,9 @@ from driftlake.llm.words import AS_IS, Block, ids_of, mix, signed, sliding_min,
 #: Words of the runs whose least hash stands for a window when shared windows are first searched.
 GRAM = 16
 #: Windows that a map task sorts at once before it sends them.
-HELD = 2_000_000
+HELD = 600_000
+#: Texts taken apart at once.
+ROWS = 500
 
 
 def _least(block: Block, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +140,9 @@ def _result(rows: list[tuple]) -> pa.RecordBatch:
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none = np.zeros(0, np.int64)
     for batch in batches:
-        yield _result([(i, *_cut(t, none, 1)) for i, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True)])
+        for lo in range(0, batch.num_rows, ROWS):
+            part = batch.slice(lo, ROWS)
+            yield _result([(i, *_cut(t, none, 1)) for i, t in zip(part.column("id").to_pylist(), part.column("text").to_pylist(), strict=True)])
 
 
 def _merged(window: int):
@@ -162,6 +166,9 @@ def _merged(window: int):
                 n = int(np.searchsorted(at[lo:hi], 0))
                 texts += batch.column("text").slice(lo, n).to_pylist()
                 pos.append(at[lo + n : hi])
+                if len(out) >= ROWS:
+                    yield _result(out)
+                    out = []
             if out:
                 yield _result(out)
         if texts:
