@@ -15,8 +15,10 @@ from driftlake.llm.words import WORD_BASE, Block, ids_of, mix, run_hashes, signe
 
 #: Word counts are kept by 2**WORD_BITS buckets of the word's hash: 2 MB, however many words there are.
 WORD_BITS = 18
-#: Regions of at most so many documents are joined within a task.
-LEAF = 32
+#: Sketches have 2**SKETCH_BITS counts.
+SKETCH_BITS = 6
+#: Pivots of a cell held at once, about.
+BLOCK = 64
 #: Documents compared with one pivot in one task.
 SALTED = 512
 ROUNDED = 1e-9
@@ -44,6 +46,12 @@ def _shingles(block: Block, k: int) -> Iterator[tuple[int, np.ndarray]]:
             yield doc, hashes[:0]
 
 
+def _sketch(have: np.ndarray) -> bytes:
+    """How many of a set's hashes fall in each of SKETCH classes. The sum of two sketches' differences is at most the
+    size of the symmetric difference of the sets: a metric bound that costs no texts."""
+    return np.minimum(np.bincount((have >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS), 65535).astype(np.uint16).tobytes()
+
+
 def _signed_sets(levels, k: int, percent: int):
     """Size and digest of each document's set, and the rarest shingles of it, of which a linked set has at least one."""
 
@@ -64,11 +72,11 @@ def _signed_sets(levels, k: int, percent: int):
                     else:
                         own = have >> np.uint64(8)
                     take = n - (percent * n + 99) // 100 + 1 if n else 0
-                    rows.append((n, int(signed(have.sum(keepdims=True, dtype=np.uint64))[0]) if n else 0, int(signed(mix(have ^ np.uint64(WORD_BASE)).sum(keepdims=True, dtype=np.uint64))[0]) if n else 0, signed(own[: take if known[block.first + doc] else 0])))
-            n, a, b, rare = zip(*rows, strict=True) if rows else ((), (), (), ())
+                    rows.append((n, int(signed(have.sum(keepdims=True, dtype=np.uint64))[0]) if n else 0, int(signed(mix(have ^ np.uint64(WORD_BASE)).sum(keepdims=True, dtype=np.uint64))[0]) if n else 0, signed(own[: take if known[block.first + doc] else 0]), _sketch(have)))
+            n, a, b, rare, sketch = zip(*rows, strict=True) if rows else ((), (), (), (), ())
             sizes = np.cumsum([0, *map(len, rare)])
             lists = pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), pa.array(np.concatenate(rare) if rows else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), lists], ["id", "n", "a", "b", "rare"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), lists, pa.array(sketch, pa.binary())], ["id", "n", "a", "b", "rare", "sketch"])
 
     return go
 
@@ -125,46 +133,82 @@ def _distances(k: int):
     return go
 
 
-def _leaf_links(k: int, percent: int):
-    """All links that matter among the few documents of each region: pairs already joined by others aren't compared."""
-
-    def close(region: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int]]:
-        root = list(range(len(region)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for i, (a, x) in enumerate(region):
-            for j in range(i):
-                b, y = region[j]
-                if (p := find(i)) != (q := find(j)) and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                    both = _common(x, y)
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        root[p] = q
-                        yield a, b
+def _cell_links(k: int, percent: int):
+    """Links of each cell's documents with its pivots (which come first) that belong to another component."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, region = None, []
+        name, pivots = None, []
         for batch in batches:
-            ids, regions = batch.column("id").to_numpy(), batch.column("region").to_numpy()
+            ids, cells, parts, comps, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "cell", "part", "component", "other"))
             out = []
             for block in text_blocks(batch):
                 for doc, have in _shingles(block, k):
                     i = block.first + doc
-                    if regions[i] != name:
-                        out += close(region)
-                        name, region = regions[i], []
-                    region.append((int(ids[i]), have))
+                    if (cells[i], parts[i]) != name:
+                        name, pivots = (cells[i], parts[i]), []
+                    if not other[i]:
+                        pivots.append((int(ids[i]), comps[i], have))
+                        continue
+                    joined = set()
+                    for pivot, comp, of in pivots:
+                        if comp != comps[i] and comp not in joined and 100 * min(len(of), len(have)) >= percent * max(len(of), len(have)):
+                            both = _common(of, have)
+                            if 100 * both >= percent * (len(of) + len(have) - both):
+                                joined.add(comp)
+                                out.append((int(ids[i]), pivot))
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(2)], ["u", "v"])
-        out = list(close(region))
-        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(2)], ["u", "v"])
 
     return go
 
 
+def _cell_candidates(percent: int):
+    """Documents and pivots of other components, of each cell, that their sketches let be within the radius."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, pivots = None, []
+        for batch in batches:
+            ids, cells, parts, comps, n, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "cell", "part", "component", "n", "other"))
+            sketches = batch.column("sketch").to_pylist()
+            out = set()
+            for i, sketch in enumerate(sketches):
+                if (cells[i], parts[i]) != name:
+                    name, pivots, counts = (cells[i], parts[i]), [], None
+                own = np.frombuffer(sketch, np.uint16).astype(np.int64)
+                if not other[i]:
+                    pivots.append((ids[i], comps[i], n[i], own))
+                    counts = None
+                    continue
+                if counts is None:
+                    counts = [np.array(x) for x in zip(*pivots, strict=True)] if pivots else []
+                if not counts:
+                    continue
+                of, comp, sizes, table = counts
+                apart = np.abs(table - own).sum(1)
+                near = (comp != comps[i]) & (apart * (100 + percent) <= (100 - percent) * (sizes + int(n[i]))) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i]))
+                if near.any():
+                    out.add((int(cells[i]), int(ids[i])))
+                    out.update((int(cells[i]), int(p)) for p in of[near])
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(2)], ["cell", "id"])
+
+    return go
+
+
+def _dealt(cells: DataFrame) -> DataFrame:
+    """Each cell's documents (other) with every block of its pivots (component <> cell); hot cells in salted parts."""
+    outside = cells.where("component <> cell")
+    parts = outside.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    salts = cells.groupBy("cell").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
+    by = cells.join(parts, "cell").join(salts, "cell")
+    each = by.select("cell", "id", "component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("other"))
+    first = by.where("component <> cell").select("cell", "id", "component", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("other"))
+    return each.unionByName(first)
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    met = rows.repartition(F.col("cell"), F.col("part"), F.col("salt")).sortWithinPartitions("cell", "part", "salt", "other")
+    return met.withColumn("part", F.struct("part", "salt").cast("string"))
+
+
 def _different(members: DataFrame) -> DataFrame:
     """One of each set of regions that have the same documents, and none of fewer than two."""
     of = members.groupBy("region").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("digest"))
@@ -199,9 +243,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of them that a set within the radius must share one; that is the window by which boundary documents are replicated.
     Passages that many documents share have frequent words and so come last. Then each region takes a document for its
     pivot, and exact distances from it split the region: documents within the radius are linked; the others go on,
-    together with those of the linked that the triangle inequality lets be within the radius of one of them. A region
-    recurses until it has one document, or few enough (LEAF) to be joined whole in a task. Documents already in one
-    component need no further comparison with each other.
+    together with those of the linked that the triangle inequality lets be within the radius of one of them. What is left
+    of the regions forms the cells of a second level: regions meet in the cell of the component that most of their
+    documents already belong to. All documents of a cell that are not of that component are its pivots, in blocks, and
+    the cell's documents are compared with them exactly, where their sketches (counts of a set's hashes by class, whose
+    distance is never above the sets') allow a link; those of one component need no comparison with each other.
 
     Words are lower-cased (A-Z) runs of characters other than space and \\x09-\\x0D. A document of fewer than k words has
     all of them as its one shingle; null or empty text has no shingles and no links. A null id takes no part. Returns
@@ -214,7 +260,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     level = np.zeros(1 << WORD_BITS, np.uint8)
     level[counts["bucket"].to_numpy()] = np.minimum(255, 4 * np.log2(counts["n"].to_numpy()))
     levels = spark.sparkContext.broadcast(level)
-    sets = write_shared(texts.mapInArrow(_signed_sets(levels, k, percent), "id long, n int, a long, b long, rare array<long>"), "sets")
+    sets = write_shared(texts.mapInArrow(_signed_sets(levels, k, percent), "id long, n int, a long, b long, rare array<long>, sketch binary"), "sets")
     classes = sets.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep"))
     whole = sets.where("n > 0 and size(rare) > 0").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     placed = whole.select(F.explode("rare").alias("key"), "id", "n").repartition(F.col("key")).sortWithinPartitions("key")
@@ -222,31 +268,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = write_shared(_different(shared.distinct()), "members")
     mine = spark.sparkContext.broadcast(bitmap(members.select("id").distinct(), F.xxhash64("id")))
     near = write_shared(texts.mapInArrow(_among(mine), "id long, text string"), "texts")
-    links = None
-    while True:
-        compared = write_shared(_compare(members, near, k, percent), "compared")
-        is_link = F.coalesce(100 * F.col("common") >= percent * F.col("either"), F.lit(False))
-        new = compared.where(is_link).select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()
-        links = new if links is None else links.unionByName(new)
-        far = F.coalesce(1 - F.col("common") / F.col("either"), 1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot"))
-        measured = compared.select("region", "id", "n", is_link.alias("linked"), far.alias("far"))
-        edge = measured.where("not linked").groupBy("region").agg(F.min("far").alias("nearest"), F.count("*").alias("rest"))
-        radius = 1 - percent / 100
-        kept = measured.join(edge, "region").where((~F.col("linked")) | ((F.col("far") + radius + ROUNDED >= F.col("nearest")) & (F.col("nearest") <= 2 * radius + ROUNDED)))
-        members = write_shared(_different(kept.select("region", "id", "n")), "members")
-        small = members.where(F.col("size") <= LEAF)
-        leaf = small.select("region", "id").join(near, "id").repartition(F.col("region")).sortWithinPartitions("region", "id")
-        links = links.unionByName(write_shared(leaf.select("region", "id", "text").mapInArrow(_leaf_links(k, percent), "u long, v long").distinct(), "links"))
-        members = members.where(F.col("size") > LEAF).drop("size")
-        if members.isEmpty():
-            break
-        # documents of one component need no comparison: a region within one component is done
-        label = connected_components(links)
-        at = members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_ = at.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        members = write_shared(members.join(open_.select("region"), "region", "left_semi").withColumn("size", F.lit(0)), "members")
-        if members.isEmpty():
-            break
+    compared = write_shared(_compare(members, near, k, percent), "compared")
+    is_link = F.coalesce(100 * F.col("common") >= percent * F.col("either"), F.lit(False))
+    links = write_shared(compared.where(is_link).select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct(), "links")
+    label = connected_components(links).withColumnRenamed("node", "id")
+    far = F.coalesce(1 - F.col("common") / F.col("either"), 1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot"))
+    measured = compared.select("region", "id", is_link.alias("linked"), far.alias("far"))
+    edge = measured.where("not linked").groupBy("region").agg(F.min("far").alias("nearest"))
+    radius = 1 - percent / 100
+    kept = measured.join(edge, "region").where((~F.col("linked")) | ((F.col("far") + radius + ROUNDED >= F.col("nearest")) & (F.col("nearest") <= 2 * radius + ROUNDED)))
+    placed = write_shared(_different(kept.select("region", "id")).join(label, "id", "left").select("region", "id", F.coalesce("component", "id").alias("component")), "placed")
+    held = placed.groupBy("region", "component").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("most"), F.count("*").alias("components"))
+    cells = placed.join(held.where("components > 1").select("region", (-F.col("most.c")).alias("cell")), "region").select("cell", "id", "component").distinct()
+    cells = write_shared(cells, "cells")
+    drawn = _gathered(_dealt(cells).join(sets.select("id", "n", "sketch").where("n > 0").dropDuplicates(["id"]), "id"))
+    may = drawn.select("id", "cell", "part", "component", "n", "other", "sketch").mapInArrow(_cell_candidates(percent), "cell long, id long")
+    cells = write_shared(cells.join(may.distinct(), ["cell", "id"], "left_semi"), "near_cells")
+    rows = _gathered(_dealt(cells).join(near, "id"))
+    more = rows.select("id", "cell", "part", "component", "other", "text").mapInArrow(_cell_links(k, percent), "u long, v long").distinct()
+    links = links.unionByName(write_shared(more, "more"))
     label = connected_components(links)
     known = classes.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("n", "a", "b", F.coalesce("component", "rep").alias("component_id"))
     of = sets.select("id", "n", "a", "b").join(known, ["n", "a", "b"], "left")
