@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -22,6 +23,8 @@ STRIDE = 64
 BATCH_TOKENS = 1 << 20
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 400_000
+#: Characters that str.split takes for white space and the tokenizer doesn't.
+ODD = re.compile(r"[\x1c-\x1f]")
 SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _WORKER: dict = {}
 
@@ -67,14 +70,12 @@ def _load(path: str):
 def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
     """Each text's ids. White space separates tokens of this tokenizer, so that a word always has the same ids."""
     tokenizer, words, _ = _load(path)
-    split = [SPACES.split(t) if t else [] for t in texts]
+    split = [(SPACES.split(t) if ODD.search(t) else t.split()) if t else [] for t in texts]
     if len(words) > REMEMBERED:
         words.clear()
-    new = list({w for ws in split for w in ws if w not in words})
-    for lo in range(0, len(new), 10_000):
-        part = new[lo : lo + 10_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            words[w] = np.array(e.ids, np.uint32).tobytes()
+    new = [w for w in set().union(*split) if w not in words]
+    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        words[w] = array("I", e.ids).tobytes()
     return [np.frombuffer(b"".join(map(words.__getitem__, ws)), np.uint32) for ws in split]
 
 
