@@ -22,7 +22,7 @@ STRIDE = 64
 #: Tokens packed at once; what fills no sequence goes on to the next.
 BATCH_TOKENS = 1 << 20
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 #: Characters that str.split takes for white space and the tokenizer doesn't.
 ODD = re.compile(r"[\x1c-\x1f]")
 SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
