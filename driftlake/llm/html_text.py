@@ -21,7 +21,7 @@ CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset"
 ALONE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "p": {"article", "body", "div", "section", "td", "li", "blockquote", "main"}}
 NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|banner|promo|nav|navigation|navbar|menu|sidebar|breadcrumbs?|footer|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|disqus|replies|widget|toolbar|pagination|copyright|skip)(?:$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>|[^<]+|<", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^<>]*\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>|[^<]+|<", re.S)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu", "menubar"}
 
