@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +23,9 @@ STRIDE = 64
 BATCH_TOKENS = 1 << 20
 #: Words whose ids a Python worker remembers.
 REMEMBERED = 1_200_000
-#: Characters that str.split takes for white space and the tokenizer doesn't.
-ODD = re.compile(r"[\x1c-\x1f]")
-SPACES = re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: Marks that the tokenizer always parts from a letter before them (all of ASCII but the apostrophe), the last letter
+#: of the Latin blocks, and words encoded as one text.
+MARKS, LATIN, JOINED = r"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~""", "\u024f", 64
 _WORKER: dict = {}
 
 
@@ -61,22 +61,71 @@ def _load(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+        closes = ends.copy()
         for token, i in tokenizer.get_vocab().items():
             ends[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?")
-        _WORKER.update(path=path, tokenizer=tokenizer, words={}, ends=ends)
+            closes[i] = token.endswith("</w>")
+        _WORKER.update(path=path, tokenizer=tokenizer, words={}, ends=ends, closes=closes)
     return _WORKER["tokenizer"], _WORKER["words"], _WORKER["ends"]
 
 
-def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
-    """Each text's ids. White space separates tokens of this tokenizer, so that a word always has the same ids."""
+def _learn(new: list[str], tokenizer, words: dict[str, bytes], closes: np.ndarray) -> None:
+    """Put the ids of new words into words.
+
+    A Latin word is its letters and the marks after them, which have ids of their own: letters (of ASCII in lower case)
+    and marks are encoded once, letters many words in a text. Other words are encoded one by one."""
+    parts, plain, other = [], set(), set()
+    for w in new:
+        core, tail = w.rstrip(MARKS), ""
+        if core.isalpha() and (core.isascii() or max(core) <= LATIN and "\u0130" not in core):
+            tail = w[len(core) :]
+            core = core.lower() if core.isascii() else core
+            plain.add(core)
+            if tail:
+                other.add(tail)
+        else:
+            core = w
+            other.add(w)
+        parts.append((core, tail))
+    letters, single = ([w for w in some if w not in words] for some in (plain, other))
+    groups = [letters[i : i + JOINED] for i in range(0, len(letters), JOINED)]
+    for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, np.uint32)
+        stops = np.flatnonzero(closes[ids]) + 1
+        if len(stops) != len(group):
+            single += group
+            continue
+        data, at = ids.tobytes(), 0
+        for c, to in zip(group, (4 * stops).tolist(), strict=True):
+            words[c], at = data[at:to], to
+    for w, e in zip(single, tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
+        words[w] = array("I", e.ids).tobytes()
+    for w, (core, tail) in zip(new, parts, strict=True):
+        words[w] = words[core] + words[tail] if tail else words[core]
+
+
+def encode(texts: pa.Array, path: str) -> list[np.ndarray]:
+    """Each text's ids; null is empty. A space or line break parts tokens of this tokenizer, so that a word always has the same ids."""
     tokenizer, words, _ = _load(path)
-    split = [(SPACES.split(t) if ODD.search(t) else t.split()) if t else [] for t in texts]
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    for mark in "\t\n\r":
+        texts = pc.replace_substring(texts, mark, " ")
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
     if len(words) > REMEMBERED:
         words.clear()
-    new = [w for w in set().union(*split) if w not in words]
-    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        words[w] = array("I", e.ids).tobytes()
-    return [np.frombuffer(b"".join(map(words.__getitem__, ws)), np.uint32) for ws in split]
+    known = [*map(words.get, names)]
+    _learn([w for w, got in zip(names, known, strict=True) if got is None], tokenizer, words, _WORKER["closes"])
+    known = [words[w] if got is None else got for w, got in zip(names, known, strict=True)]
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    data, begins = np.frombuffer(b"".join(known), np.uint32), np.cumsum(sizes) - sizes
+    of = coded.indices.to_numpy()
+    n = sizes[of]
+    stops = np.r_[0, np.cumsum(n)]
+    ids = data[np.arange(stops[-1]) + np.repeat(begins[of] - stops[:-1], n)]
+    edges = stops[lists.offsets.to_numpy()].tolist()
+    return [ids[lo:hi] for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def _pieces(docs: list[tuple[int | None, np.ndarray, int, int]], ends: np.ndarray, size: int, last: bool) -> tuple[list[list[tuple]], list]:
@@ -128,7 +177,7 @@ def _pack(path: str, size: int, end_id: int):
             if batch is not None:
                 for lo in range(0, batch.num_rows, 500):
                     part = batch.slice(lo, 500)
-                    for name, ids in zip(part.column("id").to_pylist(), encode(part.column("text").to_pylist(), path), strict=True):
+                    for name, ids in zip(part.column("id").to_pylist(), encode(part.column("text"), path), strict=True):
                         held.append((name, np.r_[ids, closing], 0, len(ids) + 1))
                         n += len(ids) + 1
                     if n >= BATCH_TOKENS:
