@@ -15,8 +15,8 @@ from driftlake.llm.words import WORD_BASE, Block, ids_of, mix, run_hashes, signe
 
 #: Word counts are kept by 2**WORD_BITS buckets of the word's hash: 2 MB, however many words there are.
 WORD_BITS = 18
-#: Sketches have 2**SKETCH_BITS counts.
-SKETCH_BITS = 6
+#: A sketch has a count for every four to eight of the set's hashes: at least 2**LOW_BITS and at most 2**HIGH_BITS counts.
+LOW_BITS, HIGH_BITS = 4, 16
 #: Pivots of a cell held at once, about.
 BLOCK = 64
 #: Documents compared with one pivot in one task.
@@ -47,9 +47,15 @@ def _shingles(block: Block, k: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _sketch(have: np.ndarray) -> bytes:
-    """How many of a set's hashes fall in each of SKETCH classes. The sum of two sketches' differences is at most the
-    size of the symmetric difference of the sets: a metric bound that costs no texts."""
-    return np.minimum(np.bincount((have >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS), 65535).astype(np.uint16).tobytes()
+    """How many of a set's hashes fall in each class, by their first bits; more classes for larger sets. The sum of two
+    sketches' differences is at most the size of the symmetric difference of the sets: a metric bound that costs no texts."""
+    bits = min(HIGH_BITS, max(LOW_BITS, (len(have) // 8).bit_length()))
+    return np.minimum(np.bincount((have >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch that the same set has with fewer classes."""
+    return np.minimum(sketch.reshape(size, -1).sum(1, dtype=np.int64), 255).astype(np.int32)
 
 
 def _signed_sets(levels, k: int, percent: int):
@@ -165,29 +171,38 @@ def _cell_candidates(percent: int):
     """Documents and pivots of other components, of each cell, that their sketches let be within the radius."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, pivots = None, []
+        name, pivots, tables = None, [], {}
+
+        def table(size: int, finer: bool):
+            """Pivots whose sketches have so many classes (finer: or more, folded): ids, components, set sizes, sketches."""
+            if (size, finer) not in tables:
+                of = [p for p in pivots if len(p[3]) == size or finer and len(p[3]) > size]
+                tables[size, finer] = (*(np.array([p[j] for p in of], np.int64) for j in range(3)), np.array([_folded(p[3], size) for p in of])) if of else None
+            return tables[size, finer]
+
         for batch in batches:
             ids, cells, parts, comps, n, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "cell", "part", "component", "n", "other"))
-            sketches = batch.column("sketch").to_pylist()
             out = set()
-            for i, sketch in enumerate(sketches):
+            for i, sketch in enumerate(batch.column("sketch")):
                 if (cells[i], parts[i]) != name:
-                    name, pivots, counts = (cells[i], parts[i]), [], None
-                own = np.frombuffer(sketch, np.uint16).astype(np.int64)
+                    name, pivots, tables = (cells[i], parts[i]), [], {}
+                own = np.frombuffer(sketch.as_py(), np.uint8)
                 if not other[i]:
                     pivots.append((ids[i], comps[i], n[i], own))
-                    counts = None
-                    continue
-                if counts is None:
-                    counts = [np.array(x) for x in zip(*pivots, strict=True)] if pivots else []
-                if not counts:
+                    tables = {}
                     continue
-                of, comp, sizes, table = counts
-                apart = np.abs(table - own).sum(1)
-                near = (comp != comps[i]) & (apart * (100 + percent) <= (100 - percent) * (sizes + int(n[i]))) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i]))
-                if near.any():
-                    out.add((int(cells[i]), int(ids[i])))
-                    out.update((int(cells[i]), int(p)) for p in of[near])
+                for size in {min(len(p[3]), len(own)) for p in pivots}:
+                    if (met := table(size, size == len(own))) is None:
+                        continue
+                    of, comp, sizes, counts = met
+                    may = np.flatnonzero((comp != comps[i]) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i])))
+                    if not len(may):
+                        continue
+                    apart = np.abs(counts[may] - _folded(own, size)).sum(1)
+                    near = of[may[apart * (100 + percent) <= (100 - percent) * (sizes[may] + int(n[i]))]]
+                    if len(near):
+                        out.add((int(cells[i]), int(ids[i])))
+                        out.update((int(cells[i]), int(p)) for p in near)
             yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(2)], ["cell", "id"])
 
     return go
@@ -284,7 +299,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     drawn = _gathered(_dealt(cells).join(sets.select("id", "n", "sketch").where("n > 0").dropDuplicates(["id"]), "id"))
     may = drawn.select("id", "cell", "part", "component", "n", "other", "sketch").mapInArrow(_cell_candidates(percent), "cell long, id long")
     cells = write_shared(cells.join(may.distinct(), ["cell", "id"], "left_semi"), "near_cells")
-    rows = _gathered(_dealt(cells).join(near, "id"))
+    left = spark.sparkContext.broadcast(bitmap(cells.select("id").distinct(), F.xxhash64("id")))
+    rows = _gathered(_dealt(cells).join(near.mapInArrow(_among(left), near.schema), "id"))
     more = rows.select("id", "cell", "part", "component", "other", "text").mapInArrow(_cell_links(k, percent), "u long, v long").distinct()
     links = links.unionByName(write_shared(more, "more"))
     label = connected_components(links)
