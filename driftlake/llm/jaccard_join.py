@@ -139,6 +139,23 @@ def _distances(k: int):
     return go
 
 
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Least sizes of the symmetric difference with the pivot, whose sketch comes first among the rows of its group, and
+    the sum of both sets' sizes."""
+    pivot, of, of_n = None, None, 0
+    for batch in batches:
+        ids, pivots, other, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "pivot", "other", "n"))
+        out = []
+        for i, sketch in enumerate(batch.column("sketch")):
+            own = np.frombuffer(sketch.as_py(), np.uint8)
+            if not other[i]:
+                pivot, of, of_n = int(pivots[i]), own, int(n[i])
+            elif pivot == pivots[i]:
+                size = min(len(of), len(own))
+                out.append((int(ids[i]), pivot, int(np.abs(_folded(of, size) - _folded(own, size)).sum()), of_n + int(n[i])))
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(4)], ["id", "pivot", "apart", "both"])
+
+
 def _cell_links(k: int, percent: int):
     """Links of each cell's documents with its pivots (which come first) that belong to another component."""
 
@@ -231,7 +248,22 @@ def _different(members: DataFrame) -> DataFrame:
     return members.join(one.select("region", "size"), "region")
 
 
-def _compare(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of ids, and few others: a Bloom filter tells, so that no others are shuffled."""
+    bits = texts.sparkSession.sparkContext.broadcast(bitmap(ids.toDF("id").distinct(), F.xxhash64("id")))
+    return texts.mapInArrow(_among(bits), texts.schema)
+
+
+def _by_pivot(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
+    """The columns of each pair's document and pivot, gathered by pivot, which comes first; hot pivots in salted parts."""
+    fan = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
+    salted = pairs.join(fan, "pivot").select("id", "pivot", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("other"))
+    first = fan.select(F.col("pivot").alias("id"), "pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("other"))
+    rows = salted.unionByName(first).join(of, "id").repartition(F.col("pivot"), F.col("salt")).sortWithinPartitions("pivot", "salt", "other")
+    return rows.select("id", "pivot", "other", *columns)
+
+
+def _compare(members: DataFrame, sketches: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Each region's documents with their region's pivot and exact or least possible distance from it.
 
     The pivot is the member found in most regions: the original of a group of copies, as a rule."""
@@ -241,13 +273,12 @@ def _compare(members: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     starred = members.join(pivots.select("region", (-F.col("best.id")).alias("pivot"), F.col("best.n").alias("n_pivot")), "region").where("id <> pivot")
     near = 100 * F.least("n", "n_pivot") >= percent * F.greatest("n", "n_pivot")
     pairs = starred.where(near).select("id", "pivot").distinct()
-    fan = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
-    salted = pairs.join(fan, "pivot").select("id", "pivot", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("other"))
-    first = fan.select(F.col("pivot").alias("id"), "pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("other"))
-    rows = salted.unionByName(first).join(texts, "id").repartition(F.col("pivot"), F.col("salt")).sortWithinPartitions("pivot", "salt", "other")
-    found = rows.select("id", "pivot", "other", "text").mapInArrow(_distances(k), "id long, pivot long, common long, n_id long, n_pivot long")
+    rows = _by_pivot(pairs, sketches, "sketch", "n")
+    apart = write_shared(rows.mapInArrow(_apart, "id long, pivot long, apart long, both long"), "apart")
+    may = apart.where((100 + percent) * F.col("apart") <= (100 - percent) * F.col("both")).select("id", "pivot")
+    found = _by_pivot(may, _of(texts, may.select("id").union(may.select("pivot"))), "text").mapInArrow(_distances(k), "id long, pivot long, common long, n_id long, n_pivot long")
     found = found.select("id", "pivot", "common", (F.col("n_id") + F.col("n_pivot") - F.col("common")).alias("either")).dropDuplicates(["id", "pivot"])
-    return starred.join(found, ["id", "pivot"], "left")
+    return starred.join(apart.join(found, ["id", "pivot"], "left"), ["id", "pivot"], "left")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -257,8 +288,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is that of each of its rarest shingles (rarity: the count of the shingle's rarest word, over all documents), so many
     of them that a set within the radius must share one; that is the window by which boundary documents are replicated.
     Passages that many documents share have frequent words and so come last. Then each region takes a document for its
-    pivot, and exact distances from it split the region: documents within the radius are linked; the others go on,
-    together with those of the linked that the triangle inequality lets be within the radius of one of them. What is left
+    pivot, and distances from it split the region (exact ones where sketches allow a link, else their lower bound):
+    documents within the radius are linked; the others go on, together with those of the linked that the triangle
+    inequality lets be within the radius of one of them. What is left
     of the regions forms the cells of a second level: regions meet in the cell of the component that most of their
     documents already belong to. All documents of a cell that are not of that component are its pivots, in blocks, and
     the cell's documents are compared with them exactly, where their sketches (counts of a set's hashes by class, whose
@@ -281,13 +313,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = whole.select(F.explode("rare").alias("key"), "id", "n").repartition(F.col("key")).sortWithinPartitions("key")
     shared = write_shared(placed.mapInArrow(_shared_rows, "key long, id long, n int").select(F.col("key").alias("region"), "id", "n"), "regions")
     members = write_shared(_different(shared.distinct()), "members")
-    mine = spark.sparkContext.broadcast(bitmap(members.select("id").distinct(), F.xxhash64("id")))
-    near = write_shared(texts.mapInArrow(_among(mine), "id long, text string"), "texts")
-    compared = write_shared(_compare(members, near, k, percent), "compared")
+    sketches = sets.select("id", "n", "sketch").where("n > 0").dropDuplicates(["id"])
+    compared = write_shared(_compare(members, sketches, texts, k, percent), "compared")
     is_link = F.coalesce(100 * F.col("common") >= percent * F.col("either"), F.lit(False))
     links = write_shared(compared.where(is_link).select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct(), "links")
     label = connected_components(links).withColumnRenamed("node", "id")
-    far = F.coalesce(1 - F.col("common") / F.col("either"), 1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot"))
+    far = F.coalesce(1 - F.col("common") / F.col("either"), 2 * F.col("apart") / (F.col("both") + F.col("apart")), 1 - F.least("n", "n_pivot") / F.greatest("n", "n_pivot"))
     measured = compared.select("region", "id", is_link.alias("linked"), far.alias("far"))
     edge = measured.where("not linked").groupBy("region").agg(F.min("far").alias("nearest"))
     radius = 1 - percent / 100
@@ -296,11 +327,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = placed.groupBy("region", "component").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", (-F.col("component")).alias("c"))).alias("most"), F.count("*").alias("components"))
     cells = placed.join(held.where("components > 1").select("region", (-F.col("most.c")).alias("cell")), "region").select("cell", "id", "component").distinct()
     cells = write_shared(cells, "cells")
-    drawn = _gathered(_dealt(cells).join(sets.select("id", "n", "sketch").where("n > 0").dropDuplicates(["id"]), "id"))
+    drawn = _gathered(_dealt(cells).join(sketches, "id"))
     may = drawn.select("id", "cell", "part", "component", "n", "other", "sketch").mapInArrow(_cell_candidates(percent), "cell long, id long")
     cells = write_shared(cells.join(may.distinct(), ["cell", "id"], "left_semi"), "near_cells")
-    left = spark.sparkContext.broadcast(bitmap(cells.select("id").distinct(), F.xxhash64("id")))
-    rows = _gathered(_dealt(cells).join(near.mapInArrow(_among(left), near.schema), "id"))
+    rows = _gathered(_dealt(cells).join(_of(texts, cells.select("id")), "id"))
     more = rows.select("id", "cell", "part", "component", "other", "text").mapInArrow(_cell_links(k, percent), "u long, v long").distinct()
     links = links.unionByName(write_shared(more, "more"))
     label = connected_components(links)
