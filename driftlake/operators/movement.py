@@ -66,3 +66,44 @@ def dst_local_time(ts: Column, zone: Column) -> Column:
 def diff_boundary(unit: str, start: Column, end: Column) -> Column:
     """Boundaries of unit crossed, not whole units elapsed."""
     return F.timestamp_diff(unit.upper(), F.date_trunc(unit, start), F.date_trunc(unit, end))
+
+
+def train_level_summary(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Measures of each train leg from a row for each car or locomotive in it, in one aggregation.
+
+    rows: keys, role (LD leading, LT trailing, DH dead in train, NA a car), locomotive_id, group_code, car_code, content_tons,
+    tare_tons, full_weight (pounds), horsepower, miles. Missing amounts count as 0; a full weight goes before tare tons."""
+    zero = F.lit(0.0)
+    amount = lambda c: F.coalesce(F.col(c).cast("double"), zero)
+    role, code, miles = F.col("role"), F.col("car_code"), amount("miles")
+    car, lead, dead, live = role == "NA", role == "LD", role == "DH", role.isin("LD", "LT")
+    content, power, heavy = amount("content_tons"), amount("horsepower"), F.col("full_weight").cast("double") / 2000
+    tare = F.coalesce(heavy, amount("tare_tons"))
+    revenue = car & ~F.left(code, F.lit(1)).isin("M", "D")
+    total = lambda value, of=None: F.coalesce(F.sum(value if of is None else F.when(of, value)), zero)
+    measures = {
+        "live_unit": F.count_if((F.coalesce("locomotive_id", F.lit(0)) > 0) & (F.coalesce("group_code", F.lit("")) != "EOTD")),
+        "cars_loaded": F.count_if(content > 0),
+        "cars_total": F.count_if(car),
+        "live_loco_count": F.count(F.when(live, F.col("locomotive_id"))),
+        "dh_loco_count": F.count(F.when(dead, F.col("locomotive_id"))),
+        "eqpmt_miles": total(miles, car),
+        "train_miles": total(miles, lead),
+        "live_loco_miles": total(miles, live),
+        "dh_loco_miles": total(miles, dead),
+        "rev_car_miles_loaded": total(miles, revenue & (F.col("content_tons") > 0)),
+        "rev_car_miles_empty": total(miles, revenue & (F.col("content_tons") == 0)),
+        "pass_bus_miles": total(miles, code.startswith("M5")),
+        "work_car_miles": total(miles, code.between("M100", "M4999")),
+        "caboose_miles": total(miles, code == "M930"),
+        "sum_hrspwr_qty": total(power),
+        "live_loco_hp_miles": total(power * miles, live),
+        "dh_loco_hp_miles": total(power * miles, dead),
+        "loco_full_weight": total(F.coalesce(heavy, zero)),
+        "tare_tons": total(tare),
+        "tare_ton_miles": total(tare * miles, car),
+        "loco_tare_ton_miles": total(tare * miles, live),
+        "dh_tare_ton_miles": total(tare * miles, dead),
+        "content_ton_miles": total(content * miles),
+    }
+    return rows.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])

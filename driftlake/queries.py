@@ -480,3 +480,22 @@ both("audit_role_usage", "SELECT event_type AS role, count(DISTINCT user_id) AS
 both("operations_by_table", "SELECT o_orderstatus AS operation, count(*) AS n, max(o_orderdate) AS last_batch FROM {orders} GROUP BY o_orderstatus")
 both("cdc_batch_stats", "SELECT CAST(ts AS DATE) AS batch, event_type AS operation, count(*) AS n, min(ts) AS first_change, max(ts) AS last_change FROM {events} GROUP BY 1, 2")
 both("expiring_access", "SELECT o_orderkey, CASE WHEN d < 0 THEN 'EXPIRED' WHEN d <= 30 THEN 'SOON' ELSE 'LATER' END AS state FROM (SELECT o_orderkey, datediff(o_orderdate, DATE '2000-06-01') AS d FROM {orders}) x", "SELECT o_orderkey, CASE WHEN d < 0 THEN 'EXPIRED' WHEN d <= 30 THEN 'SOON' ELSE 'LATER' END AS state FROM (SELECT o_orderkey, date_diff('day', DATE '2000-06-01', CAST(o_orderdate AS DATE)) AS d FROM orders) x")
+
+
+#: Lines as the cars and locomotives of a train, which is their order.
+_CARS = "SELECT l_orderkey, CASE l_linenumber WHEN 1 THEN 'LD' WHEN 2 THEN 'LT' WHEN 3 THEN 'DH' ELSE 'NA' END AS role, CASE WHEN l_linenumber < 4 THEN l_partkey END AS locomotive_id, CASE WHEN p_size = 1 THEN 'EOTD' END AS group_code, CASE p_size % 5 WHEN 0 THEN 'M930' WHEN 1 THEN 'M120' WHEN 2 THEN 'M530' WHEN 3 THEN 'D10' ELSE 'X40' END AS car_code, CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0 END AS content_tons, CASE WHEN p_size > 3 THEN 30 END AS tare_tons, CASE WHEN l_linenumber < 4 THEN p_size * 2000 END AS full_weight, CASE WHEN l_linenumber < 4 THEN p_size * 100 END AS horsepower, CASE WHEN l_suppkey % 7 <> 0 THEN l_suppkey % 500 END AS miles FROM {lineitem} LEFT JOIN {part} ON l_partkey = p_partkey"
+_CARS_SQL = _CARS.replace("{lineitem}", "lineitem").replace("{part}", "part")
+
+
+@query(f"WITH cars AS ({_CARS_SQL}) SELECT l_orderkey, count(*) FILTER (coalesce(locomotive_id, 0) > 0 AND coalesce(group_code, '') <> 'EOTD') AS live_unit, count(*) FILTER (content_tons > 0) AS cars_loaded, count(*) FILTER (role = 'NA') AS cars_total, count(locomotive_id) FILTER (role IN ('LD', 'LT')) AS live_loco_count, count(locomotive_id) FILTER (role = 'DH') AS dh_loco_count, coalesce(sum(miles) FILTER (role = 'NA'), 0)::DOUBLE AS eqpmt_miles, coalesce(sum(miles) FILTER (role = 'LD'), 0)::DOUBLE AS train_miles, coalesce(sum(miles) FILTER (role IN ('LD', 'LT')), 0)::DOUBLE AS live_loco_miles, coalesce(sum(miles) FILTER (role = 'DH'), 0)::DOUBLE AS dh_loco_miles, coalesce(sum(miles) FILTER (role = 'NA' AND substr(car_code, 1, 1) NOT IN ('M', 'D') AND content_tons > 0), 0)::DOUBLE AS rev_car_miles_loaded, coalesce(sum(miles) FILTER (role = 'NA' AND substr(car_code, 1, 1) NOT IN ('M', 'D') AND content_tons = 0), 0)::DOUBLE AS rev_car_miles_empty, coalesce(sum(miles) FILTER (substr(car_code, 1, 2) = 'M5'), 0)::DOUBLE AS pass_bus_miles, coalesce(sum(miles) FILTER (car_code >= 'M100' AND car_code <= 'M4999'), 0)::DOUBLE AS work_car_miles, coalesce(sum(miles) FILTER (car_code = 'M930'), 0)::DOUBLE AS caboose_miles, coalesce(sum(horsepower), 0)::DOUBLE AS sum_hrspwr_qty, coalesce(sum(horsepower * miles) FILTER (role IN ('LD', 'LT')), 0)::DOUBLE AS live_loco_hp_miles, coalesce(sum(horsepower * miles) FILTER (role = 'DH'), 0)::DOUBLE AS dh_loco_hp_miles, coalesce(sum(full_weight / 2000), 0)::DOUBLE AS loco_full_weight, coalesce(sum(coalesce(full_weight / 2000, tare_tons, 0)), 0)::DOUBLE AS tare_tons, coalesce(sum(coalesce(full_weight / 2000, tare_tons, 0) * coalesce(miles, 0)) FILTER (role = 'NA'), 0)::DOUBLE AS tare_ton_miles, coalesce(sum(coalesce(full_weight / 2000, tare_tons, 0) * coalesce(miles, 0)) FILTER (role IN ('LD', 'LT')), 0)::DOUBLE AS loco_tare_ton_miles, coalesce(sum(coalesce(full_weight / 2000, tare_tons, 0) * coalesce(miles, 0)) FILTER (role = 'DH'), 0)::DOUBLE AS dh_tare_ton_miles, coalesce(sum(content_tons * coalesce(miles, 0)), 0)::DOUBLE AS content_ton_miles FROM cars GROUP BY l_orderkey")
+def train_level_summary(spark, sf):
+    cars = spark.sql(_CARS, lineitem=scan(spark, sf, "lineitem"), part=scan(spark, sf, "part"))
+    return movement.train_level_summary(cars, ["l_orderkey"])
+
+
+# Two levels of arrays, flattened: an order's lines, and each line's words.
+both(
+    "flatten_nested",
+    "SELECT o_orderkey, line.n AS line, word FROM (SELECT l_orderkey AS o_orderkey, collect_list(named_struct('n', l_linenumber, 'words', array(l_returnflag, l_linestatus))) AS lines FROM {lineitem} GROUP BY l_orderkey) LATERAL VIEW explode(lines) a AS line LATERAL VIEW explode(line.words) b AS word",
+    "SELECT l_orderkey AS o_orderkey, l_linenumber AS line, unnest([l_returnflag, l_linestatus]) AS word FROM lineitem",
+)
