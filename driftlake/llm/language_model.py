@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from driftlake.llm.scratch import ship, write_shared
 from driftlake.llm.words import LOWER, Block, signed, text_blocks
 
-#: Bytes of the longest contexts; contexts with next byte kept of each length; words whose scores tasks hold.
-DEPTH, KEPT, HOT = 6, 1 << 17, 1 << 18
+#: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words whose scores tasks hold.
+DEPTH, ROOT, PART, HOT = 6, 2, 1 << 18, 1 << 18
 #: Words of which a task sums counts before it sends them.
 HELD = 400_000
 SPACE, END = 32, 10
@@ -55,123 +55,183 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The next byte with the DEPTH bytes before it (zeros before the word's leading space), and the word, of each place."""
+    """The DEPTH bytes before each place, nearest first (zeros before the word's leading space), with the byte there; the word."""
     flat = np.frombuffer(b"".join(b"\0" * (DEPTH - 1) + b" " + w + b" " for w in words), np.uint8).astype(np.uint64)
     sizes = np.array([len(w) + 1 for w in words], np.int64)
     word = np.repeat(np.arange(len(words)), sizes)
     at = np.arange(len(word)) + (word + 1) * DEPTH
     key = np.zeros(len(at), np.uint64)
-    for back in range(DEPTH, -1, -1):
+    for back in [*range(1, DEPTH + 1), 0]:
         key = key << np.uint64(8) | flat[at - back]
     return key, word
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams of words with their count in training rows (0 for grams of other rows only), summed in the task."""
     total: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0))
+
+    def send() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(signed(total[0])), pa.array(total[1].astype(np.int64))], ["gram", "n"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         keys, word = _grams(batch.column("word").to_pylist())
         keys, of = np.unique(np.r_[total[0], keys], return_inverse=True)
         total = keys, np.bincount(of, np.r_[total[1], batch.column("n").to_numpy()[word]])
-    yield pa.RecordBatch.from_arrays([pa.array(signed(total[0])), pa.array(total[1].astype(np.int64))], ["gram", "n"])
+        if len(keys) > 4 * HELD:
+            yield send()
+            total = np.zeros(0, np.uint64), np.zeros(0)
+    yield send()
+
+
+def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, word = _grams(batch.column("word").to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column("h").take(pa.array(word)), pa.array(signed(keys))], ["h", "gram"])
 
 
 @dataclass
-class ContextTree:
-    """The mixed probability that the next bit is 1, by context length, at each (context, bits so far) node."""
+class Level:
+    """Nodes of one context length: (bits so far, context) in order, zeros and ones seen there, the node each is under."""
+
+    keys: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    up: np.ndarray | None = None
+    log_w: np.ndarray | None = None
+    part: np.ndarray | None = None
 
-    keys: list[np.ndarray]
-    ones: list[np.ndarray]
+
+_HALVES = np.array([math.lgamma(i + 0.5) for i in range(4096)])
+_WHOLES = np.array([math.lgamma(i + 1.0) for i in range(4096)])
 
 
 def _log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Natural log of the Krichevsky-Trofimov probability of a zeros and b ones."""
-    def g(x: np.ndarray) -> np.ndarray:
-        values, of = np.unique(x, return_inverse=True)
-        return np.array([math.lgamma(v) for v in values.tolist()])[of]
-
-    return g(a + 0.5) + g(b + 0.5) - g(a + b + 1.0) - math.log(math.pi)
-
-
-def _nodes(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Binary decomposition: counts of zeros and ones after each context and leading bits of the next byte."""
-    keys, bits, counts = [], [], []
-    ctx, byte = grams >> np.uint64(8), grams & np.uint64(255)
-    for b in range(8):
-        keys.append(ctx << np.uint64(8) | np.uint64(1 << b) | byte >> np.uint64(8 - b))
-        bits.append((byte >> np.uint64(7 - b)) & np.uint64(1))
-        counts.append(n)
-    keys, of = np.unique(np.concatenate(keys), return_inverse=True)
-    ones, counts = np.concatenate(bits).astype(bool), np.concatenate(counts)
-    return keys, np.bincount(of[~ones], counts[~ones], len(keys)), np.bincount(of[ones], counts[ones], len(keys))
-
-
-def weigh(levels: list[tuple[np.ndarray, np.ndarray]]) -> ContextTree:
-    """Mix the estimates of all depths. levels: by context length, (context and next byte, count); a longer context ends
-    with the shorter one. Counts of contexts that a level doesn't keep are pooled as one child."""
-    nodes = [_nodes(*x) for x in levels]
-    log_w: list[np.ndarray] = [np.zeros(0)] * len(nodes)
-    beta: list[np.ndarray] = [np.zeros(0)] * len(nodes)
-    parents: list[np.ndarray] = [np.zeros(0, np.int64)] * len(nodes)
-    for d in range(len(nodes) - 1, -1, -1):
-        keys, a, b = nodes[d]
-        own = _log_kt(a, b)
-        if d == len(nodes) - 1:
-            log_w[d], beta[d] = own, np.full(len(keys), np.inf)
-            continue
-        up = np.searchsorted(keys, nodes[d + 1][0] & np.uint64((1 << 8 * (d + 1)) - 1))
-        parents[d + 1] = up
-        below = np.bincount(up, log_w[d + 1], len(keys))
-        rest_a, rest_b = a - np.bincount(up, nodes[d + 1][1], len(keys)), b - np.bincount(up, nodes[d + 1][2], len(keys))
-        below += _log_kt(rest_a, rest_b)
-        log_w[d] = np.logaddexp(own, below) - math.log(2)
-        beta[d] = np.exp(np.clip(own - below, -700, 700))
-    ones, given, share = [], [], []
-    for d, (_, a, b) in enumerate(nodes):
-        kt = (b + 0.5) / (a + b + 1)
-        before, left = (given[-1][parents[d]], share[-1][parents[d]]) if d else (np.zeros(len(a)), np.ones(len(a)))
-        ones.append(before + left * kt)
-        part = np.where(np.isinf(beta[d]), 1.0, beta[d] / (1 + np.where(np.isinf(beta[d]), 0, beta[d])))
-        given.append(before + left * part * kt)
-        share.append(left * (1 - part))
-    return ContextTree([x[0] for x in nodes], ones)
-
-
-def log10_next(tree: ContextTree, grams: np.ndarray) -> np.ndarray:
+
+    def g(n: np.ndarray, table: np.ndarray, more: float) -> np.ndarray:
+        out = table[np.minimum(n, len(table) - 1).astype(np.int64)]
+        big = n >= len(table)
+        x = n[big] + more
+        out[big] = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3)
+        return out
+
+    return g(a, _HALVES, 0.5) + g(b, _HALVES, 0.5) - g(a + b, _WHOLES, 1.0) - math.log(math.pi)
+
+
+def _above(low: Level) -> Level:
+    """The nodes whose contexts are a byte shorter; low.up is set."""
+    keys = low.keys >> np.uint64(8)
+    new = np.r_[True, keys[1:] != keys[:-1]]
+    first, low.up = np.flatnonzero(new), np.cumsum(new) - 1
+    up = Level(keys[first], np.add.reduceat(low.a, first), np.add.reduceat(low.b, first))
+    own, below = _log_kt(up.a, up.b), np.add.reduceat(low.log_w, first)
+    up.log_w = np.logaddexp(own, below) - math.log(2)
+    up.part = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
+    return up
+
+
+def _part_levels(grams: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, list[Level]]:
+    """Of one binary decision of each gram's last byte: its bits, its leaf, and the levels from DEPTH to ROOT."""
+    byte = grams & np.uint64(255)
+    key = (np.uint64(1 << bit) | byte >> np.uint64(8 - bit)) << np.uint64(8 * DEPTH) | grams >> np.uint64(8)
+    one = (byte >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
+    keys, leaf = np.unique(key, return_inverse=True)
+    levels = [Level(keys, np.bincount(leaf, np.where(one, 0, n), len(keys)), np.bincount(leaf, np.where(one, n, 0), len(keys)))]
+    levels[0].log_w, levels[0].part = _log_kt(levels[0].a, levels[0].b), np.ones(len(keys))
+    while len(levels) <= DEPTH - ROOT:
+        levels.append(_above(levels[-1]))
+    return one, leaf, levels
+
+
+def _descend(level: Level, given: np.ndarray, share: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From what each node's parent passes on: what is settled, what share is left, and the chance of a one at the node.
+
+    Nodes where nothing was seen have their parent's chance."""
+    kt = (level.b + 0.5) / (level.a + level.b + 1)
+    seen = level.a + level.b > 0
+    return given + share * level.part * kt, share * (1 - level.part), np.where(seen, given + share * kt, ones)
+
+
+def _part_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy().astype(float)
+
+
+def _roots(table: pa.Table) -> pa.Table:
+    """The nodes of ROOT bytes of a part of the tree, weighed over all that is below."""
+    grams, n = _part_columns(table)
+    grams, n = grams[n > 0], n[n > 0]
+    tops = [_part_levels(grams, n, bit)[2][-1] for bit in range(8)] if len(grams) else []
+    columns = [np.concatenate([getattr(t, c) for t in tops] or [np.zeros(0)]) for c in ("keys", "a", "b", "log_w")]
+    return pa.table([pa.array(columns[0].astype(np.int64)), *(pa.array(c) for c in columns[1:])], names=["node", "a", "b", "log_w"])
+
+
+def _crown(roots: pa.Table) -> list[tuple[np.ndarray, ...]]:
+    """Of the contexts of 0 to ROOT - 1 bytes: keys, what is settled, the share left and the chance of a one."""
+    keys = roots["node"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    levels = [Level(keys[order], *(roots[c].to_numpy()[order] for c in "ab"))]
+    levels[0].log_w = roots["log_w"].to_numpy()[order]
+    if not len(keys):
+        return []
+    while len(levels) <= ROOT:
+        levels.append(_above(levels[-1]))
+    out, below = [], levels[:0:-1]
+    given, share, ones = np.zeros(len(below[0].keys)), np.ones(len(below[0].keys)), np.full(len(below[0].keys), 0.5)
+    for i, level in enumerate(below):
+        if i:
+            given, share, ones = (x[level.up] for x in (given, share, ones))
+        given, share, ones = _descend(level, given, share, ones)
+        out.append((level.keys, given, share, ones))
+    return out
+
+
+def _passed(crown: list[tuple[np.ndarray, ...]], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the crown passes on to nodes of ROOT bytes."""
+    given, share, ones = np.zeros(len(keys)), np.ones(len(keys)), np.full(len(keys), 0.5)
+    for d, (known, *values) in enumerate(crown):
+        want = keys >> np.uint64(8 * (ROOT - d))
+        at = np.minimum(np.searchsorted(known, want), len(known) - 1)
+        hit = known[at] == want
+        for out, x in zip((given, share, ones), values, strict=True):
+            out[hit] = x[at[hit]]
+    return given, share, ones
+
+
+def _part_scores(shared):
     """Log10 of the probability of each gram's last byte after its context: at each bit, the deepest node that is known."""
-    total = np.zeros(len(grams))
-    ctx, byte = grams >> np.uint64(8), grams & np.uint64(255)
-    for b in range(8):
-        prefix = np.uint64(1 << b) | byte >> np.uint64(8 - b)
-        one = (byte >> np.uint64(7 - b)) & np.uint64(1) == 1
-        p, open_ = np.full(len(grams), 0.5), np.arange(len(grams))
-        for d in range(len(tree.keys) - 1, -1, -1):
-            keys = tree.keys[d]
-            if not len(keys) or not len(open_):
-                continue
-            want = (ctx[open_] & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | prefix[open_]
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            hit = keys[at] == want
-            p[open_[hit]] = tree.ones[d][at[hit]]
-            open_ = open_[~hit]
-        total += np.log10(np.where(one, p, 1 - p))
-    return total
-
-
-def _word_scores(shared):
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys, word = _grams(batch.column("word").to_pylist())
-            keys, of = np.unique(keys, return_inverse=True)
-            scores = np.bincount(word, log10_next(shared.value, keys)[of], batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(scores)], ["h", "n", "tree"])
+
+    def go(table: pa.Table) -> pa.Table:
+        grams, n = _part_columns(table)
+        total = np.zeros(len(grams))
+        for bit in range(8):
+            one, leaf, levels = _part_levels(grams, n, bit)
+            passed = _descend(levels[-1], *_passed(shared.value, levels[-1].keys))
+            for level in levels[-2::-1]:
+                passed = _descend(level, *(x[level.up] for x in passed))
+            p = passed[2][leaf]
+            total += np.log10(np.where(one, p, 1 - p))
+        return pa.table([table["gram"], table["n"], pa.array(total)], names=["gram", "n", "tree"])
 
     return go
 
 
+def score_grams(grams: DataFrame) -> DataFrame:
+    """Weigh the tree of all grams (gram, n) and score each: gram, n, tree (log10).
+
+    Nothing is left out: the tree is cut at its contexts of ROOT bytes into parts of about PART grams, which tasks weigh from
+    the leaves up; the driver weighs the nodes above, as many as the alphabet allows; tasks then go down from these."""
+    parts = max(8, grams.count() // PART)
+    # a gram starts with the byte next to it, so that the contexts under one root are in one part
+    part = F.pmod(F.hash(F.shiftrightunsigned("gram", 8 * (DEPTH - ROOT + 1))), F.lit(parts))
+    cut = grams.withColumn("part", part)
+    ship(grams.sparkSession)
+    roots = cut.select("part", "gram", "n").groupBy("part").applyInArrow(lambda t: _roots(t), "node long, a double, b double, log_w double").toArrow()
+    crown = grams.sparkSession.sparkContext.broadcast(_crown(roots))
+    return cut.groupBy("part").applyInArrow(_part_scores(crown), "gram long, n long, tree double")
+
+
 def _documents(shared, rare: bool):
     """Each row's sums over the words whose scores are held (rare False), or its other words with their counts."""
 
@@ -205,16 +265,15 @@ def _documents(shared, rare: bool):
     return go
 
 
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", depth_kept: int = KEPT, hot: int = HOT) -> DataFrame:
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """Score whole texts under models learned from the rows for which train holds.
 
     A text is its words (lower-cased A-Z; runs of characters other than space and \\x09-\\x0D), then one end. The model
     is a context tree over bytes: words are spelled with a space before and after, each byte is eight binary
     decisions, and each decision mixes Krichevsky-Trofimov estimates over contexts of 0 to 6 bytes back to the space before
     the word, weighted as context-tree weighting weighs them. Its counts come from all training words, counted once a
-    distinct word in Spark; of each context length, the depth_kept commonest contexts-with-next-byte are kept, so that the
-    tree is small enough to broadcast; what is dropped still counts in shorter contexts. The base is additive (0.1) over
-    whole words. Scores are found once for each distinct word; the `hot` commonest words' are held by tasks, the others'
+    distinct word in Spark; every context with its next byte is kept, in a table that meets the words by a join. The base is
+    additive (0.1) over whole words. Scores are found once for each distinct word; the `hot` commonest words' are held by tasks, the others'
     meet the texts by a join. Null text is empty (only the end); nothing to train on gives every bit a half. Returns id,
     train, n_tokens, n_known, train_tokens, base_score, score (log10), a row for each row of docs.
     """
@@ -227,22 +286,12 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
     sizes = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     n_all, n_distinct = sizes[0] + n_docs, sizes[1] + (n_docs > 0)
     bottom = n_all + 0.1 * (n_distinct + 1)
-    grams = words.where("n > 0").mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    level = write_shared(grams, "grams")
-    levels = []
-    for d in range(DEPTH, -1, -1):
-        top = level.orderBy(F.desc("n"), "gram").limit(depth_kept).toArrow()
-        keys, n = top["gram"].to_numpy().view(np.uint64), top["n"].to_numpy().astype(float)
-        end = np.uint64((SPACE << 8 | END) & ((1 << 8 * (d + 1)) - 1))
-        levels.append((np.r_[keys, end], np.r_[n, float(n_docs)]))
-        level = level.select(F.col("gram").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("gram"), "n").groupBy("gram").agg(F.sum("n").alias("n"))
-    levels.reverse()
-    for d in range(1, len(levels)):  # what a level keeps has its shorter context kept
-        has = np.isin(levels[d][0] & np.uint64((1 << 8 * d) - 1), levels[d - 1][0])
-        levels[d] = levels[d][0][has], levels[d][1][has]
-    tree = weigh(levels)
-    end_tree = float(log10_next(tree, np.array([SPACE << 8 | END], np.uint64))[0])
-    scored = write_shared(words.mapInArrow(_word_scores(spark.sparkContext.broadcast(tree)), "h long, n long, tree double"), "scored")
+    end = SPACE << 8 * DEPTH | END
+    counts = words.mapInArrow(_gram_counts, "gram long, n long").unionByName(spark.createDataFrame([(end, n_docs)], "gram long, n long"))
+    grams = write_shared(score_grams(write_shared(counts.groupBy("gram").agg(F.sum("n").alias("n")), "counts")), "grams")
+    end_tree = grams.where(F.col("gram") == end).first()["tree"]
+    trees = words.mapInArrow(_word_grams, "h long, gram long").join(grams.select("gram", "tree"), "gram").groupBy("h").agg(F.sum("tree").alias("tree"))
+    scored = write_shared(words.select("h", "n").join(trees, "h"), "scored")
     rank = F.floor(8 * F.log2(F.col("n") + 1))
     at, room = 1 << 30, hot
     for r in scored.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -181,6 +182,51 @@ def test_language_model(hard, none):
     assert score_documents(none, F.lit(True)).count() == 0
 
 
+def plain_tree(counts, asked, depth):
+    """Context-tree weighting by dictionaries: log10 of each asked (context, next byte), contexts nearest byte first."""
+    nodes = collections.defaultdict(lambda: [0, 0])
+    for (c, x), n in counts.items():
+        for b in range(8):
+            for d in range(depth + 1):
+                nodes[d, c[:d], 1 << b | x >> (8 - b)][x >> (7 - b) & 1] += n
+    kt = {k: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi) for k, (a, b) in nodes.items()}
+    below = collections.Counter()
+    part = {}
+    for k in sorted(nodes, reverse=True):
+        d, c, bits = k
+        w = kt[k] if d == depth else np.logaddexp(kt[k], below[k]) - math.log(2)
+        part[k] = 1.0 if d == depth else 1 / (1 + math.exp(min(700, below[k] - kt[k])))
+        below[d - 1, c[:-1], bits] += w
+    out = {}
+    for c, x in asked:
+        total = 0
+        for b in range(8):
+            given, share, one = 0.0, 1.0, 0.5
+            for d in range(depth + 1):
+                if (k := (d, c[:d], 1 << b | x >> (8 - b))) not in nodes:
+                    break
+                q = (nodes[k][1] + 0.5) / (sum(nodes[k]) + 1)
+                one, given, share = given + share * q, given + share * part[k] * q, share * (1 - part[k])
+            total += math.log10(one if x >> (7 - b) & 1 else 1 - one)
+        out[c, x] = total
+    return out
+
+
+def test_tree_keeps_every_context(spark):
+    """More grams than the 2**17 that a level once kept: each has the score of the whole tree."""
+    from driftlake.llm.language_model import DEPTH, score_grams
+
+    r = random.Random(5)
+    grams = {(bytes(r.choices(b"abcdefgh", k=DEPTH)), r.choice(b"abcdxyz")): r.choice([0, 1, 1, 2, 5000]) for _ in range(150_000)}
+    code = {int.from_bytes(c + bytes([x]), "big"): (c, x) for c, x in grams}
+    df = spark.createDataFrame([(k, grams[v]) for k, v in code.items()], "gram long, n long")
+    got = {code[x["gram"]]: x["tree"] for x in score_grams(df).collect()}
+    assert len(got) > 1 << 17 and got.keys() == grams.keys()
+    some = sorted(grams)[::200]
+    want = plain_tree({k: n for k, n in grams.items() if n}, some, DEPTH)
+    assert [got[k] for k in some] == pytest.approx([want[k] for k in some])
+
+
 def test_pii(spark):
     texts = ["a@b.c_d@e.f x", "1.2.3.4.5.6.7.8 999.1.1.1", "4111 1111-1111 1111, 4111111111111112", "é +1 (555) 123-4567.", "", None, "9" * 3000, "a" * 30000]
     texts += [f"reach her phone +1 (555) 123-45{i:02d} now" for i in range(40)] + ["reach her phone 555 now", "reach her phone 555-123-9999 now"]
