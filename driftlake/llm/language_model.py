@@ -1,4 +1,4 @@
-"""Language-model scoring: context-tree weighting over the bytes of words, and an additive unigram base."""
+"""Language-model scoring: context-tree weighting over the bytes of texts, and an additive unigram base."""
 
 from __future__ import annotations
 
@@ -8,15 +8,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship, write_shared
 from driftlake.llm.words import LOWER, Block, signed, text_blocks
 
-#: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words whose scores tasks hold.
-DEPTH, ROOT, PART, HOT = 6, 2, 1 << 18, 1 << 18
+#: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words and
+#: grams whose scores tasks hold.
+DEPTH, ROOT, PART, HOT, HOT_GRAMS = 6, 2, 1 << 18, 1 << 18, 1 << 21
 #: Words of which a task sums counts before it sends them.
 HELD = 400_000
 SPACE, END = 32, 10
@@ -54,41 +54,66 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield send()
 
 
-def _grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The DEPTH bytes before each place, nearest first (zeros before the word's leading space), with the byte there; the word."""
-    flat = np.frombuffer(b"".join(b"\0" * (DEPTH - 1) + b" " + w + b" " for w in words), np.uint8).astype(np.uint64)
-    sizes = np.array([len(w) + 1 for w in words], np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
-    at = np.arange(len(word)) + (word + 1) * DEPTH
+def _grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of a block's running texts and their documents: the DEPTH bytes before each place, nearest first, and the byte.
+
+    A text is a space, its words with a space after each, and the end; before it there are zeros."""
+    size = block.ends - block.starts
+    sizes = np.bincount(block.doc, size + 1, block.n_docs).astype(np.int64) + DEPTH + 1
+    begin = np.cumsum(sizes) - sizes
+    flat = np.zeros(int(sizes.sum()), np.uint8)
+    flat[begin + DEPTH - 1] = SPACE
+    flat[begin + sizes - 1] = END
+    to = np.cumsum(size + 1) - (size + 1) + (block.doc + 1) * DEPTH + block.doc
+    flat[to + size] = SPACE
+    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    flat[np.repeat(to, size) + inside] = LOWER[block.data[np.repeat(block.starts, size) + inside]]
+    doc = np.repeat(np.arange(block.n_docs), sizes - DEPTH)
+    at = np.arange(len(doc)) + (doc + 1) * DEPTH
+    flat = flat.astype(np.uint64)
     key = np.zeros(len(at), np.uint64)
     for back in [*range(1, DEPTH + 1), 0]:
         key = key << np.uint64(8) | flat[at - back]
-    return key, word
+    return key, doc
 
 
-def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grams of words with their count in training rows (0 for grams of other rows only), summed in the task."""
-    total: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.uint64), np.zeros(0))
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
 
-    def send() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(signed(total[0])), pa.array(total[1].astype(np.int64))], ["gram", "n"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, word = _grams(batch.column("word").to_pylist())
-        keys, of = np.unique(np.r_[total[0], keys], return_inverse=True)
-        total = keys, np.bincount(of, np.r_[total[1], batch.column("n").to_numpy()[word]])
-        if len(keys) > 4 * HELD:
-            yield send()
-            total = np.zeros(0, np.uint64), np.zeros(0)
-    yield send()
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams with their count in training rows (0 for grams of other rows only), summed in the task."""
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    held, settled = 0, 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate([k for k, _ in waiting] or [np.zeros(0, np.uint64)])
+        n = np.concatenate([c for _, c in waiting] or [np.zeros(0, np.int64)])
+        order = np.argsort(keys)
+        first = _runs(keys := keys[order])
+        return keys[first], np.add.reduceat(n[order], first) if len(first) else n
 
+    def sent(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n)], ["gram", "n"])
 
-def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, word = _grams(batch.column("word").to_pylist())
-        yield pa.RecordBatch.from_arrays([batch.column("h").take(pa.array(word)), pa.array(signed(keys))], ["h", "gram"])
+        train = batch.column("train").to_numpy(zero_copy_only=False)
+        for block in text_blocks(batch):
+            grams, doc = _grams(block)
+            learned = train[block.first + doc]
+            for some, times in ((grams[learned], 1), (grams[~learned], 0)):
+                some.sort()
+                first = _runs(some)
+                waiting.append((some[first], np.diff(np.r_[first, len(some)]) * times))
+                held += len(first)
+            if held > 2 * settled + 4 * HELD:
+                waiting = [merged()]
+                held = settled = len(waiting[0][0])
+                if settled > 4 * HELD:
+                    yield sent(*waiting[0])
+                    waiting, held, settled = [], 0, 0
+    yield sent(*merged())
 
 
 @dataclass
@@ -232,83 +257,122 @@ def score_grams(grams: DataFrame) -> DataFrame:
     return cut.groupBy("part").applyInArrow(_part_scores(crown), "gram long, n long, tree double")
 
 
-def _documents(shared, rare: bool):
-    """Each row's sums over the words whose scores are held (rare False), or its other words with their counts."""
+def _held(hot: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each key in hot, and whether it is there."""
+    at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
+    return at, hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+
+
+def _sums(shared, shared_grams):
+    """Each row's counts and sums over the words and grams that tasks hold."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, n, tree, base = shared.value
-        key = TaskContext.get().partitionId() << 40
+        hot, n, base = shared.value
+        hot_grams, tree = shared_grams.value
         for batch in batches:
             known = np.zeros(batch.num_rows, np.int64)
             tokens = np.zeros(batch.num_rows, np.int64)
             sums = np.zeros((2, batch.num_rows))
             for block in text_blocks(batch):
-                at = np.minimum(np.searchsorted(hot, block.words), max(0, len(hot) - 1))
-                hit = hot[at] == block.words if len(hot) else np.zeros(len(at), bool)
+                at, hit = _held(hot, block.words)
                 row = block.first + block.doc
-                if rare:
-                    words, row = block.words[~hit], row[~hit]
-                    order = np.lexsort((words, row))
-                    words, row = words[order], row[order]
-                    first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (row[1:] != row[:-1])]) if len(words) else np.zeros(0, np.int64)
-                    times = np.diff(np.r_[first, len(words)]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(key + row[first]), pa.array(signed(words[first])), pa.array(times)], ["key", "h", "times"])
-                    continue
                 tokens += np.bincount(row, minlength=len(tokens))
                 known += np.bincount(row[hit], n[at[hit]] > 0, len(tokens)).astype(np.int64)
                 sums[0] += np.bincount(row[hit], base[at[hit]], len(tokens))
-                sums[1] += np.bincount(row[hit], tree[at[hit]], len(tokens))
-            if not rare:
-                yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(batch.num_rows)), batch.column("id"), batch.column("train"), pa.array(tokens), pa.array(known), pa.array(sums[0]), pa.array(sums[1])], ["key", "id", "train", "tokens", "known", "base", "tree"])
-            key += batch.num_rows
+                grams, doc = _grams(block)
+                order = np.argsort(grams)
+                grams, doc = grams[order], doc[order]
+                first = _runs(grams)
+                at, hit = _held(hot_grams, grams[first])
+                score = np.zeros(len(first))
+                score[hit] = tree[at[hit]]
+                sums[1] += np.bincount(block.first + doc, np.repeat(score, np.diff(np.r_[first, len(grams)])), len(tokens))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), batch.column("train"), pa.array(tokens), pa.array(known), pa.array(sums[0]), pa.array(sums[1])], ["key", "id", "train", "tokens", "known", "base", "tree"])
+
+    return go
+
+
+def _others(shared, name: str):
+    """Each row's words (h) or grams (gram) that tasks don't hold, with their counts."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value[0]
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            for block in text_blocks(batch):
+                values, doc = (block.words, block.doc) if name == "h" else _grams(block)
+                if name == "h":
+                    cold = ~_held(hot, values)[1]
+                else:
+                    order = np.argsort(values)
+                    values, doc = values[order], doc[order]
+                    first = _runs(values)
+                    cold = np.repeat(~_held(hot, values[first])[1], np.diff(np.r_[first, len(values)]))
+                values, row = values[cold], block.first + doc[cold]
+                order = np.lexsort((values, row))
+                values, row = values[order], row[order]
+                first = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]) | (row[1:] != row[:-1])]) if len(values) else np.zeros(0, np.int64)
+                times = np.diff(np.r_[first, len(values)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(key[row[first]]), pa.array(signed(values[first])), pa.array(times)], ["key", name, "times"])
 
     return go
 
 
-def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+def _least_rank(rows: DataFrame, rank, room: int) -> int:
+    """The least rank of which all rows of that rank or a higher one are at most `room`."""
+    at = 1 << 30
+    for r in rows.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        at = r["rank"]
+    return at
+
+
+def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, hot_grams: int = HOT_GRAMS) -> DataFrame:
     """Score whole texts under models learned from the rows for which train holds.
 
     A text is its words (lower-cased A-Z; runs of characters other than space and \\x09-\\x0D), then one end. The model
-    is a context tree over bytes: words are spelled with a space before and after, each byte is eight binary
-    decisions, and each decision mixes Krichevsky-Trofimov estimates over contexts of 0 to 6 bytes back to the space before
-    the word, weighted as context-tree weighting weighs them. Its counts come from all training words, counted once a
-    distinct word in Spark; every context with its next byte is kept, in a table that meets the words by a join. The base is
-    additive (0.1) over whole words. Scores are found once for each distinct word; the `hot` commonest words' are held by tasks, the others'
+    is a context tree over the bytes of the running text: words are spelled with a space before and after, each byte is eight
+    binary decisions, and each decision mixes Krichevsky-Trofimov estimates over contexts of 0 to DEPTH bytes, across words,
+    weighted as context-tree weighting weighs them. Its counts come from the whole of all training texts, and every context
+    with its next byte is kept. The base is additive (0.1) over whole words. Scores are found once for each distinct context
+    with its next byte. Tasks hold the `hot` commonest words' counts and the `hot_grams` commonest contexts' scores; the others
     meet the texts by a join. Null text is empty (only the end); nothing to train on gives every bit a half. Returns id,
     train, n_tokens, n_known, train_tokens, base_score, score (log10), a row for each row of docs.
     """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
+    texts = texts.select(F.xxhash64("id", "train", "text").alias("key"), "*")
     n_docs = texts.where("train").count()
     counted = texts.mapInArrow(_word_counts, "h long, word binary, n long").groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
     words = write_shared(counted, "words")
     sizes = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     n_all, n_distinct = sizes[0] + n_docs, sizes[1] + (n_docs > 0)
     bottom = n_all + 0.1 * (n_distinct + 1)
-    end = SPACE << 8 * DEPTH | END
-    counts = words.mapInArrow(_gram_counts, "gram long, n long").unionByName(spark.createDataFrame([(end, n_docs)], "gram long, n long"))
-    grams = write_shared(score_grams(write_shared(counts.groupBy("gram").agg(F.sum("n").alias("n")), "counts")), "grams")
-    end_tree = grams.where(F.col("gram") == end).first()["tree"]
-    trees = words.mapInArrow(_word_grams, "h long, gram long").join(grams.select("gram", "tree"), "gram").groupBy("h").agg(F.sum("tree").alias("tree"))
-    scored = write_shared(words.select("h", "n").join(trees, "h"), "scored")
+    grams = texts.mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    grams = write_shared(score_grams(write_shared(grams, "counts")), "grams")
     rank = F.floor(8 * F.log2(F.col("n") + 1))
-    at, room = 1 << 30, hot
-    for r in scored.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
-        room -= r["count"]
-        if room < 0:
-            break
-        at = r["rank"]
-    held = scored.where(rank >= at).toArrow()
+    at, at_gram = _least_rank(words, rank, hot), _least_rank(grams, rank, hot_grams)
+    held = words.where(rank >= at).select("h", "n").toArrow()
     keys = held["h"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     n = held["n"].to_numpy()[order]
-    shared = spark.sparkContext.broadcast((keys[order], n, held["tree"].to_numpy()[order], np.log10((n + 0.1) / bottom)))
-    parts = texts.mapInArrow(_documents(shared, False), "key long, id long, train boolean, tokens long, known long, base double, tree double")
-    others = texts.mapInArrow(_documents(shared, True), "key long, h long, times int").join(scored.where(rank < at), "h")
+    shared = spark.sparkContext.broadcast((keys[order], n, np.log10((n + 0.1) / bottom)))
+    held = grams.where(rank >= at_gram).select("gram", "tree").toArrow()
+    keys = held["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared_grams = spark.sparkContext.broadcast((keys[order], held["tree"].to_numpy()[order]))
+    parts = texts.mapInArrow(_sums(shared, shared_grams), "key long, id long, train boolean, tokens long, known long, base double, tree double")
     base = F.log10((F.col("n") + 0.1) / F.lit(float(bottom)))
-    others = others.groupBy("key").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * base).alias("base"), F.sum(F.col("times") * F.col("tree")).alias("tree"))
-    both = parts.unionByName(others, allowMissingColumns=True).groupBy("key")
-    one = both.agg(F.max("id").alias("id"), F.max("train").alias("train"), F.sum("tokens").alias("tokens"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("tree").alias("tree"))
+    others = texts.mapInArrow(_others(shared, "h"), "key long, h long, times int").join(words.where(rank < at), "h")
+    others = others.groupBy("key").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * base).alias("base"))
+    trees = texts.mapInArrow(_others(shared_grams, "gram"), "key long, gram long, times int").join(grams.where(rank < at_gram), "gram")
+    trees = trees.groupBy("key").agg(F.sum(F.col("times") * F.col("tree")).alias("tree"))
+    both = parts.unionByName(others, allowMissingColumns=True).unionByName(trees, allowMissingColumns=True).groupBy("key")
+    one = both.agg(F.max("id").alias("id"), F.max("train").alias("train"), F.max("tokens").alias("tokens"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("tree").alias("tree"), F.count("tokens").alias("copies"))
+    # rows that are the same have one key: each has its share of the sums
+    one = one.select("id", "train", "tokens", (F.col("known") / F.col("copies")).cast("long").alias("known"), (F.col("base") / F.col("copies")).alias("base"), (F.col("tree") / F.col("copies")).alias("tree"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     end_known, end_base = int(n_docs > 0), math.log10((n_docs + 0.1) / bottom)
-    return one.select(F.col("id").alias(id_col), "train", (F.col("tokens") + 1).alias("n_tokens"), (F.col("known") + end_known).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + end_base).alias("base_score"), (F.col("tree") + end_tree).alias("score"))
+    return one.select(F.col("id").alias(id_col), "train", (F.col("tokens") + 1).alias("n_tokens"), (F.col("known") + end_known).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + end_base).alias("base_score"), F.col("tree").alias("score"))

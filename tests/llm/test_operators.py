@@ -227,6 +227,24 @@ def test_tree_keeps_every_context(spark):
     assert [got[k] for k in some] == pytest.approx([want[k] for k in some])
 
 
+def test_language_model_reads_across_words(hard):
+    """The tree's scores are those of the running text, whether grams are held by tasks or joined."""
+    from driftlake.llm.language_model import DEPTH
+
+    docs, texts = hard
+    docs = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+
+    def grams(t):
+        s = b"\0" * (DEPTH - 1) + b" " + b"".join(w.encode() + b" " for w in WORD.findall((t or "").lower())) + b"\n"
+        return [(s[i - DEPTH : i][::-1], s[i]) for i in range(DEPTH, len(s))]
+
+    counts = collections.Counter(g for i, t in texts.items() if i % 2 == 0 for g in grams(t))
+    want = plain_tree(counts, {g for t in texts.values() for g in grams(t)}, DEPTH)
+    for hot in (0, 300, 1 << 20):
+        got = {r["doc_id"]: r["score"] for r in score_documents(docs, F.col("doc_id") % 2 == 0, hot_grams=hot).collect()}
+        assert got == pytest.approx({i: sum(want[g] for g in grams(t)) for i, t in texts.items()})
+
+
 def test_pii(spark):
     texts = ["a@b.c_d@e.f x", "1.2.3.4.5.6.7.8 999.1.1.1", "4111 1111-1111 1111, 4111111111111112", "é +1 (555) 123-4567.", "", None, "9" * 3000, "a" * 30000]
     texts += [f"reach her phone +1 (555) 123-45{i:02d} now" for i in range(40)] + ["reach her phone 555 now", "reach her phone 555-123-9999 now"]
