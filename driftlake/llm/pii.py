@@ -19,8 +19,9 @@ OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])?"
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 #: A word that looks like an identifier.
 LIKELY = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++"
-#: Contexts: characters looked at on each side, seeds that a pattern must have found, its least confidence, rounds.
-NEAR, SUPPORT, CONFIDENT, ROUNDS = 48, 5, 0.9, 3
+#: Contexts: characters looked at on each side, seeds that a pattern must have found, its least confidence (what that many
+#: seeds give where nothing speaks against them), and the change of a confidence that counts as none.
+NEAR, SUPPORT, CONFIDENT, SETTLED = 48, 5, 5 / 6, 1e-6
 #: Texts with added spans that are few enough to be sent to all tasks.
 SMALL = 10_000
 
@@ -92,25 +93,36 @@ def _fits(kind: Column, value: Column) -> Column:
     return F.when(kind == "email", mail).when(kind == "ip", value.rlike(r"^[0-9]{1,3}(?:[.:_-][0-9]{1,3}){3}$")).when(kind == "card", digits.between(12, 19)).otherwise(digits.between(7, 15) & ~mail)
 
 
-def discover(occurrences: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT, rounds: int = ROUNDS) -> DataFrame:
+def discover(occurrences: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:
     """Score patterns and values in turn over their graph; spans (key, start, end, kind) that no seed pattern finds.
 
     A pattern's score for a kind is the mean score of the distinct values in it, drawn towards 0 as if one more did not
-    fit; a seed's score is 1, another value's 1 - (1 - score) over its patterns. Patterns need `support` distinct seeds.
+    fit; a seed's score is 1, another value's 1 - (1 - score) over its patterns, or 0 if it can't be of the kind. Patterns
+    need `support` distinct seeds. Each round solves a pattern's score exactly given the others', so that values that only it
+    has don't weigh: it is seeds / (seeds + values that don't fit + 1) at first, and only rises, until all have settled.
     Patterns and values are only counted, summed and joined: a context that a third of all rows have sends a row a task.
     """
+    occurrences = write_shared(occurrences, "occurrences")
     graph = occurrences.groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
     seeds = graph.where(F.col("kind").isNotNull()).groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= support)
     kept = graph.withColumnRenamed("kind", "own").join(seeds, "pattern")
-    scores = kept.select("pattern", "value", "kind", "own", F.when(F.col("own") == F.col("kind"), 1.0).otherwise(0.0).alias("score"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = scores.groupBy("pattern", "kind").agg((F.sum("score") / (F.count("*") + 1)).alias("trust"))
-        trusted = kept.join(patterns, ["pattern", "kind"])
-        doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))
-        values = trusted.where(F.col("own").isNull()).groupBy("value", "kind").agg((1 - doubt).alias("found"))
-        scores = kept.join(values, ["value", "kind"], "left").select("pattern", "value", "kind", "own", F.when(F.col("own") == F.col("kind"), 1.0).when(F.col("own").isNotNull(), 0.0).otherwise(F.coalesce("found", F.lit(0.0))).alias("score"))
-    sure = patterns.where(F.col("trust") >= confident).select("pattern", F.col("kind").alias("as"), "trust")
+    kept = write_shared(kept.select("pattern", "value", "kind", "seeds", (F.col("own").isNull() & _fits(F.col("kind"), F.col("value"))).alias("open")), "graph")
+    # values not open are seeds of the kind, or speak against it
+    fixed = kept.groupBy("pattern", "kind").agg(F.max("seeds").alias("seeds"), F.count("*").alias("values"), F.count_if("open").alias("open"))
+    trust = lambda settled, free: (F.col("seeds") + settled) / (F.col("values") + 1 - free)
+    patterns = write_shared(fixed.withColumn("trust", trust(F.lit(0.0), F.col("open"))), "patterns")
+    open_ = kept.where("open").select("pattern", "value", "kind")
+    while True:
+        doubts = open_.join(patterns.select("pattern", "kind", F.log(1 - F.col("trust")).alias("doubt")), ["pattern", "kind"])
+        values = doubts.groupBy("value", "kind").agg(F.sum("doubt").alias("all"))
+        others = doubts.join(values, ["value", "kind"]).groupBy("pattern", "kind").agg(F.sum(F.exp(F.least(F.lit(0.0), F.col("all") - F.col("doubt")))).alias("free"))
+        free = F.coalesce("free", F.lit(0.0))
+        after = patterns.withColumnRenamed("trust", "was").join(others, ["pattern", "kind"], "left").withColumn("trust", trust(F.col("open") - free, free)).drop("free")
+        patterns = write_shared(after, "patterns")
+        if (patterns.agg(F.max(F.abs(F.col("trust") - F.col("was")))).first()[0] or 0.0) < SETTLED:
+            break
+        patterns = patterns.drop("was")
+    sure = patterns.where(F.col("trust") >= confident - SETTLED).select("pattern", F.col("kind").alias("as"), "trust")
     new = occurrences.where(F.col("kind").isNull()).join(sure, "pattern").where(_fits(F.col("as"), F.col("value")))
     return new.groupBy("key", "start", "end").agg(F.max_by("as", F.struct("trust", "as")).alias("kind"))
 

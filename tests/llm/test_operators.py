@@ -255,6 +255,17 @@ def test_pii(spark):
     assert got[49]["all"] == "phone:16:28" and got[48]["all"] == ""
 
 
+def test_pii_few_seeds_and_many_unseen(spark):
+    """Five seeds are enough, also where most values are unseen; four aren't, nor five with values that can't be phones."""
+    texts = [f"reach her phone +1 (555) 123-45{i:02d} {i}a" for i in range(5)] + [f"reach her phone 555-123-{i:04d} b{i}" for i in range(50)]
+    texts += [f"ask its line +1 (555) 323-45{i:02d} {i}c" for i in range(4)] + ["ask its line 555-323-9999 d"]
+    texts += [f"note our code +1 (555) 423-45{i:02d} {i}e" for i in range(5)] + ["note our code 555-423-9999 f"] + [f"note our code ab{i}-{i}cd {i}g" for i in range(100, 104)]
+    docs = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)
+    got = {r["text"]: r["all"] for r in pii.find(docs).withColumn("all", pii.joined(F.col("spans"))).collect()}
+    assert all(got[f"reach her phone 555-123-{i:04d} b{i}"] == "phone:16:28" for i in range(50))
+    assert got["ask its line 555-323-9999 d"] == "" and got["note our code 555-423-9999 f"] == ""
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
