@@ -17,8 +17,14 @@ KINDS = {
 }
 OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])?"
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
-#: A word that looks like an identifier.
-LIKELY = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++"
+#: Groups of digits joined by what joins them in seeds, each ended by white space, punctuation or the next group; not where
+#: the first word has the digits of a phone by itself.
+ENDED = r"(?=[\x20().-]*+[0-9]|[^A-Za-z0-9@\x20\x09-\x0D]*+(?:[\x20\x09-\x0D]|$))"
+RUN = r"(?!(?:[^0-9\x20\x09-\x0D]*+[0-9]){7})[(+]*+[0-9]++(?:[\x20().-]++[0-9]++" + ENDED + ")++"
+#: A run or word that looks like an identifier.
+LIKELY = r"(?<![^\x20\x09-\x0D])(?:" + RUN + r"|(?=[^\x20\x09-\x0D]*[0-9@])[^\x20\x09-\x0D]++)"
+#: What precedes an identifier in its word; a bracket around its first digits is its own.
+LEAD = r"^(?:[^A-Za-z0-9+@(]|\((?![0-9]+\)[\x20.-]*[0-9]))*+"
 #: Contexts: characters looked at on each side, seeds that a pattern must have found, its least confidence (what that many
 #: seeds give where nothing speaks against them), and the change of a confidence that counts as none.
 NEAR, SUPPORT, CONFIDENT, SETTLED = 48, 5, 5 / 6, 1e-6
@@ -69,22 +75,23 @@ def _base(text: Column) -> Column:
 
 
 def _occurrences(texts: DataFrame) -> DataFrame:
-    """Seeds and words that look like identifiers, with the words around and the shape of each."""
+    """Seeds, and words and runs of digits that look like identifiers, with the words around and the shape of each."""
     some = texts.where(F.col("text").rlike("[0-9@]"))
     words = F.filter(matches(F.col("text"), LIKELY), lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
     rows = some.select("key", "text", F.explode(F.concat("base", words)).alias("s"))
     found = F.substring("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))
-    trimmed = F.regexp_extract(found, r"^[^A-Za-z0-9+@]*+(.*?)[^A-Za-z0-9]*$", 1)
-    skipped = F.length(F.regexp_extract(found, r"^[^A-Za-z0-9+@]*+", 0))
+    trimmed = F.regexp_extract(found, LEAD + "(.*?)[^A-Za-z0-9]*$", 1)
+    skipped = F.length(F.regexp_extract(found, LEAD, 0))
     start = F.col("s.start") + F.when(F.col("s.kind") == "", skipped).otherwise(0)
     value = F.when(F.col("s.kind") == "", trimmed).otherwise(found)
     before = F.substring(F.col("text"), F.greatest(F.lit(1), F.col("s.start") + 1 - NEAR), F.least(F.lit(NEAR), F.col("s.start")))
     left = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
+    near = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
     right = F.lower(F.regexp_extract(F.substring(F.col("text"), F.col("s.end") + 1, F.lit(NEAR)), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
     shape = F.regexp_replace(F.regexp_replace(value, "[A-Za-z]+", "a"), "[0-9]+", "9")
-    flat = rows.select("key", start.alias("start"), (start + F.length(value)).alias("end"), F.nullif(F.col("s.kind"), F.lit("")).alias("kind"), F.lower(value).alias("value"), shape.alias("shape"), left.alias("left"), right.alias("right"))
-    patterns = F.array(F.when(F.col("left") != "", F.concat(F.lit("before:"), "left")), F.when(F.col("right") != "", F.concat(F.lit("after:"), "right", F.lit(" shape:"), "shape")))
-    return flat.where(F.length("value").between(6, 64)).withColumn("pattern", F.explode(F.array_compact(patterns)))
+    flat = rows.select("key", start.alias("start"), (start + F.length(value)).alias("end"), F.nullif(F.col("s.kind"), F.lit("")).alias("kind"), F.lower(value).alias("value"), shape.alias("shape"), left.alias("left"), near.alias("near"), right.alias("right"))
+    patterns = F.array(F.when(F.col("left") != "", F.concat(F.lit("before:"), "left")), F.when(F.col("near") != "", F.concat(F.lit("next:"), "near")), F.when(F.col("right") != "", F.concat(F.lit("after:"), "right", F.lit(" shape:"), "shape")))
+    return flat.where(F.col("value") != "").withColumn("pattern", F.explode(F.array_compact(patterns)))
 
 
 def _fits(kind: Column, value: Column) -> Column:
@@ -131,7 +138,7 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns of docs, `base` and `spans`: arrays of (start, rank, end, kind), in order of start and kind.
 
     base holds the seeds that the fixed patterns find in the whole text; spans holds these and what contexts add: the two
-    words before, or the word after with the shape of the value, where nearly all values found there are seeds of a kind.
+    words before, the one before, or the word after with the shape of the value, where nearly all values found there are seeds of a kind.
     Added spans never overlap seeds. Null texts have none. Offsets are code points, end exclusive.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

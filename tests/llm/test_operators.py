@@ -266,6 +266,18 @@ def test_pii_few_seeds_and_many_unseen(spark):
     assert got["ask its line 555-323-9999 d"] == "" and got["note our code 555-423-9999 f"] == ""
 
 
+def test_pii_spaced_values_and_short_labels(spark):
+    """Unseen values of several words after a label whose other neighbours never repeat."""
+    new = ["555 123 4567", "(555) 123-4567", "555-123-4567", "5551234567", "4111 1111 1111", "0" * 5 + " 12345"]
+    texts = [f"w{i}x Tel: +1 (555) 123-45{i:02d} y{i}z" for i in range(20)] + [f"v{i}x Tel: {t}, 2nd{i}" for i, t in enumerate(new)]
+    texts += [f"u Tel: ({new[3]}) z", "t Tel: 555 123 4567 2nd s", "9 " * 5000]
+    docs = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)
+    got = {r["text"]: r["all"] for r in pii.find(docs).withColumn("all", pii.joined(F.col("spans"))).collect()}
+    for i, t in enumerate(new):
+        assert got[f"v{i}x Tel: {t}, 2nd{i}"] == f"phone:9:{9 + len(t)}"
+    assert got[f"u Tel: ({new[3]}) z"] == "phone:8:18" and got["t Tel: 555 123 4567 2nd s"] == "phone:7:19" and got["9 " * 5000] == ""
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
