@@ -442,6 +442,9 @@ both("listagg_over_partition", "SELECT event_id, max(CASE WHEN event_type = 'err
 both("row_id_rownum", "SELECT n_nationkey, row_number() OVER (ORDER BY n_name, n_nationkey) AS id FROM {nation}")
 both("order_by_case", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS severity FROM {orders} ORDER BY severity, o_orderkey LIMIT 100")
 both("order_nulls_last", "SELECT n_nationkey, nullif(n_regionkey, 1) AS r FROM {nation} ORDER BY r DESC NULLS LAST, n_nationkey LIMIT 22")
+# The same sorts over whole tables that grow.
+both("order_by_case_all", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS severity FROM {orders} ORDER BY severity, o_orderkey")
+both("order_nulls_last_all", "SELECT o_orderkey, nullif(o_orderstatus, 'P') AS r FROM {orders} ORDER BY r DESC NULLS LAST, o_orderkey")
 both("top_k", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 both("union_all_branches", "SELECT event_id, 'v' AS k FROM {events} WHERE event_type = 'view' UNION ALL SELECT event_id, 'c' FROM {events} WHERE event_type = 'click' UNION ALL SELECT event_id, 'p' FROM {events} WHERE event_type = 'purchase'")
 both("union_all_metrics", "SELECT 'orders' AS metric, count(*) AS n FROM {orders} UNION ALL SELECT 'lines', count(*) FROM {lineitem} UNION ALL SELECT 'customers', count(*) FROM {customer}")
