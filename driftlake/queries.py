@@ -428,6 +428,10 @@ both("percentile_cont", "SELECT event_type, round(percentile_cont(0.5) WITHIN GR
 both("distinct_rows", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM {orders}")
 both("having_filter", "SELECT user_id, count(*) AS n FROM {events} WHERE event_type = 'error' GROUP BY user_id HAVING count(*) > 5")
 QUERIES["brute_force"], ORACLES["brute_force"] = QUERIES["having_filter"], ORACLES["having_filter"]
+both(
+    "brute_force_24h",
+    "SELECT user_id, count(*) AS failed_attempts, min(ts) AS first_attempt, max(ts) AS last_attempt FROM {events} WHERE event_type = 'error' AND ts > (SELECT max(ts) FROM {events}) - INTERVAL 24 HOURS GROUP BY user_id HAVING count(*) > 5",
+)
 both("group_by_all", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM {orders} GROUP BY ALL")
 both("group_by_ordinal", "SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY 1")
 both("pct_of_total", "SELECT o_orderstatus, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 2)::DOUBLE AS pct FROM {orders} GROUP BY o_orderstatus")
@@ -471,6 +475,15 @@ both("processing_stats", "SELECT user_id, count(*) AS runs, count_if(event_type
 both("recent_errors", "SELECT event_id, user_id, ts FROM {events} WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 50")
 both("execution_stats_24h", "SELECT date_trunc('hour', ts) AS hour, count(*) AS runs, count_if(event_type = 'error') AS failed FROM {events} GROUP BY 1")
 both("pipeline_trend_7d", "SELECT CAST(ts AS DATE) AS day, count(*) AS runs, count_if(event_type = 'error') AS failed FROM {events} GROUP BY 1")
+# With the windows of the reference, back from the log's last time; an event's value stands for its seconds.
+both(
+    "execution_stats_last_24h",
+    "SELECT date_trunc('hour', ts) AS hour, count(*) AS runs, count_if(event_type = 'error') AS failed, round(avg(value), 6) AS mean_seconds, max(value) AS most_seconds FROM {events} WHERE ts >= (SELECT max(ts) FROM {events}) - INTERVAL 24 HOURS GROUP BY 1",
+)
+both(
+    "pipeline_trend_last_7d",
+    "SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS runs, count_if(event_type = 'error') AS failed, round(avg(value), 6) AS mean_value FROM {events} WHERE ts >= (SELECT max(ts) FROM {events}) - INTERVAL 7 DAYS GROUP BY 1, 2",
+)
 both("pipeline_summary", "SELECT count(DISTINCT user_id) AS pipelines, count(*) AS runs, round(100.0 * count_if(event_type <> 'error') / count(*), 2)::DOUBLE AS success_pct FROM {events}")
 both("failure_alert", "SELECT user_id, count(*) AS failures FROM {events} WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 3")
 both("generate_alerts", "SELECT e.event_id, e.user_id FROM {events} e WHERE e.event_type = 'error' AND NOT EXISTS (SELECT 1 FROM {events} p WHERE p.user_id = e.user_id AND p.event_type = 'error' AND p.ts < e.ts AND p.ts >= e.ts - INTERVAL 1 HOUR)")
