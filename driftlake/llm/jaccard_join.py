@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.llm.components import connected_components
-from driftlake.llm.scratch import bitmap, in_bitmap, ship, write_shared
-from driftlake.llm.words import WORD_BASE, Block, ids_of, mix, run_hashes, signed, sliding_min, text_blocks, xxhash64
+from driftlake.llm.scratch import may_be_among, ship, write_shared
+from driftlake.llm.words import WORD_BASE, Block, ids_of, mix, run_hashes, signed, sliding_min, text_blocks
 
 #: Word counts are kept by 2**WORD_BITS buckets of the word's hash: 2 MB, however many words there are.
 WORD_BITS = 18
@@ -105,15 +105,6 @@ def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from last.combine_chunks().to_batches()
 
 
-def _among(bits):
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, known = ids_of(batch, "id")
-            yield batch.filter(pa.array(in_bitmap(bits.value, xxhash64(ids)) & known))
-
-    return go
-
-
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     at = np.searchsorted(a, b)
     return int((a[np.minimum(at, len(a) - 1)] == b).sum()) if len(a) and len(b) else 0
@@ -250,8 +241,7 @@ def _different(members: DataFrame) -> DataFrame:
 
 def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """The texts of ids, and few others: a Bloom filter tells, so that no others are shuffled."""
-    bits = texts.sparkSession.sparkContext.broadcast(bitmap(ids.toDF("id").distinct(), F.xxhash64("id")))
-    return texts.mapInArrow(_among(bits), texts.schema)
+    return texts.where(may_be_among(ids.toDF("id").distinct(), F.col("id")))
 
 
 def _by_pivot(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:

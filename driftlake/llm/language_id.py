@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,14 +11,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship
-from driftlake.llm.words import AS_IS, PUNCT, Block, text_blocks
+from driftlake.llm.words import AS_IS, PUNCT, Block, mix, powers, text_blocks
 
-#: The bounds of a model: labelled documents of a language that it is fitted on (about), words kept of each, languages.
-FIT_DOCS, FIT_WORDS, FIT_LANGS = 2000, 50_000, 64
-#: Bytes of the longest n-grams.
+#: The bounds of a model: labelled documents of a language that it is fitted on (about), words kept of each, and numbers
+#: in its table of words by languages, which lessens the words kept of each where there are many languages.
+FIT_DOCS, FIT_WORDS, FIT_CELLS = 2000, 50_000, 1 << 24
+#: Characters of the longest n-grams.
 LONGEST = 5
 #: Words that a document's score counts at most.
 EVIDENCE = 30
+#: Texts taken apart at once.
+ROWS = 1000
+_LETTER_BASE = 0x9E3779B97F4A7C15
 
 
 @dataclass
@@ -46,10 +49,13 @@ def _block_of(words: list[str]) -> Block:
     return Block(0, np.frombuffer(data, np.uint8)[: offs[-1]], offs, PUNCT, AS_IS)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", n_docs: int = FIT_DOCS, n_words: int = FIT_WORDS, n_langs: int = FIT_LANGS) -> Model:
-    """Fit on about n_docs documents of each language, dealt by the hash of their id, and keep its n_words commonest words."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(n_langs).collect()
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", n_docs: int = FIT_DOCS, n_words: int = FIT_WORDS) -> Model:
+    """Fit on about n_docs documents of each language, dealt by the hash of their id, and keep its n_words commonest words
+    (fewer where more than FIT_CELLS numbers would come of it). Every language that a row is labelled with is learned.
+
+    Rows of null text or label and repeated rows teach what they hold; an empty table gives a model that knows nothing."""
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
+    sizes = rows.groupBy("lang").count().collect()
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), [])
@@ -57,31 +63,38 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     sample = rows.where(F.pmod(F.xxhash64(F.col("id")), F.lit(1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 20))
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")).alias("word")).where("word <> ''")
     counts = words.groupBy("lang", "word").count()
-    top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("rank") <= n_words)
+    top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("rank") <= min(n_words, max(1, FIT_CELLS // len(langs) ** 2)))
     top = top.orderBy("lang", "rank").toArrow()
     names, of, n = top["word"].to_pylist(), np.searchsorted(langs, top["lang"].to_pylist()), top["count"].to_numpy()
-    block = _block_of(names)
-    keys, scores = _logs(block.words, of, n, len(langs))
+    keys, scores = _logs(_block_of(names).words, of, n, len(langs))
+    letters, starts, ends = _letters(" ".join(names), len(names))
     grams = []
     for k in range(1, LONGEST + 1):
-        word, start = _places(block.starts, block.ends, k)
-        grams.append(_logs(_gram_keys(block.data, start, k), of[word], n[word], len(langs)))
+        word, start = _places(starts, ends, k)
+        grams.append(_logs(_gram_keys(letters, start, k), of[word], n[word], len(langs)))
     return Model(langs, keys, scores, grams)
 
 
+def _letters(words: str, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The characters of n words with a space between, and where each word starts and ends."""
+    letters = np.frombuffer(words.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    spaces = np.flatnonzero(letters == 32)
+    return letters, np.r_[0, spaces + 1][:n], np.r_[spaces, len(letters)][:n]
+
+
 def _places(starts: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each n-gram of k bytes in the words: its word and its first byte."""
+    """Each n-gram of k characters in the words: its word and its first character."""
     sizes = np.maximum(0, ends - starts - k + 1)
     word = np.repeat(np.arange(len(starts)), sizes)
     within = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     return word, starts[word] + within
 
 
-def _gram_keys(data: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
+def _gram_keys(letters: np.ndarray, start: np.ndarray, k: int) -> np.ndarray:
     key = np.zeros(len(start), np.uint64)
-    for i in range(k):
-        key = key << np.uint64(8) | data[start + i]
-    return key
+    for i, p in enumerate(powers(_LETTER_BASE, k)):
+        key += (letters[start + i] + np.uint64(1)) * p
+    return mix(key)
 
 
 def _find(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,57 +109,71 @@ def _word_scores(model: Model, block: Block) -> tuple[np.ndarray, np.ndarray]:
     scores = np.zeros((len(first), len(model.langs)), np.float32)
     scores[known] = model.word_scores[at[known]]
     open_ = np.flatnonzero(~known)
+    data = block.data.tobytes()
+    spelled = b" ".join(data[s:e] for s, e in zip(block.starts[first[open_]].tolist(), block.ends[first[open_]].tolist(), strict=True))
+    letters, starts, ends = _letters(spelled.decode("utf-8", "replace"), len(open_))
     for k in range(LONGEST, 0, -1):
-        word, start = _places(block.starts[first[open_]], block.ends[first[open_]], k)
-        at, hit = _find(model.grams[k - 1][0], _gram_keys(block.data, start, k))
+        word, start = _places(starts, ends, k)
+        at, hit = _find(model.grams[k - 1][0], _gram_keys(letters, start, k))
         n = np.bincount(word[hit], minlength=len(open_))
         table = model.grams[k - 1][1][at[hit]]
         total = np.stack([np.bincount(word[hit], table[:, j], len(open_)) for j in range(len(model.langs))], 1)
         scores[open_[n > 0]] = total[n > 0] / n[n > 0, None]
-        open_ = open_[n == 0]
+        open_, starts, ends = open_[n == 0], starts[n == 0], ends[n == 0]
     return scores, row
 
 
-def _predict(shared):
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for batch in batches:
-            text = batch.column("__text")
-            letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            lang, score = np.full(len(text), "und", object), np.zeros(len(text))
-            lowered = pa.RecordBatch.from_arrays([pc.utf8_lower(text)], ["text"])
-            for block in text_blocks(lowered, separators=PUNCT, fold=AS_IS) if model.langs else ():
-                scores, row = _word_scores(model, block)
-                words = np.diff(block.bounds)
-                each = scores[row]
-                sums = np.stack([np.bincount(block.doc, each[:, j], block.n_docs) for j in range(len(model.langs))], 1)
-                mean = sums / np.maximum(1, words)[:, None] * np.minimum(words, EVIDENCE)[:, None]
-                odds = np.exp(mean - mean.max(1, keepdims=True))
-                best = mean.argmax(1)
-                mine = np.arange(block.first, block.first + block.n_docs)
-                told = letters[mine]
-                lang[mine[told]] = np.array(model.langs, object)[best[told]]
-                score[mine[told]] = (odds.max(1) / odds.sum(1))[told]
-            keep = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(lang, pa.string()), pa.array(score)], [*batch.schema.names[:-1], "lang_pred", "score"])
-
-    return go
-
-
-def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `keep`, lang_pred and score (0 to 1) of each row, from the whole text alone.
+def _told(model: Model, text: pa.Array) -> pa.Array:
+    """The language and score of each text."""
+    letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+    lang, score = np.full(len(text), "und", object), np.zeros(len(text))
+    lowered = pa.RecordBatch.from_arrays([pc.utf8_lower(text)], ["text"])
+    for block in text_blocks(lowered, separators=PUNCT, fold=AS_IS) if model.langs else ():
+        scores, row = _word_scores(model, block)
+        words = np.diff(block.bounds)
+        each = scores[row]
+        sums = np.stack([np.bincount(block.doc, each[:, j], block.n_docs) for j in range(len(model.langs))], 1)
+        mean = sums / np.maximum(1, words)[:, None] * np.minimum(words, EVIDENCE)[:, None]
+        odds = np.exp(mean - mean.max(1, keepdims=True))
+        best = mean.argmax(1)
+        mine = np.arange(block.first, block.first + block.n_docs)
+        told = letters[mine]
+        lang[mine[told]] = np.array(model.langs, object)[best[told]]
+        score[mine[told]] = (odds.max(1) / odds.sum(1))[told]
+    return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang", "score"])
+
+
+def language_of(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
+    """The predicted language of each row of docs: a struct of lang and score (0 to 1), from the whole text alone.
 
     A document's score for a language is the mean over its words of the log frequency of the word, or, for a word that
-    no language has, the mean log frequency of its longest known n-grams (5 bytes down to 1). `und`, with score 0, if the
-    text is null or has no letter, or nothing was learned. Ties go to the first language by name. Words and n-grams are
-    held in tables of bounded size, so that the model is broadcast safely.
+    no language has, the mean log frequency of its longest known n-grams (5 characters down to 1). `und`, with score 0, if
+    the text is null or has no letter, or nothing was learned. Ties go to the first language by name. Repeated rows have
+    the same answer; an empty table has none; a text of any length is read whole, and only texts go to Python. Words and
+    n-grams are held in tables of bounded size, so that the model is broadcast safely.
     """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(_predict(shared), f"{types}, lang_pred string, score double")
+
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def told(text: pa.Array) -> pa.Array:
+        parts = [_told(shared.value, text.slice(lo, ROWS)) for lo in range(0, len(text), ROWS)]
+        return pa.concat_arrays(parts) if parts else _told(shared.value, text)
+
+    # told once a row, also where a filter reads the answer
+    return told.asNondeterministic()(docs[text_col].cast("string"))
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """All columns of docs, lang_pred and score as language_of has them; a name that docs has already gets `_` after it."""
+    names = []
+    for name in ("lang_pred", "score"):
+        while name in docs.columns:
+            name += "_"
+        names.append(name)
+    told = docs.withColumn("__told", language_of(docs, model, text_col))
+    return told.select(*docs.columns, F.col("__told.lang").alias(names[0]), F.col("__told.score").alias(names[1]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

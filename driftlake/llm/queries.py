@@ -29,7 +29,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language_id.fit(docs.where(~language_id.held_out()))
-    found = language_id.predict(docs, model)
+    found = language_id.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 

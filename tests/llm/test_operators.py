@@ -124,7 +124,7 @@ def test_tiles_catch_reordered_passages(spark, none):
 def test_language_id(spark, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language_id.fit(docs.where(~language_id.held_out()))
-    rows = language_id.predict(docs, model, keep=("doc_id", "lang")).where(language_id.held_out()).collect()
+    rows = language_id.predict(docs, model).where(language_id.held_out()).collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
     odd = spark.createDataFrame([(1, None, ""), (2, "", ""), (3, "123 !!", ""), (4, "zzzzqq", "")], SCHEMA)
     assert [r["lang_pred"] == "und" for r in language_id.predict(odd, model).orderBy("doc_id").collect()] == [True, True, True, False]
