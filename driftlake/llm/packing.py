@@ -8,24 +8,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship
+from driftlake.llm.words import AS_IS, Block, text_blocks
 
 #: Cuts inside a document cost so many tokens of padding, at a sentence's end and elsewhere.
 SENTENCE_COST, BREAK_COST = 4, 24
 #: A sentence may be cut every so many tokens.
 STRIDE = 64
 #: Tokens packed at once; what fills no sequence goes on to the next.
-BATCH_TOKENS = 1 << 20
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 1_200_000
+BATCH_TOKENS = 1 << 19
+#: Words whose ids a Python worker remembers, about, and ids of them: 60 MB.
+REMEMBERED, REMEMBERED_IDS = 1_500_000, 1 << 23
 #: Marks that the tokenizer always parts from a letter before them (all of ASCII but the apostrophe), the last letter
 #: of the Latin blocks, and words encoded as one text.
 MARKS, LATIN, JOINED = r"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~""", "\u024f", 64
+#: What parts words for this tokenizer: a space or line break always parts tokens, so that a word always has the same ids.
+PARTS = np.zeros(256, bool)
+PARTS[[9, 10, 13, 32]] = True
 _WORKER: dict = {}
 
 
@@ -54,8 +57,38 @@ def cuts(bounds: np.ndarray, costs: np.ndarray, size: int) -> list[int]:
     return out[::-1]
 
 
+class Known:
+    """Ids of words by the words' hashes, in a few arrays."""
+
+    def __init__(self):
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        return at, self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
+    def add(self, keys: np.ndarray, codes: list[bytes]) -> None:
+        """codes: little-endian unsigned 32-bit ids of each key; no key is known yet, and none comes twice."""
+        if not codes:
+            return
+        new, n = np.frombuffer(b"".join(codes), np.uint32), np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        if self.used + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(len(new), self.used), np.uint32)])
+        self.ids[self.used : self.used + len(new)] = new
+        order = np.argsort(keys)
+        to = np.searchsorted(self.keys, keys[order])
+        self.at = np.insert(self.at, to, (self.used + np.cumsum(n) - n)[order])
+        self.n = np.insert(self.n, to, n[order].astype(np.int32))
+        self.keys = np.insert(self.keys, to, keys[order])
+        self.used += len(new)
+
+    def code(self, i: int) -> bytes:
+        return self.ids[self.at[i] : self.at[i] + self.n[i]].tobytes()
+
+
 def _load(path: str):
-    """The tokenizer, words seen so far and which ids end a sentence; kept by the worker from task to task."""
+    """The tokenizer, the words seen so far and which ids end a sentence; kept by the worker from task to task."""
     if _WORKER.get("path") != path:
         from tokenizers import Tokenizer
 
@@ -65,12 +98,18 @@ def _load(path: str):
         for token, i in tokenizer.get_vocab().items():
             ends[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?")
             closes[i] = token.endswith("</w>")
-        _WORKER.update(path=path, tokenizer=tokenizer, words={}, ends=ends, closes=closes)
+        _WORKER.update(path=path, tokenizer=tokenizer, words=Known(), ends=ends, closes=closes)
     return _WORKER["tokenizer"], _WORKER["words"], _WORKER["ends"]
 
 
-def _learn(new: list[str], tokenizer, words: dict[str, bytes], closes: np.ndarray) -> None:
-    """Put the ids of new words into words.
+def _hashes(words: list[str]) -> np.ndarray:
+    """The words' hashes, as a block has them; no word has a space or line break, or is empty."""
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    return Block(0, data, np.array([0, len(data)]), PARTS, AS_IS).words
+
+
+def _codes(new: list[str], tokenizer, known: Known, closes: np.ndarray) -> list[bytes]:
+    """The ids of new words.
 
     A Latin word is its letters and the marks after them, which have ids of their own: letters (of ASCII in lower case)
     and marks are encoded once, letters many words in a text. Other words are encoded one by one."""
@@ -87,7 +126,13 @@ def _learn(new: list[str], tokenizer, words: dict[str, bytes], closes: np.ndarra
             core = w
             other.add(w)
         parts.append((core, tail))
-    letters, single = ([w for w in some if w not in words] for some in (plain, other))
+    words: dict[str, bytes] = {}
+    letters = sorted(plain)
+    if letters:
+        at, seen = known.find(_hashes(letters))
+        words.update((letters[i], known.code(at[i])) for i in np.flatnonzero(seen))
+        letters = [letters[i] for i in np.flatnonzero(~seen)]
+    single = sorted(other - plain)
     groups = [letters[i : i + JOINED] for i in range(0, len(letters), JOINED)]
     for group, e in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
         ids = np.array(e.ids, np.uint32)
@@ -100,31 +145,30 @@ def _learn(new: list[str], tokenizer, words: dict[str, bytes], closes: np.ndarra
             words[c], at = data[at:to], to
     for w, e in zip(single, tokenizer.encode_batch_fast(single, add_special_tokens=False), strict=True):
         words[w] = array("I", e.ids).tobytes()
-    for w, (core, tail) in zip(new, parts, strict=True):
-        words[w] = words[core] + words[tail] if tail else words[core]
-
-
-def encode(texts: pa.Array, path: str) -> list[np.ndarray]:
-    """Each text's ids; null is empty. A space or line break parts tokens of this tokenizer, so that a word always has the same ids."""
-    tokenizer, words, _ = _load(path)
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    for mark in "\t\n\r":
-        texts = pc.replace_substring(texts, mark, " ")
-    lists = pc.split_pattern(texts, " ")
-    coded = lists.flatten().dictionary_encode()
-    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-    if len(words) > REMEMBERED:
-        words.clear()
-    known = [*map(words.get, names)]
-    _learn([w for w, got in zip(names, known, strict=True) if got is None], tokenizer, words, _WORKER["closes"])
-    known = [words[w] if got is None else got for w, got in zip(names, known, strict=True)]
-    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-    data, begins = np.frombuffer(b"".join(known), np.uint32), np.cumsum(sizes) - sizes
-    of = coded.indices.to_numpy()
-    n = sizes[of]
+    if letters:
+        known.add(_hashes(letters), [words[w] for w in letters])
+    return [words[core] + words[tail] if tail else words[core] for core, tail in parts]
+
+
+def encode(block: Block, path: str) -> list[np.ndarray]:
+    """The ids of each of the block's texts."""
+    tokenizer, known, _ = _load(path)
+    if len(known.keys) > REMEMBERED or known.used > REMEMBERED_IDS:
+        _WORKER["words"] = known = Known()
+    keys, first, row = np.unique(block.words, return_index=True, return_inverse=True)
+    at, seen = known.find(keys)
+    if not seen.all():
+        new = first[~seen]
+        data = block.data.tobytes()
+        spelled = [data[s:e].decode() for s, e in zip(block.starts[new].tolist(), block.ends[new].tolist(), strict=True)]
+        codes = _codes(spelled, tokenizer, known, _WORKER["closes"])
+        at, seen_now = known.find(keys[~seen])
+        known.add(keys[~seen][~seen_now], [c for c, had in zip(codes, seen_now.tolist(), strict=True) if not had])
+        at, _ = known.find(keys)
+    n = known.n[at][row].astype(np.int64)
     stops = np.r_[0, np.cumsum(n)]
-    ids = data[np.arange(stops[-1]) + np.repeat(begins[of] - stops[:-1], n)]
-    edges = stops[lists.offsets.to_numpy()].tolist()
+    ids = known.ids[np.arange(stops[-1]) + np.repeat(known.at[at][row] - stops[:-1], n)] if len(keys) else known.ids[:0]
+    edges = stops[block.bounds].tolist()
     return [ids[lo:hi] for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
 
 
@@ -175,9 +219,9 @@ def _pack(path: str, size: int, end_id: int):
         closing = np.array([end_id], np.uint32)
         for batch in _then_none(batches):
             if batch is not None:
-                for lo in range(0, batch.num_rows, 500):
-                    part = batch.slice(lo, 500)
-                    for name, ids in zip(part.column("id").to_pylist(), encode(part.column("text"), path), strict=True):
+                names = batch.column("id").to_pylist()
+                for block in text_blocks(batch, separators=PARTS, fold=AS_IS):
+                    for name, ids in zip(names[block.first :], encode(block, path)):
                         held.append((name, np.r_[ids, closing], 0, len(ids) + 1))
                         n += len(ids) + 1
                     if n >= BATCH_TOKENS:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at once; a longer document makes a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: White space of the contracts: space and \x09 to \x0D.
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -99,6 +99,8 @@ def text_blocks(batch: pa.RecordBatch, name: str = "text", **how) -> Iterator[Bl
         to = min(to, n)
         yield Block(at, data[offs[at] : offs[to]], offs[at : to + 1] - offs[at], **how)
         at = to
+    if n >= 1000:
+        pa.default_memory_pool().release_unused()  # two workers share an executor with its JVM
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
