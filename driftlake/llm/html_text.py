@@ -6,7 +6,7 @@ import html
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +15,25 @@ from driftlake.llm.scratch import ship
 #: Element names of HTML by their part in a page, and words that name its furniture.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg"}
-FURNITURE = {"nav", "aside", "footer", "form", "button", "select", "menu", "dialog", "head", "object", "canvas", "fieldset", "option"}
+FURNITURE = {"nav", "aside", "footer", "form", "button", "select", "menu", "dialog", "head", "object", "canvas", "fieldset", "option", "audio", "video"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "dfn", "em", "font", "i", "ins", "del", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 ALONE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "p": {"article", "body", "div", "section", "td", "li", "blockquote", "main"}}
-NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|sponsor(?:ed)?|banner|promo|nav|navigation|navbar|menu|sidebar|breadcrumbs?|footer|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|disqus|replies|widget|toolbar|pagination|copyright|skip)(?:$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z][^<>]*\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>|[^<]+|<", re.S)
+#: Words of a class or id that name furniture wherever they stand; those that do where only AROUND stands beside them; and
+#: those beside which a word says what an element has or lacks, not what it is. Articles are only looked at for REMARKS.
+FIRM = set("advert adverts advertisement advertisements breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer masthead navbar navigation newsletter pagination popup sidebar sponsored toolbar".split())
+LOOSE = set("ad ads alert banner copyright login menu modal nav notice promo recommended related replies reply respond share sharing signup skip social sponsor subscribe widget".split())
+AROUND = set("area article articles bar block bottom box button buttons container content fixed form global group header icons inner item items left link links list main message news outer page panel post posts primary reader right secondary section site slot stories sub thread to top unit user wrap wrapper".split())
+HAVING = set("closed disabled enabled has hide no open show with without".split())
+REMARKS = set("ad ads advert advertisement comment comments disqus promo replies reply sponsored".split())
+#: A tag's end is looked for outside quotes (TOKEN); where that would pass the page's end, quotes mean nothing any more
+#: (PLAIN). No character is read twice by one attempt, and only one attempt per page can fail.
+MARKUP = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"
+TOKEN = re.compile(MARKUP + r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?>[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>|[^<]++|<""", re.S)
+PLAIN = re.compile(MARKUP + r"|</?[a-zA-Z][^>]*+\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|[^<]++|<", re.S)
+TAG = re.compile(r"<(?=/?[a-zA-Z])")
+PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu", "menubar"}
 
@@ -35,28 +47,53 @@ class Element:
         self.score, self.length, self.linked, self.commas = 0.0, 0, 0, 0
 
 
+def _named(value: str, tag: str) -> bool:
+    """Whether a class or id says that the element isn't the page's own text."""
+    for name in value.split():
+        parts = {p.lower() for p in PART.split(name)} - {""}
+        if parts & HAVING:
+            continue
+        if tag in ("article", "main"):
+            if parts & REMARKS and not parts - REMARKS - AROUND - FIRM - LOOSE:
+                return True
+        elif parts & FIRM or parts & LOOSE and all(p in LOOSE or p in AROUND or p.isdigit() for p in parts):
+            return True
+    return False
+
+
 def _is_furniture(tag: str, attributes: str, stack: list[Element]) -> bool:
     if tag in FURNITURE or tag == "header" and not any(e.tag in ("article", "main") for e in stack):
         return True
     for name, *values in NAMES.findall(attributes) if attributes else ():
         value, name = "".join(values), name.lower()
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main") and NAMED.search(value):
+        if name in ("class", "id") and tag not in ("body", "html") and _named(value, tag):
             return True
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
     return False
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """The page's pieces in order; what stands in raw elements is passed over."""
+    at, pattern = 0, TOKEN
+    while at < len(page):
+        m = pattern.match(page, at)
+        if pattern is TOKEN and m[0] == "<" and TAG.match(page, at):
+            pattern = PLAIN
+            continue
+        yield m
+        at = m.end()
+        if m[2] and not m[1] and m[2].lower() in RAW and not m[3].endswith("/"):
+            end = re.compile(rf"</{m[2]}(?![a-zA-Z0-9:-])[^>]*>?", re.I).search(page, at)
+            at = end.end() if end else len(page)
+
+
 def parse(page: str) -> Element:
     """A forgiving tree: paragraphs and items close by themselves, stray ends are ignored, the rest closes at the end."""
     root = Element("html", None, False)
-    stack, raw = [root], ""
-    for m in TOKEN.finditer(page):
+    stack = [root]
+    for m in _tokens(page):
         end, tag, attributes = m.groups()
-        if raw:
-            if tag and end and tag.lower() == raw:
-                raw = ""
-            continue
         if not tag:
             text = m[0]
             if text[0] != "<" or text == "<":
@@ -71,11 +108,7 @@ def parse(page: str) -> Element:
                     del stack[i:]
                     break
             continue
-        if tag in RAW:
-            raw = "" if attributes.endswith("/") else tag
-            stack[-1].parts.append(" ")
-            continue
-        if tag in VOID:
+        if tag in RAW or tag in VOID:
             stack[-1].parts.append(" ")
             continue
         closed = ALONE.get(tag) or ({"p"} if tag in CLOSES_P else set())
@@ -174,12 +207,6 @@ def main_text(page: str | None) -> str:
     return " ".join(t for t in clean if t)
 
 
-def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        frame["text"] = [main_text(h) for h in frame.pop("html")]
-        yield frame
-
-
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns `keep` and text, the main text of each page's whole HTML; empty where there is none or html is null.
 
@@ -187,9 +214,14 @@ def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("
     full to the nearest and ever less above; a container's sum is discounted by its own link density. The best, or
     the article around it, is kept with siblings of a fifth of its points. Scripts, styles, forms, navigation, adverts,
     notices, comments and the like are cut out by element, role or name first. Character references are decoded,
-    white space in a block becomes one space, and blocks are joined by one space.
+    white space in a block becomes one space, and blocks are joined by one space. Repeated rows are read each, an empty table
+    gives no rows, and a page of any length is read once, in time that grows with it. A kept column named text is renamed text_.
     """
     ship(pages.sparkSession)
-    rows = pages.select(*keep, F.col(html_col).cast("string").alias("html"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(_texts, f"{types}, text string")
+
+    @F.arrow_udf("string")
+    def texts(column: pa.Array) -> pa.Array:
+        return pa.array([main_text(x.as_py()) for x in column], pa.string())
+
+    kept = [F.col(c).alias(c + "_" if c == "text" else c) for c in keep]
+    return pages.select(*kept, texts(F.col(html_col).cast("string")).alias("text"))
