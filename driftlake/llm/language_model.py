@@ -12,69 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship, write_shared
-from driftlake.llm.words import LOWER, Block, signed, text_blocks
+from driftlake.llm.words import LOWER, WHITE, Block, signed, text_blocks
 
 #: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words and
-#: grams whose scores tasks hold.
+#: grams whose scores tasks hold, at most.
 DEPTH, ROOT, PART, HOT, HOT_GRAMS = 6, 2, 1 << 18, 1 << 18, 1 << 21
-#: Words of which a task sums counts before it sends them.
-HELD = 400_000
+#: Documents of a block; counts that a task sums before it sends them.
+DOCS, HELD = 256, 1 << 22
 SPACE, END = 32, 10
-
-
-def _spelled(block: Block, at: np.ndarray) -> list[bytes]:
-    data = LOWER[block.data].tobytes()
-    return [data[s:e] for s, e in zip(block.starts[at].tolist(), block.ends[at].tolist(), strict=True)]
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their count in training rows (0 for words of other rows only), summed in the task."""
-    counts: dict[int, list] = {}
-
-    def send() -> pa.RecordBatch:
-        rows = [pa.array(list(counts), pa.int64()), pa.array([c[0] for c in counts.values()], pa.binary()), pa.array([c[1] for c in counts.values()], pa.int64())]
-        counts.clear()
-        return pa.RecordBatch.from_arrays(rows, ["h", "word", "n"])
-
-    for batch in batches:
-        train = batch.column("train").to_numpy(zero_copy_only=False)
-        for block in text_blocks(batch):
-            keys, first, of = np.unique(block.words, return_index=True, return_inverse=True)
-            n = np.bincount(of, train[block.first + block.doc].astype(float), len(keys)).astype(np.int64).tolist()
-            new = []
-            for i, k in enumerate(signed(keys).tolist()):
-                if (c := counts.get(k)) is None:
-                    new.append((i, k))
-                else:
-                    c[1] += n[i]
-            for (i, k), word in zip(new, _spelled(block, first[[i for i, _ in new]]) if new else [], strict=True):
-                counts[k] = [word, n[i]]
-            if len(counts) > HELD:
-                yield send()
-    yield send()
-
-
-def _grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Grams of a block's running texts and their documents: the DEPTH bytes before each place, nearest first, and the byte.
-
-    A text is a space, its words with a space after each, and the end; before it there are zeros."""
-    size = block.ends - block.starts
-    sizes = np.bincount(block.doc, size + 1, block.n_docs).astype(np.int64) + DEPTH + 1
-    begin = np.cumsum(sizes) - sizes
-    flat = np.zeros(int(sizes.sum()), np.uint8)
-    flat[begin + DEPTH - 1] = SPACE
-    flat[begin + sizes - 1] = END
-    to = np.cumsum(size + 1) - (size + 1) + (block.doc + 1) * DEPTH + block.doc
-    flat[to + size] = SPACE
-    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    flat[np.repeat(to, size) + inside] = LOWER[block.data[np.repeat(block.starts, size) + inside]]
-    doc = np.repeat(np.arange(block.n_docs), sizes - DEPTH)
-    at = np.arange(len(doc)) + (doc + 1) * DEPTH
-    flat = flat.astype(np.uint64)
-    key = np.zeros(len(at), np.uint64)
-    for back in [*range(1, DEPTH + 1), 0]:
-        key = key << np.uint64(8) | flat[at - back]
-    return key, doc
+FOLDED = np.where(WHITE, SPACE, LOWER).astype(np.uint8)
 
 
 def _runs(ordered: np.ndarray) -> np.ndarray:
@@ -82,38 +28,99 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
 
 
-def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grams with their count in training rows (0 for grams of other rows only), summed in the task."""
-    waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    held, settled = 0, 0
+def _lengths(first: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.r_[first, n])
+
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([k for k, _ in waiting] or [np.zeros(0, np.uint64)])
-        n = np.concatenate([c for _, c in waiting] or [np.zeros(0, np.int64)])
-        order = np.argsort(keys)
-        first = _runs(keys := keys[order])
-        return keys[first], np.add.reduceat(n[order], first) if len(first) else n
+def grams(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of a block's running texts and their documents: the DEPTH bytes before each place, nearest first, and the byte.
 
-    def sent(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n)], ["gram", "n"])
+    A text is a space, its words with a space after each, and the end; before it there are zeros. Seven bytes are taken
+    from eight by one read at every place."""
+    data, offs, n = FOLDED[block.data], block.offsets, len(block.data)
+    inside = data != SPACE
+    keep = inside.copy()
+    keep[1:] |= inside[:-1]
+    begins = offs[:-1][offs[:-1] < n]
+    keep[begins] = inside[begins]
+    counts = np.r_[0, np.cumsum(keep)][offs]
+    size = np.diff(counts)
+    last = np.diff(offs) > 0
+    last[last] = inside[offs[1:][last] - 1]
+    size_all = size + last + 1
+    stops = 1 + np.cumsum(size_all + DEPTH)
+    asked = np.ones(int(stops[-1]) if len(stops) else 1, bool)
+    asked[0] = False
+    heads = stops - size_all - DEPTH
+    asked[(heads[:, None] + np.arange(DEPTH)).ravel()] = False
+    flat = np.zeros(len(asked) + 7, np.uint8)
+    taken = asked.copy()
+    taken[stops - 1] = False
+    taken[stops[last] - 2] = False
+    flat[: len(asked)][taken] = data[keep]
+    flat[heads + DEPTH - 1] = SPACE
+    flat[stops - 1] = END
+    flat[stops[last] - 2] = SPACE
+    windows = np.ndarray((len(asked) - 7,) if len(asked) > 7 else (0,), "<u8", flat, strides=(1,))[asked[7:]]
+    return windows & np.uint64(0x00FFFFFFFFFFFF00) | windows >> np.uint64(56), np.repeat(np.arange(block.n_docs), size_all)
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[Block]:
+    for lo in range(0, batch.num_rows, DOCS):
+        for block in text_blocks(batch.slice(lo, DOCS)):
+            block.first += lo
+            yield block
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words (by hash) and grams with their counts in training rows (0 for those of other rows only), summed in the task.
+
+    A gram and its count in a block are sorted as one number; counts over 255 are sent by themselves."""
+    words, some, held = [], [], 0
+
+    def sent(word: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), word)), pa.array(signed(keys)), pa.array(n.astype(np.int64))], ["word", "key", "n"])
+
+    def summed() -> Iterator[pa.RecordBatch]:
+        if some:
+            packed = np.concatenate(some)
+            packed.sort()
+            keys = packed >> np.uint64(8)
+            first = _runs(keys)
+            yield sent(False, keys[first], np.add.reduceat(packed & np.uint64(255), first))
+        if words:
+            keys, n = (np.concatenate(x) for x in zip(*words, strict=True))
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = _runs(keys)
+            yield sent(True, keys[first], np.add.reduceat(n[order], first))
+        words.clear()
+        some.clear()
 
     for batch in batches:
         train = batch.column("train").to_numpy(zero_copy_only=False)
-        for block in text_blocks(batch):
-            grams, doc = _grams(block)
-            learned = train[block.first + doc]
-            for some, times in ((grams[learned], 1), (grams[~learned], 0)):
-                some.sort()
-                first = _runs(some)
-                waiting.append((some[first], np.diff(np.r_[first, len(some)]) * times))
-                held += len(first)
-            if held > 2 * settled + 4 * HELD:
-                waiting = [merged()]
-                held = settled = len(waiting[0][0])
-                if settled > 4 * HELD:
-                    yield sent(*waiting[0])
-                    waiting, held, settled = [], 0, 0
-    yield sent(*merged())
+        for block in _blocks(batch):
+            learned = train[block.first : block.first + block.n_docs]
+            order = np.argsort(block.words)
+            keys = block.words[order]
+            if len(first := _runs(keys)):
+                words.append((keys[first], np.add.reduceat(learned[block.doc[order]].astype(np.int64), first)))
+            packed, doc = grams(block)
+            packed = packed << np.uint64(8) | learned[doc]
+            packed.sort()
+            keys = packed >> np.uint64(8)
+            first = _runs(keys)
+            n = np.add.reduceat(packed & np.uint64(1), first)
+            keys = keys[first]
+            if (many := n > 255).any():
+                yield sent(False, keys[many], n[many])
+                keys, n = keys[~many], n[~many]
+            some.append(keys << np.uint64(8) | n)
+            held += len(keys)
+            if held > HELD:
+                yield from summed()
+                held = 0
+    yield from summed()
 
 
 @dataclass
@@ -157,17 +164,21 @@ def _above(low: Level) -> Level:
     return up
 
 
-def _part_levels(grams: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, list[Level]]:
-    """Of one binary decision of each gram's last byte: its bits, its leaf, and the levels from DEPTH to ROOT."""
-    byte = grams & np.uint64(255)
-    key = (np.uint64(1 << bit) | byte >> np.uint64(8 - bit)) << np.uint64(8 * DEPTH) | grams >> np.uint64(8)
+def _part_levels(grams: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[Level]]:
+    """Of one binary decision of the last byte of each gram (in order): the grams by bits so far and context, their bits and
+    leaves, and the levels from DEPTH to ROOT."""
+    byte = (grams & np.uint64(255)).astype(np.uint8)
+    order = np.argsort(byte >> np.uint8(8 - bit) if bit else np.zeros(len(byte), np.uint8), kind="stable")
+    byte = byte[order].astype(np.uint64)
+    key = (np.uint64(1 << bit) | byte >> np.uint64(8 - bit)) << np.uint64(8 * DEPTH) | grams[order] >> np.uint64(8)
     one = (byte >> np.uint64(7 - bit) & np.uint64(1)).astype(bool)
-    keys, leaf = np.unique(key, return_inverse=True)
-    levels = [Level(keys, np.bincount(leaf, np.where(one, 0, n), len(keys)), np.bincount(leaf, np.where(one, n, 0), len(keys)))]
-    levels[0].log_w, levels[0].part = _log_kt(levels[0].a, levels[0].b), np.ones(len(keys))
+    new = np.r_[True, key[1:] != key[:-1]]
+    first, leaf, n = np.flatnonzero(new), np.cumsum(new) - 1, n[order]
+    levels = [Level(key[first], np.add.reduceat(np.where(one, 0, n), first), np.add.reduceat(np.where(one, n, 0), first))]
+    levels[0].log_w, levels[0].part = _log_kt(levels[0].a, levels[0].b), np.ones(len(first))
     while len(levels) <= DEPTH - ROOT:
         levels.append(_above(levels[-1]))
-    return one, leaf, levels
+    return order, one, leaf, levels
 
 
 def _descend(level: Level, given: np.ndarray, share: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,14 +191,16 @@ def _descend(level: Level, given: np.ndarray, share: np.ndarray, ones: np.ndarra
 
 
 def _part_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy().astype(float)
+    grams, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy().astype(float)
+    order = np.argsort(grams)
+    return grams[order], n[order]
 
 
 def _roots(table: pa.Table) -> pa.Table:
     """The nodes of ROOT bytes of a part of the tree, weighed over all that is below."""
     grams, n = _part_columns(table)
     grams, n = grams[n > 0], n[n > 0]
-    tops = [_part_levels(grams, n, bit)[2][-1] for bit in range(8)] if len(grams) else []
+    tops = [_part_levels(grams, n, bit)[3][-1] for bit in range(8)] if len(grams) else []
     columns = [np.concatenate([getattr(t, c) for t in tops] or [np.zeros(0)]) for c in ("keys", "a", "b", "log_w")]
     return pa.table([pa.array(columns[0].astype(np.int64)), *(pa.array(c) for c in columns[1:])], names=["node", "a", "b", "log_w"])
 
@@ -231,146 +244,163 @@ def _part_scores(shared):
         grams, n = _part_columns(table)
         total = np.zeros(len(grams))
         for bit in range(8):
-            one, leaf, levels = _part_levels(grams, n, bit)
+            order, one, leaf, levels = _part_levels(grams, n, bit)
             passed = _descend(levels[-1], *_passed(shared.value, levels[-1].keys))
             for level in levels[-2::-1]:
                 passed = _descend(level, *(x[level.up] for x in passed))
             p = passed[2][leaf]
-            total += np.log10(np.where(one, p, 1 - p))
-        return pa.table([table["gram"], table["n"], pa.array(total)], names=["gram", "n", "tree"])
+            total[order] += np.log10(np.where(one, p, 1 - p))
+        return pa.table([pa.array(signed(grams)), pa.array(n.astype(np.int64)), pa.array(total)], names=["key", "n", "tree"])
 
     return go
 
 
 def score_grams(grams: DataFrame) -> DataFrame:
-    """Weigh the tree of all grams (gram, n) and score each: gram, n, tree (log10).
+    """Weigh the tree of all grams (key, n) and score each: key, n, tree (log10).
 
     Nothing is left out: the tree is cut at its contexts of ROOT bytes into parts of about PART grams, which tasks weigh from
     the leaves up; the driver weighs the nodes above, as many as the alphabet allows; tasks then go down from these."""
     parts = max(8, grams.count() // PART)
     # a gram starts with the byte next to it, so that the contexts under one root are in one part
-    part = F.pmod(F.hash(F.shiftrightunsigned("gram", 8 * (DEPTH - ROOT + 1))), F.lit(parts))
-    cut = grams.withColumn("part", part)
+    part = F.pmod(F.hash(F.shiftrightunsigned("key", 8 * (DEPTH - ROOT + 1))), F.lit(parts))
+    cut = grams.select(part.alias("part"), "key", "n")
     ship(grams.sparkSession)
-    roots = cut.select("part", "gram", "n").groupBy("part").applyInArrow(lambda t: _roots(t), "node long, a double, b double, log_w double").toArrow()
+    roots = cut.groupBy("part").applyInArrow(lambda t: _roots(t), "node long, a double, b double, log_w double").toArrow()
     crown = grams.sparkSession.sparkContext.broadcast(_crown(roots))
-    return cut.groupBy("part").applyInArrow(_part_scores(crown), "gram long, n long, tree double")
+    return cut.groupBy("part").applyInArrow(_part_scores(crown), "key long, n long, tree double")
 
 
-def _held(hot: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The place of each key in hot, and whether it is there."""
-    at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
-    return at, hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+class Held:
+    """Values by key in a table with one place for each hash: of keys that share a place the last is held, the others not."""
 
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
+        self.given = (keys, *values)
+        self.bits = max(4, (2 * len(keys) - 1).bit_length())
+        self.keys = np.full(1 << self.bits, np.iinfo(np.uint64).max)
+        at = self._at(keys)
+        self.keys[at] = keys
+        self.values = []
+        for v in values:
+            table = np.zeros(1 << self.bits)
+            table[at] = v
+            self.values.append(table)
 
-def _sums(shared, shared_grams):
-    """Each row's counts and sums over the words and grams that tasks hold."""
+    def __reduce__(self):
+        return Held, self.given
 
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, n, base = shared.value
-        hot_grams, tree = shared_grams.value
-        for batch in batches:
-            known = np.zeros(batch.num_rows, np.int64)
-            tokens = np.zeros(batch.num_rows, np.int64)
-            sums = np.zeros((2, batch.num_rows))
-            for block in text_blocks(batch):
-                at, hit = _held(hot, block.words)
-                row = block.first + block.doc
-                tokens += np.bincount(row, minlength=len(tokens))
-                known += np.bincount(row[hit], n[at[hit]] > 0, len(tokens)).astype(np.int64)
-                sums[0] += np.bincount(row[hit], base[at[hit]], len(tokens))
-                grams, doc = _grams(block)
-                order = np.argsort(grams)
-                grams, doc = grams[order], doc[order]
-                first = _runs(grams)
-                at, hit = _held(hot_grams, grams[first])
-                score = np.zeros(len(first))
-                score[hit] = tree[at[hit]]
-                sums[1] += np.bincount(block.first + doc, np.repeat(score, np.diff(np.r_[first, len(grams)])), len(tokens))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), batch.column("train"), pa.array(tokens), pa.array(known), pa.array(sums[0]), pa.array(sums[1])], ["key", "id", "train", "tokens", "known", "base", "tree"])
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Whether each key is held, and its values, 0 for others."""
+        at = self._at(keys)
+        hit = self.keys[at] == keys
+        return hit, [np.where(hit, v[at], 0.0) for v in self.values]
+
+
+def _apart(first: np.ndarray, doc: np.ndarray, keys: np.ndarray, name: np.ndarray, word: bool) -> pa.RecordBatch:
+    """Rows for runs, from first on, of keys of one document that tasks don't hold."""
+    n, none, double = len(first), pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(name[doc[first]]), none, pa.nulls(n, pa.bool_()), none, none, double, double, pa.array(np.full(n, word)), pa.array(signed(keys[first])), pa.array(_lengths(first, len(keys)))], _NAMES)
 
-    return go
 
+_NAMES = ["doc", "id", "train", "tokens", "known", "base", "tree", "word", "key", "times"]
+_SCHEMA = "doc long, id long, train boolean, tokens long, known long, base double, tree double, word boolean, key long, times long"
 
-def _others(shared, name: str):
-    """Each row's words (h) or grams (gram) that tasks don't hold, with their counts."""
+
+def _sums(shared_words, shared_grams):
+    """Each row's counts and sums over the words and grams that tasks hold (word is null); rows for each of the others."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.value[0]
+        hot, hot_grams = shared_words.value, shared_grams.value
         for batch in batches:
-            key = batch.column("key").to_numpy()
-            for block in text_blocks(batch):
-                values, doc = (block.words, block.doc) if name == "h" else _grams(block)
-                if name == "h":
-                    cold = ~_held(hot, values)[1]
-                else:
-                    order = np.argsort(values)
-                    values, doc = values[order], doc[order]
-                    first = _runs(values)
-                    cold = np.repeat(~_held(hot, values[first])[1], np.diff(np.r_[first, len(values)]))
-                values, row = values[cold], block.first + doc[cold]
-                order = np.lexsort((values, row))
-                values, row = values[order], row[order]
-                first = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]) | (row[1:] != row[:-1])]) if len(values) else np.zeros(0, np.int64)
-                times = np.diff(np.r_[first, len(values)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key[row[first]]), pa.array(signed(values[first])), pa.array(times)], ["key", name, "times"])
+            n = batch.num_rows
+            known, tokens, sums = np.zeros(n), np.zeros(n, np.int64), np.zeros((2, n))
+            name = batch.column("doc").to_numpy()
+            for block in _blocks(batch):
+                mine = slice(block.first, block.first + block.n_docs)
+                hit, (seen, base) = hot.find(block.words)
+                tokens[mine] = np.diff(block.bounds)
+                known[mine] = np.bincount(block.doc, seen, block.n_docs)
+                sums[0, mine] = np.bincount(block.doc, base, block.n_docs)
+                cold = np.flatnonzero(~hit)
+                order = np.lexsort((block.words[cold], block.doc[cold]))
+                words, of = block.words[cold[order]], block.doc[cold[order]]
+                if len(cold):
+                    first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (of[1:] != of[:-1])])
+                    yield _apart(first, of, words, name[mine], True)
+                packed, doc = grams(block)
+                packed = packed << np.uint64(8) | doc.astype(np.uint64)
+                packed.sort()
+                keys = packed >> np.uint64(8)
+                first = _runs(keys)
+                hit, (tree,) = hot_grams.find(keys[first])
+                each = _lengths(first, len(keys))
+                sums[1, mine] = np.bincount((packed & np.uint64(255)).astype(np.int64), np.repeat(tree, each), block.n_docs)
+                cold = np.repeat(~hit, each)
+                if cold.any():
+                    packed = packed[cold]
+                    yield _apart(_runs(packed), (packed & np.uint64(255)).astype(np.int64), keys[cold], name[mine], False)
+            none = pa.nulls(n, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("id"), batch.column("train"), pa.array(tokens), pa.array(known.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.nulls(n, pa.bool_()), none, none], _NAMES)
 
     return go
 
 
-def _least_rank(rows: DataFrame, rank, room: int) -> int:
-    """The least rank of which all rows of that rank or a higher one are at most `room`."""
+def _commonest(rows: DataFrame, room: int, *columns: str) -> tuple[np.ndarray, ...]:
+    """Keys (uint64), counts and columns of the commonest rows, `room` at most and rarest first: as many ranks of counts as fit."""
+    rank = F.floor(8 * F.log2(F.col("n") + 1))
     at = 1 << 30
     for r in rows.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
         room -= r["count"]
         if room < 0:
             break
         at = r["rank"]
-    return at
+    held = rows.where(rank >= at).select("key", "n", *columns).toArrow()
+    n = held["n"].to_numpy()
+    order = np.argsort(n, kind="stable")
+    return held["key"].to_numpy().view(np.uint64)[order], n[order], *(held[c].to_numpy()[order] for c in columns)
 
 
 def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, hot_grams: int = HOT_GRAMS) -> DataFrame:
     """Score whole texts under models learned from the rows for which train holds.
 
-    A text is its words (lower-cased A-Z; runs of characters other than space and \\x09-\\x0D), then one end. The model
+    A text is its words (lower-cased A-Z; runs of characters other than space and \x09-\x0D), then one end. The model
     is a context tree over the bytes of the running text: words are spelled with a space before and after, each byte is eight
     binary decisions, and each decision mixes Krichevsky-Trofimov estimates over contexts of 0 to DEPTH bytes, across words,
     weighted as context-tree weighting weighs them. Its counts come from the whole of all training texts, and every context
     with its next byte is kept. The base is additive (0.1) over whole words. Scores are found once for each distinct context
-    with its next byte. Tasks hold the `hot` commonest words' counts and the `hot_grams` commonest contexts' scores; the others
-    meet the texts by a join. Null text is empty (only the end); nothing to train on gives every bit a half. Returns id,
-    train, n_tokens, n_known, train_tokens, base_score, score (log10), a row for each row of docs.
+    with its next byte. Tasks hold the values of the commonest words and contexts, `hot` and `hot_grams` at most; the
+    others meet the texts by a join. Texts are read twice: once counted, once scored.
+
+    Null text is empty (only the end); nothing to train on gives every bit a half; an empty table gives no rows; rows that
+    repeat are scored each and learned each. Returns id, train, n_tokens, n_known, train_tokens, base_score, score (log10), a
+    row for each row of docs.
     """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.select(F.xxhash64("id", "train", "text").alias("key"), "*")
+    texts = texts.select(F.xxhash64("id", "train", "text").alias("doc"), "*")
+    counted = texts.mapInArrow(_counts, "word boolean, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+    counted = write_shared(counted, "counts")
     n_docs = texts.where("train").count()
-    counted = texts.mapInArrow(_word_counts, "h long, word binary, n long").groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
-    words = write_shared(counted, "words")
+    words = counted.where("word").select("key", "n")
     sizes = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     n_all, n_distinct = sizes[0] + n_docs, sizes[1] + (n_docs > 0)
     bottom = n_all + 0.1 * (n_distinct + 1)
-    grams = texts.mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    grams = write_shared(score_grams(write_shared(grams, "counts")), "grams")
-    rank = F.floor(8 * F.log2(F.col("n") + 1))
-    at, at_gram = _least_rank(words, rank, hot), _least_rank(grams, rank, hot_grams)
-    held = words.where(rank >= at).select("h", "n").toArrow()
-    keys = held["h"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    n = held["n"].to_numpy()[order]
-    shared = spark.sparkContext.broadcast((keys[order], n, np.log10((n + 0.1) / bottom)))
-    held = grams.where(rank >= at_gram).select("gram", "tree").toArrow()
-    keys = held["gram"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    shared_grams = spark.sparkContext.broadcast((keys[order], held["tree"].to_numpy()[order]))
-    parts = texts.mapInArrow(_sums(shared, shared_grams), "key long, id long, train boolean, tokens long, known long, base double, tree double")
+    trees = write_shared(score_grams(counted.where("not word")), "grams")
+    keys, n = _commonest(words, hot)
+    held_words = spark.sparkContext.broadcast(Held(keys, (n > 0).astype(float), np.log10((n + 0.1) / bottom)))
+    keys, _, tree = _commonest(trees, hot_grams, "tree")
+    held_grams = spark.sparkContext.broadcast(Held(keys, tree))
+    parts = write_shared(texts.mapInArrow(_sums(held_words, held_grams), _SCHEMA), "sums")
     base = F.log10((F.col("n") + 0.1) / F.lit(float(bottom)))
-    others = texts.mapInArrow(_others(shared, "h"), "key long, h long, times int").join(words.where(rank < at), "h")
-    others = others.groupBy("key").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * base).alias("base"))
-    trees = texts.mapInArrow(_others(shared_grams, "gram"), "key long, gram long, times int").join(grams.where(rank < at_gram), "gram")
-    trees = trees.groupBy("key").agg(F.sum(F.col("times") * F.col("tree")).alias("tree"))
-    both = parts.unionByName(others, allowMissingColumns=True).unionByName(trees, allowMissingColumns=True).groupBy("key")
+    values = words.select(F.lit(True).alias("word"), "key", (F.col("n") > 0).cast("long").alias("seen"), base.alias("base_one"), F.lit(0.0).alias("tree_one"))
+    values = values.unionByName(trees.select(F.lit(False).alias("word"), "key", F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("base_one"), F.col("tree").alias("tree_one")))
+    others = parts.where("word is not null").select("doc", "word", "key", "times").join(values, ["word", "key"])
+    others = others.groupBy("doc").agg(F.sum(F.col("times") * F.col("seen")).alias("known"), F.sum(F.col("times") * F.col("base_one")).alias("base"), F.sum(F.col("times") * F.col("tree_one")).alias("tree"))
+    whole = parts.where("word is null").select("doc", "id", "train", "tokens", "known", "base", "tree")
+    both = whole.unionByName(others, allowMissingColumns=True).groupBy("doc")
     one = both.agg(F.max("id").alias("id"), F.max("train").alias("train"), F.max("tokens").alias("tokens"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("tree").alias("tree"), F.count("tokens").alias("copies"))
     # rows that are the same have one key: each has its share of the sums
     one = one.select("id", "train", "tokens", (F.col("known") / F.col("copies")).cast("long").alias("known"), (F.col("base") / F.col("copies")).alias("base"), (F.col("tree") / F.col("copies")).alias("tree"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

@@ -219,8 +219,8 @@ def test_tree_keeps_every_context(spark):
     r = random.Random(5)
     grams = {(bytes(r.choices(b"abcdefgh", k=DEPTH)), r.choice(b"abcdxyz")): r.choice([0, 1, 1, 2, 5000]) for _ in range(150_000)}
     code = {int.from_bytes(c + bytes([x]), "big"): (c, x) for c, x in grams}
-    df = spark.createDataFrame([(k, grams[v]) for k, v in code.items()], "gram long, n long")
-    got = {code[x["gram"]]: x["tree"] for x in score_grams(df).collect()}
+    df = spark.createDataFrame([(k, grams[v]) for k, v in code.items()], "key long, n long")
+    got = {code[x["key"]]: x["tree"] for x in score_grams(df).collect()}
     assert len(got) > 1 << 17 and got.keys() == grams.keys()
     some = sorted(grams)[::200]
     want = plain_tree({k: n for k, n in grams.items() if n}, some, DEPTH)
