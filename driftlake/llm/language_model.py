@@ -16,7 +16,7 @@ from driftlake.llm.words import LOWER, WHITE, Block, signed, text_blocks
 
 #: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words and
 #: grams whose scores tasks hold, at most.
-DEPTH, ROOT, PART, HOT, HOT_GRAMS = 6, 2, 1 << 18, 1 << 18, 1 << 21
+DEPTH, ROOT, PART, HOT, HOT_GRAMS = 6, 2, 1 << 18, 1 << 19, 1 << 21
 #: Documents of a block; counts that a task sums before it sends them.
 DOCS, HELD = 256, 1 << 22
 SPACE, END = 32, 10
@@ -72,30 +72,69 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[Block]:
             yield block
 
 
+def _sent(word: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), word)), pa.array(signed(keys)), pa.array(n.astype(np.int64))], ["word", "key", "n"])
+
+
+class _Grams:
+    """Counts of grams, summed again and again: a gram and its count are sorted as one number, counts over 255 go by themselves."""
+
+    def __init__(self):
+        self.settled: list[np.ndarray] = []
+        self.waiting: list[np.ndarray] = []
+        self.held = 0
+
+    def _merge(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        packed = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        parts.clear()
+        packed.sort()
+        keys = packed >> np.uint64(8)
+        first = _runs(keys)
+        keys = keys[first]
+        packed &= np.uint64(255)
+        return keys, np.add.reduceat(packed, first) if len(first) else packed
+
+    def _packed(self, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Put counts by; those that don't fit are sent."""
+        if (many := n > 255).any():
+            yield _sent(False, keys[many], n[many])
+            keys, n = keys[~many], n[~many]
+        self.waiting.append(keys << np.uint64(8) | n)
+        self.held += len(keys)
+
+    def add(self, packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """packed: (gram, whether its row trains) of a block."""
+        yield from self._packed(*self._merge([packed]))
+        if self.held > HELD:
+            yield from self._settle()
+
+    def _settle(self) -> Iterator[pa.RecordBatch]:
+        merged = self._merge(self.waiting)
+        self.held = 0
+        yield from self._packed(*merged)
+        self.settled += self.waiting
+        self.waiting.clear()
+        self.held = 0
+        if sum(map(len, self.settled)) > 2 * HELD:
+            yield self.all()
+
+    def all(self) -> pa.RecordBatch:
+        self.settled += self.waiting
+        self.waiting.clear()
+        return _sent(False, *self._merge(self.settled))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words (by hash) and grams with their counts in training rows (0 for those of other rows only), summed in the task.
-
-    A gram and its count in a block are sorted as one number; counts over 255 are sent by themselves."""
-    words, some, held = [], [], 0
-
-    def sent(word: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), word)), pa.array(signed(keys)), pa.array(n.astype(np.int64))], ["word", "key", "n"])
-
-    def summed() -> Iterator[pa.RecordBatch]:
-        if some:
-            packed = np.concatenate(some)
-            packed.sort()
-            keys = packed >> np.uint64(8)
-            first = _runs(keys)
-            yield sent(False, keys[first], np.add.reduceat(packed & np.uint64(255), first))
-        if words:
-            keys, n = (np.concatenate(x) for x in zip(*words, strict=True))
-            order = np.argsort(keys)
-            keys = keys[order]
-            first = _runs(keys)
-            yield sent(True, keys[first], np.add.reduceat(n[order], first))
+    """Words (by hash) and grams with their counts in training rows (0 for those of other rows only), summed in the task."""
+    words, found = [], _Grams()
+
+    def summed() -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate(x) for x in zip(*words, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = _runs(keys)
         words.clear()
-        some.clear()
+        return keys[first], np.add.reduceat(n[order], first)
 
     for batch in batches:
         train = batch.column("train").to_numpy(zero_copy_only=False)
@@ -105,22 +144,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = block.words[order]
             if len(first := _runs(keys)):
                 words.append((keys[first], np.add.reduceat(learned[block.doc[order]].astype(np.int64), first)))
+            if sum(len(k) for k, _ in words) > HELD // 4 + 2 * len(words[0][0]) if words else False:
+                words.append(summed())
+                if len(words[0][0]) > HELD // 2:
+                    yield _sent(True, *words.pop())
             packed, doc = grams(block)
-            packed = packed << np.uint64(8) | learned[doc]
-            packed.sort()
-            keys = packed >> np.uint64(8)
-            first = _runs(keys)
-            n = np.add.reduceat(packed & np.uint64(1), first)
-            keys = keys[first]
-            if (many := n > 255).any():
-                yield sent(False, keys[many], n[many])
-                keys, n = keys[~many], n[~many]
-            some.append(keys << np.uint64(8) | n)
-            held += len(keys)
-            if held > HELD:
-                yield from summed()
-                held = 0
-    yield from summed()
+            yield from found.add(packed << np.uint64(8) | learned[doc])
+    if words:
+        yield _sent(True, *summed())
+    yield found.all()
 
 
 @dataclass
@@ -271,78 +303,89 @@ def score_grams(grams: DataFrame) -> DataFrame:
 
 
 class Held:
-    """Values by key in a table with one place for each hash: of keys that share a place the last is held, the others not."""
+    """Values by key in a table with two places for each hash: later keys go first, and those that find no place aren't held."""
 
-    def __init__(self, keys: np.ndarray, *values: np.ndarray):
-        self.given = (keys, *values)
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.given = (keys, values)
         self.bits = max(4, (2 * len(keys) - 1).bit_length())
         self.keys = np.full(1 << self.bits, np.iinfo(np.uint64).max)
-        at = self._at(keys)
-        self.keys[at] = keys
-        self.values = []
-        for v in values:
-            table = np.zeros(1 << self.bits)
-            table[at] = v
-            self.values.append(table)
+        self.values = np.zeros(1 << self.bits, np.float32)
+        at = self._at(keys, 0)
+        self.keys[at], self.values[at] = keys, values
+        left = self.keys[at] != keys
+        keys, values, at = keys[left], values[left], self._at(keys[left], 1)
+        free = self.keys[at] == np.iinfo(np.uint64).max
+        self.keys[at[free]], self.values[at[free]] = keys[free], values[free]
 
     def __reduce__(self):
         return Held, self.given
 
-    def _at(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+    def _at(self, keys: np.ndarray, way: int) -> np.ndarray:
+        mixed = keys * np.uint64((0x9E3779B97F4A7C15, 0xD1342543DE82EF95)[way])
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Whether each key is held, and its values, 0 for others."""
-        at = self._at(keys)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is held, and its value, 0 for others."""
+        at = self._at(keys, 0)
         hit = self.keys[at] == keys
-        return hit, [np.where(hit, v[at], 0.0) for v in self.values]
+        value = np.where(hit, self.values[at], np.float32(0))
+        left = np.flatnonzero(~hit)
+        at = self._at(keys[left], 1)
+        again = self.keys[at] == keys[left]
+        hit[left], value[left] = again, np.where(again, self.values[at], np.float32(0))
+        return hit, value
 
 
-def _apart(first: np.ndarray, doc: np.ndarray, keys: np.ndarray, name: np.ndarray, word: bool) -> pa.RecordBatch:
+def _apart(first: np.ndarray, doc: np.ndarray, keys: np.ndarray, name: np.ndarray, kind: int) -> pa.RecordBatch:
     """Rows for runs, from first on, of keys of one document that tasks don't hold."""
-    n, none, double = len(first), pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.float64())
-    return pa.RecordBatch.from_arrays([pa.array(name[doc[first]]), none, pa.nulls(n, pa.bool_()), none, none, double, double, pa.array(np.full(n, word)), pa.array(signed(keys[first])), pa.array(_lengths(first, len(keys)))], _NAMES)
+    return _rows(name[doc[first]], kind, pa.array(signed(keys[first])), _lengths(first, len(keys)), pa.nulls(len(first), pa.float64()))
+
+
+def _rows(name: np.ndarray, kind: int, key: pa.Array, times: np.ndarray, value: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(name), pa.array(np.full(len(name), kind, np.int8)), key, pa.array(times), value], ["doc", "kind", "key", "times", "value"])
 
 
-_NAMES = ["doc", "id", "train", "tokens", "known", "base", "tree", "word", "key", "times"]
-_SCHEMA = "doc long, id long, train boolean, tokens long, known long, base double, tree double, word boolean, key long, times long"
+#: Kinds of rows about a document: its id (key), tokens (times) and base; its train flag (key), known tokens and tree; then
+#: a word, and a gram, that tasks don't hold.
+BASE, TREE, WORD, GRAM = range(4)
+_SCHEMA = "doc long, kind tinyint, key long, times long, value double"
 
 
-def _sums(shared_words, shared_grams):
-    """Each row's counts and sums over the words and grams that tasks hold (word is null); rows for each of the others."""
+def _sums(shared_words, shared_grams, unseen: float):
+    """Each row's counts and sums over the words and grams that tasks hold; rows for each of the others."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, hot_grams = shared_words.value, shared_grams.value
         for batch in batches:
             n = batch.num_rows
-            known, tokens, sums = np.zeros(n), np.zeros(n, np.int64), np.zeros((2, n))
+            known, tokens, sums = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((2, n))
             name = batch.column("doc").to_numpy()
             for block in _blocks(batch):
                 mine = slice(block.first, block.first + block.n_docs)
-                hit, (seen, base) = hot.find(block.words)
+                hit, base = hot.find(block.words)
                 tokens[mine] = np.diff(block.bounds)
-                known[mine] = np.bincount(block.doc, seen, block.n_docs)
+                known[mine] = np.bincount(block.doc, hit & (base > unseen), block.n_docs)
                 sums[0, mine] = np.bincount(block.doc, base, block.n_docs)
                 cold = np.flatnonzero(~hit)
                 order = np.lexsort((block.words[cold], block.doc[cold]))
                 words, of = block.words[cold[order]], block.doc[cold[order]]
                 if len(cold):
                     first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (of[1:] != of[:-1])])
-                    yield _apart(first, of, words, name[mine], True)
+                    yield _apart(first, of, words, name[mine], WORD)
                 packed, doc = grams(block)
                 packed = packed << np.uint64(8) | doc.astype(np.uint64)
                 packed.sort()
                 keys = packed >> np.uint64(8)
                 first = _runs(keys)
-                hit, (tree,) = hot_grams.find(keys[first])
+                hit, tree = hot_grams.find(keys[first])
                 each = _lengths(first, len(keys))
                 sums[1, mine] = np.bincount((packed & np.uint64(255)).astype(np.int64), np.repeat(tree, each), block.n_docs)
                 cold = np.repeat(~hit, each)
                 if cold.any():
                     packed = packed[cold]
-                    yield _apart(_runs(packed), (packed & np.uint64(255)).astype(np.int64), keys[cold], name[mine], False)
-            none = pa.nulls(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("id"), batch.column("train"), pa.array(tokens), pa.array(known.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.nulls(n, pa.bool_()), none, none], _NAMES)
+                    yield _apart(_runs(packed), (packed & np.uint64(255)).astype(np.int64), keys[cold], name[mine], GRAM)
+            yield _rows(name, BASE, batch.column("id"), tokens, pa.array(sums[0]))
+            yield _rows(name, TREE, batch.column("train").cast(pa.int64()), known, pa.array(sums[1]))
 
     return go
 
@@ -381,7 +424,8 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
     texts = texts.select(F.xxhash64("id", "train", "text").alias("doc"), "*")
-    counted = texts.mapInArrow(_counts, "word boolean, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+    # tasks have summed what they could: counts go to their reducers as they are
+    counted = texts.mapInArrow(_counts, "word boolean, key long, n long").repartition("word", "key").groupBy("word", "key").agg(F.sum("n").alias("n"))
     counted = write_shared(counted, "counts")
     n_docs = texts.where("train").count()
     words = counted.where("word").select("key", "n")
@@ -390,19 +434,29 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
     bottom = n_all + 0.1 * (n_distinct + 1)
     trees = write_shared(score_grams(counted.where("not word")), "grams")
     keys, n = _commonest(words, hot)
-    held_words = spark.sparkContext.broadcast(Held(keys, (n > 0).astype(float), np.log10((n + 0.1) / bottom)))
+    unseen = math.log10(0.5 / bottom)
+    held_words = spark.sparkContext.broadcast(Held(keys, np.log10((n + 0.1) / bottom)))
     keys, _, tree = _commonest(trees, hot_grams, "tree")
     held_grams = spark.sparkContext.broadcast(Held(keys, tree))
-    parts = write_shared(texts.mapInArrow(_sums(held_words, held_grams), _SCHEMA), "sums")
+    parts = write_shared(texts.mapInArrow(_sums(held_words, held_grams, unseen), _SCHEMA), "sums")
     base = F.log10((F.col("n") + 0.1) / F.lit(float(bottom)))
-    values = words.select(F.lit(True).alias("word"), "key", (F.col("n") > 0).cast("long").alias("seen"), base.alias("base_one"), F.lit(0.0).alias("tree_one"))
-    values = values.unionByName(trees.select(F.lit(False).alias("word"), "key", F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("base_one"), F.col("tree").alias("tree_one")))
-    others = parts.where("word is not null").select("doc", "word", "key", "times").join(values, ["word", "key"])
-    others = others.groupBy("doc").agg(F.sum(F.col("times") * F.col("seen")).alias("known"), F.sum(F.col("times") * F.col("base_one")).alias("base"), F.sum(F.col("times") * F.col("tree_one")).alias("tree"))
-    whole = parts.where("word is null").select("doc", "id", "train", "tokens", "known", "base", "tree")
-    both = whole.unionByName(others, allowMissingColumns=True).groupBy("doc")
-    one = both.agg(F.max("id").alias("id"), F.max("train").alias("train"), F.max("tokens").alias("tokens"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("tree").alias("tree"), F.count("tokens").alias("copies"))
+    values = words.select(F.lit(WORD).cast("tinyint").alias("kind"), "key", (F.col("n") > 0).cast("long").alias("seen"), base.alias("one"))
+    values = values.unionByName(trees.select(F.lit(GRAM).cast("tinyint").alias("kind"), "key", F.lit(0).cast("long").alias("seen"), F.col("tree").alias("one")))
+    # the values' keys are distinct: their side is hashed, evenly over the partitions
+    others = parts.where(F.col("kind") >= WORD).select("doc", "kind", "key", "times").join(values.hint("shuffle_hash"), ["kind", "key"])
+    of = lambda kind, value: F.when(F.col("kind") == kind, value)
+    others = others.select("doc", "kind", (F.col("times") * F.col("seen")).alias("times"), (F.col("times") * F.col("one")).alias("value"), F.lit(None).cast("long").alias("key"))
+    both = parts.where(F.col("kind") < WORD).unionByName(others).groupBy("doc")
+    one = both.agg(
+        F.max(of(BASE, F.col("key"))).alias("id"),
+        F.max(of(TREE, F.col("key"))).alias("train"),
+        F.max(of(BASE, F.col("times"))).alias("tokens"),
+        F.sum(F.when(F.col("kind").isin(TREE, WORD), F.col("times"))).alias("known"),
+        F.sum(F.when(F.col("kind").isin(BASE, WORD), F.col("value"))).alias("base"),
+        F.sum(F.when(F.col("kind").isin(TREE, GRAM), F.col("value"))).alias("tree"),
+        F.count_if(F.col("kind") == BASE).alias("copies"),
+    )
     # rows that are the same have one key: each has its share of the sums
-    one = one.select("id", "train", "tokens", (F.col("known") / F.col("copies")).cast("long").alias("known"), (F.col("base") / F.col("copies")).alias("base"), (F.col("tree") / F.col("copies")).alias("tree"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    one = one.select("id", (F.col("train") > 0).alias("train"), "tokens", (F.col("known") / F.col("copies")).cast("long").alias("known"), (F.col("base") / F.col("copies")).alias("base"), (F.col("tree") / F.col("copies")).alias("tree"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     end_known, end_base = int(n_docs > 0), math.log10((n_docs + 0.1) / bottom)
     return one.select(F.col("id").alias(id_col), "train", (F.col("tokens") + 1).alias("n_tokens"), (F.col("known") + end_known).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + end_base).alias("base_score"), F.col("tree").alias("score"))
