@@ -18,11 +18,16 @@ from driftlake.llm.words import xxhash64
 #: Bits of a filter: eight for each key, at least 2**LEAST_BITS and at most 2**MOST_BITS (32 MB, 3 * 10**7 keys; a fuller one
 #: lets more rows through to the exact step behind it, and loses none).
 LEAST_BITS, MOST_BITS = 20, 28
+#: Bytes of rows that go to Python at once: a batch stands in the JVM and in Python, and long texts make large ones.
+BATCH_BYTES, _BATCH = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, once for a SparkContext."""
+    """Send this package's code to the Python workers, once for a SparkContext, and bound the session's Arrow batches."""
     sc = spark.sparkContext
+    most = spark.conf.get(_BATCH)
+    if most.endswith("b") and most[:-1].isdigit() and int(most[:-1]) > BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
     if getattr(sc, "_driftlake_shipped", False):
         return
     top = Path(__file__).resolve().parents[1]

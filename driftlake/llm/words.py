@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -77,6 +78,22 @@ class Block:
         return run_hashes(self.words, at, at + k, WORD_BASE), self.doc[:n] == self.doc[k - 1 : k - 1 + n]
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """The C library's malloc_trim, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def tidy(n_rows: int) -> None:
+    """Give memory that a batch of many rows has left unused back to the system: several workers share an executor with its JVM."""
+    if n_rows >= 500:
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+
 def text_blocks(batch: pa.RecordBatch, name: str = "text", **how) -> Iterator[Block]:
     """The batch's texts, null ones empty, in blocks of whole documents; Block.first is the row of its first document."""
     column = batch.column(name)
@@ -99,8 +116,7 @@ def text_blocks(batch: pa.RecordBatch, name: str = "text", **how) -> Iterator[Bl
         to = min(to, n)
         yield Block(at, data[offs[at] : offs[to]], offs[at : to + 1] - offs[at], **how)
         at = to
-    if n >= 1000:
-        pa.default_memory_pool().release_unused()  # two workers share an executor with its JVM
+    tidy(n)
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
