@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -29,9 +30,10 @@ def purge_filter(df: DataFrame, owner: str, purged: Sequence[str]) -> DataFrame:
 
 
 def stage_validation(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The batch, or an error when a key part is null: raised by the job that reads the rows, without a pass of its own."""
+    """The batch, or an error when a key part is null: a filter that raises, so that every job over the batch tests it, whichever
+    columns it needs, without a pass of its own."""
     has_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    return batch.withColumn(keys[0], F.when(has_null, F.raise_error(F.lit("null in a key of the batch")).cast(batch.schema[keys[0]].dataType)).otherwise(F.col(keys[0])))
+    return batch.where(F.when(has_null, F.raise_error(F.lit("null in a key of the batch")).cast("boolean")).otherwise(True))
 
 
 def cdc_dedup(batch: DataFrame, keys: Sequence[str], order: Sequence[Column], mode: str = "latest") -> DataFrame:
@@ -114,27 +116,98 @@ def watermark_incremental(source: DataFrame, ts: str, watermark) -> DataFrame:
     return source.where(F.col(ts) > F.lit(watermark))
 
 
+def watermark_advance(source: DataFrame, ts: str, watermarks: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Rows after the table's stored watermark (table_name, watermark), and the watermarks with the table's moved to their newest.
+
+    A table without a watermark is read whole; no new rows leave it where it is."""
+    own = watermarks.where(F.col("table_name") == table).agg(F.max("watermark").alias("__w"))
+    rows = source.crossJoin(own).where(F.col("__w").isNull() | (F.col(ts) > F.col("__w"))).drop("__w")
+    newest = rows.agg(F.max(ts).alias("n")).crossJoin(own).select(F.lit(table).alias("table_name"), F.coalesce("n", "__w").alias("watermark"))
+    return rows, watermarks.where(F.col("table_name") != table).unionByName(newest)
+
+
 def row_hash(columns: Sequence[str], sep: str = "~") -> Column:
     return F.md5(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
-def merge_hash_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def hash_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Source rows that are new or whose hash differs from the target's."""
     known = target.select(*keys, row_hash(columns).alias("__hash"))
     return source.withColumn("__hash", row_hash(columns)).join(known, [*keys, "__hash"], "left_anti").drop("__hash")
 
 
+def merge_hash_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The target with the source's rows that are new or whose hash over columns differs; the others stay as they were."""
+    s = source.select(*keys, row_hash(columns).alias("__hash"), F.struct(*target.columns).alias("s"))
+    t = target.withColumn("__own", row_hash(columns)).select(*keys, "__own", F.struct(*target.columns).alias("t"))
+    put = F.col("s").isNotNull() & ~F.col("__hash").eqNullSafe(F.col("__own"))
+    return t.join(s, list(keys), "full").select(F.when(put, F.col("s")).otherwise(F.col("t")).alias("r")).select("r.*")
+
+
 def config_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of source, and those of target whose key source doesn't have."""
-    return source.unionByName(target.join(source.select(*keys), list(keys), "left_anti"))
+    """Rows of source (of a key that it repeats the greatest row), and those of target whose key source doesn't have."""
+    rest = [c for c in source.columns if c not in keys]
+    once = source.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r")).select(*keys, "r.*").select(*source.columns)
+    return once.unionByName(target.join(source.select(*keys), list(keys), "left_anti"))
 
 
-def cdc_process_all(configs: Sequence[dict], run: Callable[[dict], DataFrame]) -> list[tuple[str, str, DataFrame | None]]:
-    """Run every active config in order of priority; one that fails doesn't stop the others."""
+def cdc_merge_staged(target: DataFrame, log: DataFrame, keys: Sequence[str], seq: Sequence[str], op: str, as_of: Column, batch_id: str) -> DataFrame:
+    """Fold an ordered log of I, U and D into one net change for each key first, then merge: deleted, or not."""
+    net = cdc_coalesce(log, keys, seq, op)
+    values = [c for c in target.columns if c not in (*keys, *CDC_COLUMNS)]
+    staged = net.select(*keys, *values, "cdc_action", "cdc_is_update", F.md5(F.concat_ws("~", *keys)).alias("row_id"))
+    return cdc_merge(target, staged, keys, as_of, batch_id)
+
+
+def cdc_generic(target: DataFrame, batch: DataFrame, config: dict, as_of: Column, batch_id: str) -> DataFrame:
+    """The merge as a config says: keys; columns (all others that the target has); filter, a condition on the batch; purge_owner
+    and purged, rows of which are left out; validate, to fail on null keys; insert_label."""
+    keys = config["keys"]
+    columns = config.get("columns") or [c for c in target.columns if c not in (*keys, *CDC_COLUMNS)]
+    if config.get("filter"):
+        batch = batch.where(config["filter"])
+    if config.get("purge_owner"):
+        batch = purge_filter(batch, config["purge_owner"], config["purged"])
+    if config.get("validate"):
+        batch = stage_validation(batch, keys)
+    return cdc_merge(target.select(*keys, *columns, *CDC_COLUMNS), batch.select(*keys, *columns, *CHANGE_COLUMNS), keys, as_of, batch_id, config.get("insert_label", "INSERT"))
+
+
+def _as_changes(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows as changes that overwrite or add."""
+    return initial_snapshot(source, keys).withColumn("cdc_is_update", F.lit(True))
+
+
+def cdc_sync(target: DataFrame, source: DataFrame, keys: Sequence[str], as_of: Column, batch_id: str, mode: str = "FULL", ts: str | None = None, watermark=None) -> DataFrame:
+    """Bring the target up to its source: FULL merges every row; INCREMENTAL those whose ts is after the watermark; SOFT_DELETE
+    every row, and marks keys that the source has no more."""
+    if mode == "INCREMENTAL":
+        return cdc_merge(target, _as_changes(watermark_incremental(source, ts, watermark), keys), keys, as_of, batch_id)
+    batch = _as_changes(source, keys)
+    if mode == "SOFT_DELETE":
+        gone = detect_soft_deletes(target, source, keys)
+        gone = gone.withColumns({"cdc_action": F.lit("DELETE"), "cdc_is_update": F.lit(False), "row_id": F.md5(F.concat_ws("~", *keys))})
+        batch = batch.unionByName(gone, allowMissingColumns=True)
+    elif mode != "FULL":
+        raise ValueError(f"no mode {mode}")
+    return cdc_merge(target, batch, keys, as_of, batch_id)
+
+
+def cdc_process_all(configs: Sequence[dict], run: Callable[[dict], DataFrame], write: Callable[[dict, DataFrame], object]) -> list[dict]:
+    """Run and write every active config in order of priority; one that fails, while it is planned or while it runs, doesn't stop
+    the others. What write returns is the status's result."""
     out = []
     for c in sorted((c for c in configs if c.get("active", True)), key=lambda c: c.get("priority", 100)):
         try:
-            out.append((c["table"], "SUCCESS", run(c)))
+            out.append({"table": c["table"], "status": "SUCCESS", "result": write(c, run(c)), "message": None})
         except Exception as e:  # noqa: BLE001
-            out.append((c["table"], f"ERROR: {e}"[:500], None))
+            out.append({"table": c["table"], "status": "ERROR", "result": None, "message": str(e)[:500]})
     return out
+
+
+def cdc_filtered_run(configs: Sequence[dict], run: Callable[[dict], DataFrame], write: Callable[[dict, DataFrame], object], pattern: str = "*", dry_run: bool = False) -> list[dict]:
+    """cdc_process_all over the configs whose table matches the pattern; dry_run: which those are, without running any."""
+    some = [c for c in configs if fnmatch.fnmatchcase(c["table"], pattern)]
+    if dry_run:
+        return [{"table": c["table"], "status": "DRY_RUN", "result": None, "message": None} for c in some if c.get("active", True)]
+    return cdc_process_all(some, run, write)

@@ -3,60 +3,153 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Ways to mask a column, by name.
-MASKS: dict[str, Callable[[Column], Column]] = {
-    "email": lambda c: F.regexp_replace(c, r"^(.)[^@]*(@.*)$", "$1***$2"),
-    "email_full": lambda c: F.when(c.isNotNull(), "*****@*****"),
-    "phone": lambda c: F.concat(F.lit("XXX-XXX-"), F.right(c, F.lit(4))),
-    "phone_full": lambda c: F.when(c.isNotNull(), "XXX-XXX-XXXX"),
-    "ssn": lambda c: F.concat(F.lit("XXX-XX-"), F.right(c, F.lit(4))),
-    "tax_id": lambda c: F.concat(F.lit("XX-XXX"), F.right(c, F.lit(4))),
-    "address": lambda c: F.when(c.isNotNull(), "*** MASKED ***"),
-    "card": lambda c: F.concat(F.lit("****-****-****-"), F.right(c, F.lit(4))),
-    "cvv": lambda c: F.when(c.isNotNull(), "***"),
-    "salary": lambda c: F.bround(c / 1000, 0) * 1000,
-    "bank_account": lambda c: F.concat(F.repeat(F.lit("*"), F.greatest(F.length(c) - 4, F.lit(0))), F.right(c, F.lit(4))),
-    "amount": lambda c: F.floor(c / 1000) * 1000,
-    "birth_date": lambda c: F.make_date(F.year(c), F.lit(1), F.lit(1)),
-    "name": lambda c: F.concat(F.left(c, F.lit(1)), F.lit("***")),
-    "ip": lambda c: F.concat(F.substring_index(c, ".", 2), F.lit(".x.x")),
-    "mrn": lambda c: F.concat(F.lit("MRN-"), F.right(c, F.lit(3))),
-    "diagnosis": lambda c: F.when(c.isNotNull(), "CONFIDENTIAL"),
-    "generic": lambda c: F.when(c.isNotNull(), "***MASKED***"),
-    "partial": lambda c: F.concat(F.left(c, F.lit(2)), F.repeat(F.lit("*"), F.greatest(F.length(c) - 4, F.lit(0))), F.right(c, F.lit(2))),
-    "email_null_safe": lambda c: F.coalesce(F.regexp_replace(c, r"^(.)[^@]*(@.*)$", "$1***$2"), F.lit("")),
-    "hash": lambda c: F.sha2(c.cast("string"), 256),
+Form = Callable[[Column], Column]
+
+
+def clear(c: Column) -> Column:
+    return c
+
+
+def shown(text: str) -> Form:
+    """The same text for every value, null too."""
+    return lambda c: F.lit(text)
+
+
+def last(n: int, before: str) -> Form:
+    return lambda c: F.concat(F.lit(before), F.right(c, F.lit(n)))
+
+
+def nothing(c: Column) -> Column:
+    return F.nullif(c, c)
+
+
+def rounded(digits: int) -> Form:
+    """To the nearest 10**digits, halves away from zero."""
+    return lambda c: F.round(c.cast("decimal(28,8)"), -digits).cast("double")
+
+
+def stars(keep_left: int = 0, keep_right: int = 0) -> Form:
+    """One star for each character but those kept at the ends."""
+    hidden = lambda c: F.repeat(F.lit("*"), F.greatest(F.length(c) - keep_left - keep_right, F.lit(0)))
+    return lambda c: F.concat(F.left(c, F.lit(keep_left)), hidden(c), F.right(c, F.lit(keep_right)))
+
+
+def replaced(pattern: str, by: str) -> Form:
+    return lambda c: F.regexp_replace(c, pattern, by)
+
+
+def initials(c: Column) -> Column:
+    first, final = F.substring_index(c, " ", 1), F.substring_index(c, " ", -1)
+    return F.concat(F.left(first, F.lit(1)), F.lit(". "), F.left(final, F.lit(1)), F.lit("."))
+
+
+_TWO_LETTERS = replaced(r"^(.{2})(.*)(@.*)$", "$1***$3")
+_KEEPERS = "SYSADMIN GOVERNANCE_ADMIN COMPLIANCE_OFFICER"
+#: For each policy the roles of each tier and the form in which they see a value, then the form that others see.
+MASKS: dict[str, tuple[list[tuple[str, Form]], Form]] = {
+    "email": ([(f"{_KEEPERS} SECURITYADMIN", clear), ("CUSTOMER_SUPPORT MARKETING_TEAM SALES_TEAM", _TWO_LETTERS), ("DATA_ANALYST BUSINESS_ANALYST", replaced(r"^(.*)(@.*)$", "***$2"))], shown("***@***.***")),
+    "email_strict": ([(_KEEPERS, clear), ("DATA_STEWARD DATA_OWNER", _TWO_LETTERS)], shown("***@***")),
+    "phone": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT SALES_TEAM", replaced(r"(.*)(\d{4})$", "***-***-$2")), ("DATA_ANALYST MARKETING_TEAM", last(4, "XXX-XXX-"))], shown("***-***-****")),
+    "phone_international": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT", last(4, "+XX XXX XXX "))], shown("+XX XXX XXX XXXX")),
+    "ssn": ([("SYSADMIN COMPLIANCE_OFFICER HR_ADMIN PAYROLL_ADMIN", clear), ("HR_ANALYST HR_MANAGER", last(4, "***-**-"))], shown("***-**-****")),
+    "tax_id": ([("SYSADMIN COMPLIANCE_OFFICER FINANCE_ADMIN TAX_ADMIN", clear), ("FINANCE_ANALYST ACCOUNTANT", last(2, "**-*****"))], shown("**-*******")),
+    "address": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT LOGISTICS_TEAM OPERATIONS_TEAM", replaced(r"^(\d+)\s+(.*)$", "XXX $2")), ("MARKETING_TEAM SALES_TEAM", lambda c: F.substring_index(c, ",", -1))], shown("[REDACTED]")),
+    "credit_card": ([("SYSADMIN COMPLIANCE_OFFICER PCI_ADMIN", clear), ("FINANCE_ADMIN PAYMENT_PROCESSOR", last(4, "XXXX-XXXX-XXXX-"))], shown("XXXX-XXXX-XXXX-XXXX")),
+    "cvv": ([("SYSADMIN PCI_ADMIN PAYMENT_PROCESSOR", clear)], shown("***")),
+    "salary": ([("SYSADMIN HR_ADMIN PAYROLL_ADMIN COMPLIANCE_OFFICER", clear), ("HR_MANAGER FINANCE_MANAGER", rounded(3)), ("HR_ANALYST", rounded(4))], nothing),
+    "bank_account": ([("SYSADMIN FINANCE_ADMIN TREASURY_ADMIN COMPLIANCE_OFFICER", clear), ("FINANCE_ANALYST ACCOUNTANT", last(4, "****"))], shown("********")),
+    "financial_amount": ([("SYSADMIN FINANCE_ADMIN CFO COMPLIANCE_OFFICER", clear), ("FINANCE_ANALYST CONTROLLER", rounded(3)), ("BUSINESS_ANALYST DATA_ANALYST", rounded(4))], nothing),
+    "date_of_birth": ([("SYSADMIN HR_ADMIN COMPLIANCE_OFFICER HEALTHCARE_ADMIN", clear), ("HR_ANALYST DATA_ANALYST", lambda c: F.trunc(c, "year"))], nothing),
+    "name": ([("SYSADMIN HR_ADMIN COMPLIANCE_OFFICER", clear), ("CUSTOMER_SUPPORT SALES_TEAM", initials), ("DATA_ANALYST MARKETING_TEAM", shown("*** ***"))], shown("[REDACTED]")),
+    "ip_address": ([("SYSADMIN SECURITY_ADMIN NETWORK_ADMIN COMPLIANCE_OFFICER", clear), ("IT_SUPPORT DATA_ENGINEER", replaced(r"(\d+\.\d+\.)(\d+\.\d+)", "$1XXX.XXX"))], shown("XXX.XXX.XXX.XXX")),
+    "mrn": ([("SYSADMIN HEALTHCARE_ADMIN PROVIDER COMPLIANCE_OFFICER", clear), ("HEALTHCARE_ANALYST", last(4, "****"))], shown("********")),
+    "diagnosis": ([("SYSADMIN HEALTHCARE_ADMIN PROVIDER COMPLIANCE_OFFICER", clear), ("HEALTHCARE_ANALYST RESEARCHER", lambda c: F.concat(F.left(c, F.lit(3)), F.lit("XXX")))], shown("[REDACTED]")),
+    "pii_generic": ([(f"{_KEEPERS} DATA_OWNER", clear), ("DATA_STEWARD", stars(4))], stars()),
+    "partial": ([(_KEEPERS, clear), ("DATA_ANALYST BUSINESS_ANALYST", stars(2, 2))], stars()),
+    "email_null_safe": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT MARKETING_TEAM", _TWO_LETTERS)], lambda c: F.when(c.isNotNull(), "***@***.***")),
+    "hash": ([(_KEEPERS, clear)], lambda c: F.sha2(c.cast("string"), 256)),
 }
+#: The roles that see a value of each sensitivity; PUBLIC is for all.
+BY_FLAG = {"INTERNAL": "SYSADMIN DATA_ANALYST EMPLOYEE", "CONFIDENTIAL": "SYSADMIN GOVERNANCE_ADMIN MANAGER", "RESTRICTED": "SYSADMIN COMPLIANCE_OFFICER EXECUTIVE"}
+
+
+def masked(value: Column, policy: str, role: Column) -> Column:
+    """What role sees of value under a policy of MASKS; a role that no tier names, or null, sees the least."""
+    tiers, least = MASKS[policy]
+    out = None
+    for roles, form in tiers:
+        hit = role.isin(*roles.split())
+        out = F.when(hit, form(value)) if out is None else out.when(hit, form(value))
+    return out.otherwise(least(value))
+
 
+def masked_by_flag(value: Column, flag: Column, role: Column) -> Column:
+    """The value where its sensitivity lets role see it, else a mark."""
+    seen = flag == "PUBLIC"
+    for name, roles in BY_FLAG.items():
+        seen = seen | (flag == name) & role.isin(*roles.split())
+    return F.when(seen, value).otherwise("[MASKED]")
 
-def mask(df: DataFrame, role: str, rules: dict[str, str], cleared: Sequence[str] = (), when: Column | None = None) -> DataFrame:
-    """The columns of rules masked by the named way, unless the role is cleared; when: only in rows where it holds."""
-    if role in cleared:
-        return df
-    return df.withColumns({c: MASKS[m](F.col(c)) if when is None else F.when(F.coalesce(when, F.lit(False)), MASKS[m](F.col(c)).cast(df.schema[c].dataType)).otherwise(F.col(c)) for c, m in rules.items()})
 
+def mask(df: DataFrame, role: str | Column, rules: dict[str, str]) -> DataFrame:
+    """The columns of rules (column -> policy) as role, a name or a column, sees them."""
+    who = F.lit(role) if isinstance(role, str) else role
+    return df.withColumns({c: masked(F.col(c), policy, who) for c, policy in rules.items()})
 
-def mask_by_tag(df: DataFrame, role: str, column_tags: dict[str, str], tag_masks: dict[str, str], cleared: Sequence[str] = ()) -> DataFrame:
-    return mask(df, role, {c: tag_masks[t] for c, t in column_tags.items() if c in df.columns and t in tag_masks}, cleared)
+
+def mask_by_tag(df: DataFrame, role: str | Column, column_tags: dict[str, str], tag_masks: dict[str, str]) -> DataFrame:
+    """Every column that has a tag with a policy, masked by it."""
+    return mask(df, role, {c: tag_masks[t] for c, t in column_tags.items() if c in df.columns and t in tag_masks})
 
 
 def row_access_filter(df: DataFrame, role: str, mapping: DataFrame, column: str) -> DataFrame:
-    """Rows of the regions that the mapping (role, allowed_region) allows the role; ALL allows every row."""
-    allowed = mapping.where(F.col("role") == role).select("allowed_region").distinct()
-    return df.join(allowed, (F.col(column) == F.col("allowed_region")) | (F.col("allowed_region") == "ALL"), "left_semi")
+    """Rows of the regions that the mapping (role, allowed_region) allows the role; ALL allows every row, of null region too.
+
+    An equi-join with the role's regions, and one row that tells whether ALL is among them."""
+    allowed = mapping.where(F.col("role") == role).select(F.col("allowed_region").alias("__region")).distinct()
+    every = allowed.agg(F.coalesce(F.max(F.col("__region") == "ALL"), F.lit(False)).alias("__every"))
+    both = df.join(allowed, F.col(column) == F.col("__region"), "left").crossJoin(every)
+    return both.where("__every or __region is not null").select(*df.columns)
+
+
+def row_access_by_department(df: DataFrame, role: str, column: str, full: Sequence[str] = ("ACCOUNTADMIN", "HR_ADMIN")) -> DataFrame:
+    """Rows of departments that stand, with a character on each side, in the role's name; roles of full see all."""
+    return df if role in full else df.where(F.like(F.lit(role), F.concat(F.lit("%_"), F.col(column), F.lit("_%"))))
+
+
+def row_access_by_case(df: DataFrame, role: Column, column: str, full: Sequence[str], regions: dict[str, str]) -> DataFrame:
+    """Rows of the region that regions has for the role; roles of full see all."""
+    seen = role.isin(*full)
+    for name, region in regions.items():
+        seen = seen | (role == name) & (F.col(column) == region)
+    return df.where(seen)
 
 
 def suggest_pii_tag(name: Column) -> Column:
-    # fixed values: parts of column names and their tags
-    rules = {"email": "EMAIL", "phone": "PHONE", "ssn": "SSN", "social": "SSN", "card": "CREDIT_CARD", "addr": "ADDRESS", "birth": "DATE_OF_BIRTH", "dob": "DATE_OF_BIRTH", "salary": "SALARY", "name": "NAME"}
+    # fixed values: patterns of column names (| parts alternatives, & what must match too, ! what mustn't), in order
+    rules = {
+        "pii_email": "%email%",
+        "pii_phone": "%phone%|%mobile%",
+        "pii_ssn": "%ssn%|%social_security%",
+        "pii_tax_id": "%tax_id%|%ein%",
+        "pii_address": "%address%|%street%",
+        "pii_credit_card": "%credit_card%|%cc_number%",
+        "pii_bank_account": "%account%&%number%",
+        "pii_date_of_birth": "%dob%|%birth_date%",
+        "pii_name": "%name%&!%file%",
+        "pii_ip_address": "%ip_address%",
+    }
     out = F.when(F.lit(False), "")
-    for part, tag in rules.items():
-        out = out.when(name.ilike(f"%{part}%"), tag)
-    return out
+    for tag, patterns in rules.items():
+        one = lambda x: ~name.ilike(x[1:]) if x[0] == "!" else name.ilike(x)
+        every = lambda x: reduce(Column.__and__, map(one, x.split("&")))
+        out = out.when(reduce(Column.__or__, map(every, patterns.split("|"))), tag)
+    return out.when(name == "ip", "pii_ip_address").otherwise("pii_generic")
 
 
 def retention_split(df: DataFrame, date_col: str, days: int, as_of: Column) -> DataFrame:
@@ -73,11 +166,42 @@ def retention_log(df: DataFrame, table: str, date_col: str, days: int, as_of: Co
 
 
 def role_hierarchy(edges: DataFrame, depth: int = 10) -> DataFrame:
-    """Ancestors of every role over edges (child, parent), at most depth - 1 steps, with the least number of steps."""
-    reach = edges.select(F.col("child").alias("role"), F.col("parent").alias("ancestor"), F.lit(1).alias("steps")).distinct()
-    out = reach
-    step = edges.select(F.col("child").alias("ancestor"), F.col("parent").alias("next")).distinct()
-    for n in range(2, depth):
-        reach = reach.join(step, "ancestor").select("role", F.col("next").alias("ancestor"), F.lit(n).alias("steps")).distinct()
-        out = out.unionByName(reach)
-    return out.groupBy("role", "ancestor").agg(F.min("steps").alias("steps"))
+    """Ancestors of every role over edges (child, parent), at most depth steps away: role, ancestor, steps and the path there.
+
+    One recursive query: every step joins only what the step before found, and each way is a row."""
+    spark = edges.sparkSession
+    return spark.sql(
+        f"""WITH RECURSIVE tree(role, ancestor, steps, path) AS (
+            SELECT child, parent, 1, CAST(child AS STRING) FROM {{edges}}
+            UNION ALL
+            SELECT t.role, e.parent, t.steps + 1, concat(t.path, ' -> ', CAST(e.parent AS STRING))
+            FROM tree t JOIN {{edges}} e ON t.ancestor = e.child WHERE t.steps < {int(depth)})
+        SELECT DISTINCT role, ancestor, steps, path FROM tree""",
+        edges=edges.select("child", "parent").distinct(),
+    )
+
+
+def role_path_from(edges: DataFrame, role: str, depth: int = 10) -> DataFrame:
+    """The role itself (level 0) and its ancestors, with the type that their names tell."""
+    start = edges.sparkSession.createDataFrame([(role,)], "at string")
+    found = edges.sparkSession.sql(
+        f"""WITH RECURSIVE way(level, role_name) AS (
+            SELECT 0, at FROM {{start}}
+            UNION ALL
+            SELECT w.level + 1, CAST(e.parent AS STRING) FROM way w JOIN {{edges}} e ON w.role_name = CAST(e.child AS STRING) WHERE w.level < {int(depth)})
+        SELECT DISTINCT level, role_name FROM way""",
+        start=start,
+        edges=edges.select("child", "parent").distinct(),
+    )
+    return found.withColumn("role_type", F.when(F.col("level") == 0, "TARGET").otherwise(role_type(F.col("role_name"))))
+
+
+def role_type(name: Column) -> Column:
+    # fixed values: names and patterns of names, in order
+    return (
+        F.when(name.isin("SYSADMIN", "SECURITYADMIN", "USERADMIN", "ACCOUNTADMIN"), "SYSTEM")
+        .when(name.like("%_admin") | name.like("%_steward"), "ADMIN")
+        .when(name.like("%_db_%"), "ACCESS")
+        .when(name.like("%_service_role"), "SERVICE")
+        .otherwise("FUNCTIONAL")
+    )

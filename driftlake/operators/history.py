@@ -33,7 +33,32 @@ def scd2_history(versions: DataFrame, key: str, attrs: Sequence[str], eff: str,
         rows = rows.withColumn("__b", before).where("__b is null or __b <> attr_hash").drop("__b")
     after = F.lead(eff).over(w)
     end = F.coalesce(after - F.expr("INTERVAL 1 SECOND"), F.lit(OPEN_END).cast(versions.schema[eff].dataType))
-    return rows.select(F.md5(F.concat_ws("~", F.col(key).cast("string"), F.date_format(eff, "yyyy-MM-dd HH:mm:ss.SSSSSS"))).alias("scd_key"), key, *attrs, "attr_hash", F.row_number().over(w).alias("version"), F.col(eff).alias("effective_from"), end.alias("effective_to"), after.isNull().alias("is_current"), "is_deleted")
+    return rows.select(_scd_key(key, eff).alias("scd_key"), key, *attrs, "attr_hash", F.row_number().over(w).alias("version"), F.col(eff).alias("effective_from"), end.alias("effective_to"), after.isNull().alias("is_current"), "is_deleted")
+
+
+def scd2_snapshot_rows(snapshot: DataFrame, key: str, attrs: Sequence[str], eff: str) -> DataFrame:
+    """A snapshot's rows as open versions: surrogate key, attributes and their hash."""
+    return _version_rows(snapshot, key, attrs, eff, F.lit(False))
+
+
+def scd2_change_rows(log: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
+    """The same of a change log (<col>_old, <col>_new, op_code, op_last_replicated): new images, old ones of deletes."""
+    rows = log_to_current_row(log, [key, *attrs])
+    return _version_rows(rows, key, attrs, "op_last_replicated", F.col("is_deleted"))
+
+
+def _version_rows(rows: DataFrame, key: str, attrs: Sequence[str], eff: str, deleted: Column) -> DataFrame:
+    open_end = F.lit(OPEN_END).cast(rows.schema[eff].dataType)
+    return rows.select(_scd_key(key, eff).alias("scd_key"), key, *attrs, row_hash(attrs).alias("attr_hash"), F.col(eff).alias("effective_from"), open_end.alias("effective_to"), deleted.alias("is_deleted"))
+
+
+def _scd_key(key: str, eff: str) -> Column:
+    return F.md5(F.concat_ws("~", F.col(key).cast("string"), F.date_format(eff, "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
+def scd2_history_view(history: DataFrame, key: str) -> DataFrame:
+    """All versions in order of key and version, sorted by range over all tasks."""
+    return history.orderBy(key, "version")
 
 
 def scd2_current_view(history: DataFrame) -> DataFrame:

@@ -24,11 +24,14 @@ def asof_match(events: DataFrame, changes: DataFrame, keys: Sequence[str], event
     return rows.where("__side = 1 and __first is not null").select(*keys, F.col("__e").alias(event_id), F.col("__t").alias(event_ts), *[best[c].alias(f"matched_{c}") for c in version])
 
 
-def movement_legs(events: DataFrame, keys: Sequence[str], ts: str, tie: str, carry: Sequence[str]) -> DataFrame:
-    """Successive events of the same keys as legs: the earlier event's time and columns beside the later's."""
-    w = Window.partitionBy(*keys).orderBy(ts, tie)
-    back = {f"from_{c}": F.lag(c).over(w) for c in (ts, *carry)}
-    return events.withColumns(back).where(F.col(f"from_{ts}").isNotNull())
+def movement_legs(events: DataFrame, keys: Sequence[str], ts: str, tie: str, carry: Sequence[str], ahead: Sequence[str] = (), unknown: dict[str, object] | None = None) -> DataFrame:
+    """Successive events of the same keys as legs: the earlier event's time and columns beside the later's.
+
+    ahead: columns of which the next event's value stands beside too; unknown: what a null key counts as."""
+    by = [F.coalesce(k, F.lit(unknown[k])) if unknown and k in unknown else F.col(k) for k in keys]
+    w = Window.partitionBy(*by).orderBy(ts, tie)
+    beside = {f"from_{c}": F.lag(c).over(w) for c in (ts, *carry)} | {f"next_{c}": F.lead(c).over(w) for c in ahead}
+    return events.withColumns(beside).where(F.col(f"from_{ts}").isNotNull())
 
 
 def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str, ts: str, differs: tuple[str, str], leg_id: str, bucket: str = "day") -> DataFrame:
@@ -42,10 +45,50 @@ def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], st
 
 
 def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Legs that no other leg of the same keys contains: with starts in order, a running maximum of ends tells."""
-    w = Window.partitionBy(*keys).orderBy(start, F.col(end).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    most = F.max(end).over(w)
-    return legs.withColumn("__m", most).where(F.col("__m").isNull() | (F.col("__m") < F.col(end))).drop("__m")
+    """Legs that lie strictly inside no other leg of the same keys: with starts in order, a running maximum of the ends of
+    those that start earlier tells. One shuffle by keys; legs of one start, or one end, don't contain each other."""
+    w = Window.partitionBy(*keys).orderBy(start)
+    before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = legs.withColumns({"__m": before, "__n": F.row_number().over(w)})
+    # of legs of one start the first has seen none of the others
+    first = F.first("__m").over(Window.partitionBy(*keys, start).orderBy("__n"))
+    return rows.withColumn("__m", first).where(F.col("__m").isNull() | (F.col("__m") <= F.col(end))).drop("__m", "__n")
+
+
+def range_zone_join(rows: DataFrame, zones: DataFrame, row_id: Sequence[str], key: str, low: str, high: str, zone_low: str, zone_high: str, span: int) -> DataFrame:
+    """Rows with the zones of their key whose range holds their low end (the zone's high end aside), or their high end.
+
+    Both sides meet by key and by buckets of `span` of the zone's range, not by the condition alone; rows without a zone stay.
+    row_id: columns that tell rows apart."""
+    bucket = lambda c: F.floor(F.col(c) / span)
+    z = zones.withColumn("__b", F.explode(F.sequence(bucket(zone_low), bucket(zone_high))))
+    ends = F.array_distinct(F.array_compact(F.array(bucket(low), bucket(high))))
+    r = rows.select(*dict.fromkeys([*row_id, key, low, high])).withColumn("__b", F.explode(ends))
+    fits = (F.col(low) >= F.col(zone_low)) & (F.col(low) < F.col(zone_high)) | (F.col(high) >= F.col(zone_low)) & (F.col(high) <= F.col(zone_high))
+    extra = [c for c in zones.columns if c != key]
+    met = r.join(z, [key, "__b"]).where(fits).select(*row_id, *extra).distinct()
+    return rows.join(met, list(row_id), "left")
+
+
+def od_subdivision_miles(stretches: DataFrame, breakdown: DataFrame, zones: DataFrame, span: int = 100) -> DataFrame:
+    """Miles of each origin and destination (od_id) split over subdivisions, with their zone.
+
+    stretches: od_id, subdivision_nbr, subdivision_name, miles, is_active; breakdown: od_id, from_nbr, from_name, to_nbr, low_miles,
+    high_miles; zones: subdivision_nbr, region, zone, division, low_mile, high_mile. A subdivision that occurs once keeps
+    its miles; others have the part of them inside the zone, never below 0 or above the whole."""
+    own = stretches.where("is_active").groupBy("od_id", "subdivision_nbr", "subdivision_name").agg(F.sum("miles").alias("miles"))
+    own = own.withColumns({"subdivision_name": F.coalesce("subdivision_name", F.lit("X")), "subdivision_nbr": F.coalesce("subdivision_nbr", F.lit(0))})
+    ends = breakdown.where("from_nbr = to_nbr").groupBy("od_id", "from_nbr", "from_name").agg(F.min("low_miles").alias("least"), F.max("high_miles").alias("most"))
+    both = own.join(ends.withColumnRenamed("from_nbr", "subdivision_nbr"), ["od_id", "subdivision_nbr"], "left")
+    both = both.withColumn("__row", F.struct("od_id", "subdivision_nbr", "subdivision_name", F.coalesce("from_name", F.lit("")), "miles"))
+    met = range_zone_join(both, zones, ["__row"], "subdivision_nbr", "least", "most", "low_mile", "high_mile", span)
+    miles, least, low, high = (F.col(c) for c in ("miles", "least", "low_mile", "high_mile"))
+    turned = F.abs(F.abs(high - miles) - miles)
+    first = F.when(F.abs(high - least) > miles, F.least(miles, turned)).otherwise(F.abs(high - least))
+    rest = F.abs(F.abs(low - least) - miles)
+    alone = F.count("*").over(Window.partitionBy("od_id", "subdivision_nbr")) == 1
+    part = F.when(alone, miles).when((least >= low) & (least <= high), first).otherwise(F.when(rest > miles, 0).otherwise(rest))
+    return met.withColumn("part", part).select("od_id", "subdivision_nbr", "subdivision_name", "region", "zone", "division", F.col("part").alias("miles"))
 
 
 def dst_local_time(ts: Column, zone: Column) -> Column:
@@ -72,7 +115,7 @@ def train_level_summary(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Measures of each train leg from a row for each car or locomotive in it, in one aggregation.
 
     rows: keys, role (LD leading, LT trailing, DH dead in train, NA a car), locomotive_id, group_code, car_code, content_tons,
-    tare_tons, full_weight (pounds), horsepower, miles. Missing amounts count as 0; a full weight goes before tare tons."""
+    tare_tons, full_weight (pounds), horsepower, miles, car_inches, loco_inches. Missing amounts count as 0; a full weight goes before tare tons."""
     zero = F.lit(0.0)
     amount = lambda c: F.coalesce(F.col(c).cast("double"), zero)
     role, code, miles = F.col("role"), F.col("car_code"), amount("miles")
@@ -105,5 +148,9 @@ def train_level_summary(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         "loco_tare_ton_miles": total(tare * miles, live),
         "dh_tare_ton_miles": total(tare * miles, dead),
         "content_ton_miles": total(content * miles),
+        "live_loco_foot_miles": total(amount("loco_inches") / 12 * miles, live),
+        "dh_loco_foot_miles": total(amount("loco_inches") / 12 * miles, dead),
+        "car_length_feet": total(amount("car_inches")) / 12,
+        "loco_foot_miles": total(amount("loco_inches")) / 12,
     }
     return rows.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])

@@ -83,3 +83,48 @@ def row_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], exclude: Sequence[
     one = F.when(F.col("s").isNull() | F.col("t").isNull(), F.array(F.struct(F.lit("<row>").alias("column_name"), F.when(F.col("s").isNotNull(), "present").alias("source_value"), F.when(F.col("t").isNotNull(), "present").alias("target_value"))))
     cells = F.array_compact(F.array(*[F.when(differs(c), F.struct(F.lit(c).alias("column_name"), F.col(f"s.{c}").cast("string").alias("source_value"), F.col(f"t.{c}").cast("string").alias("target_value"))) for c in columns]))
     return both.select(*keys, F.explode(F.coalesce(one, cells)).alias("d")).select(*keys, "d.*")
+
+
+def recon_hash_text(df: DataFrame, columns: Sequence[str], sep: str = "|") -> DataFrame:
+    """The same of a canonical text of the columns, so that other engines can count it too: 56 bits of each row's MD5, summed."""
+    row = F.md5(F.concat_ws(sep, *[F.col(c).cast("string") for c in columns]))
+    bits = F.conv(F.left(row, F.lit(14)), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("n_rows"), F.sum(bits).cast("string").alias("table_hash"))
+
+
+def recon_rules(rules: dict[str, str], **tables: DataFrame) -> DataFrame:
+    """Users' SQL, each of whose rows breaks its rule, over named tables ({name}): violations of each rule, and whether there are none."""
+    spark = next(iter(tables.values())).sparkSession
+
+    def one(name: str, sql: str) -> DataFrame:
+        used = {t: df for t, df in tables.items() if f"{{{t}}}" in sql}
+        return spark.sql(sql, **used).agg(F.count("*").alias("violations")).select(F.lit(name).alias("rule"), "violations", (F.col("violations") == 0).alias("passed"))
+
+    return reduce(DataFrame.unionByName, [one(n, s) for n, s in rules.items()])
+
+
+def recon_counts_union(tables: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
+    """Rows of each table's source, stream and target, from one aggregation over the three together."""
+    sides = ("source_rows", "stream_rows", "target_rows")
+
+    def one(name: str, dfs: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+        rows = reduce(DataFrame.union, [df.select(F.lit(s).alias("side")) for s, df in zip(sides, dfs, strict=True)])
+        return rows.agg(*[F.count_if(F.col("side") == s).alias(s) for s in sides]).select(F.lit(name).alias("table_name"), *sides)
+
+    return reduce(DataFrame.unionByName, [one(n, d) for n, d in tables.items()])
+
+
+def pipeline_health(tables: dict[str, tuple[DataFrame, str, str, str]], now: Column) -> DataFrame:
+    """Rows, keys, null keys, negative amounts and minutes since the newest row of each table (df, key, amount, time)."""
+
+    def one(name: str, df: DataFrame, key: str, amount: str, ts: str) -> DataFrame:
+        since = F.timestamp_diff("MINUTE", F.date_trunc("minute", F.max(ts)), F.date_trunc("minute", now))
+        return df.agg(F.count("*").alias("n"), F.countDistinct(key).alias("keys"), F.count_if(F.col(key).isNull()).alias("null_keys"), F.count_if(F.col(amount) < 0).alias("negatives"), since.alias("minutes_since_refresh")).select(F.lit(name).alias("t"), "*")
+
+    return reduce(DataFrame.unionByName, [one(n, *t) for n, t in tables.items()])
+
+
+def standardize(df: DataFrame, loaded: Column, system: str) -> DataFrame:
+    """Every text column trimmed, with the time of the load and the system that it came from."""
+    texts = {c: F.trim(c) for c, t in df.dtypes if t == "string"}
+    return df.withColumns({**texts, "load_ts": loaded, "source_system": F.lit(system)})

@@ -3,19 +3,62 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for written tables: below the cluster's shared one (spark.checkpoint.dir), or a local one in local mode."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{at}/{name}-{uuid.uuid4().hex}"
+
+
+def _landed(lines: DataFrame) -> DataFrame:
+    data = F.try_parse_json("value")
+    return lines.withColumn("data", data).where(F.col("data").isNotNull() | (F.trim("value") == "null")).drop("value")
+
+
 def load_json_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of JSON as variants with their file; lines that don't parse are dropped."""
-    raw = spark.read.text(path).select(F.try_parse_json("value").alias("data"), F.col("_metadata.file_name").alias("file_name"))
-    return raw.where("data is not null")
+    """Lines of JSON as variants (data), with file_name and row_number (from 1 in each file); lines that don't parse are left out.
+
+    A line's number is its place in its block of the file and the lines of the blocks before, so that a large file is read by
+    many tasks: only counts of blocks meet in one."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    per = raw.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = raw.withColumn("at", F.row_number().over(Window.partitionBy("file", "block").orderBy("id"))).join(per.select("file", "block", before.alias("before")), ["file", "block"])
+    return _landed(numbered.select("value", "file_name", (F.col("before") + F.col("at")).alias("row_number"))).select("data", "file_name", "row_number")
+
+
+def load_json_continuous(spark: SparkSession, path: str, to: str, checkpoint: str) -> StreamingQuery:
+    """Append the lines of files that have come since the last call to the table at `to`; started, and ends by itself."""
+    lines = spark.readStream.text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    out = _landed(lines).select(F.to_json("data").alias("data"), "file_name")
+    return out.writeStream.format("parquet").option("path", to).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def scan_log_append_only(log: DataFrame, offset_col: str, after) -> tuple[DataFrame, DataFrame]:
+    """Rows appended to a log since an offset, and the offset to go on from (one row; the old one where nothing came)."""
+    new = log.where(F.col(offset_col) > F.lit(after))
+    return new, new.agg(F.coalesce(F.max(offset_col), F.lit(after).cast(log.schema[offset_col].dataType)).alias("offset"))
+
+
+def scan_change_stream(changes: DataFrame, path: str) -> DataFrame:
+    """A change batch (columns, cdc_action, cdc_is_update, row_id) read once into a staged copy, which later steps read."""
+    changes.write.parquet(path)
+    return changes.sparkSession.read.schema(changes.schema).parquet(path)
 
 
 def clean_names(names: list[str]) -> list[str]:
@@ -32,10 +75,27 @@ def clean_names(names: list[str]) -> list[str]:
 
 
 def load_delimited_batch(spark: SparkSession, pattern: str, sep: str = ",") -> DataFrame:
+    """Delimited files with a header, as text, with clean and unique column names."""
     df = spark.read.option("header", True).option("sep", sep).csv(pattern)
     return df.toDF(*clean_names(df.columns))
 
 
+def load_delimited(spark: SparkSession, patterns: dict[str, str], to: str, mode: str = "overwrite", sep: str = ",") -> DataFrame:
+    """Load the files of each pattern into the table `to`/name; the load log: table_name, n_rows, n_columns, status and message.
+
+    One load that fails, say for files that aren't there, doesn't stop the others."""
+    rows = []
+    for name, pattern in patterns.items():
+        try:
+            df = load_delimited_batch(spark, pattern, sep)
+            write_table(df, f"{to}/{name}", mode)
+            written = spark.read.schema(df.schema).parquet(f"{to}/{name}")
+            rows.append((name, written.count(), len(df.columns), "SUCCESS", None))
+        except Exception as e:  # noqa: BLE001
+            rows.append((name, 0, 0, "FAILED", type(e).__name__))
+    return spark.createDataFrame(rows, "table_name string, n_rows long, n_columns int, status string, message string")
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: list[str] | None = None) -> None:
     """mode: overwrite, append, or error where the table is there."""
     w = df.write.mode(mode)
@@ -43,6 +103,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: list[str]
 
 
 def snapshot_copy(df: DataFrame, path: str, stamp: str) -> str:
+    """A dated full copy; an older one of the same date isn't overwritten."""
     df.write.mode("error").parquet(f"{path}/snapshot={stamp}")
     return f"{path}/snapshot={stamp}"
 

@@ -66,8 +66,8 @@ def test_stage_validation(spark):
 def test_stream_equals_batch(spark, target, tmp_path):
     b = batch(spark, [(1, "A", "INSERT", True, "r1"), (4, "d", "INSERT", False, "r4")])
     b.write.parquet(str(tmp_path / "in"))
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"])
     table.write(target)
-    stream_cdc_apply(spark.readStream.schema(b.schema).parquet(str(tmp_path / "in")), table, ["k"], str(tmp_path / "c")).awaitTermination()
+    stream_cdc_apply(spark.readStream.schema(b.schema).parquet(str(tmp_path / "in")), table, str(tmp_path / "c")).awaitTermination()
     want = cdc.cdc_merge(target, b, ["k"], at("2024-02-01"), "B1")
     assert sorted(table.read().select("k", "v", "cdc_operation").collect()) == sorted(want.select("k", "v", "cdc_operation").collect())

@@ -33,9 +33,9 @@ def test_same_as_sql(spark, duck, name):
 
 def test_whole_tables_are_sorted(spark):
     n = spark.read.parquet(f"{SF}/orders.parquet").count()
-    by_case = [(r["severity"], r["o_orderkey"]) for r in QUERIES["order_by_case_all"](spark, SF).collect()]
+    by_case = [(r["severity"], r["o_orderkey"]) for r in QUERIES["order_by_case"](spark, SF).collect()]
     assert len(by_case) == n > 100 and by_case == sorted(by_case)
-    by_null = [r["r"] for r in QUERIES["order_nulls_last_all"](spark, SF).collect()]
+    by_null = [r["r"] for r in QUERIES["order_nulls_last"](spark, SF).collect()]
     values = [v for v in by_null if v is not None]
     assert len(by_null) == n > len(values) > 22 and by_null == sorted(values, reverse=True) + [None] * (n - len(values))
 
