@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.scratch import bitmap, in_bitmap, ship
+from driftlake.llm.scratch import bitmap, in_bitmap, ship, write_shared
 from driftlake.llm.words import PUNCT, ids_of, signed, text_blocks
 
 
@@ -51,31 +51,38 @@ def tiles(at: np.ndarray, of: np.ndarray, seed: int, n: int) -> list[tuple[int,
 
 
 def _item_seeds(k: int):
+    """Runs of k words of each item; of a shorter item, all its words as one run."""
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, known = ids_of(batch, "id")
             for block in text_blocks(batch, separators=PUNCT):
-                hashes, whole = block.grams(k)
-                rows = block.first + block.doc[: len(hashes)]
-                at = np.flatnonzero(whole & known[rows])
-                doc = block.doc[at]
-                sizes = np.diff(block.bounds)[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(hashes[at])), pa.array(ids[rows[at]]), pa.array((at - block.bounds[doc]).astype(np.int32)), pa.array(sizes.astype(np.int32))], ["seed", "item_id", "q", "n"])
+                size = np.diff(block.bounds)
+                for width in range(1, k + 1):
+                    hashes, whole = block.grams(width)
+                    doc = block.doc[: len(hashes)]
+                    fits = size[doc] >= k if width == k else size[doc] == width
+                    at = np.flatnonzero(whole & fits & known[block.first + doc])
+                    doc = doc[at]
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(hashes[at])), pa.array(ids[block.first + doc]), pa.array((at - block.bounds[doc]).astype(np.int32)), pa.array(size[doc].astype(np.int32))], ["seed", "item_id", "q", "n"])
 
     return go
 
 
-def _text_seeds(bits, k: int):
+def _text_seeds(bits, widths: list[int]):
+    """Runs of the widths that the items have, where they may be an item's."""
+
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, known = ids_of(batch, "id")
             for block in text_blocks(batch, separators=PUNCT):
-                hashes, whole = block.grams(k)
-                at = np.flatnonzero(whole)
-                at = at[in_bitmap(bits.value, hashes[at])]
-                rows = block.first + block.doc[at]
-                at, rows = at[known[rows]], rows[known[rows]]
-                yield pa.RecordBatch.from_arrays([pa.array(signed(hashes[at])), pa.array(ids[rows]), pa.array((at - block.bounds[block.doc[at]]).astype(np.int32))], ["seed", "id", "p"])
+                for width in widths:
+                    hashes, whole = block.grams(width)
+                    at = np.flatnonzero(whole)
+                    at = at[in_bitmap(bits.value, hashes[at])]
+                    rows = block.first + block.doc[at]
+                    at, rows = at[known[rows]], rows[known[rows]]
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(hashes[at])), pa.array(ids[rows]), pa.array((at - block.bounds[block.doc[at]]).astype(np.int32))], ["seed", "id", "p"])
 
     return go
 
@@ -85,7 +92,7 @@ def _tiled(k: int):
         for frame in frames:
             rows = []
             for r in frame.itertuples():
-                found = tiles(np.asarray(r.ps, np.int64), np.asarray(r.qs, np.int64), k, r.n)
+                found = tiles(np.asarray(r.ps, np.int64), np.asarray(r.qs, np.int64), min(k, r.n), r.n)
                 rows.append((r.id, r.item_id, len(found), sum(t[2] for t in found), r.n))
             yield pd.DataFrame(rows, columns=["id", "item_id", "n_tiles", "matched_tokens", "item_tokens"])
 
@@ -95,21 +102,23 @@ def _tiled(k: int):
 def benchmark_overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", tile: int = 5, coverage: float = 0.5) -> DataFrame:
     """Pairs of documents and benchmark items of whose words at least `coverage` lie in tiles of `tile` or more words.
 
-    Rolling Karp-Rabin hashes of every run of `tile` words are the seeds; those of the items fill a bitmap of fixed
-    size, which lets few runs of the documents through, and Spark joins these with the items' seeds. Greedy string
-    tiling then covers each pair's item, so that reordered passages count in full. Words are lower-cased (A-Z)
-    runs of characters other than white space and ASCII punctuation. Null and empty texts and null ids have no match;
-    an item of fewer than `tile` words can't be covered. Repeated items and documents are each reported. Returns
-    id, item_id, n_tiles, matched_tokens, item_tokens, coverage.
+    Rolling Karp-Rabin hashes of every run of `tile` words are the seeds; those of the items fill a filter,
+    which lets few runs of the documents through, and Spark joins these with the items' seeds. Greedy string
+    tiling then covers each pair's item, so that reordered passages count in full. An item of fewer than `tile` words is a
+    tile of its own length: it is found where all its words stand in order. Words are lower-cased (A-Z)
+    runs of characters other than white space and ASCII punctuation. Null and empty texts and null ids have no match. Rows
+    that repeat an id count as one document, or item, whose texts are tiled together; empty tables have no pairs; texts of any
+    length are read whole. Returns id, item_id, n_tiles, matched_tokens, item_tokens, coverage.
     """
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text).cast("string").alias("text"))
     items = items.dropDuplicates()
-    seeds = items.mapInArrow(_item_seeds(tile), "seed long, item_id long, q int, n int")
+    seeds = write_shared(items.mapInArrow(_item_seeds(tile), "seed long, item_id long, q int, n int"), "seeds")
+    widths = sorted(r["w"] for r in seeds.select(F.least("n", F.lit(tile)).alias("w")).distinct().collect())
     bits = spark.sparkContext.broadcast(bitmap(seeds, F.col("seed")))
-    hits = texts.mapInArrow(_text_seeds(bits, tile), "seed long, id long, p int")
+    hits = texts.mapInArrow(_text_seeds(bits, widths), "seed long, id long, p int")
     pairs = hits.join(seeds, "seed").groupBy("id", "item_id", "n").agg(F.collect_set(F.struct("p", "q")).alias("at"))
     # what seeds cover at most: each new place of the item adds no more than a tile's words
     pairs = pairs.where(F.size(F.array_distinct("at.q")) + (tile - 1) * F.size(F.array_distinct("at.q")) >= coverage * F.col("n"))
