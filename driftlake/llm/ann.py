@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship
 
-#: Trees; rows (about) that they are grown on; leaves of a tree; share of all leaves that a query visits.
-TREES, SAMPLE, LEAVES, VISITS = 3, 1 << 16, 64, 0.55
+#: Trees; rows (about) that they are grown on; leaves of a tree that are tried, as long as a leaf has FEWEST rows of the
+#: sample; queries of the sample that try them, and the share of their neighbours that must be found.
+TREES, SAMPLE, LEAVES, FEWEST, TRIALS, RECALL = 3, 1 << 16, (64, 256, 1024, 4096), 16, 128, 0.98
+#: Rows whose scoring costs as much as the way to one more leaf, about.
+WAY = 50
 #: Queries of a leaf answered in one task; more are dealt to several.
 TOGETHER = 4096
 #: Rows scored at once against these.
@@ -81,6 +84,23 @@ def visit(trees: list[Tree], query: np.ndarray, visits: int) -> list[tuple[int,
     return out
 
 
+def trial(trees: list[Tree], points: np.ndarray, queries: np.ndarray, k: int, recall: float) -> int:
+    """The least number of leaves after which queries (places among points) have met so much of their k nearest, on the mean.
+
+    Neighbours in a sample are further off than among all rows, so that the share among all is rather higher."""
+    total = sum(t.n_leaves for t in trees)
+    leaves = [leaf_of(t, points) for t in trees]
+    met = []
+    for i in queries:
+        asked = np.r_[points[i, :-1], 0.0]
+        near = points @ asked
+        near[i] = -np.inf
+        best = np.argsort(-near)[: min(k, len(points) - 1)]
+        rank = {leaf: n for n, leaf in enumerate(visit(trees, asked, total))}
+        met += [min(rank[t, int(own[j])] for t, own in enumerate(leaves)) for j in best]
+    return int(np.sort(met)[max(0, int(np.ceil(recall * len(met))) - 1)]) + 1 if met else total
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -152,20 +172,22 @@ def _answers(dim: int, k: int):
     return go
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", trees: int = TREES, sample: int = SAMPLE, leaves: int = LEAVES, visits: float = VISITS, seed: int = 7) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", trees: int = TREES, sample: int = SAMPLE, leaves: int | None = None, visits: int | None = None, recall: float = RECALL, seed: int = 7) -> DataFrame:
     """Each query row's k rows of largest inner product found, itself left out.
 
     Trees split a sample (about `sample` rows, dealt by hash) along lines between two of its points; every row is
-    indexed under its leaf in each tree. A query takes the nearest leaves of all trees, a share `visits` of them, from one
-    priority queue
-    and meets their rows by a join; all met are scored exactly, in double precision, and ranked (ties: smaller id). Of
-    equal vectors only the k + 1 of smallest ids can be answers, so the others stay out of the index, and a vector that
-    a third of all rows have fills no leaf. Leaves that many queries visit are dealt out in parts.
+    indexed under its leaf in each tree. A query takes the nearest leaves of all trees from one priority queue
+    and meets their rows by a join; all met are scored exactly, in double precision, and ranked (ties: smaller id). How many
+    leaves a tree has, and how many a query visits, comes from trials on the sample: the cheapest of LEAVES with which TRIALS
+    queries find `recall` of their neighbours there. Clustered vectors need few visits; those of independent components, the
+    hardest case, about half of all leaves. `leaves` and `visits` fix both; a number of visits of all leaves is exact.
 
-    Vectors without structure (independent components) are the hardest case; with these settings recall at 20 was over 0.95 there.
+    Of equal vectors only the k + 1 of smallest ids can be answers, so the others stay out of the index, and a vector that
+    a third of all rows have fills no leaf. Leaves that many queries visit are dealt out in parts.
 
-    Rows take no part if their vector is null, zero, of another length than most, or holds a null, NaN or infinity. No rows
-    give no rows. Returns query_id, rank (from 1), vec_id, score.
+    Rows take no part if their vector is null, zero, of another length than most, or holds a null, NaN or infinity, or if their
+    id is null. Rows that repeat an id are rows of their own, and a query meets them all; no rows give no rows. Returns query_id,
+    rank (from 1), vec_id, score.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -184,9 +206,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     seen = rows.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20)).select("vec").toArrow()["vec"].combine_chunks()
     points = _lifted(_matrix(seen, dim), longest) if len(seen) else np.zeros((0, dim + 1))
     points = np.unique(points, axis=0)
-    rng = np.random.default_rng(seed)
-    forest = [grow(points, -(-len(points) // leaves), rng) for _ in range(trees)]
-    visits = max(trees, round(visits * sum(t.n_leaves for t in forest)))
+    forest, visits = _forest(points, sizes["n"], k, trees, leaves, visits, recall, np.random.default_rng(seed))
     shared = spark.sparkContext.broadcast((forest, longest))
     schema = "tree int, leaf int, id long, vec array<double>"
     asked = rows.where("asks").select("id", "vec").mapInArrow(_visits(shared, dim, visits), schema)
@@ -198,3 +218,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     found = met.mapInArrow(_answers(dim, k), "query_id long, vec_id long, score double").distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _forest(points: np.ndarray, n: int, k: int, trees: int, leaves: int | None, visits: int | None, recall: float, rng: np.random.Generator) -> tuple[list[Tree], int]:
+    """The trees, and how many leaves a query visits: as told, or the cheapest of those tried for n rows."""
+    grown = lambda count: [grow(points, max(1, -(-len(points) // count)), rng) for _ in range(trees)]
+    if leaves and visits:
+        return grown(leaves), visits
+    queries = rng.choice(len(points), min(TRIALS, len(points)), replace=False) if len(points) else []
+    best = None
+    for count in (leaves,) if leaves else LEAVES:
+        if best and len(points) < FEWEST * count:
+            break
+        forest = grown(count)
+        need = max(trees, visits or trial(forest, points, queries, k, recall))
+        price = need * (n / count + WAY)
+        if best is None or price < best[0]:
+            best = (price, forest, need)
+    return best[1], best[2]
