@@ -276,18 +276,3 @@ def test_pii_spaced_values_and_short_labels(spark):
     for i, t in enumerate(new):
         assert got[f"v{i}x Tel: {t}, 2nd{i}"] == f"phone:9:{9 + len(t)}"
     assert got[f"u Tel: ({new[3]}) z"] == "phone:8:18" and got["t Tel: 555 123 4567 2nd s"] == "phone:7:19" and got["9 " * 5000] == ""
-
-
-def test_pipeline(spark, tmp_path):
-    import corpus_pipeline
-
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontamination", "personal_data", "packing"]
-    kept = docs
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        kept = stage(spark, kept, SF)
-        assert kept.columns == docs.columns
-    ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
-    leaks = {r["doc_id"] for r in benchmark_overlap(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
-    twins = {r["doc_id"] for r in jaccard_classes(docs).where("component_id <> doc_id").collect()}
-    assert ids == {r["doc_id"] for r in docs.collect()} - leaks - twins
