@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship
-from driftlake.llm.words import AS_IS, PUNCT, Block, mix, powers, text_blocks
+from driftlake.llm.words import AS_IS, PUNCT, Block, mix, powers, text_blocks, tidy
 
 #: The bounds of a model: labelled documents of a language that it is fitted on (about), words kept of each, and numbers
 #: in its table of words by languages, which lessens the words kept of each where there are many languages.
@@ -72,6 +72,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     for k in range(1, LONGEST + 1):
         word, start = _places(starts, ends, k)
         grams.append(_logs(_gram_keys(letters, start, k), of[word], n[word], len(langs)))
+    del top, names, word, start, letters
+    tidy()
     return Model(langs, keys, scores, grams)
 
 

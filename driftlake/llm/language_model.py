@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlake.llm.scratch import ship, write_shared
-from driftlake.llm.words import LOWER, WHITE, Block, signed, text_blocks
+from driftlake.llm.words import LOWER, WHITE, Block, signed, text_blocks, tidy
 
 #: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words and
 #: grams whose scores tasks hold, at most.
@@ -438,6 +438,8 @@ def score_documents(docs: DataFrame, train, id_col: str = "doc_id", text_col: st
     held_words = spark.sparkContext.broadcast(Held(keys, np.log10((n + 0.1) / bottom)))
     keys, _, tree = _commonest(trees, hot_grams, "tree")
     held_grams = spark.sparkContext.broadcast(Held(keys, tree))
+    del keys, n, tree
+    tidy()
     parts = write_shared(texts.mapInArrow(_sums(held_words, held_grams, unseen), _SCHEMA), "sums")
     base = F.log10((F.col("n") + 0.1) / F.lit(float(bottom)))
     values = words.select(F.lit(WORD).cast("tinyint").alias("kind"), "key", (F.col("n") > 0).cast("long").alias("seen"), base.alias("one"))

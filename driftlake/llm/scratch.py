@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake.llm.words import xxhash64
+from driftlake.llm.words import tidy, xxhash64
 
 #: Bits of a filter: eight for each key, at least 2**LEAST_BITS and at most 2**MOST_BITS (32 MB, 3 * 10**7 keys; a fuller one
 #: lets more rows through to the exact step behind it, and loses none).
@@ -79,6 +79,8 @@ def bitmap(df: DataFrame, key: Column) -> np.ndarray:
     rows = rows.agg(F.bit_or("bit").alias("bits")).toArrow()
     bits = np.zeros(1 << (size - 6), np.uint64)
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    del rows
+    tidy()
     return bits
 
 

@@ -87,11 +87,10 @@ def _trim():
         return lambda _: 0
 
 
-def tidy(n_rows: int) -> None:
-    """Give memory that a batch of many rows has left unused back to the system: several workers share an executor with its JVM."""
-    if n_rows >= 500:
-        pa.default_memory_pool().release_unused()
-        _trim()(0)
+def tidy() -> None:
+    """Give unused memory back to the system: workers share an executor, and the driver's Python its machine, with a JVM."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
 
 
 def text_blocks(batch: pa.RecordBatch, name: str = "text", **how) -> Iterator[Block]:
@@ -116,7 +115,8 @@ def text_blocks(batch: pa.RecordBatch, name: str = "text", **how) -> Iterator[Bl
         to = min(to, n)
         yield Block(at, data[offs[at] : offs[to]], offs[at : to + 1] - offs[at], **how)
         at = to
-    tidy(n)
+    if n >= 500:
+        tidy()
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
