@@ -23,8 +23,9 @@ def final_messages(events: DataFrame) -> DataFrame:
 
     Of each message, in order of seq (then kind, role and text, so that ties have one order): `delta` appends its text,
     `edit` sets the text, `regenerate` empties it, `delete` removes the message unless something follows. The role is
-    that of the last event that has one. Null texts are empty; unknown kinds and nulls of kind count as delta. Only one
-    message's events meet in a row.
+    that of the last event that has one. Null texts are empty; unknown kinds and nulls of kind count as delta; events of null
+    conv_id or message are those of one more conversation or message; rows that repeat are events of their own; an empty log has
+    no messages. Other columns of the log are left out. Only one message's events meet in a row.
     """
     reset = F.col("kind").isin("edit", "regenerate", "delete")
     w = Window.partitionBy("conv_id", "message").orderBy("seq", "kind", "role", "text")

@@ -287,7 +287,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distance is never above the sets') allow a link; those of one component need no comparison with each other.
 
     Words are lower-cased (A-Z) runs of characters other than space and \\x09-\\x0D. A document of fewer than k words has
-    all of them as its one shingle; null or empty text has no shingles and no links. A null id takes no part. Returns
+    all of them as its one shingle; null or empty text has no shingles and no links. A null id takes no part. Rows that repeat are
+    one document; of an id with several texts each row has the class of its own set, and the id stands for any of them when classes
+    are compared. Empty tables give no rows; texts of any length are read whole. Returns
     id, n_shingles, component_id (smallest id reachable, itself included), a row for each row of docs.
     """
     spark = docs.sparkSession

@@ -188,7 +188,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Nothing is dropped: the bitmap of shared runs only ever lets too many windows through. Words are runs of
     characters other than space and \\x09-\\x0D, unchanged. Null text counts as empty; a null id takes no part and loses
-    nothing. Rows that repeat an id are taken for one document. Returns id, n_words, kept_text (kept words joined by one space) and
+    nothing. Rows that repeat an id are taken for one document, and windows found in any of its texts are cut from each. An empty
+    table gives no rows; texts of any length are read whole. Returns id, n_words, kept_text (kept words joined by one space) and
     removed (intervals of words, end exclusive), a row for each row of docs.
     """
     spark = docs.sparkSession
