@@ -27,7 +27,7 @@ LOGS = {
     "policy_refs": f"SELECT {_WHERE.format('ref_database', 'ref_schema', 'ref_table')}, {_COLUMN} AS ref_column, concat('mask_', CAST(p_size % 10 AS STRING)) AS policy_name, CASE WHEN p_size % 8 = 0 THEN 'ROW_ACCESS_POLICY' ELSE 'MASKING_POLICY' END AS policy_kind, concat('U', CAST(p_size % 3 AS STRING)) AS policy_owner, CASE WHEN p_partkey % 29 = 0 THEN {_DAY.format('p_size')} END AS deleted FROM {{part}} WHERE p_partkey % 4 < 2",
     "policies": f"SELECT DISTINCT concat('mask_', CAST(p_size AS STRING)) AS name, {_DAY.format('p_size')} AS created, CASE WHEN p_size % 6 = 5 THEN {_DAY.format('p_size')} END AS deleted FROM {{part}}",
     "users": f"SELECT concat('U', CAST(c_custkey AS STRING)) AS name, {_DAY.format('c_custkey')} AS created_on, CASE WHEN c_custkey % 10 = 0 THEN {_DAY.format('c_nationkey')} END AS deleted_on, c_acctbal < 0 AS disabled, concat('ROLE_', CAST(c_nationkey AS STRING)) AS default_role FROM {{customer}}",
-    "logins": f"SELECT event_id, {_U} AS user_name, concat('10.0.0.', CAST(user_id % 50 AS STRING)) AS client_ip, CASE WHEN event_type = 'error' THEN 'NO' ELSE 'YES' END AS is_success, ts FROM {{events}}",
+    "logins": f"SELECT event_id, {_U} AS user_name, concat('10.0.0.', CAST(user_id % 6 AS STRING)) AS client_ip, CASE WHEN event_type = 'error' THEN 'NO' ELSE 'YES' END AS is_success, ts FROM {{events}}",
     "exceptions": f"SELECT o_orderkey AS exception_id, concat('ROLE_', CAST(o_custkey AS STRING)) AS role_name, concat('U', CAST(o_custkey % 100 AS STRING)) AS grantee, o_orderstatus <> 'P' AS is_active, {_DAY.format('o_orderkey')} AS granted_on, CAST('2024-01-25' AS TIMESTAMP_NTZ) + INTERVAL '1' DAY * CAST(o_orderkey % 90 AS INT) AS expires_on FROM {{orders}}",
     "runs": f"SELECT event_id AS run_id, concat('T', CAST(user_id AS STRING)) AS table_name, concat('G', CAST(user_id % 6 AS STRING)) AS schedule_group, CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'ERROR' ELSE 'FAILED' END WHEN event_type = 'signup' THEN 'NO_DATA' ELSE 'SUCCESS' END AS status, ts AS start_time, ts + INTERVAL '1' SECOND * CAST(floor(value) AS INT) AS end_time, event_id % 100 AS n_inserted, event_id % 30 AS n_updated, event_id % 7 AS n_deleted, CASE WHEN event_type = 'error' THEN concat('error ', CAST(event_id % 4 AS STRING)) END AS error_message, CASE CAST(event_id % 4 AS INT) WHEN 0 THEN 'INSERT' WHEN 1 THEN 'UPDATE' WHEN 2 THEN 'DELETE' ELSE 'MIXED' END AS operation, CAST(event_id % 6 AS INT) AS size_class FROM {{events}}",
     "pipelines": "SELECT DISTINCT concat('T', CAST(user_id AS STRING)) AS table_name, concat('stream_', CAST(user_id AS STRING)) AS stream_name, user_id % 9 <> 0 AS is_active, CAST(30 + user_id % 400 * 20 AS INT) AS alert_minutes, CAST(user_id % 10 AS INT) AS priority FROM {events}",
