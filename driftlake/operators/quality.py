@@ -128,3 +128,32 @@ def standardize(df: DataFrame, loaded: Column, system: str) -> DataFrame:
     """Every text column trimmed, with the time of the load and the system that it came from."""
     texts = {c: F.trim(c) for c, t in df.dtypes if t == "string"}
     return df.withColumns({**texts, "load_ts": loaded, "source_system": F.lit(system)})
+
+
+def validate_log(checks: dict[str, DataFrame], at: Column) -> DataFrame:
+    """Rows of the validation log: the count of each check's findings, its status and time; for appending with the table's writer."""
+    rows = [df.agg(F.count("*").alias("n_issues")).select(F.lit(n).alias("issue"), "n_issues", F.when(F.col("n_issues") > 0, "FAILED").otherwise("PASSED").alias("status"), at.alias("checked_at")) for n, df in checks.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def referential(child: DataFrame, parent: DataFrame, key: str, parent_key: str, dates: Sequence[str] = (), dummy: int = -1, default_date: str = "1900-01-01") -> DataFrame:
+    """Rows of child with the dummy key where the parent is missing, and a default for dates that are missing."""
+    known = parent.select(F.col(parent_key).alias("__p")).distinct()
+    rows = child.join(known, F.col(key) == F.col("__p"), "left").withColumn(key, F.coalesce("__p", F.lit(dummy))).drop("__p")
+    return rows.withColumns({d: F.coalesce(d, F.lit(default_date).cast(child.schema[d].dataType)) for d in dates})
+
+
+def record_metrics(df: DataFrame, measures: dict[str, tuple[Column, float]]) -> DataFrame:
+    """Each measure's percentage (a share of rows, or of distinct values, in 0 to 1) and whether it reaches its threshold."""
+    wide = df.agg(*[F.round(100.0 * share, 2).alias(n) for n, (share, _) in measures.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("pct"), F.lit(float(least)).alias("threshold"), (F.col(n) >= least).alias("passed")) for n, (_, least) in measures.items()])
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def source_target_match(source: DataFrame, target: DataFrame, source_ts: str, target_ts: str) -> DataFrame:
+    """How much of the source the target has, HEALTHY from 99 %, WARNING from 95 %, and how many minutes it lags behind."""
+    both = source.agg(F.count("*").alias("source_rows"), F.max(source_ts).alias("s")).crossJoin(target.agg(F.count("*").alias("target_rows"), F.max(target_ts).alias("t")))
+    pct = F.when(F.col("source_rows") > 0, F.round(100.0 * F.col("target_rows") / F.col("source_rows"), 2)).otherwise(100.0)
+    lag = F.timestamp_diff("MINUTE", F.date_trunc("minute", "t"), F.date_trunc("minute", "s"))
+    rows = both.select("source_rows", "target_rows", pct.alias("pct"), lag.alias("lag_minutes"))
+    return rows.withColumn("status", F.when(F.col("pct") >= 99, "HEALTHY").when(F.col("pct") >= 95, "WARNING").otherwise("CRITICAL"))

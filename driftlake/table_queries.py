@@ -558,3 +558,43 @@ def dq_relationships(spark, sf):
 def silver_standardize(spark, sf):
     c = scan(spark, sf, "customer").select("c_custkey", F.concat(F.lit("  "), F.upper("c_name"), F.lit(" ")).alias("c_name"), "c_mktsegment", "c_nationkey")
     return quality.standardize(c, _at(), "ERP")
+
+
+_CHECKS = "SELECT 'DUPLICATE_KEY' AS issue, count(*) AS n_issues FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL SELECT 'MISSING_SEGMENT', count(*) FILTER (c_mktsegment = 'BUILDING') FROM customer UNION ALL SELECT 'NEGATIVE_PRICE', count(*) FILTER (o_totalprice < 0) FROM orders"
+
+
+@add(f"SELECT issue, n_issues, CASE WHEN n_issues > 0 THEN 'FAILED' ELSE 'PASSED' END AS status, d AS checked_at FROM ({_CHECKS}), (SELECT unnest([TIMESTAMP '2024-06-01', TIMESTAMP '2024-06-02']) AS d)")
+def dq_validate_log(spark, sf):
+    """Two runs of the checks, appended to one log."""
+    checks = {"DUPLICATE_KEY": scan(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").count().where("count > 1"), "MISSING_SEGMENT": scan(spark, sf, "customer").where("nullif(c_mktsegment, 'BUILDING') is null"), "NEGATIVE_PRICE": scan(spark, sf, "orders").where("o_totalprice < 0")}
+    at = io.work_dir(spark, "validation")
+    for day in ("2024-06-01", "2024-06-02"):
+        io.write_table(quality.validate_log(checks, _at(day)), at, "append")
+    return spark.read.parquet(at)
+
+
+@add("SELECT o_orderkey, coalesce(c.c_custkey, -1) AS o_custkey, CASE WHEN o_orderkey % 8 = 0 THEN TIMESTAMP '1900-01-01' ELSE o_orderdate END AS o_orderdate FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) c ON o_custkey = c.c_custkey")
+def dq_referential(spark, sf):
+    o = scan(spark, sf, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 8 != 0, F.col("o_orderdate")).alias("o_orderdate"))
+    return quality.referential(o, scan(spark, sf, "customer").where("c_acctbal > 0"), "o_custkey", "c_custkey", ["o_orderdate"])
+
+
+@add("SELECT metric, pct, threshold, pct >= threshold AS passed FROM (SELECT 'completeness' AS metric, round(100.0 * count(*) FILTER (c_mktsegment <> 'BUILDING') / count(*), 2)::DOUBLE AS pct, 98.0::DOUBLE AS threshold FROM customer UNION ALL SELECT 'uniqueness', round(100.0 * count(DISTINCT c_custkey) / count(*), 2)::DOUBLE, 100.0 FROM customer UNION ALL SELECT 'validity', round(100.0 * count(*) FILTER (c_acctbal >= 0) / count(*), 2)::DOUBLE, 95.0 FROM customer UNION ALL SELECT 'consistency', round(100.0 * count(*) FILTER (c_nationkey BETWEEN 0 AND 24) / count(*), 2)::DOUBLE, 99.0 FROM customer)")
+def dq_record_metrics(spark, sf):
+    share = lambda c: F.count_if(c) / F.count("*")
+    measures = {"completeness": (share(F.col("c_mktsegment") != "BUILDING"), 98), "uniqueness": (F.countDistinct("c_custkey") / F.count("*"), 100), "validity": (share(F.col("c_acctbal") >= 0), 95), "consistency": (share(F.col("c_nationkey").between(0, 24)), 99)}
+    return quality.record_metrics(scan(spark, sf, "customer"), measures)
+
+
+@add("SELECT source_rows, target_rows, pct, lag_minutes, CASE WHEN pct >= 99 THEN 'HEALTHY' WHEN pct >= 95 THEN 'WARNING' ELSE 'CRITICAL' END AS status FROM (SELECT count(*) AS source_rows, count(*) FILTER (event_id % 30 <> 0 AND ts < TIMESTAMP '2024-01-30 12:00:00') AS target_rows, round(100.0 * count(*) FILTER (event_id % 30 <> 0 AND ts < TIMESTAMP '2024-01-30 12:00:00') / count(*), 2)::DOUBLE AS pct, date_diff('minute', max(ts) FILTER (event_id % 30 <> 0 AND ts < TIMESTAMP '2024-01-30 12:00:00'), max(ts)) AS lag_minutes FROM events)")
+def dq_source_target_match(spark, sf):
+    e = scan(spark, sf, "events")
+    return quality.source_target_match(e, e.where("event_id % 30 <> 0 and ts < TIMESTAMP_NTZ '2024-01-30 12:00:00'"), "ts", "ts")
+
+
+@add("SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-10-11'")
+def retention_cleanup(spark, sf):
+    """The table rewritten without the rows that are too old, and read back."""
+    at = io.work_dir(spark, "kept")
+    io.write_table(scan(spark, sf, "orders").where(F.col("o_orderdate") >= _at("2024-06-01") - F.make_dt_interval(F.lit(9000))), at)
+    return spark.read.parquet(at)
