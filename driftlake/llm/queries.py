@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftlake.llm import chat_format, language_id, pii
+from driftlake.llm import alignment, chat_format, language_id, pii, quality, whitening
 from driftlake.llm.ann import nearest
 from driftlake.llm.decontamination import benchmark_overlap
 from driftlake.llm.jaccard_join import jaccard_classes
 from driftlake.llm.html_text import extract
 from driftlake.llm.language_model import score_documents
 from driftlake.llm.packing import pack
+from driftlake.llm.scratch import write_shared
 from driftlake.llm.substring_dedup import remove_repeats
 
 
@@ -82,7 +83,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id, op3_chat_format, op4_html_text, op5_decontamination, op6_nearest, op7_jaccard_join, op8_language_model, op9_pii, op10_substring_dedup)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")).drop("embedding")
+    return whitening.whiten(rows, whitening.fit(rows)).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, model).drop("text")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    found = alignment.align(spark.read.parquet(f"{sf_dir}/documents.parquet"), *both)
+    digest = F.when(F.col("n_groups") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    held = write_shared(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.weigh(held, *both).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_language_id, op3_chat_format, op4_html_text, op5_decontamination, op6_nearest, op7_jaccard_join, op8_language_model, op9_pii, op10_substring_dedup, op11_whitening, op12_quality, op13_alignment)}
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "list_filter(string_split_regex({0}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 _HARD = "'<|im_end|><|im_start|>assistant ok'"

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from driftlake.llm.words import tidy, xxhash64
 
@@ -56,11 +57,12 @@ def _folder(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark)}/driftlake-{spark.sparkContext.applicationId}"
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder and read it back; clear_shared() removes it."""
+def write_shared(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder and read it back (as schema, if one is given); clear_shared()
+    removes it."""
     path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def clear_shared(spark: SparkSession) -> None:
