@@ -395,8 +395,9 @@ def _count(same: np.ndarray, n_b: int):
         n = 0
 
         def rows(keys: np.ndarray, counts: np.ndarray, vector: np.ndarray | None = None) -> pa.RecordBatch:
-            k = 0 if vector is None else 1
-            sums = pa.array([None] * len(keys) + [vector.tobytes()] * k, pa.binary())
+            mine = [] if vector is None else [vector.tobytes()]
+            k = len(mine)
+            sums = pa.array([None] * len(keys) + mine, pa.binary())
             none = [pa.nulls(k, pa.int64())] if k else []
             cols = [pa.concat_arrays([pa.array(x, pa.int64()), *none]) for x in (keys, counts)]
             return pa.RecordBatch.from_arrays([*cols, sums], ["pair", "n", "vector"])
