@@ -2,118 +2,39 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
-from driftlake.operators.cdc import cdc_merge, cdc_recovery_merge
+from driftlake.operators.cdc import initial_snapshot
 from driftlake.operators.history import latest
+from driftlake.sources.versioned import VersionedTable
 
 
-class VersionedTable:
-    """A keyed table in buckets by a hash of the keys; a version is a manifest that names the folder of every bucket.
-
-    A change writes only the buckets that it touches and then its manifest, at once; readers and a repeated batch see the
-    version before until then. The manifest also keeps the last batch of each stream that the table has taken in."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
-        self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
-        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self._fs = self._at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
-
-    def versions(self) -> list[int]:
-        if not self._fs.exists(self._at("manifests")):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("manifests"))]
-        return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
-
-    def version(self) -> int:
-        return max(self.versions(), default=-1)
-
-    def manifest(self, version: int | None = None) -> dict:
-        v = self.version() if version is None else version
-        if v < 0:
-            return {"parts": {}, "applied": {}, "schema": None}
-        line = self.spark.read.text(f"{self.path}/manifests/v={v}.json", wholetext=True).first()
-        return json.loads(line["value"])
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-
-    def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
-        """The table at a version (the newest), or only some buckets of it."""
-        m = self.manifest(version)
-        if m["schema"] is None:
-            raise ValueError(f"{self.path} has no version yet")
-        parts = {int(b): v for b, v in m["parts"].items() if only is None or int(b) in only}
-        schema = StructType.fromJson(m["schema"])
-        paths = [f"{self.path}/data/v={v}/bucket={b}" for b, v in sorted(parts.items())]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def write(self, df: DataFrame, only: Sequence[int] | None = None, applied: dict | None = None) -> int:
-        """The next version: df for the whole table, or for the buckets `only`; the others stay where they are."""
-        before = self.manifest()
-        n = self.version() + 1
-        df.withColumn("bucket", self.bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={n}")
-        written = [s.getPath().getName() for s in self._fs.listStatus(self._at(f"data/v={n}"))]
-        new = {int(p.split("=")[1]): n for p in written if p.startswith("bucket=")}
-        parts = new if only is None else {**{int(b): v for b, v in before["parts"].items() if int(b) not in only}, **new}
-        body = {"parts": parts, "applied": {**before["applied"], **(applied or {})}, "schema": df.schema.jsonValue()}
-        hidden = self._at(f"manifests/.v={n}.json")
-        out = self._fs.create(hidden, True)
-        out.write(bytearray(json.dumps(body).encode()))
-        out.close()
-        if not self._fs.rename(hidden, self._at(f"manifests/v={n}.json")):
-            raise OSError(f"version {n} of {self.path} is there already")
-        return n
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Remove the manifests of all but the newest versions, and the folders that none of these names."""
-        live = self.versions()[-keep:]
-        used = {v for n in live for v in self.manifest(n)["parts"].values()} | set(live)
-        for n in self.versions():
-            if n not in live:
-                self._fs.delete(self._at(f"manifests/v={n}.json"), False)
-        for s in self._fs.listStatus(self._at("data")) if self._fs.exists(self._at("data")) else []:
-            if int(s.getPath().getName()[2:]) not in used:
-                self._fs.delete(s.getPath(), True)
-
-
-def _into(table: VersionedTable, name: str, merge: Callable[[DataFrame, DataFrame, int], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: merge each batch into the buckets that it touches, once, however often it is repeated."""
+def absorb(table: VersionedTable, name: str, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: add each batch to the table, once, however often it is repeated; then tend the table's files."""
 
     def apply(batch: DataFrame, n: int) -> None:
-        if table.manifest()["applied"].get(name, -1) >= n:
-            return
-        batch = batch.persist()
-        try:
-            touched = [r[0] for r in batch.select(table.bucket().alias("b")).distinct().collect()]
-            if touched:
-                table.write(merge(table.read(only=touched), batch, n), touched, {name: n})
-        finally:
-            batch.unpersist()
+        if table.manifest()["applied"].get(name, -1) < n:
+            table.append(batch, as_of, f"BATCH_{n}", {name: n})
+            table.tend()
 
     return apply
 
 
 def stream_cdc_apply(changes: DataFrame, table: VersionedTable, checkpoint: str, trigger: dict | None = None, as_of: Column | None = None, name: str = "cdc") -> StreamingQuery:
-    """Merge every micro-batch into the table; one that is repeated after a failure changes nothing more."""
-    at = F.current_timestamp() if as_of is None else as_of
-    apply = _into(table, name, lambda old, batch, n: cdc_merge(old, batch, table.keys, at, f"BATCH_{n}"))
-    return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    """Merge every micro-batch of changes (the table's columns and order, cdc_action, cdc_is_update, row_id) into the table.
 
+    The table ends as a replay in its order would leave it, also where a key has several changes in a batch, changes come a batch
+    late or twice; a batch that is repeated after a failure changes nothing more."""
+    return changes.writeStream.foreachBatch(absorb(table, name, as_of)).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
-def stream_incremental_current(changes: DataFrame, table: VersionedTable, order: Sequence[str], checkpoint: str, trigger: dict | None = None, name: str = "current") -> StreamingQuery:
-    """Keep each key's newest row, by order, in the table."""
-    apply = _into(table, name, lambda old, batch, n: latest(old.unionByName(batch), table.keys, [F.desc(c) for c in order]))
-    return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+def stream_incremental_current(changes: DataFrame, table: VersionedTable, checkpoint: str, trigger: dict | None = None, name: str = "current") -> StreamingQuery:
+    """Keep each key's newest row, by the table's order."""
+    return changes.writeStream.foreachBatch(absorb(table, name)).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def stream_append_only(changes: DataFrame, to: str, checkpoint: str) -> StreamingQuery:
@@ -138,13 +59,14 @@ def stream_has_data_gate(changes: DataFrame, checkpoint: str, action: Callable[[
 def stream_offset_recovery(spark: SparkSession, changes: DataFrame, base: DataFrame, table: VersionedTable, checkpoint: str, as_of: Column, name: str = "cdc") -> tuple[str, StreamingQuery]:
     """Go on with a stream whose checkpoint may be lost: then the base is reloaded first, and a stream of a new name starts anew.
 
-    Status RECOVERY (reloaded) or SUCCESS; what the new stream reads again only overwrites."""
+    Status RECOVERY (reloaded) or SUCCESS; what the new stream reads again changes only what the table's order lets it. The base is
+    the source's state: where the table has an order, its columns tell which changes it has seen already."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint)
     there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
     applied = table.manifest()["applied"]
     if there or name not in applied:
         return "SUCCESS", stream_cdc_apply(changes, table, checkpoint, None, as_of, name)
-    table.write(cdc_recovery_merge(table.read(), base, table.keys, as_of, f"RECOVERY_{name}"), applied={name: -1})
+    table.append(initial_snapshot(base, table.keys), as_of, f"RECOVERY_{name}", {name: -1}, reload=True)
     return "RECOVERY", stream_cdc_apply(changes, table, checkpoint, None, as_of, name)
 
 

@@ -312,8 +312,8 @@ def _rounds(spark, sf, each):
         each(spark.readStream.schema(batch.schema).parquet(at))
 
 
-def _versioned(spark, sf):
-    table = streams.VersionedTable(spark, io.work_dir(spark, "versions"), ["o_orderkey"], 16)
+def _versioned(spark, sf, order=()):
+    table = streams.VersionedTable(spark, io.work_dir(spark, "versions"), ["o_orderkey"], order)
     table.write(_target(spark, sf))
     return table
 
@@ -322,8 +322,23 @@ _STREAMED = f"WITH {_OLD}, s AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_o
 _ROUND = "REPLACE (CASE WHEN cdc_operation = 'UPDATE' AND o_orderkey % 10 = 3 THEN 'INSERT' ELSE cdc_operation END AS cdc_operation, CASE WHEN source_load_batch_id = 'B0' THEN 'B0' WHEN o_orderkey % 10 < 2 THEN 'BATCH_0' ELSE 'BATCH_1' END AS source_load_batch_id)"
 
 
-@add(f"SELECT * {_ROUND} FROM ({_STREAMED})")
+_LOG = "log AS (SELECT event_id % 400 AS o_orderkey, event_type AS o_orderstatus, CAST(value AS DECIMAL(18,2)) AS price, ts AS o_orderdate, event_id AS seq, CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op FROM events)"
+
+
+@add(f"WITH {_OLD}, {_LOG}, p AS (SELECT o_orderkey, max(seq) AS z, min(seq) AS a FROM log WHERE op <> 'D' GROUP BY 1), c AS (SELECT o_orderkey, max(seq) AS z FROM log WHERE op = 'D' GROUP BY 1), x AS (SELECT coalesce(t.o_orderkey, p.o_orderkey) AS o_orderkey, t.o_orderkey IS NOT NULL OR p.a < p.z AS known, CASE WHEN p.z IS NULL THEN t.o_orderstatus ELSE l.o_orderstatus END AS o_orderstatus, CASE WHEN p.z IS NULL THEN t.price ELSE l.price END AS price, CASE WHEN p.z IS NULL THEN t.o_orderdate ELSE l.o_orderdate END AS o_orderdate, l.op, t.cdc_operation, p.z FROM t FULL JOIN p ON p.o_orderkey = t.o_orderkey LEFT JOIN log l ON l.seq = p.z) SELECT x.o_orderkey, x.o_orderstatus, x.price, x.o_orderdate, coalesce(c.z > coalesce(x.z, -1), false) AS is_deleted, CASE WHEN c.z > coalesce(x.z, -1) THEN 'DELETE' WHEN x.z IS NULL THEN x.cdc_operation WHEN x.op = 'U' AND x.known THEN 'UPDATE' ELSE 'INSERT' END AS cdc_operation FROM x LEFT JOIN c ON c.o_orderkey = x.o_orderkey")
 def stream_cdc_apply(spark, sf):
+    """Many changes a key in and across three batches, of which the second comes late and the third repeats old ones."""
+    log = scan(spark, sf, "events").selectExpr("event_id % 400 AS o_orderkey", "event_type AS o_orderstatus", "CAST(value AS DECIMAL(18,2)) AS price", "ts AS o_orderdate", "event_id AS seq", "CASE WHEN event_type = 'error' THEN 'DELETE' ELSE 'INSERT' END AS cdc_action", "event_type NOT IN ('signup', 'error') AS cdc_is_update", "CAST(event_id AS STRING) AS row_id")
+    table, at, check = _versioned(spark, sf, ["seq"]), io.work_dir(spark, "changes"), io.work_dir(spark, "offsets")
+    for part in ("seq % 3 <> 1", "seq % 3 = 1", "seq % 5 = 0"):
+        log.where(part).repartition(3).write.mode("append").parquet(at)
+        streams.stream_cdc_apply(spark.readStream.schema(log.schema).parquet(at), table, check, None, _at()).awaitTermination()
+    return table.read().select("o_orderkey", "o_orderstatus", "price", "o_orderdate", "is_deleted", "cdc_operation")
+
+
+@add(f"SELECT * {_ROUND} FROM ({_STREAMED})")
+def stream_cdc_batches(spark, sf):
+    """One change a key, with the batch that each came in; versions are the order."""
     table, check = _versioned(spark, sf), io.work_dir(spark, "offsets")
     _rounds(spark, sf, lambda s: streams.stream_cdc_apply(s, table, check, None, _at()).awaitTermination())
     return table.read()
@@ -354,11 +369,11 @@ def stream_has_data_gate(spark, sf):
 def stream_incremental_current(spark, sf):
     e = scan(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     at, check = io.work_dir(spark, "changes"), io.work_dir(spark, "offsets")
-    table = streams.VersionedTable(spark, io.work_dir(spark, "versions"), ["user_id"], 8)
-    table.write(e.where("event_id % 4 = 0"))
+    table = streams.VersionedTable(spark, io.work_dir(spark, "versions"), ["user_id"], ["ts", "event_id"])
+    table.write(history.latest(e.where("event_id % 4 = 0"), ["user_id"], [F.desc("ts"), F.desc("event_id")]))
     for part in ("event_id % 4 = 1", "event_id % 4 > 1"):
         e.where(part).write.mode("append").parquet(at)
-        streams.stream_incremental_current(spark.readStream.schema(e.schema).parquet(at), table, ["ts", "event_id"], check).awaitTermination()
+        streams.stream_incremental_current(spark.readStream.schema(e.schema).parquet(at), table, check).awaitTermination()
     return table.read()
 
 

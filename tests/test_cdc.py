@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftlake.operators import cdc, history
-from driftlake.streaming.apply import VersionedTable, stream_cdc_apply
+from driftlake.sources.versioned import VersionedTable
+from driftlake.streaming.apply import stream_cdc_apply
 
 
 def at(x):
