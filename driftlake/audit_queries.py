@@ -214,5 +214,15 @@ def _tree(spark, sf):
 
 
 _CLOSURE = "WITH RECURSIVE r AS (SELECT p_partkey AS role, p_partkey // 2 AS ancestor, 1 AS steps, p_partkey || ' -> ' || p_partkey // 2 AS path FROM part WHERE p_partkey > 0 UNION ALL SELECT role, ancestor // 2, steps + 1, path || ' -> ' || ancestor // 2 FROM r WHERE ancestor > 0 AND steps < 10)"
-R.add("role_hierarchy", lambda spark, sf: governance.role_hierarchy(_tree(spark, sf)), _CLOSURE.replace("p_partkey || ' -> ' || p_partkey // 2 AS path", "CAST(p_partkey AS VARCHAR) AS path") + " SELECT role, ancestor, steps, path FROM r")
+R.add("role_hierarchy", lambda spark, sf: governance.role_hierarchy(_tree(spark, sf)).drop("is_cycle"), _CLOSURE.replace("p_partkey || ' -> ' || p_partkey // 2 AS path", "CAST(p_partkey AS VARCHAR) AS path") + " SELECT role, ancestor, steps, path FROM r")
+def _knots(spark, sf):
+    """Diamonds (each role has two parents), and one edge back."""
+    part = scan(spark, sf, "part").where("p_partkey > 3")
+    up = part.selectExpr("p_partkey AS child", "explode(array(p_partkey div 2, p_partkey div 3)) AS parent")
+    return up.unionByName(part.where("p_partkey = 40").selectExpr("p_partkey div 2 AS child", "p_partkey AS parent"))
+
+
+_EDGES = "e AS (SELECT DISTINCT child, parent FROM (SELECT p_partkey AS child, unnest([p_partkey // 2, p_partkey // 3]) AS parent FROM part WHERE p_partkey > 3 UNION ALL SELECT p_partkey // 2, p_partkey FROM part WHERE p_partkey = 40))"
+R.add("role_cycles", lambda spark, sf: governance.role_hierarchy(_knots(spark, sf), 5), f"WITH RECURSIVE {_EDGES}, r AS (SELECT child AS role, parent AS ancestor, 1 AS steps, [child] AS way, child::VARCHAR AS path, child = parent AS is_cycle FROM e UNION ALL SELECT r.role, e.parent, r.steps + 1, list_append(r.way, e.child), r.path || ' -> ' || e.parent, list_contains(list_append(r.way, e.child), e.parent) FROM r JOIN e ON r.ancestor = e.child WHERE NOT r.is_cycle AND r.steps < 5) SELECT role, ancestor, steps, path, is_cycle FROM r")
+R.add("role_closure", lambda spark, sf: governance.role_closure(_knots(spark, sf)), f"WITH RECURSIVE {_EDGES}, r AS (SELECT child AS role, parent AS ancestor, 1 AS steps FROM e UNION SELECT r.role, e.parent, r.steps + 1 FROM r JOIN e ON r.ancestor = e.child WHERE r.steps < 40) SELECT role, ancestor, min(steps)::INT AS steps, role = ancestor AS is_cycle FROM r GROUP BY 1, 2")
 R.add("role_path_from", lambda spark, sf: governance.role_path_from(_tree(spark, sf).selectExpr("concat('r_db_', child) AS child", "concat('r_db_', parent) AS parent"), "r_db_150"), "WITH RECURSIVE w AS (SELECT 0 AS level, 150 AS k UNION ALL SELECT level + 1, k // 2 FROM w WHERE k > 0 AND level < 10) SELECT level, 'r_db_' || k AS role_name, CASE WHEN level = 0 THEN 'TARGET' ELSE 'ACCESS' END AS role_type FROM w WHERE EXISTS (SELECT 1 FROM part WHERE p_partkey = 150) OR level = 0")

@@ -3,27 +3,98 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftlake.sources.tables import work_dir
+
+
+#: Rows of one key that one task may sort; keys with more are parted by time.
+SORTED_ROWS = 1 << 21
+
+
+def _hot(rows: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether any key has more than SORTED_ROWS rows, from counts."""
+    return (rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > SORTED_ROWS
+
+
+def _parted(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """rows written in ranges of their keys and order, with the number of the range: a key with many rows has several, and rows of
+    one place in the order are together."""
+    path = work_dir(rows.sparkSession, "ranges")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(n, *keys, *order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def _carried(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """What each range of a key takes over from those before it: keys, `__part` and the greatest value there (`__carry`)."""
+    per = rows.groupBy(*keys, "__part").agg(F.max(value).alias("__most"))
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(*keys, "__part", F.max("__most").over(before).alias("__carry"))
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """left's columns and right's others, by keys of which nulls are equal."""
+    named = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    return left.join(named, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]), how).drop(*[f"__k{i}" for i in range(len(keys))])
+
 
 def asof_match(events: DataFrame, changes: DataFrame, keys: Sequence[str], event_id: str, event_ts: str, change_ts: str, version: Sequence[str]) -> DataFrame:
     """Each event with the greatest version among changes of its keys at or before it, else of the earliest change.
 
-    One window over both sides, by key and time: running maxima, so that hot keys make no pairs. Events without any
-    change of their keys are left out."""
+    Both sides stand in one order by key and time, and a running maximum tells, so that hot keys make no pairs. Where a key has more
+    rows than a task may sort (SORTED_ROWS), its times are parted into ranges, each takes over the maximum of those before it
+    and has a task of its own. Events without any change of their keys are left out."""
     v = F.struct(*version)
     left = events.select(*keys, F.col(event_ts).alias("__t"), F.lit(1).alias("__side"), F.col(event_id).alias("__e"), F.lit(None).cast(changes.select(v.alias("v")).schema["v"].dataType).alias("__v"))
     right = changes.select(*keys, F.col(change_ts).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(events.schema[event_id].dataType).alias("__e"), v.alias("__v"))
-    w = Window.partitionBy(*keys).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    rows = left.unionByName(right).withColumn("__m", F.max("__v").over(w)).withColumn("__first", F.min(F.when(F.col("__side") == 0, F.col("__t"))).over(whole))
-    rows = rows.withColumn("__f", F.max(F.when((F.col("__side") == 0) & (F.col("__t") == F.col("__first")), F.col("__v"))).over(whole))
+    rows = left.unionByName(right)
+    back = lambda by: Window.partitionBy(*by).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if _hot(rows, keys):
+        rows = _parted(rows, keys, ["__t", "__side"])
+        first = rows.where("__side = 0 and __t is not null").groupBy(*keys, "__t").agg(F.max("__v").alias("__v")).groupBy(*keys).agg(F.min_by("__v", "__t").alias("__f"), F.min("__t").alias("__first"))
+        carry = _carried(rows, keys, "__v")
+        carry = _beside(carry, first, keys)
+        rows = rows.withColumn("__m", F.max("__v").over(back([*keys, "__part"])))
+        rows = _beside(rows, carry, [*keys, "__part"]).withColumn("__m", F.greatest("__m", "__carry"))
+    else:
+        whole = Window.partitionBy(*keys)
+        rows = rows.withColumn("__m", F.max("__v").over(back(keys))).withColumn("__first", F.min(F.when(F.col("__side") == 0, F.col("__t"))).over(whole))
+        rows = rows.withColumn("__f", F.max(F.when((F.col("__side") == 0) & (F.col("__t") == F.col("__first")), F.col("__v"))).over(whole))
     best = F.coalesce("__m", "__f")
     return rows.where("__side = 1 and __first is not null").select(*keys, F.col("__e").alias(event_id), F.col("__t").alias(event_ts), *[best[c].alias(f"matched_{c}") for c in version])
 
 
+def orphan_match(events: DataFrame, changes: DataFrame, on: dict[str, str], event_id: str, event_ts: str, change_ts: str, rank: tuple[str, str], carry: Sequence[str] = (), within: Sequence[str] = ()) -> DataFrame:
+    """Events with the change that has exactly their time and equal columns of on (event's: change's), or with nulls if there is none.
+
+    Of several the greatest id stays, and of that the greatest version (rank: id and version); a null one only among nulls. A change is
+    left aside whose own time, carry[0], is after the event, unless it is the least of all changes that events of the same
+    `within` columns met (all columns of on, if none are named). Ties stay side by side, and so do repeated rows."""
+    ident, version = rank
+    e = events.withColumn("__row", F.monotonically_increasing_id())
+    # the number must hold from one use to the next
+    path = work_dir(events.sparkSession, "orphans")
+    e.write.parquet(path)
+    e = events.sparkSession.read.schema(e.schema).parquet(path)
+    columns = list(dict.fromkeys([ident, version, *carry]))
+    c = changes.select(*[F.col(v).alias(f"__c{i}") for i, v in enumerate(on.values())], F.col(change_ts).alias("__ct"), *[F.col(x).alias(f"matched_{x}") for x in columns])
+    equal = reduce(Column.__and__, [F.col(k) == F.col(f"__c{i}") for i, k in enumerate(on)], F.col(event_ts) == F.col("__ct"))
+    met = e.join(c, equal, "left")
+    if carry:
+        own = F.col(f"matched_{carry[0]}")
+        by = list(within or on)
+        least = met.groupBy(*by).agg(F.min(own).alias("__least"))
+        met = _beside(met, least, by)
+        met = met.where(F.col(event_ts).isNull() | (F.col(event_ts) >= F.coalesce(own, F.col(event_ts))) | (own == F.col("__least")))
+    top = met.groupBy("__row").agg(F.max(F.struct(F.col(f"matched_{ident}").alias("i"), F.col(f"matched_{version}").alias("v"))).alias("__top"))
+    kept = met.join(top, "__row").where(F.col(f"matched_{ident}").eqNullSafe(F.col("__top.i")) & F.col(f"matched_{version}").eqNullSafe(F.col("__top.v")))
+    return kept.select(*events.columns, *[f"matched_{x}" for x in columns])
+
+
 def movement_legs(events: DataFrame, keys: Sequence[str], ts: str, tie: str, carry: Sequence[str], ahead: Sequence[str] = (), unknown: dict[str, object] | None = None) -> DataFrame:
     """Successive events of the same keys as legs: the earlier event's time and columns beside the later's.
 
@@ -37,8 +108,8 @@ def movement_legs(events: DataFrame, keys: Sequence[str], ts: str, tie: str, car
 def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str, ts: str, differs: tuple[str, str], leg_id: str, bucket: str = "day") -> DataFrame:
     """Legs during which no event of the same keys has another value of differs (leg's column, event's column).
 
-    A time bucket joins the keys, so that a hot key meets only what is near."""
-    span = legs.select(leg_id, *keys, start, end, F.col(differs[0]).alias("__own"), F.explode(F.sequence(F.date_trunc(bucket, start), F.date_trunc(bucket, end), F.expr(f"INTERVAL 1 {bucket}"))).alias("__b"))
+    A time bucket joins the keys, so that a hot key meets only what is near. A leg that ends before it starts has no time in it."""
+    span = legs.where(F.col(end) >= F.col(start)).select(leg_id, *keys, start, end, F.col(differs[0]).alias("__own"), F.explode(F.sequence(F.date_trunc(bucket, start), F.date_trunc(bucket, end), F.expr(f"INTERVAL 1 {bucket}"))).alias("__b"))
     near = events.select(*keys, F.col(ts).alias("__t"), F.col(differs[1]).alias("__other"), F.date_trunc(bucket, ts).alias("__b"))
     hit = span.join(near, [*keys, "__b"]).where(F.col("__t").between(F.col(start), F.col(end)) & (F.col("__own") != F.col("__other"))).select(leg_id).distinct()
     return legs.join(hit, leg_id, "left_anti")
@@ -46,13 +117,21 @@ def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], st
 
 def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Legs that lie strictly inside no other leg of the same keys: with starts in order, a running maximum of the ends of
-    those that start earlier tells. One shuffle by keys; legs of one start, or one end, don't contain each other."""
-    w = Window.partitionBy(*keys).orderBy(start)
-    before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    rows = legs.withColumns({"__m": before, "__n": F.row_number().over(w)})
-    # of legs of one start the first has seen none of the others
-    first = F.first("__m").over(Window.partitionBy(*keys, start).orderBy("__n"))
-    return rows.withColumn("__m", first).where(F.col("__m").isNull() | (F.col("__m") <= F.col(end))).drop("__m", "__n")
+    those that start earlier tells. Legs of one start, or one end, don't contain each other.
+
+    The maximum runs over the distinct starts, each with its latest end. Where a key has more of them than a task may
+    sort (SORTED_ROWS), they are parted into ranges that take over the maximum of those before."""
+    ends = legs.groupBy(*keys, start).agg(F.max(end).alias("__end"))
+    before = lambda by: F.max("__end").over(Window.partitionBy(*by).orderBy(start).rowsBetween(Window.unboundedPreceding, -1))
+    if _hot(ends, keys):
+        ends = _parted(ends, keys, [start])
+        carry = _carried(ends, keys, "__end")
+        ends = ends.withColumn("__m", before([*keys, "__part"]))
+        ends = _beside(ends, carry, [*keys, "__part"]).select(*keys, start, F.greatest("__m", "__carry").alias("__m"))
+    else:
+        ends = ends.select(*keys, start, before(keys).alias("__m"))
+    rows = _beside(legs, ends, [*keys, start], "left")
+    return rows.where(F.col("__m").isNull() | F.col(end).isNull() | (F.col("__m") <= F.col(end))).drop("__m")
 
 
 def range_zone_join(rows: DataFrame, zones: DataFrame, row_id: Sequence[str], key: str, low: str, high: str, zone_low: str, zone_high: str, span: int) -> DataFrame:

@@ -433,12 +433,36 @@ def od_subdivision_miles(spark, sf):
     return movement.od_subdivision_miles(st, br, zones, 30)
 
 
-@add("SELECT a.event_id, b.event_id AS other, b.event_type AS other_type FROM events a LEFT JOIN (SELECT *, date_trunc('day', ts) AS d FROM events WHERE event_type = 'view') b ON a.user_id = b.user_id AND date_trunc('day', a.ts) = b.d WHERE a.event_type = 'error' QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.event_id DESC NULLS LAST) = 1")
+_ORPHAN = """WITH e AS (SELECT event_id, user_id, nullif(event_id % 3, 2) AS station, date_trunc('minute', ts) AS seen FROM events WHERE event_type = 'error'),
+c AS (SELECT user_id, event_id % 3 AS station, date_trunc('minute', ts) + n * INTERVAL 3 SECOND * (event_id % 7) AS changed, date_trunc('minute', ts) AS reported, event_id // 20 * 20 AS cnst_id, event_id % 4 AS version, event_type AS status FROM events, range(0, 2) r(n) WHERE event_type <> 'error' OR event_id % 3 <> 1),
+m AS (SELECT e.*, c.cnst_id, c.version, c.changed, c.status, min(c.changed) OVER (PARTITION BY e.user_id, e.station) AS least FROM e LEFT JOIN c ON e.user_id = c.user_id AND e.station = c.station AND e.seen = c.reported),
+k AS (SELECT *, max(cnst_id) OVER (PARTITION BY event_id) AS top, max(version) OVER (PARTITION BY cnst_id, event_id) AS top_version FROM m WHERE seen >= coalesce(changed, seen) OR changed = least)
+SELECT event_id, user_id, station, seen, cnst_id AS matched_cnst_id, version AS matched_version, changed AS matched_changed, status AS matched_status FROM k WHERE coalesce(cnst_id, 0) = coalesce(top, 0) AND coalesce(version, 0) = coalesce(top_version, 0)"""
+
+
+def _orphans(spark, sf):
+    """Errors as events without a train, at a station (unknown for some); other events twice as changes, reported in the minute that
+    they happened and effective then or some seconds after."""
+    e = scan(spark, sf, "events").withColumn("seen", F.date_trunc("minute", "ts"))
+    events = e.where("event_type = 'error'").selectExpr("event_id", "user_id", "nullif(event_id % 3, 2) AS station", "seen")
+    changes = e.where("event_type <> 'error' or event_id % 3 <> 1").withColumn("n", F.explode(F.array(F.lit(0), F.lit(1))))
+    changes = changes.selectExpr("user_id", "event_id % 3 AS station", "seen + make_dt_interval(0, 0, 0, n * 3 * (event_id % 7)) AS changed", "seen AS reported", "event_id div 20 * 20 AS cnst_id", "event_id % 4 AS version", "event_type AS status")
+    return events, changes
+
+
+@add(_ORPHAN)
 def orphan_event_match(spark, sf):
-    """Events matched by key and equal time to the greatest id; those without a match stay."""
+    return movement.orphan_match(*_orphans(spark, sf), {"user_id": "user_id", "station": "station"}, "event_id", "seen", "reported", ("cnst_id", "version"), ["changed", "status"])
+
+
+@add("SELECT a.event_id, b.event_id AS other, b.event_type AS other_type FROM events a LEFT JOIN (SELECT *, date_trunc('day', ts) AS d FROM events WHERE event_type = 'view') b ON a.user_id = b.user_id AND date_trunc('day', a.ts) = b.d WHERE a.event_type = 'error' QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY b.event_id DESC NULLS LAST) = 1")
+def orphan_event_match_by_day(spark, sf):
+    """Days as times; those without a match stay."""
     e = scan(spark, sf, "events").withColumn("d", F.date_trunc("day", "ts"))
-    best = e.where("event_type = 'view'").groupBy("user_id", "d").agg(F.max(F.struct("event_id", "event_type")).alias("b"))
-    return e.where("event_type = 'error'").join(best, ["user_id", "d"], "left").select("event_id", F.col("b.event_id").alias("other"), F.col("b.event_type").alias("other_type"))
+    views = e.where("event_type = 'view'").withColumn("version", F.lit(0))
+    met = movement.orphan_match(e.where("event_type = 'error'").select("event_id", "user_id", "d"), views, {"user_id": "user_id"}, "event_id", "d", "d", ("event_id", "version"), within=["user_id"])
+    kinds = views.select(F.col("event_id").alias("matched_event_id"), F.col("event_type").alias("other_type"))
+    return met.join(kinds, "matched_event_id", "left").select("event_id", F.col("matched_event_id").alias("other"), "other_type")
 
 
 # --- sales ---

@@ -209,3 +209,47 @@ def test_watermark_without_new_rows_stays(spark):
     rows, after = cdc.watermark_advance(spark.createDataFrame([(1, T)], "id int, ts timestamp"), "ts", marks, "t")
     assert rows.count() == 0 and after.collect()[0]["watermark"] == T
     assert json.dumps(sorted(after.columns)) == '["table_name", "watermark"]'
+
+
+def test_hot_keys_are_parted_by_time(spark, monkeypatch):
+    """As-of matches and containment with a key of many times over what a task may sort: the same rows as in one window."""
+    rng = random.Random(2)
+    events = spark.createDataFrame([(i, None if i % 50 == 0 else 1 if i % 3 else i % 5, rng.randrange(400)) for i in range(600)], "e int, k int, t int")
+    changes = spark.createDataFrame([(rng.randrange(90), None if i % 50 == 0 else 1 if i % 4 else i % 5, rng.randrange(-20, 400) if i % 40 else None) for i in range(500)], "v int, k int, c int")
+    legs = events.selectExpr("e", "k", "t AS s", "t + e % 60 AS z")
+    run = lambda: (sorted(map(repr, movement.asof_match(events, changes, ["k"], "e", "t", "c", ["v"]).collect())), sorted(map(repr, movement.anti_contained(legs, ["k"], "s", "z").collect())))
+    whole = run()
+    monkeypatch.setattr(movement, "SORTED_ROWS", 20)
+    assert run() == whole and all(whole)
+    rows = legs.collect()
+    inside = {r["e"] for r in rows for o in rows if r["k"] == o["k"] and o["s"] < r["s"] and o["z"] > r["z"]}
+    assert len(whole[1]) == len(rows) - len(inside)
+
+
+def test_legs_that_end_before_they_start_conflict_with_nothing(spark):
+    legs = spark.createDataFrame([(1, 1, T, T - datetime.timedelta(days=2), "a"), (2, 1, T, T + datetime.timedelta(days=1), "a")], "id int, k int, s timestamp, e timestamp, train string")
+    events = spark.createDataFrame([(1, T + datetime.timedelta(hours=3), "b")], "k int, t timestamp, train string")
+    assert [r["id"] for r in movement.anti_conflicting(legs, events, ["k"], "s", "e", "t", ("train", "train"), "id").collect()] == [1]
+
+
+def test_orphans_with_ties_nulls_and_repeated_rows(spark):
+    at = lambda h: T + datetime.timedelta(hours=h)
+    events = spark.createDataFrame([(1, "a", "s", at(5)), (1, "a", "s", at(5)), (2, "a", None, at(5)), (3, "a", "s", at(6)), (4, "b", "s", at(5)), (5, "c", "s", at(5))], "id int, k string, station string, t timestamp")
+    changes = spark.createDataFrame([("a", "s", at(5), 7, 1, at(1), "old"), ("a", "s", at(5), 7, 2, at(2), "x"), ("a", "s", at(5), 7, 2, at(2), "y"), ("a", "s", at(5), 6, 9, at(1), "less"), ("b", "s", at(5), 1, 1, at(9), "late"), ("b", "s", at(5), 2, 1, at(10), "later"), ("c", None, at(5), 1, 1, at(1), "null")], "ck string, cs string, reported timestamp, cid int, version int, changed timestamp, status string")
+    got = movement.orphan_match(events, changes, {"k": "ck", "station": "cs"}, "id", "t", "reported", ("cid", "version"), ["changed", "status"]).collect()
+    assert sorted((r["id"], str(r["matched_cid"]), str(r["matched_version"]), str(r["matched_status"])) for r in got) == [(1, "7", "2", "x"), (1, "7", "2", "x"), (1, "7", "2", "y"), (1, "7", "2", "y"), (2, "None", "None", "None"), (3, "None", "None", "None"), (4, "1", "1", "late"), (5, "None", "None", "None")]
+
+
+def test_a_long_chain_of_roles(spark):
+    n = 150_000
+    edges = spark.range(n).selectExpr("id AS child", "id + 1 AS parent")
+    got = governance.role_hierarchy(edges).groupBy("steps").count().collect()
+    assert {r["steps"]: r["count"] for r in got} == {k: n - k + 1 for k in range(1, 11)}
+
+
+def test_cycles_of_roles_end_and_are_told(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("d", "d"), ("a", None)], "child string, parent string")
+    got = {(r["role"], r["ancestor"], r["steps"], r["is_cycle"]) for r in governance.role_hierarchy(edges).collect()}
+    assert got == {("a", "b", 1, False), ("a", "c", 2, False), ("a", "b", 3, True), ("b", "c", 1, False), ("b", "b", 2, True), ("c", "b", 1, False), ("c", "c", 2, True), ("d", "d", 1, True)}
+    pairs = {(r["role"], r["ancestor"], r["steps"], r["is_cycle"]) for r in governance.role_closure(edges).collect()}
+    assert pairs == {("a", "b", 1, False), ("a", "c", 2, False), ("b", "c", 1, False), ("b", "b", 2, True), ("c", "b", 1, False), ("c", "c", 2, True), ("d", "d", 1, True)}
