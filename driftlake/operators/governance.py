@@ -155,8 +155,8 @@ def suggest_pii_tag(name: Column) -> Column:
 
 
 def retention_split(df: DataFrame, date_col: str, days: int, as_of: Column) -> DataFrame:
-    """Rows young enough to keep."""
-    return df.where(F.col(date_col) >= as_of - F.expr(f"INTERVAL {days} DAYS"))
+    """Rows young enough to keep; those without a date aren't old."""
+    return df.where(F.col(date_col).isNull() | (F.col(date_col) >= as_of - F.expr(f"INTERVAL {days} DAYS")))
 
 
 def retention_log(df: DataFrame, table: str, date_col: str, days: int, as_of: Column) -> DataFrame:

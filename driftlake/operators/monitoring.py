@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from driftlake.sources.tables import united
+
 #: Hours in which an open alert of the same kind and table keeps a new one back; hours before staleness at which one is warned.
 SUPPRESSED = {"STREAM_STALE": 1, "TASK_FAILURE": 1, "STREAM_STALENESS_WARNING": 4}
 WARN_HOURS = 12
@@ -214,14 +216,14 @@ def retention_schema_run(tables: dict[str, DataFrame], pattern: str, excluded: S
     import fnmatch
 
     names = [n for n in sorted(tables) if fnmatch.fnmatchcase(n, pattern) and n not in excluded]
-    return reduce(DataFrame.unionByName, [retention_counts(n, tables[n], date_cols.get(n, ""), days, now) for n in names])
+    return united([retention_counts(n, tables[n], date_cols.get(n, ""), days, now) for n in names], "table_name string, rows_before long, rows_deleted long, rows_after long, status string")
 
 
 def retention_by_config(tables: dict[str, DataFrame], configs: Sequence[dict], now: Column, name: str | None = None) -> DataFrame:
     """The log of a run over every active config, in order, or over one of them."""
     live = [c for c in configs if c.get("active", True) and (name is None or c["name"] == name)]
     runs = [retention_schema_run(tables, c["pattern"], c.get("excluded", ()), c["date_cols"], c["days"], now).select(F.lit(c["name"]).alias("config"), "*") for c in live]
-    return reduce(DataFrame.unionByName, runs)
+    return united(runs, "config string, table_name string, rows_before long, rows_deleted long, rows_after long, status string")
 
 
 def cleanup_summary(log: DataFrame) -> DataFrame:
@@ -252,4 +254,4 @@ def backup_retention(copies: DataFrame, now: Column, days: int) -> DataFrame:
 
 def table_profile(tables: dict[str, tuple[DataFrame, dict[str, Callable]]]) -> DataFrame:
     """Figures of each table beside its name: one aggregation a table, united."""
-    return reduce(DataFrame.unionByName, [df.agg(*[f.alias(k) for k, f in figures.items()]).select(F.lit(n).alias("table_name"), "*") for n, (df, figures) in tables.items()])
+    return united([df.agg(*[f.alias(k) for k, f in figures.items()]).select(F.lit(n).alias("table_name"), "*") for n, (df, figures) in tables.items()], "table_name string")

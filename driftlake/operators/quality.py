@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftlake.sources.tables import united
+
 
 def column_metrics(df: DataFrame, column: str, ts: str | None = None, as_of: Column | None = None) -> DataFrame:
     """Null, duplicate and negative counts, and hours since the newest row where ts is given."""
@@ -85,6 +87,39 @@ def row_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], exclude: Sequence[
     return both.select(*keys, F.explode(F.coalesce(one, cells)).alias("d")).select(*keys, "d.*")
 
 
+def _digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bits: int) -> DataFrame:
+    """Count and sums of row hashes of each range of the keys' hash; nulls count, wherever they stand."""
+    of = lambda names: F.xxhash64(*[x for c in names for x in (F.col(c), F.col(c).isNull())])
+    rows = df.select(F.shiftrightunsigned(of(keys), 64 - bits).alias("bucket"), of([*keys, *columns]).alias("h"))
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("sums"), F.bit_xor("h").alias("bits"))
+
+
+#: Bits of the keys' hash in the steps of tree_diff, and ranges that are named in a filter at most.
+TREE_BITS, NAMED = (10, 20), 1 << 14
+
+
+def tree_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], exclude: Sequence[str] = (), tolerance: float = 0.0) -> DataFrame:
+    """row_diff of tables that hardly differ: only rows of differing ranges of the keys' hash meet.
+
+    Each side gives one digest a range, 1,024 of them, then 1,024 to each range whose digests differ. Equal tables move nothing
+    but digests; where very many ranges differ, the rows of the coarser ones meet."""
+    columns = [c for c in a.columns if c not in (*keys, *exclude)]
+    types = dict(a.dtypes)
+    b = b.select(*[F.col(c).cast(types[c]) if types[c] != t else F.col(c) for c, t in b.dtypes if c in (*keys, *columns)])
+    a = a.select(*keys, *columns)
+    for bits in TREE_BITS:
+        left, right = (_digests(x, keys, columns, bits) for x in (a, b))
+        apart = left.alias("l").join(right.alias("r"), "bucket", "full").where("not (l.n <=> r.n and l.sums <=> r.sums and l.bits <=> r.bits)")
+        some = [r["bucket"] for r in apart.select("bucket").limit(NAMED + 1).collect()]
+        if len(some) > NAMED:
+            break
+        keyed = F.shiftrightunsigned(F.xxhash64(*[x for c in keys for x in (F.col(c), F.col(c).isNull())]), 64 - bits)
+        a, b = (x.where(keyed.isin(some) if some else F.lit(False)) for x in (a, b))
+        if not some:
+            break
+    return row_diff(a, b, keys, (), tolerance)
+
+
 def recon_hash_text(df: DataFrame, columns: Sequence[str], sep: str = "|") -> DataFrame:
     """The same of a canonical text of the columns, so that other engines can count it too: 56 bits of each row's MD5, summed."""
     row = F.md5(F.concat_ws(sep, *[F.col(c).cast("string") for c in columns]))
@@ -94,13 +129,13 @@ def recon_hash_text(df: DataFrame, columns: Sequence[str], sep: str = "|") -> Da
 
 def recon_rules(rules: dict[str, str], **tables: DataFrame) -> DataFrame:
     """Users' SQL, each of whose rows breaks its rule, over named tables ({name}): violations of each rule, and whether there are none."""
-    spark = next(iter(tables.values())).sparkSession
+    spark = SparkSession.active()
 
     def one(name: str, sql: str) -> DataFrame:
         used = {t: df for t, df in tables.items() if f"{{{t}}}" in sql}
         return spark.sql(sql, **used).agg(F.count("*").alias("violations")).select(F.lit(name).alias("rule"), "violations", (F.col("violations") == 0).alias("passed"))
 
-    return reduce(DataFrame.unionByName, [one(n, s) for n, s in rules.items()])
+    return united([one(n, s) for n, s in rules.items()], "rule string, violations long, passed boolean")
 
 
 def recon_counts_union(tables: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
@@ -111,7 +146,7 @@ def recon_counts_union(tables: dict[str, tuple[DataFrame, DataFrame, DataFrame]]
         rows = reduce(DataFrame.union, [df.select(F.lit(s).alias("side")) for s, df in zip(sides, dfs, strict=True)])
         return rows.agg(*[F.count_if(F.col("side") == s).alias(s) for s in sides]).select(F.lit(name).alias("table_name"), *sides)
 
-    return reduce(DataFrame.unionByName, [one(n, d) for n, d in tables.items()])
+    return united([one(n, d) for n, d in tables.items()], "table_name string, source_rows long, stream_rows long, target_rows long")
 
 
 def pipeline_health(tables: dict[str, tuple[DataFrame, str, str, str]], now: Column) -> DataFrame:
@@ -121,7 +156,7 @@ def pipeline_health(tables: dict[str, tuple[DataFrame, str, str, str]], now: Col
         since = F.timestamp_diff("MINUTE", F.date_trunc("minute", F.max(ts)), F.date_trunc("minute", now))
         return df.agg(F.count("*").alias("n"), F.countDistinct(key).alias("keys"), F.count_if(F.col(key).isNull()).alias("null_keys"), F.count_if(F.col(amount) < 0).alias("negatives"), since.alias("minutes_since_refresh")).select(F.lit(name).alias("t"), "*")
 
-    return reduce(DataFrame.unionByName, [one(n, *t) for n, t in tables.items()])
+    return united([one(n, *t) for n, t in tables.items()], "t string, n long, keys long, null_keys long, negatives long, minutes_since_refresh long")
 
 
 def standardize(df: DataFrame, loaded: Column, system: str) -> DataFrame:
@@ -133,7 +168,7 @@ def standardize(df: DataFrame, loaded: Column, system: str) -> DataFrame:
 def validate_log(checks: dict[str, DataFrame], at: Column) -> DataFrame:
     """Rows of the validation log: the count of each check's findings, its status and time; for appending with the table's writer."""
     rows = [df.agg(F.count("*").alias("n_issues")).select(F.lit(n).alias("issue"), "n_issues", F.when(F.col("n_issues") > 0, "FAILED").otherwise("PASSED").alias("status"), at.alias("checked_at")) for n, df in checks.items()]
-    return reduce(DataFrame.unionByName, rows)
+    return united(rows, "issue string, n_issues long, status string, checked_at timestamp_ntz")
 
 
 def referential(child: DataFrame, parent: DataFrame, key: str, parent_key: str, dates: Sequence[str] = (), dummy: int = -1, default_date: str = "1900-01-01") -> DataFrame:

@@ -323,7 +323,6 @@ both("scan_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} WHE
 both("silver_lineitem_net", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(1 - l_discount AS DECIMAL(4,2)) * CAST(1 + l_tax AS DECIMAL(4,2)), 2) AS DOUBLE) AS net_amount FROM {lineitem}")
 both("incremental_window_filter", "SELECT event_id, ts FROM {events} WHERE ts >= TIMESTAMP_NTZ '2024-01-05' AND ts < TIMESTAMP_NTZ '2024-01-12'", "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")
 both("lookback_window_filter", "SELECT event_id, ts FROM {events} WHERE ts >= TIMESTAMP_NTZ '2024-01-20' - INTERVAL 10 DAY", "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-20' - INTERVAL 10 DAY")
-both("immutable_split", "SELECT event_id, ts >= TIMESTAMP_NTZ '2024-01-20' - INTERVAL 1 DAY AS is_mutable FROM {events}", "SELECT event_id, ts >= TIMESTAMP '2024-01-20' - INTERVAL 1 DAY AS is_mutable FROM events")
 both("event_code_filter", "SELECT event_id, event_type FROM {events} WHERE event_type IN ('view', 'click') AND event_type <> 'error'")
 both("conditional_decode", "SELECT event_id, CASE WHEN event_type = 'view' THEN user_id WHEN event_type = 'click' THEN -1 ELSE -2 END AS place FROM {events}")
 both("null_default", "SELECT c_custkey, coalesce(nullif(c_mktsegment, 'BUILDING'), 'UNKNOWN') AS segment, coalesce(nullif(c_nationkey, 3), -999999) AS nation FROM {customer}")

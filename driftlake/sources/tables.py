@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import re
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,28 +77,68 @@ def clean_names(names: list[str]) -> list[str]:
     return out
 
 
-def load_delimited_batch(spark: SparkSession, pattern: str, sep: str = ",") -> DataFrame:
-    """Delimited files with a header, as text, with clean and unique column names."""
-    df = spark.read.option("header", True).option("sep", sep).csv(pattern)
-    return df.toDF(*clean_names(df.columns))
+def delimited_layouts(spark: SparkSession, pattern: str, sep: str = ",") -> list[tuple[list[str], list[str]]]:
+    """The files of a pattern by their header, in order of the files: clean and unique column names, and the files that have them.
+
+    Only each file's first line is read; files without one have no layout."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    found: dict[tuple[str, ...], list[str]] = {}
+    some = list(fs.globStatus(path) or [])
+    if not some:
+        raise FileNotFoundError(pattern)
+    for s in sorted(some, key=lambda s: s.getPath().toString()):
+        if s.isDirectory() or s.getPath().getName()[:1] in "._":
+            continue
+        reader = sc._jvm.java.io.BufferedReader(sc._jvm.java.io.InputStreamReader(fs.open(s.getPath()), "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line:
+            header = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep))
+            found.setdefault(tuple(clean_names(header)), []).append(s.getPath().toString())
+    return [(list(names), files) for names, files in found.items()]
+
+
+def load_delimited_batch(spark: SparkSession, pattern: str, sep: str = ",", layouts: list | None = None) -> DataFrame:
+    """Delimited files with a header each, as text, with clean and unique column names.
+
+    Files of one header are read together by its names, and the groups are united by name: columns may stand in any order, and those that
+    a file doesn't have are null. Columns stand as the files first have them."""
+    parts = []
+    for names, files in delimited_layouts(spark, pattern, sep) if layouts is None else layouts:
+        schema = StructType([StructField(n, StringType()) for n in names])
+        parts.append(spark.read.schema(schema).option("header", True).option("sep", sep).csv(files))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else spark.createDataFrame([], "nothing string").drop("nothing")
 
 
 def load_delimited(spark: SparkSession, patterns: dict[str, str], to: str, mode: str = "overwrite", sep: str = ",") -> DataFrame:
-    """Load the files of each pattern into the table `to`/name; the load log: table_name, n_rows, n_columns, status and message.
+    """Load the files of each pattern into the table `to`/name; the load log: table_name, n_rows, n_columns, status and message, which
+    tells which columns some of the files lack.
 
     One load that fails, say for files that aren't there, doesn't stop the others."""
     rows = []
     for name, pattern in patterns.items():
         try:
-            df = load_delimited_batch(spark, pattern, sep)
+            layouts = delimited_layouts(spark, pattern, sep)
+            df = load_delimited_batch(spark, pattern, sep, layouts)
             write_table(df, f"{to}/{name}", mode)
             written = spark.read.schema(df.schema).parquet(f"{to}/{name}")
-            rows.append((name, written.count(), len(df.columns), "SUCCESS", None))
+            lacking = {c: sum(len(files) for names, files in layouts if c not in names) for c in df.columns}
+            told = ", ".join(f"{c} missing in {n} file{'s' * (n > 1)}" for c, n in lacking.items() if n)
+            rows.append((name, written.count(), len(df.columns), "SUCCESS", told or None))
         except Exception as e:  # noqa: BLE001
             rows.append((name, 0, 0, "FAILED", type(e).__name__))
     return spark.createDataFrame(rows, "table_name string, n_rows long, n_columns int, status string, message string")
 
 
+def united(parts: list[DataFrame], schema: str) -> DataFrame:
+    """The parts' rows; without parts none, of the schema."""
+    return reduce(DataFrame.unionByName, parts) if parts else SparkSession.active().createDataFrame([], schema)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: list[str] | None = None) -> None:
     """mode: overwrite, append, or error where the table is there."""
     w = df.write.mode(mode)

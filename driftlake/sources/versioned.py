@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from driftlake.operators.cdc import CDC_COLUMNS, null_key_filter
+from driftlake.sources.manifests import Manifests
 
 #: Rows of a bucket of the base, about, and bits of a bucket's number at most.
 BUCKET_ROWS, MOST_BITS = 1 << 20, 15
@@ -20,7 +20,7 @@ MANY, SOME = 16, 4
 LOADED, LOADED_CUT, CUT, PUT, RELOAD = range(5)
 
 
-class VersionedTable:
+class VersionedTable(Manifests):
     """A table of one row a key. A version is a manifest that names the base, the change files on it and the batches taken in.
 
     Base and change files hold states: the last put of a key with its place in the order (`_put`), and in tables with the
@@ -28,48 +28,21 @@ class VersionedTable:
     folded by the greatest place, so that it doesn't matter in which order, in how many batches or how often changes arrive: the
     result is that of a replay in their order. A write adds a file as long as its batch; reading folds it into the
     base rows of its keys. order: columns of the changes, `name` or `name type`; without one, versions are the order, and
-    within a batch puts come after deletions, then the greater row_id.
-
-    Writers use a folder of their own for every attempt, and a manifest's number can be taken once only."""
+    within a batch puts come after deletions, then the greater row_id."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS):
-        self.spark, self.path, self.keys, self.bucket_rows = spark, path, list(keys), bucket_rows
+        super().__init__(spark, path)
+        self.keys, self.bucket_rows = list(keys), bucket_rows
         self.order = [tuple(c.split(" ", 1)) if " " in c else (c, None) for c in order]
-        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self._fs = self._at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         found = self.manifest()
         if found["schema"] and (found["keys"] != self.keys or order and [n for n, _ in self.order] != [n for n, _ in found["order"]]):
             raise ValueError(f"{path} has the keys {found['keys']} in the order of {found['order']}")
 
-    def _at(self, name: str):
-        return self._hadoop.Path(f"{self.path}/{name}" if name else self.path)
-
-    def versions(self) -> list[int]:
-        if not self._fs.exists(self._at("manifests")):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("manifests"))]
-        return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
-
-    def version(self) -> int:
-        return max(self.versions(), default=-1)
-
-    def manifest(self, version: int | None = None) -> dict:
-        v = self.version() if version is None else version
-        if v < 0:
-            return {"version": -1, "base": None, "deltas": [], "applied": {}, "schema": None}
-        line = self.spark.read.text(f"{self.path}/manifests/v={v}.json", wholetext=True).first()
-        return json.loads(line["value"])
-
-    def _commit(self, body: dict) -> int:
-        n = body["version"]
-        mine = uuid.uuid4().hex
-        to, hidden = self._at(f"manifests/v={n}.json"), self._at(f"manifests/.{mine}")
-        out = self._fs.create(hidden, False)
-        out.write(bytearray(json.dumps({**body, "writer": mine}).encode()))
-        out.close()
-        if self._fs.exists(to) or not self._fs.rename(hidden, to) or self.manifest(n)["writer"] != mine:
-            raise OSError(f"version {n} of {self.path} is another writer's")
-        return n
+    def _nothing(self) -> dict:
+        return {"version": -1, "base": None, "deltas": [], "applied": {}, "schema": None}
+
+    def _folders(self, m: dict) -> set[str]:
+        return {f["at"] for f in (m["base"], *m["deltas"])}
 
     # --- states ---
 
@@ -236,18 +209,6 @@ class VersionedTable:
         rows = m["base"]["rows"] + sum(d["rows"] for d in m["deltas"])
         return self._commit({**m, "version": m["version"] + 1, "base": self._new_base(self._states(m), rows), "deltas": []})
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Remove the manifests of all but the newest versions, and the folders that none of these names. Not while others write:
-        a folder whose manifest isn't there yet goes too."""
-        live = self.versions()[-keep:]
-        used = {f["at"] for n in live for m in [self.manifest(n)] for f in (m["base"], *m["deltas"])}
-        for n in self.versions():
-            if n not in live:
-                self._fs.delete(self._at(f"manifests/v={n}.json"), False)
-        for s in self._fs.listStatus(self._at("data")) if self._fs.exists(self._at("data")) else []:
-            if s.getPath().getName() not in used:
-                self._fs.delete(s.getPath(), True)
-
 
 def _numbers(hexed: str) -> list[int]:
     """The set bits of a bitmap."""

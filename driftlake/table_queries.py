@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import functions as F
 
 from driftlake.operators import cdc, history, movement, quality, sales
 from driftlake.registry import Registry
 from driftlake.sources import tables as io
+from driftlake.sources.dated import DatedTable, drop_old_copies, retention_configs, retention_run
+from driftlake.sources.manifests import LoadedTable
 from driftlake.sources.tables import scan
+from driftlake.sources.versioned import VersionedTable
 from driftlake.streaming import apply as streams
 
 R = Registry()
@@ -313,7 +317,7 @@ def _rounds(spark, sf, each):
 
 
 def _versioned(spark, sf, order=()):
-    table = streams.VersionedTable(spark, io.work_dir(spark, "versions"), ["o_orderkey"], order)
+    table = VersionedTable(spark, io.work_dir(spark, "versions"), ["o_orderkey"], order)
     table.write(_target(spark, sf))
     return table
 
@@ -369,7 +373,7 @@ def stream_has_data_gate(spark, sf):
 def stream_incremental_current(spark, sf):
     e = scan(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
     at, check = io.work_dir(spark, "changes"), io.work_dir(spark, "offsets")
-    table = streams.VersionedTable(spark, io.work_dir(spark, "versions"), ["user_id"], ["ts", "event_id"])
+    table = VersionedTable(spark, io.work_dir(spark, "versions"), ["user_id"], ["ts", "event_id"])
     table.write(history.latest(e.where("event_id % 4 = 0"), ["user_id"], [F.desc("ts"), F.desc("event_id")]))
     for part in ("event_id % 4 = 1", "event_id % 4 > 1"):
         e.where(part).write.mode("append").parquet(at)
@@ -631,9 +635,107 @@ def dq_source_target_match(spark, sf):
     return quality.source_target_match(e, e.where("event_id % 30 <> 0 and ts < TIMESTAMP_NTZ '2024-01-30 12:00:00'"), "ts", "ts")
 
 
-@add("SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-10-11'")
+# --- tables in a folder a day ---
+_DAYS = "x AS (SELECT event_id, event_type, CASE WHEN event_id % 50 = 0 THEN NULL ELSE ts END AS ts FROM events)"
+_LIMIT = datetime.datetime(2024, 1, 15, 6)
+
+
+def _dated(spark, sf, where="true"):
+    """Events by day, some without a time."""
+    table = DatedTable(spark, io.work_dir(spark, "days"), "ts")
+    table.replace(scan(spark, sf, "events").where(where).select("event_id", "event_type", F.when(F.col("event_id") % 50 != 0, F.col("ts")).alias("ts")))
+    return table
+
+
+@add("SELECT event_id, ts >= TIMESTAMP '2024-01-20' - INTERVAL 1 DAY AS is_mutable FROM events")
+def immutable_split(spark, sf):
+    """Days that are closed, and those that a refresh reads, each from their own folders."""
+    table = DatedTable(spark, io.work_dir(spark, "days"), "ts")
+    table.replace(scan(spark, sf, "events").select("event_id", "ts"))
+    parts = table.open_split(datetime.date(2024, 1, 19))
+    return parts[0].select("event_id", F.lit(True).alias("is_mutable")).unionByName(parts[1].select("event_id", F.lit(False).alias("is_mutable")))
+
+
+@add(f"WITH {_DAYS} SELECT event_id, event_type, ts FROM x WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13'")
+def scan_days(spark, sf):
+    return _dated(spark, sf).read(first=datetime.date(2024, 1, 10), last=datetime.date(2024, 1, 12))
+
+
+@add(f"WITH {_DAYS} SELECT event_id, event_type, ts FROM x WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-15 06:00:00'")
 def retention_cleanup(spark, sf):
-    """The table rewritten without the rows that are too old, and read back."""
-    at = io.work_dir(spark, "kept")
-    io.write_table(scan(spark, sf, "orders").where(F.col("o_orderdate") >= _at("2024-06-01") - F.make_dt_interval(F.lit(9000))), at)
-    return spark.read.parquet(at)
+    """Twice: what is gone already is not deleted again."""
+    table = _dated(spark, sf)
+    for _ in range(2):
+        table.delete_before(_LIMIT)
+    return table.read()
+
+
+_GONE = "SELECT '{0}' AS table_name, count(*) AS rows_before, count(*) FILTER (ts < TIMESTAMP '2024-01-15 06:00:00') AS rows_deleted, count(*) FILTER (ts IS NULL OR ts >= TIMESTAMP '2024-01-15 06:00:00') AS rows_after, 'SUCCESS' AS status FROM x WHERE event_type = '{1}'"
+_GONE_SQL = f"WITH {_DAYS} {_GONE.format('views_log', 'view')} UNION ALL {_GONE.format('clicks_log', 'click')} UNION ALL SELECT 'customer_log', count(*), 0, count(*), 'SKIPPED' FROM customer"
+
+
+def _kept_tables(spark, sf):
+    return {"views_log": _dated(spark, sf, "event_type = 'view'"), "clicks_log": _dated(spark, sf, "event_type = 'click'"), "customer_log": scan(spark, sf, "customer"), "errors": _dated(spark, sf, "event_type = 'error'")}
+
+
+@add(_GONE_SQL)
+def retention_schema_cleanup(spark, sf):
+    """The log of a run that deletes; what the tables then hold is what the log says."""
+    tables = _kept_tables(spark, sf)
+    log = retention_run(spark, tables, 10, _LIMIT + datetime.timedelta(days=10), "*_log")
+    left = {n: t.read().count() for n, t in tables.items() if isinstance(t, DatedTable)}
+    real = F.coalesce(*[F.when(F.col("table_name") == n, F.lit(k)) for n, k in left.items()], F.col("rows_after")).cast("long")
+    return log.select("table_name", "rows_before", "rows_deleted", real.alias("rows_after"), "status")
+
+
+@add(f"SELECT 'logs' AS config, * FROM ({_GONE_SQL.replace('SELECT', 'SELECT', 1)}) WHERE table_name <> 'customer_log' UNION ALL SELECT 'errors' AS config, * FROM (WITH {_DAYS} {_GONE.format('errors', 'error')})")
+def retention_config_cleanup(spark, sf):
+    configs = [{"name": "logs", "pattern": "*_log", "excluded": ["customer_log"], "days": 10}, {"name": "off", "days": 1, "active": False}, {"name": "errors", "pattern": "err*", "days": 10}, {"name": "none", "pattern": "nothing*", "days": 1}]
+    return retention_configs(spark, _kept_tables(spark, sf), configs, _LIMIT + datetime.timedelta(days=10)).drop("message", "days_dropped", "days_rewritten")
+
+
+@add("SELECT DISTINCT '202401' || lpad((r_regionkey * 7 + 1)::VARCHAR, 2, '0') AS copy, r_regionkey < 2 AS removed FROM region")
+def backup_copies(spark, sf):
+    """A copy a week of the regions known so far; those of the first two weeks are too old."""
+    at, regions = io.work_dir(spark, "copies"), scan(spark, sf, "region")
+    dates = [f"202401{k * 7 + 1:02}" for k in sorted(r[0] for r in regions.select("r_regionkey").distinct().collect())]
+    for d in dates:
+        io.snapshot_copy(regions, at, d)
+    gone = drop_old_copies(spark, at, 14, datetime.date(2024, 1, 29))
+    left = [r[0] for r in spark.read.parquet(at).select(F.col("snapshot").cast("string")).distinct().collect()]
+    return spark.createDataFrame([(d, d in gone and d not in left) for d in dates], "copy string, removed boolean")
+
+
+# --- loads ---
+
+
+@add("SELECT event_id, ts, event_type FROM events")
+def watermark_load(spark, sf):
+    """Four loads as the source grows, of which one breaks off after its rows are written and is done again."""
+    e = scan(spark, sf, "events").select("event_id", "ts", "event_type")
+    table = LoadedTable(spark, io.work_dir(spark, "loaded"))
+    for day in ("2024-01-08", "2024-01-16", "2024-01-16", "2099-01-01"):
+        source = e.where(F.col("ts") < F.lit(day).cast("timestamp_ntz"))
+        if day == "2024-01-16":
+            table.newer(source, "events", "ts").write.parquet(f"{table.path}/data/broken-{uuid.uuid4().hex}")
+        table.load(source, "events", "ts")
+    return table.read()
+
+
+@add("SELECT c_custkey::VARCHAR AS cust_key, CASE WHEN c_custkey % 3 < 2 THEN c_name END AS name, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 3 = 2 THEN c_nationkey::VARCHAR END AS nation FROM customer")
+def load_delimited_layouts(spark, sf):
+    """Files whose columns stand in other orders, lack or have more."""
+    at, c = io.work_dir(spark, "sheets"), scan(spark, sf, "customer")
+    key, name, segment, nation = F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Segment"), F.col("c_nationkey").alias("Nation")
+    for k, columns in enumerate(([key, name], [segment, name, key], [nation, key, segment])):
+        c.where(F.col("c_custkey") % 3 == k).select(*columns).repartition(2).write.mode("append").option("header", True).csv(at)
+    return io.load_delimited_batch(spark, f"{at}/*.csv").select("cust_key", "name", "segment", "nation")
+
+
+@add("SELECT o_orderkey, CASE WHEN o_orderkey % 500 = 7 THEN '<row>' ELSE 'o_orderstatus' END AS column_name, CASE WHEN o_orderkey % 500 = 7 THEN 'present' ELSE o_orderstatus END AS source_value, CASE WHEN o_orderkey % 500 = 8 THEN o_orderstatus || '!' END AS target_value FROM orders WHERE o_orderkey % 500 IN (7, 8) OR o_orderkey % 500 = 9 AND o_orderstatus IS NOT NULL")
+def recon_tree_diff(spark, sf):
+    """A target without some rows, with other statuses, and with nulls."""
+    o = scan(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    k = F.col("o_orderkey") % 500
+    other = o.where(k != 7).withColumn("o_orderstatus", F.when(k == 8, F.concat("o_orderstatus", F.lit("!"))).when(k != 9, F.col("o_orderstatus")))
+    return quality.tree_diff(o, other, ["o_orderkey"])
