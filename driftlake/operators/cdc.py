@@ -68,16 +68,16 @@ def new_target(base: DataFrame, as_of: Column, batch_id: str) -> DataFrame:
     return base.withColumns({"cdc_operation": F.lit("INSERT"), "cdc_timestamp": as_of, "is_deleted": F.lit(False), "record_created_at": as_of, "record_updated_at": as_of, "source_load_batch_id": F.lit(batch_id)})
 
 
-def cdc_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of: Column, batch_id: str, insert_label: str = "INSERT", ordered_by: Sequence[Column] = (), reload: bool = False) -> DataFrame:
+def cdc_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of: Column, batch_id: str, insert_label: str = "INSERT", ordered_by: Sequence[Column] = (), reload: bool = False, fixed: Sequence[str] = ()) -> DataFrame:
     """The target after the batch, in one full outer join on the keys.
 
     Inserts overwrite or add rows and undo deletes; deletes only mark; old images of updates and deletes of unknown keys do
     nothing; rows of null keys are ignored; creation times stay. reload: the recovery form, which labels what it
-    overwrites RELOADED. A key's changes are reduced to one first (inserts before deletes, then ordered_by, then row_id)."""
+    overwrites RELOADED. fixed: columns that no change sets. A key's changes are reduced to one first (inserts before deletes, then ordered_by, then row_id)."""
     values = [c for c in target.columns if c not in (*keys, *CDC_COLUMNS)]
     live = null_key_filter(batch, keys).where(~((F.col("cdc_action") == "DELETE") & F.col("cdc_is_update")))
     live = cdc_dedup(live, keys, [*ordered_by, F.col("row_id").desc()], "insert_priority")
-    s = live.select(*keys, F.struct(*values, "cdc_action", "cdc_is_update").alias("s"))
+    s = live.select(*keys, F.struct(*[c for c in values if c not in fixed], "cdc_action", "cdc_is_update").alias("s"))
     t = target.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("t"))
     both = t.join(s, list(keys), "full").where("t is not null or s.cdc_action = 'INSERT'")
     put, cut, old = F.col("s.cdc_action") == "INSERT", F.col("s.cdc_action") == "DELETE", F.col("t").isNotNull()
@@ -90,7 +90,7 @@ def cdc_merge(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of: C
     now = lambda c: as_of.cast(types[c])
     return both.select(
         *keys,
-        *[F.when(put, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in values],
+        *[F.col(f"t.{c}") if c in fixed else F.when(put, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in values],
         operation.alias("cdc_operation"),
         F.when(changed, now("cdc_timestamp")).otherwise(F.col("t.cdc_timestamp")).alias("cdc_timestamp"),
         F.when(put, False).when(cut, True).otherwise(F.col("t.is_deleted")).alias("is_deleted"),
@@ -119,13 +119,22 @@ def watermark_incremental(source: DataFrame, ts: str, watermark) -> DataFrame:
 def watermark_advance(source: DataFrame, ts: str, watermarks: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Rows after the table's stored watermark (table_name, watermark), and the watermarks with the table's moved to their newest.
 
-    A table without a watermark is read whole; no new rows leave it where it is."""
-    own = watermarks.where(F.col("table_name") == table).agg(F.max("watermark").alias("__w"))
-    rows = source.crossJoin(own).where(F.col("__w").isNull() | (F.col(ts) > F.col("__w"))).drop("__w")
-    newest = rows.agg(F.max(ts).alias("n")).crossJoin(own).select(F.lit(table).alias("table_name"), F.coalesce("n", "__w").alias("watermark"))
+    The watermark is read before the rows are planned, so that their scan skips what is before it. A table without a watermark is
+    read whole; no new rows leave it where it is."""
+    kind = watermarks.schema["watermark"].dataType
+    mark = watermarks.where(F.col("table_name") == table).agg(F.max("watermark").cast("string").alias("w")).first()["w"]
+    known = F.lit(mark).cast(kind)
+    rows = source if mark is None else source.where(F.col(ts) > known)
+    newest = rows.agg(F.max(ts).alias("n")).select(F.lit(table).alias("table_name"), F.coalesce(F.col("n"), known).cast(kind).alias("watermark"))
     return rows, watermarks.where(F.col("table_name") != table).unionByName(newest)
 
 
+def exact_hash(columns: Sequence[str]) -> Column:
+    """A hash that tells nulls from empty texts, and where a text ends: every value has its length before it."""
+    text = lambda c: F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+    return F.md5(F.concat(*map(text, columns)))
+
+
 def row_hash(columns: Sequence[str], sep: str = "~") -> Column:
     return F.md5(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
@@ -136,10 +145,12 @@ def hash_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], colu
     return source.withColumn("__hash", row_hash(columns)).join(known, [*keys, "__hash"], "left_anti").drop("__hash")
 
 
-def merge_hash_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The target with the source's rows that are new or whose hash over columns differs; the others stay as they were."""
-    s = source.select(*keys, row_hash(columns).alias("__hash"), F.struct(*target.columns).alias("s"))
-    t = target.withColumn("__own", row_hash(columns)).select(*keys, "__own", F.struct(*target.columns).alias("t"))
+def merge_hash_changed(target: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str], of: Callable[[Sequence[str]], Column] = exact_hash) -> DataFrame:
+    """The target with the source's rows that are new or whose hash over columns differs; the others stay as they were.
+
+    of: exact_hash, or row_hash where hashes must be those of a log (it takes null for '', and 'a~', 'b' for 'a', '~b')."""
+    s = source.select(*keys, of(columns).alias("__hash"), F.struct(*target.columns).alias("s"))
+    t = target.withColumn("__own", of(columns)).select(*keys, "__own", F.struct(*target.columns).alias("t"))
     put = F.col("s").isNotNull() & ~F.col("__hash").eqNullSafe(F.col("__own"))
     return t.join(s, list(keys), "full").select(F.when(put, F.col("s")).otherwise(F.col("t")).alias("r")).select("r.*")
 
@@ -161,7 +172,8 @@ def cdc_merge_staged(target: DataFrame, log: DataFrame, keys: Sequence[str], seq
 
 def cdc_generic(target: DataFrame, batch: DataFrame, config: dict, as_of: Column, batch_id: str) -> DataFrame:
     """The merge as a config says: keys; columns (all others that the target has); filter, a condition on the batch; purge_owner
-    and purged, rows of which are left out; validate, to fail on null keys; insert_label."""
+    and purged, rows of which are left out; validate, to fail on null keys; insert_label. Columns of the target that the config
+    doesn't name stay as they were (null in new rows)."""
     keys = config["keys"]
     columns = config.get("columns") or [c for c in target.columns if c not in (*keys, *CDC_COLUMNS)]
     if config.get("filter"):
@@ -170,7 +182,8 @@ def cdc_generic(target: DataFrame, batch: DataFrame, config: dict, as_of: Column
         batch = purge_filter(batch, config["purge_owner"], config["purged"])
     if config.get("validate"):
         batch = stage_validation(batch, keys)
-    return cdc_merge(target.select(*keys, *columns, *CDC_COLUMNS), batch.select(*keys, *columns, *CHANGE_COLUMNS), keys, as_of, batch_id, config.get("insert_label", "INSERT"))
+    other = [c for c in target.columns if c not in (*keys, *columns, *CDC_COLUMNS)]
+    return cdc_merge(target, batch.select(*keys, *columns, *CHANGE_COLUMNS), keys, as_of, batch_id, config.get("insert_label", "INSERT"), fixed=other)
 
 
 def _as_changes(source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -115,13 +115,16 @@ def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], st
     return legs.join(hit, leg_id, "left_anti")
 
 
-def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Legs that lie strictly inside no other leg of the same keys: with starts in order, a running maximum of the ends of
+def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str, among: DataFrame | None = None) -> DataFrame:
+    """Legs that lie strictly inside no other leg (of among, if given) of the same keys: with starts in order, a running maximum of the ends of
     those that start earlier tells. Legs of one start, or one end, don't contain each other.
 
     The maximum runs over the distinct starts, each with its latest end. Where a key has more of them than a task may
     sort (SORTED_ROWS), they are parted into ranges that take over the maximum of those before."""
-    ends = legs.groupBy(*keys, start).agg(F.max(end).alias("__end"))
+    others = legs.select(*keys, start, F.col(end).alias("__z"))
+    if among is not None:
+        others = others.withColumn("__z", F.lit(None).cast(legs.schema[end].dataType)).unionByName(among.select(*keys, start, F.col(end).alias("__z")))
+    ends = others.groupBy(*keys, start).agg(F.max("__z").alias("__end"))
     before = lambda by: F.max("__end").over(Window.partitionBy(*by).orderBy(start).rowsBetween(Window.unboundedPreceding, -1))
     if _hot(ends, keys):
         ends = _parted(ends, keys, [start])

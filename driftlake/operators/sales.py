@@ -39,14 +39,14 @@ def gold_daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str, parts: int = 200) -> DataFrame:
+def row_numbers(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """df with its rows' numbers (from 1) in an order of the whole table, which no task sorts by itself.
 
     Rows are parted by range of the first key and written with their part's number; the rows of the parts before
     come from a table of one count a part."""
     at = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     path = work_dir(df.sparkSession, "ranked")
-    df.repartitionByRange(min(parts, int(at)), *order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    df.repartitionByRange(int(at), *order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
     per = rows.groupBy("__part").agg(F.count("*").alias("__n"))
     before = per.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlake import audit_queries, monitoring_queries, table_queries
+from driftlake import audit_queries, monitoring_queries, movement_queries, table_queries
 from driftlake.operators import cdc, governance, history, monitoring, movement, quality
 from driftlake.sources.tables import scan
 
@@ -430,7 +430,7 @@ both(
 
 
 # --- the other families ---
-for _r in (table_queries.R, monitoring_queries.R, audit_queries.R):
+for _r in (table_queries.R, movement_queries.R, monitoring_queries.R, audit_queries.R):
     if _twice := QUERIES.keys() & _r.queries.keys():
         raise ValueError(f"registered twice: {sorted(_twice)}")
     QUERIES.update(_r.queries)

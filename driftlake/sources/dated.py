@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from driftlake.sources.tables import work_dir
+
 DAY = "on_day"
 
 
@@ -40,6 +42,15 @@ class DatedTable:
         """Write the days of df's rows, in place of what these days had."""
         self._dealt(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(self.path)
 
+    def refresh(self, df: DataFrame, days: Sequence[datetime.date]) -> None:
+        """Make df's rows all that these days have: df is worked out first, as it may read them; days without rows go."""
+        path = work_dir(self.spark, "refreshed")
+        df.write.parquet(path)
+        rows = self.spark.read.schema(df.schema).parquet(path).where(F.to_date(self.ts_col).isin(list(days)) if days else F.lit(False))
+        left = {r[0] for r in rows.select(F.to_date(self.ts_col)).distinct().collect()}
+        self.replace(rows)
+        self.drop([d for d in self.days() if d in set(days) - left])
+
     def add(self, df: DataFrame) -> None:
         self._dealt(df).write.mode("append").partitionBy(DAY).parquet(self.path)
 

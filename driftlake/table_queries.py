@@ -93,7 +93,7 @@ _K = "s.o_orderkey % 10"
 _GEN = f"WITH {_OLD}, s AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 < 2 THEN CAST(price + 1 AS DECIMAL(18,2)) ELSE price END AS price, o_orderdate FROM src WHERE o_orderkey % 10 < 4 AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderstatus <> 'P') "
 
 
-@add(f"SELECT * EXCLUDE (o_orderdate) REPLACE (CASE WHEN cdc_operation = 'UPDATE' AND o_orderkey % 10 = 3 THEN 'INSERT' ELSE cdc_operation END AS cdc_operation, coalesce(is_deleted, false) AS is_deleted) FROM ({_GEN + _after(f'{_K} IN (0, 1, 3)', f'coalesce({_K} = 2, false)')})")
+@add(f"SELECT * REPLACE (CASE WHEN cdc_operation = 'UPDATE' AND o_orderkey % 10 = 3 THEN 'INSERT' ELSE cdc_operation END AS cdc_operation, coalesce(is_deleted, false) AS is_deleted, CASE WHEN record_created_at = TIMESTAMP '2024-01-01' THEN o_orderdate END AS o_orderdate) FROM ({_GEN + _after(f'{_K} IN (0, 1, 3)', f'coalesce({_K} = 2, false)')})")
 def cdc_generic(spark, sf):
     return cdc.cdc_generic(_target(spark, sf), _batch(spark, sf), _CONFIG, _at(), "B1")
 
