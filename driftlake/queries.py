@@ -394,8 +394,6 @@ both("dq_cross_field", "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_
 both("dq_accepted_values", "SELECT o_orderstatus, count(*) AS n FROM {orders} WHERE o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus")
 both("dq_accepted_range", "SELECT l_orderkey, l_linenumber, l_quantity FROM {lineitem} WHERE l_quantity NOT BETWEEN 5 AND 45")
 both("dq_freshness_hours", "SELECT timestampdiff(HOUR, date_trunc('hour', max(ts)), TIMESTAMP_NTZ '2024-06-01') AS hours FROM {events}", "SELECT date_diff('hour', max(ts), TIMESTAMP '2024-06-01') AS hours FROM events")
-both("processing_stats", "SELECT user_id, count(*) AS runs, count_if(event_type = 'error') AS failed, max(ts) AS last_run FROM {events} GROUP BY user_id")
-both("recent_errors", "SELECT event_id, user_id, ts FROM {events} WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 50")
 # With the windows of the reference, back from the log's last time; an event's value stands for its seconds.
 both(
     "execution_stats_last_24h",
@@ -405,9 +403,6 @@ both(
     "pipeline_trend_last_7d",
     "SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS runs, count_if(event_type = 'error') AS failed, round(avg(value), 6) AS mean_value FROM {events} WHERE ts >= (SELECT max(ts) FROM {events}) - INTERVAL 7 DAYS GROUP BY 1, 2",
 )
-both("failure_alert", "SELECT user_id, count(*) AS failures FROM {events} WHERE event_type = 'error' GROUP BY user_id HAVING count(*) >= 3")
-both("operations_by_table", "SELECT o_orderstatus AS operation, count(*) AS n, max(o_orderdate) AS last_batch FROM {orders} GROUP BY o_orderstatus")
-both("cdc_batch_stats", "SELECT CAST(ts AS DATE) AS batch, event_type AS operation, count(*) AS n, min(ts) AS first_change, max(ts) AS last_change FROM {events} GROUP BY 1, 2")
 
 
 #: Lines as the cars and locomotives of a train, which is their order.

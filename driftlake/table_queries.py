@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from driftlake.operators import cdc, history, movement, quality, sales
+from driftlake.operators import cdc, history, movement, quality, sales, text
 from driftlake.registry import Registry
 from driftlake.sources import tables as io
 from driftlake.sources.dated import DatedTable, drop_old_copies, retention_configs, retention_run
@@ -739,3 +739,29 @@ def recon_tree_diff(spark, sf):
     k = F.col("o_orderkey") % 500
     other = o.where(k != 7).withColumn("o_orderstatus", F.when(k == 8, F.concat("o_orderstatus", F.lit("!"))).when(k != 9, F.col("o_orderstatus")))
     return quality.tree_diff(o, other, ["o_orderkey"])
+
+
+# --- text ---
+
+
+@add("SELECT event_id, regexp_full_match(x, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}') AS is_email FROM (SELECT event_id, CASE event_id % 5 WHEN 0 THEN event_type || '@x.org' WHEN 1 THEN 'to ' || event_type || '@x.org' WHEN 2 THEN event_type || '@x' WHEN 3 THEN event_type || '.' || user_id || '@a-b.co.uk' END AS x FROM events)")
+def email_validate_whole(spark, sf):
+    x = F.expr("CASE event_id % 5 WHEN 0 THEN event_type || '@x.org' WHEN 1 THEN 'to ' || event_type || '@x.org' WHEN 2 THEN event_type || '@x' WHEN 3 THEN event_type || '.' || user_id || '@a-b.co.uk' END")
+    return scan(spark, sf, "events").select("event_id", text.email_valid(x).alias("is_email"))
+
+
+@add("SELECT c_custkey, array_to_string(list_transform(string_split(lower(c_mktsegment || ' of  ' || c_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title, split_part(c_name, '#', -1) AS last_part, split_part(c_name, '#', 1) AS first_part, split_part(c_name, '#', 5) AS beyond, nullif(trim(regexp_replace(CASE WHEN c_custkey % 3 = 0 THEN '  ' ELSE '  a   ' || c_name END, '\\s+', ' ', 'g')), '') AS cleaned FROM customer")
+def string_parts(spark, sf):
+    name = F.col("c_name")
+    messy = F.when(F.col("c_custkey") % 3 == 0, "  ").otherwise(F.concat(F.lit("  a   "), name))
+    return scan(spark, sf, "customer").select("c_custkey", F.initcap(F.concat("c_mktsegment", F.lit(" of  "), name)).alias("title"), text.part(name, "#", -1).alias("last_part"), text.part(name, "#", 1).alias("first_part"), text.part(name, "#", 5).alias("beyond"), text.clean(messy).alias("cleaned"))
+
+
+@add("SELECT o_orderkey, coalesce(try_strptime(x, '%d.%m.%Y'), try_strptime(x, '%Y/%m/%d %H:%M:%S')) AS t, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) WHEN 1 THEN -CAST(o_totalprice AS DECIMAL(18,2)) WHEN 2 THEN CAST(o_custkey * 1000 + 1234567.5 AS DECIMAL(18,2)) END AS n FROM (SELECT *, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d %H:%M:%S') ELSE o_orderstatus END AS x FROM orders)")
+def safe_convert_formats(spark, sf):
+    """Times in two formats, amounts with commas, signs and brackets, and what is neither."""
+    o = scan(spark, sf, "orders")
+    x = F.expr("CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'dd.MM.yyyy') WHEN 1 THEN date_format(o_orderdate, 'yyyy/MM/dd HH:mm:ss') ELSE o_orderstatus END")
+    price = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)"
+    amount = F.expr(f"CASE o_orderkey % 4 WHEN 0 THEN ' $' || {price} WHEN 1 THEN '(' || {price} || ')' WHEN 2 THEN format_number(o_custkey * 1000 + 1234567.5, 2) ELSE o_orderpriority END")
+    return o.select("o_orderkey", text.to_time(x, ["dd.MM.yyyy", "yyyy/MM/dd HH:mm:ss"]).alias("t"), text.to_number(amount).alias("n"))
