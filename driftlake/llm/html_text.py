@@ -22,9 +22,9 @@ ALONE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}, "p": {"article", "body", "div", "section", "td", "li", "blockquote", "main"}}
 #: Words of a class or id that name furniture wherever they stand; those that do where only AROUND stands beside them; and
 #: those beside which a word says what an element has or lacks, not what it is. Articles are only looked at for REMARKS.
-FIRM = set("advert adverts advertisement advertisements breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer masthead navbar navigation newsletter pagination popup sidebar sponsored toolbar".split())
+FIRM = set("adsbygoogle adsense advert adverts advertisement advertisements breadcrumb breadcrumbs comment comments cookie cookies consent disqus doubleclick footer gdpr googleads masthead navbar navigation newsletter pagination popup sidebar sponsored toolbar".split())
 LOOSE = set("ad ads alert banner copyright login menu modal nav notice promo recommended related replies reply respond share sharing signup skip social sponsor subscribe widget".split())
-AROUND = set("area article articles bar block bottom box button buttons container content fixed form global group header icons inner item items left link links list main message news outer page panel post posts primary reader right secondary section site slot stories sub thread to top unit user wrap wrapper".split())
+AROUND = set("area article articles bar block bottom box button buttons container content fixed form global google group header icons iframe inner item items left link links list main message news outer page panel post posts primary reader right secondary section site slot stories sub thread to top unit user wrap wrapper".split())
 HAVING = set("closed disabled enabled has hide no open show with without".split())
 REMARKS = set("ad ads advert advertisement comment comments disqus promo replies reply sponsored".split())
 #: A tag's end is looked for outside quotes (TOKEN); where that would pass the page's end, quotes mean nothing any more
@@ -34,10 +34,15 @@ TOKEN = re.compile(MARKUP + r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?>[^>"']++|"[^"
 PLAIN = re.compile(MARKUP + r"|</?[a-zA-Z][^>]*+\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|[^<]++|<", re.S)
 TAG = re.compile(r"<(?=/?[a-zA-Z])")
 PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
-NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+NAMES = re.compile(r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "form", "menu", "menubar"}
 
 
+#: Ancestors that a block gives points to.
+REACH = 64
+
+
 class Element:
     __slots__ = ("tag", "up", "parts", "gone", "score", "length", "linked", "commas")
 
@@ -61,13 +66,15 @@ def _named(value: str, tag: str) -> bool:
     return False
 
 
-def _is_furniture(tag: str, attributes: str, stack: list[Element]) -> bool:
-    if tag in FURNITURE or tag == "header" and not any(e.tag in ("article", "main") for e in stack):
+def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
+    if tag in FURNITURE or tag == "header" and not in_article:
         return True
     for name, *values in NAMES.findall(attributes) if attributes else ():
         value, name = "".join(values), name.lower()
         if name in ("class", "id") and tag not in ("body", "html") and _named(value, tag):
             return True
+        if name == "style" and HIDDEN.search(value):
+            return True
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
     return False
@@ -88,10 +95,30 @@ def _tokens(page: str) -> Iterator[re.Match]:
             at = end.end() if end else len(page)
 
 
+class _Open:
+    """The open elements, and where those of each tag stand among them, so that none is looked for step by step."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places = [root], {}
+
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self.stack))
+        self.stack.append(element)
+
+    def last(self, tags) -> int:
+        """The place of the innermost element of these tags, 0 without one."""
+        return max((own[-1] for t in tags if (own := self.places.get(t))), default=0)
+
+    def close(self, at: int) -> None:
+        while len(self.stack) > at:
+            self.places[self.stack.pop().tag].pop()
+
+
 def parse(page: str) -> Element:
     """A forgiving tree: paragraphs and items close by themselves, stray ends are ignored, the rest closes at the end."""
     root = Element("html", None, False)
-    stack = [root]
+    open_ = _Open(root)
+    stack = open_.stack
     for m in _tokens(page):
         end, tag, attributes = m.groups()
         if not tag:
@@ -103,28 +130,22 @@ def parse(page: str) -> Element:
             continue
         tag = tag.lower()
         if end:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if at := open_.last((tag,)):
+                open_.close(at)
             continue
         if tag in RAW or tag in VOID:
             stack[-1].parts.append(" ")
             continue
         closed = ALONE.get(tag) or ({"p"} if tag in CLOSES_P else set())
         held = HOLDS["p"] if tag in CLOSES_P else HOLDS.get(tag, set())
-        for i in range(len(stack) - 1, 0, -1) if closed else ():
-            if stack[i].tag in closed:
-                del stack[i:]
-                break
-            if stack[i].tag in held:
-                break
+        if closed and (at := open_.last(closed)) and at > open_.last(held - closed):
+            open_.close(at)
         if tag in ("html", "body"):
             continue
-        element = Element(tag, stack[-1], stack[-1].gone or _is_furniture(tag, attributes, stack))
+        element = Element(tag, stack[-1], stack[-1].gone or _is_furniture(tag, attributes, bool(open_.last(("article", "main")))))
         stack[-1].parts.append(element)
         if not attributes.endswith("/"):
-            stack.append(element)
+            open_.push(element)
     return root
 
 
@@ -138,7 +159,7 @@ def _elements(root: Element) -> list[Element]:
 
 
 def best(root: Element) -> Element:
-    """The container with most points: each block with text gives its ancestors points for its length and commas."""
+    """The container with most points: each block with text gives its ancestors, REACH of them, points for its length and commas."""
     elements = _elements(root)
     for e in reversed(elements):
         for x in e.parts:
@@ -155,7 +176,7 @@ def best(root: Element) -> Element:
             continue
         points = (1 + e.commas + min(e.length // 100, 3)) * (1 - e.linked / max(1, e.length))
         up, level = e.up or e, 1
-        while up is not None:
+        while up is not None and level <= REACH:
             up.score += points / level
             up, level = up.up, level + 1
     for e in elements:
@@ -210,8 +231,8 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns `keep` and text, the main text of each page's whole HTML; empty where there is none or html is null.
 
-    Every block of text gives points for its length and commas, less its share of link text, to all its ancestors, in
-    full to the nearest and ever less above; a container's sum is discounted by its own link density. The best, or
+    Every block of text gives points for its length and commas, less its share of link text, to its ancestors, in
+    full to the nearest and ever less above (to 64 of them); a container's sum is discounted by its own link density. The best, or
     the article around it, is kept with siblings of a fifth of its points. Scripts, styles, forms, navigation, adverts,
     notices, comments and the like are cut out by element, role or name first. Character references are decoded,
     white space in a block becomes one space, and blocks are joined by one space. Repeated rows are read each, an empty table
