@@ -118,7 +118,7 @@ def test_tiles_catch_reordered_passages(spark, none):
     got = {(r["doc_id"], r["item_id"]): (r["n_tiles"], r["coverage"]) for r in benchmark_overlap(docs, items).collect()}
     assert got == {(1, 7): (2, 1.0), (4, 7): (1, 1.0)}
     assert benchmark_overlap(none, items).count() == 0
-    assert tiles(np.array([0, 1, 9]), np.array([0, 1, 0]), 5, 6) == [(0, 0, 6)]
+    assert tiles([(np.array([0, 9]), np.array([0])), (np.array([1]), np.array([1]))], 5, 6) == [(0, 0, 6)]
 
 
 def test_language_id(spark, none):
