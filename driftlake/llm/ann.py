@@ -118,7 +118,7 @@ def _indexed(shared, dim: int):
                 continue
             points = _lifted(_matrix(batch.column("vec"), dim), longest)
             for t, tree in enumerate(trees):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(points), t, np.int32)), pa.array(leaf_of(tree, points).astype(np.int32)), batch.column("id"), batch.column("vec")], ["tree", "leaf", "id", "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(points), t, np.int32)), pa.array(leaf_of(tree, points).astype(np.int32)), batch.column("id"), batch.column("copy"), batch.column("vec")], ["tree", "leaf", "id", "copy", "vec"])
 
     return go
 
@@ -129,12 +129,12 @@ def _visits(shared, dim: int, visits: int):
         for batch in batches:
             for i, q in enumerate(_matrix(batch.column("vec"), dim) if batch.num_rows else ()):
                 to = visit(trees, np.r_[q, 0.0], visits)
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in to], pa.int32()), pa.array([x[1] for x in to], pa.int32()), pa.array([batch.column("id")[i].as_py()] * len(to), pa.int64()), pa.array([batch.column("vec")[i].as_py()] * len(to), pa.list_(pa.float64()))], ["tree", "leaf", "id", "vec"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in to], pa.int32()), pa.array([x[1] for x in to], pa.int32()), pa.array([batch.column("id")[i].as_py()] * len(to), pa.int64()), pa.array(np.zeros(len(to), np.int32)), pa.array([batch.column("vec")[i].as_py()] * len(to), pa.list_(pa.float64()))], ["tree", "leaf", "id", "copy", "vec"])
 
     return go
 
 
-def _best(queries: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _best(queries: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, copies: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
     """The k nearest of ids to each query, with all that tie with the last; scores summed in one order everywhere."""
     near = queries @ vectors.T
     near[q_ids[:, None] == ids[None, :]] = -np.inf
@@ -143,7 +143,7 @@ def _best(queries: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, ids: np.n
         least = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
         at = np.flatnonzero((row >= least - 1e-9) & (row > -np.inf))
         if len(at):
-            yield np.full(len(at), q_ids[i]), ids[at], (vectors[at] * queries[i]).sum(1)
+            yield np.full(len(at), q_ids[i]), ids[at], copies[at], (vectors[at] * queries[i]).sum(1)
 
 
 def _answers(dim: int, k: int):
@@ -153,7 +153,7 @@ def _answers(dim: int, k: int):
             if not batch.num_rows:
                 continue
             cells = np.stack([batch.column(c).to_numpy() for c in ("tree", "leaf", "part")], 1)
-            ids, row = batch.column("id").to_numpy(), batch.column("row").to_numpy(zero_copy_only=False)
+            ids, copies, row = batch.column("id").to_numpy(), batch.column("copy").to_numpy(), batch.column("row").to_numpy(zero_copy_only=False)
             vectors = _matrix(batch.column("vec"), dim)
             bounds = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(1), True])
             out = []
@@ -165,9 +165,9 @@ def _answers(dim: int, k: int):
                 queries += list(vectors[lo:mid])
                 for at in range(mid, hi, CHUNK) if queries else ():
                     to = min(hi, at + CHUNK)
-                    out += _best(np.array(queries), vectors[at:to], np.array(q_ids), ids[at:to], k)
-            q, v, s = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
+                    out += _best(np.array(queries), vectors[at:to], np.array(q_ids), ids[at:to], copies[at:to], k)
+            q, v, c, s = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0))
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(c), pa.array(s)], ["query_id", "vec_id", "copy", "score"])
 
     return go
 
@@ -182,11 +182,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     queries find `recall` of their neighbours there. Clustered vectors need few visits; those of independent components, the
     hardest case, about half of all leaves. `leaves` and `visits` fix both; a number of visits of all leaves is exact.
 
-    Of equal vectors only the k + 1 of smallest ids can be answers, so the others stay out of the index, and a vector that
+    Of equal vectors, which are numbered so that rows of one id stay apart, only the k + 1 of smallest ids can be answers, so the others stay out of the index, and a vector that
     a third of all rows have fills no leaf. Leaves that many queries visit are dealt out in parts.
 
     Rows take no part if their vector is null, zero, of another length than most, or holds a null, NaN or infinity, or if their
-    id is null. Rows that repeat an id are rows of their own, and a query meets them all; no rows give no rows. Returns query_id,
+    id is null. Rows that repeat an id are rows of their own, and a query of another id meets them all (queries of one id
+    ask together, and don't meet each other); no rows give no rows. Returns query_id,
     rank (from 1), vec_id, score.
     """
     spark = vectors.sparkSession
@@ -201,21 +202,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     dim, longest = sizes["dim"], float(np.sqrt(sizes["most"]))
     rows = rows.where(F.size("vec") == dim)
     copies = Window.partitionBy(F.xxhash64("vec"), F.hash("vec")).orderBy("id")
-    kept = rows.select("id", "vec").withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy")
+    kept = rows.select("id", "vec").withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     share = min(1.0, sample / sizes["n"])
     seen = rows.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20)).select("vec").toArrow()["vec"].combine_chunks()
     points = _lifted(_matrix(seen, dim), longest) if len(seen) else np.zeros((0, dim + 1))
     points = np.unique(points, axis=0)
     forest, visits = _forest(points, sizes["n"], k, trees, leaves, visits, recall, np.random.default_rng(seed))
     shared = spark.sparkContext.broadcast((forest, longest))
-    schema = "tree int, leaf int, id long, vec array<double>"
+    schema = "tree int, leaf int, id long, copy int, vec array<double>"
     asked = rows.where("asks").select("id", "vec").mapInArrow(_visits(shared, dim, visits), schema)
     index = kept.mapInArrow(_indexed(shared, dim), schema)
     parts = asked.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / TOGETHER).cast("int").alias("parts"))
     to = asked.join(parts, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("row", F.lit(False))
     of = index.join(parts, ["tree", "leaf"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("row", F.lit(True))
     met = to.unionByName(of).drop("parts").repartition(F.col("tree"), F.col("leaf"), F.col("part")).sortWithinPartitions("tree", "leaf", "part", "row")
-    found = met.mapInArrow(_answers(dim, k), "query_id long, vec_id long, score double").distinct()
+    found = met.mapInArrow(_answers(dim, k), "query_id long, vec_id long, copy int, score double").distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
