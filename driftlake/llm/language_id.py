@@ -7,15 +7,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlake.llm.scratch import ship
+from driftlake.llm.scratch import ship, write_shared
 from driftlake.llm.words import AS_IS, PUNCT, Block, mix, powers, text_blocks, tidy
 
-#: The bounds of a model: labelled documents of a language that it is fitted on (about), words kept of each, and numbers
-#: in its table of words by languages, which lessens the words kept of each where there are many languages.
-FIT_DOCS, FIT_WORDS, FIT_CELLS = 2000, 50_000, 1 << 24
+#: The bounds of the sample of each language that a model is fitted on (about): labelled documents, and characters of them, so
+#: many that a table of its words by languages, at six characters a word, has FIT_CELLS numbers at most. All its words are kept.
+FIT_DOCS, FIT_CELLS, WORD_CHARS = 2000, 1 << 24, 6
 #: Characters of the longest n-grams.
 LONGEST = 5
 #: Words that a document's score counts at most.
@@ -49,32 +49,57 @@ def _block_of(words: list[str]) -> Block:
     return Block(0, np.frombuffer(data, np.uint8)[: offs[-1]], offs, PUNCT, AS_IS)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", n_docs: int = FIT_DOCS, n_words: int = FIT_WORDS) -> Model:
-    """Fit on about n_docs documents of each language, dealt by the hash of their id, and keep its n_words commonest words
-    (fewer where more than FIT_CELLS numbers would come of it). Every language that a row is labelled with is learned.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", n_docs: int = FIT_DOCS, n_cells: int = FIT_CELLS) -> Model:
+    """Fit on about n_docs documents of each language, dealt by the hash of their id (fewer where they are so long, or languages so
+    many, that a table of more than n_cells numbers would come of them). All words of the sample, and every language that a row is
+    labelled with, are learned.
 
     Rows of null text or label and repeated rows teach what they hold; an empty table gives a model that knows nothing."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().collect()
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), [])
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, n_docs / r["count"]))])
+    most = WORD_CHARS * n_cells / len(langs) ** 2
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, n_docs / r["n"], most / max(1, r["chars"])))])
     sample = rows.where(F.pmod(F.xxhash64(F.col("id")), F.lit(1 << 20)) < F.coalesce(share[F.col("lang")], F.lit(0.0)) * (1 << 20))
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")).alias("word")).where("word <> ''")
-    counts = words.groupBy("lang", "word").count()
-    top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("rank") <= min(n_words, max(1, FIT_CELLS // len(langs) ** 2)))
-    top = top.orderBy("lang", "rank").toArrow()
-    names, of, n = top["word"].to_pylist(), np.searchsorted(langs, top["lang"].to_pylist()), top["count"].to_numpy()
-    keys, scores = _logs(_block_of(names).words, of, n, len(langs))
-    letters, starts, ends = _letters(" ".join(names), len(names))
-    grams = []
+    counts = write_shared(words.groupBy("lang", "word").count(), "words")
+    size = "length(word)"
+    each = f"flatten(transform(filter(sequence(1, {LONGEST}), k -> k <= {size}), k -> transform(sequence(1, {size} - k + 1), i -> substr(word, i, k))))"
+    grams = counts.select("lang", "count", F.explode(F.expr(each)).alias("word")).groupBy("lang", "word").agg(F.sum("count").alias("count"))
+    keys, scores = _logs(*_told_by(counts, langs, lambda names: _block_of(names).words), len(langs))
+    spelled, tables = _told_by(grams, langs, _whole_grams), []
     for k in range(1, LONGEST + 1):
-        word, start = _places(starts, ends, k)
-        grams.append(_logs(_gram_keys(letters, start, k), of[word], n[word], len(langs)))
-    del top, names, word, start, letters
+        own = spelled[0][0] == k
+        tables.append(_logs(spelled[0][1][own], spelled[1][own], spelled[2][own], len(langs)))
+    del spelled
+    tidy()
+    return Model(langs, keys, scores, tables)
+
+
+def _told_by(counts: DataFrame, langs: list[str], keys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of counts (lang, word, count) the word's keys, the language's number and the count, some rows at a time."""
+    table = counts.toArrow()
+    parts = []
+    for batch in table.to_batches(1 << 16):
+        names = batch.column("word").to_pylist()
+        parts.append((keys(names), np.searchsorted(langs, batch.column("lang").to_pylist()), batch.column("count").to_numpy()))
+    del table
     tidy()
-    return Model(langs, keys, scores, grams)
+    none = [(keys([]), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    return tuple(np.concatenate(x, axis=-1) for x in zip(*(parts or none), strict=True))
+
+
+def _whole_grams(names: list[str]) -> np.ndarray:
+    """The characters of each n-gram, and its key."""
+    letters, starts, ends = _letters(" ".join(names), len(names))
+    out = np.zeros((2, len(names)), np.uint64)
+    out[0] = ends - starts
+    for k in range(1, LONGEST + 1):
+        own = np.flatnonzero(out[0] == k)
+        out[1, own] = _gram_keys(letters, starts[own], k)
+    return out
 
 
 def _letters(words: str, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -1,15 +1,20 @@
 """Deep pages, repeated words and repeated rows."""
 
+import collections
+import math
 import random
+import re
 import time
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftlake.llm import decontamination, html_text
+from driftlake.llm import decontamination, html_text, language_id
 from driftlake.llm.ann import nearest
 from driftlake.llm.decontamination import benchmark_overlap
+from driftlake.llm.queries import QUERIES
 
 
 @pytest.mark.parametrize("page", ["<div>x, y {n}", "<div>{n}</p>", "<div>{n}<header>h</header>", "<p><table><tr><td><span>{n}<hr><div>k</div>", "<ul><li><span>{n}<li>z"])
@@ -90,3 +95,61 @@ def test_ties_at_the_last_rank_go_to_smaller_ids(spark):
     rows = spark.createDataFrame([(i, [1.0, 0.0] if i else [2.0, 0.0]) for i in range(40)], "vec_id long, embedding array<float>")
     got = nearest(rows, F.col("vec_id") == 0, 5).collect()
     assert sorted(r["vec_id"] for r in got) == [1, 2, 3, 4, 5]
+
+
+def plain_language(labelled, texts):
+    """Word-first backoff by its definition: log frequencies by language of known words, else of the longest known n-grams."""
+    split = lambda t: [w for w in re.split(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (t or "").lower()) if w]
+    langs = sorted({g for _, g in labelled})
+    words = {g: collections.Counter(w for t, h in labelled if h == g for w in split(t)) for g in langs}
+    tables = [words]
+    for k in range(1, 6):
+        tables.append({g: collections.Counter() for g in langs})
+        for g in langs:
+            for w, n in words[g].items():
+                for i in range(len(w) - k + 1):
+                    tables[k][g][w[i : i + k]] += n
+    known = [set().union(*t.values()) for t in tables]
+    total = [{g: sum(t[g].values()) for g in langs} for t in tables]
+    log = lambda k, x, g: math.log((tables[k][g][x] + 0.5) / (total[k][g] + 0.5 * (len(known[k]) + 1)))
+
+    def word(w):
+        if w in known[0]:
+            return [log(0, w, g) for g in langs]
+        for k in range(5, 0, -1):
+            hits = [w[i : i + k] for i in range(len(w) - k + 1) if w[i : i + k] in known[k]]
+            if hits:
+                return [sum(log(k, x, g) for x in hits) / len(hits) for g in langs]
+        return [0.0] * len(langs)
+
+    for t in texts:
+        own = split(t)
+        if not any(c.isalpha() for c in t or ""):
+            yield "und", 0.0
+            continue
+        sums = np.sum([word(w) for w in own], 0) / max(1, len(own)) * min(len(own), 30) if own else np.zeros(len(langs))
+        odds = np.exp(sums - sums.max())
+        yield langs[int(sums.argmax())], float(odds.max() / odds.sum())
+
+
+def test_op2_is_word_first_backoff(spark):
+    """The query on all documents, of which the small table's are all in the sample, and unseen words."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    labelled = [(r["text"], r["lang"]) for r in rows if r["lang"] and r["text"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in QUERIES["op2_language_id"](spark, "/root/testdata/sf0.001").collect()}
+    for r, (lang, score) in zip(rows, plain_language(labelled, [r["text"] for r in rows]), strict=True):
+        assert got[r["doc_id"]][1] == pytest.approx(score, abs=1e-3)
+        assert got[r["doc_id"]][0] == lang or score < 0.51
+    odd = ["zzqqx", "Straßenbahnhaltestelle", "ñññ", "über 123 ch", "x" * 50, "", "12 !", None, "日本"]
+    docs = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    model = language_id.fit(spark.createDataFrame(labelled, "text string, lang string").withColumn("doc_id", F.monotonically_increasing_id()))
+    told = language_id.predict(docs, model).orderBy("doc_id").collect()
+    for r, (lang, score) in zip(told, plain_language(labelled, odd), strict=True):
+        assert r["score"] == pytest.approx(score, abs=1e-3) and (r["lang_pred"] == lang or score < 0.51)
+
+
+def test_a_bounded_sample_keeps_all_its_words(spark):
+    docs = spark.createDataFrame([(i, f"wort{i} haus", "de") for i in range(300)] + [(1000 + i, f"mot{i} maison", "fr") for i in range(300)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, n_cells=1 << 9)
+    assert model.langs == ["de", "fr"] and 20 < len(model.words) < 300
+    assert len(language_id.fit(docs).words) == 602 and language_id.fit(docs.limit(0)).langs == []
