@@ -218,10 +218,10 @@ def scd2_history_view(spark, sf):
     return history.scd2_history_view(rows, "user_id").select("user_id", "event_type", "version", "effective_from")
 
 
-@add("SELECT c_custkey, v AS c_mktsegment, f AS effective_from, e AS effective_to, e = TIMESTAMP '9999-12-31 23:59:59' AS is_current FROM (SELECT c_custkey, c_mktsegment AS v, TIMESTAMP '2024-01-01' AS f, CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-05-31 23:59:59' ELSE TIMESTAMP '9999-12-31 23:59:59' END AS e FROM customer WHERE c_custkey % 11 <> 0 UNION ALL SELECT c_custkey, 'NEW', TIMESTAMP '2024-06-01', TIMESTAMP '9999-12-31 23:59:59' FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 11 <> 0 UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NEW' ELSE c_mktsegment END, TIMESTAMP '2024-06-01', TIMESTAMP '9999-12-31 23:59:59' FROM customer WHERE c_custkey % 11 = 0) x WHERE c_custkey % 2 = 0")
+@add("SELECT c_custkey, v AS c_mktsegment, f AS effective_from, e AS effective_to, e = TIMESTAMP '9999-12-31 23:59:59' AS is_current FROM (SELECT c_custkey, c_mktsegment AS v, TIMESTAMP '2024-01-01' AS f, CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-05-31 23:59:59' ELSE TIMESTAMP '9999-12-31 23:59:59' END AS e FROM customer WHERE c_custkey % 11 <> 0 UNION ALL SELECT c_custkey, 'NEW', TIMESTAMP '2024-06-01', TIMESTAMP '9999-12-31 23:59:59' FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 11 <> 0 UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'NEW' ELSE c_mktsegment END, TIMESTAMP '2024-06-01', TIMESTAMP '9999-12-31 23:59:59' FROM customer WHERE c_custkey % 11 = 0) x")
 def scd2_merge_close(spark, sf):
-    """Close-and-insert of a part of the customers, the rest of whom no change reaches."""
-    c = scan(spark, sf, "customer").select("c_custkey", "c_mktsegment").where("c_custkey % 2 = 0")
+    """Changed customers are closed and get a new version, unknown ones start; no change reaches the others."""
+    c = scan(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     cur = c.where("c_custkey % 11 <> 0").withColumns({"effective_from": _at("2024-01-01"), "effective_to": _at(history.OPEN_END), "is_current": F.lit(True)})
     inc = c.where("c_custkey % 5 = 0 or c_custkey % 11 = 0").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 5 == 0, "NEW").otherwise(F.col("c_mktsegment")))
     return history.scd2_close_and_insert(cur, inc, ["c_custkey"], ["c_mktsegment"], _at())
