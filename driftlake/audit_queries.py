@@ -141,7 +141,7 @@ _VALUES = {
     "partial": "substr(c_name, 1, CAST(c_custkey % 12 AS INT))",
     "email_null_safe": "CASE WHEN c_custkey % 9 > 0 THEN concat(lower(c_mktsegment), '@mail.example') END",
 }
-_ROLES = "SYSADMIN COMPLIANCE_OFFICER GOVERNANCE_ADMIN CUSTOMER_SUPPORT DATA_ANALYST FINANCE_ANALYST FINANCE_ADMIN HR_MANAGER HR_ANALYST HEALTHCARE_ANALYST DATA_STEWARD IT_SUPPORT MARKETING_TEAM GUEST".split()
+_ROLES = ("SYSADMIN", "COMPLIANCE_OFFICER", "GOVERNANCE_ADMIN", "CUSTOMER_SUPPORT", "DATA_ANALYST", "FINANCE_ANALYST", "FINANCE_ADMIN", "HR_MANAGER", "HR_ANALYST", "HEALTHCARE_ANALYST", "DATA_STEWARD", "IT_SUPPORT", "MARKETING_TEAM", "GUEST")
 _ROLE = "CASE CAST(c_custkey % 14 AS INT) " + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(_ROLES)) + " END"
 _KEEP = "role IN ('SYSADMIN', 'GOVERNANCE_ADMIN', 'COMPLIANCE_OFFICER') THEN v"
 _FORMS = {

@@ -51,33 +51,33 @@ def initials(c: Column) -> Column:
 
 
 _TWO_LETTERS = replaced(r"^(.{2})(.*)(@.*)$", "$1***$3")
-_KEEPERS = "SYSADMIN GOVERNANCE_ADMIN COMPLIANCE_OFFICER"
+_KEEPERS = ("SYSADMIN", "GOVERNANCE_ADMIN", "COMPLIANCE_OFFICER")
 #: For each policy the roles of each tier and the form in which they see a value, then the form that others see.
-MASKS: dict[str, tuple[list[tuple[str, Form]], Form]] = {
-    "email": ([(f"{_KEEPERS} SECURITYADMIN", clear), ("CUSTOMER_SUPPORT MARKETING_TEAM SALES_TEAM", _TWO_LETTERS), ("DATA_ANALYST BUSINESS_ANALYST", replaced(r"^(.*)(@.*)$", "***$2"))], shown("***@***.***")),
-    "email_strict": ([(_KEEPERS, clear), ("DATA_STEWARD DATA_OWNER", _TWO_LETTERS)], shown("***@***")),
-    "phone": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT SALES_TEAM", replaced(r"(.*)(\d{4})$", "***-***-$2")), ("DATA_ANALYST MARKETING_TEAM", last(4, "XXX-XXX-"))], shown("***-***-****")),
-    "phone_international": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT", last(4, "+XX XXX XXX "))], shown("+XX XXX XXX XXXX")),
-    "ssn": ([("SYSADMIN COMPLIANCE_OFFICER HR_ADMIN PAYROLL_ADMIN", clear), ("HR_ANALYST HR_MANAGER", last(4, "***-**-"))], shown("***-**-****")),
-    "tax_id": ([("SYSADMIN COMPLIANCE_OFFICER FINANCE_ADMIN TAX_ADMIN", clear), ("FINANCE_ANALYST ACCOUNTANT", last(2, "**-*****"))], shown("**-*******")),
-    "address": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT LOGISTICS_TEAM OPERATIONS_TEAM", replaced(r"^(\d+)\s+(.*)$", "XXX $2")), ("MARKETING_TEAM SALES_TEAM", lambda c: F.substring_index(c, ",", -1))], shown("[REDACTED]")),
-    "credit_card": ([("SYSADMIN COMPLIANCE_OFFICER PCI_ADMIN", clear), ("FINANCE_ADMIN PAYMENT_PROCESSOR", last(4, "XXXX-XXXX-XXXX-"))], shown("XXXX-XXXX-XXXX-XXXX")),
-    "cvv": ([("SYSADMIN PCI_ADMIN PAYMENT_PROCESSOR", clear)], shown("***")),
-    "salary": ([("SYSADMIN HR_ADMIN PAYROLL_ADMIN COMPLIANCE_OFFICER", clear), ("HR_MANAGER FINANCE_MANAGER", rounded(3)), ("HR_ANALYST", rounded(4))], nothing),
-    "bank_account": ([("SYSADMIN FINANCE_ADMIN TREASURY_ADMIN COMPLIANCE_OFFICER", clear), ("FINANCE_ANALYST ACCOUNTANT", last(4, "****"))], shown("********")),
-    "financial_amount": ([("SYSADMIN FINANCE_ADMIN CFO COMPLIANCE_OFFICER", clear), ("FINANCE_ANALYST CONTROLLER", rounded(3)), ("BUSINESS_ANALYST DATA_ANALYST", rounded(4))], nothing),
-    "date_of_birth": ([("SYSADMIN HR_ADMIN COMPLIANCE_OFFICER HEALTHCARE_ADMIN", clear), ("HR_ANALYST DATA_ANALYST", lambda c: F.trunc(c, "year"))], nothing),
-    "name": ([("SYSADMIN HR_ADMIN COMPLIANCE_OFFICER", clear), ("CUSTOMER_SUPPORT SALES_TEAM", initials), ("DATA_ANALYST MARKETING_TEAM", shown("*** ***"))], shown("[REDACTED]")),
-    "ip_address": ([("SYSADMIN SECURITY_ADMIN NETWORK_ADMIN COMPLIANCE_OFFICER", clear), ("IT_SUPPORT DATA_ENGINEER", replaced(r"(\d+\.\d+\.)(\d+\.\d+)", "$1XXX.XXX"))], shown("XXX.XXX.XXX.XXX")),
-    "mrn": ([("SYSADMIN HEALTHCARE_ADMIN PROVIDER COMPLIANCE_OFFICER", clear), ("HEALTHCARE_ANALYST", last(4, "****"))], shown("********")),
-    "diagnosis": ([("SYSADMIN HEALTHCARE_ADMIN PROVIDER COMPLIANCE_OFFICER", clear), ("HEALTHCARE_ANALYST RESEARCHER", lambda c: F.concat(F.left(c, F.lit(3)), F.lit("XXX")))], shown("[REDACTED]")),
-    "pii_generic": ([(f"{_KEEPERS} DATA_OWNER", clear), ("DATA_STEWARD", stars(4))], stars()),
-    "partial": ([(_KEEPERS, clear), ("DATA_ANALYST BUSINESS_ANALYST", stars(2, 2))], stars()),
-    "email_null_safe": ([(_KEEPERS, clear), ("CUSTOMER_SUPPORT MARKETING_TEAM", _TWO_LETTERS)], lambda c: F.when(c.isNotNull(), "***@***.***")),
+MASKS: dict[str, tuple[list[tuple[tuple[str, ...], Form]], Form]] = {
+    "email": ([((*_KEEPERS, "SECURITYADMIN"), clear), (("CUSTOMER_SUPPORT", "MARKETING_TEAM", "SALES_TEAM"), _TWO_LETTERS), (("DATA_ANALYST", "BUSINESS_ANALYST"), replaced(r"^(.*)(@.*)$", "***$2"))], shown("***@***.***")),
+    "email_strict": ([(_KEEPERS, clear), (("DATA_STEWARD", "DATA_OWNER"), _TWO_LETTERS)], shown("***@***")),
+    "phone": ([(_KEEPERS, clear), (("CUSTOMER_SUPPORT", "SALES_TEAM"), replaced(r"(.*)(\d{4})$", "***-***-$2")), (("DATA_ANALYST", "MARKETING_TEAM"), last(4, "XXX-XXX-"))], shown("***-***-****")),
+    "phone_international": ([(_KEEPERS, clear), (("CUSTOMER_SUPPORT",), last(4, "+XX XXX XXX "))], shown("+XX XXX XXX XXXX")),
+    "ssn": ([(("SYSADMIN", "COMPLIANCE_OFFICER", "HR_ADMIN", "PAYROLL_ADMIN"), clear), (("HR_ANALYST", "HR_MANAGER"), last(4, "***-**-"))], shown("***-**-****")),
+    "tax_id": ([(("SYSADMIN", "COMPLIANCE_OFFICER", "FINANCE_ADMIN", "TAX_ADMIN"), clear), (("FINANCE_ANALYST", "ACCOUNTANT"), last(2, "**-*****"))], shown("**-*******")),
+    "address": ([(_KEEPERS, clear), (("CUSTOMER_SUPPORT", "LOGISTICS_TEAM", "OPERATIONS_TEAM"), replaced(r"^(\d+)\s+(.*)$", "XXX $2")), (("MARKETING_TEAM", "SALES_TEAM"), lambda c: F.substring_index(c, ",", -1))], shown("[REDACTED]")),
+    "credit_card": ([(("SYSADMIN", "COMPLIANCE_OFFICER", "PCI_ADMIN"), clear), (("FINANCE_ADMIN", "PAYMENT_PROCESSOR"), last(4, "XXXX-XXXX-XXXX-"))], shown("XXXX-XXXX-XXXX-XXXX")),
+    "cvv": ([(("SYSADMIN", "PCI_ADMIN", "PAYMENT_PROCESSOR"), clear)], shown("***")),
+    "salary": ([(("SYSADMIN", "HR_ADMIN", "PAYROLL_ADMIN", "COMPLIANCE_OFFICER"), clear), (("HR_MANAGER", "FINANCE_MANAGER"), rounded(3)), (("HR_ANALYST",), rounded(4))], nothing),
+    "bank_account": ([(("SYSADMIN", "FINANCE_ADMIN", "TREASURY_ADMIN", "COMPLIANCE_OFFICER"), clear), (("FINANCE_ANALYST", "ACCOUNTANT"), last(4, "****"))], shown("********")),
+    "financial_amount": ([(("SYSADMIN", "FINANCE_ADMIN", "CFO", "COMPLIANCE_OFFICER"), clear), (("FINANCE_ANALYST", "CONTROLLER"), rounded(3)), (("BUSINESS_ANALYST", "DATA_ANALYST"), rounded(4))], nothing),
+    "date_of_birth": ([(("SYSADMIN", "HR_ADMIN", "COMPLIANCE_OFFICER", "HEALTHCARE_ADMIN"), clear), (("HR_ANALYST", "DATA_ANALYST"), lambda c: F.trunc(c, "year"))], nothing),
+    "name": ([(("SYSADMIN", "HR_ADMIN", "COMPLIANCE_OFFICER"), clear), (("CUSTOMER_SUPPORT", "SALES_TEAM"), initials), (("DATA_ANALYST", "MARKETING_TEAM"), shown("*** ***"))], shown("[REDACTED]")),
+    "ip_address": ([(("SYSADMIN", "SECURITY_ADMIN", "NETWORK_ADMIN", "COMPLIANCE_OFFICER"), clear), (("IT_SUPPORT", "DATA_ENGINEER"), replaced(r"(\d+\.\d+\.)(\d+\.\d+)", "$1XXX.XXX"))], shown("XXX.XXX.XXX.XXX")),
+    "mrn": ([(("SYSADMIN", "HEALTHCARE_ADMIN", "PROVIDER", "COMPLIANCE_OFFICER"), clear), (("HEALTHCARE_ANALYST",), last(4, "****"))], shown("********")),
+    "diagnosis": ([(("SYSADMIN", "HEALTHCARE_ADMIN", "PROVIDER", "COMPLIANCE_OFFICER"), clear), (("HEALTHCARE_ANALYST", "RESEARCHER"), lambda c: F.concat(F.left(c, F.lit(3)), F.lit("XXX")))], shown("[REDACTED]")),
+    "pii_generic": ([((*_KEEPERS, "DATA_OWNER"), clear), (("DATA_STEWARD",), stars(4))], stars()),
+    "partial": ([(_KEEPERS, clear), (("DATA_ANALYST", "BUSINESS_ANALYST"), stars(2, 2))], stars()),
+    "email_null_safe": ([(_KEEPERS, clear), (("CUSTOMER_SUPPORT", "MARKETING_TEAM"), _TWO_LETTERS)], lambda c: F.when(c.isNotNull(), "***@***.***")),
     "hash": ([(_KEEPERS, clear)], lambda c: F.sha2(c.cast("string"), 256)),
 }
 #: The roles that see a value of each sensitivity; PUBLIC is for all.
-BY_FLAG = {"INTERNAL": "SYSADMIN DATA_ANALYST EMPLOYEE", "CONFIDENTIAL": "SYSADMIN GOVERNANCE_ADMIN MANAGER", "RESTRICTED": "SYSADMIN COMPLIANCE_OFFICER EXECUTIVE"}
+BY_FLAG = {"INTERNAL": ("SYSADMIN", "DATA_ANALYST", "EMPLOYEE"), "CONFIDENTIAL": ("SYSADMIN", "GOVERNANCE_ADMIN", "MANAGER"), "RESTRICTED": ("SYSADMIN", "COMPLIANCE_OFFICER", "EXECUTIVE")}
 
 
 def masked(value: Column, policy: str, role: Column) -> Column:
@@ -85,7 +85,7 @@ def masked(value: Column, policy: str, role: Column) -> Column:
     tiers, least = MASKS[policy]
     out = None
     for roles, form in tiers:
-        hit = role.isin(*roles.split())
+        hit = role.isin(*roles)
         out = F.when(hit, form(value)) if out is None else out.when(hit, form(value))
     return out.otherwise(least(value))
 
@@ -94,7 +94,7 @@ def masked_by_flag(value: Column, flag: Column, role: Column) -> Column:
     """The value where its sensitivity lets role see it, else a mark."""
     seen = flag == "PUBLIC"
     for name, roles in BY_FLAG.items():
-        seen = seen | (flag == name) & role.isin(*roles.split())
+        seen = seen | (flag == name) & role.isin(*roles)
     return F.when(seen, value).otherwise("[MASKED]")
 
 
@@ -133,25 +133,22 @@ def row_access_by_case(df: DataFrame, role: Column, column: str, full: Sequence[
 
 
 def suggest_pii_tag(name: Column) -> Column:
-    # fixed values: patterns of column names (| parts alternatives, & what must match too, ! what mustn't), in order
-    rules = {
-        "pii_email": "%email%",
-        "pii_phone": "%phone%|%mobile%",
-        "pii_ssn": "%ssn%|%social_security%",
-        "pii_tax_id": "%tax_id%|%ein%",
-        "pii_address": "%address%|%street%",
-        "pii_credit_card": "%credit_card%|%cc_number%",
-        "pii_bank_account": "%account%&%number%",
-        "pii_date_of_birth": "%dob%|%birth_date%",
-        "pii_name": "%name%&!%file%",
-        "pii_ip_address": "%ip_address%",
-    }
-    out = F.when(F.lit(False), "")
-    for tag, patterns in rules.items():
-        one = lambda x: ~name.ilike(x[1:]) if x[0] == "!" else name.ilike(x)
-        every = lambda x: reduce(Column.__and__, map(one, x.split("&")))
-        out = out.when(reduce(Column.__or__, map(every, patterns.split("|"))), tag)
-    return out.when(name == "ip", "pii_ip_address").otherwise("pii_generic")
+    """The tag that a column's name asks for, whatever its case."""
+    has = lambda *parts: reduce(Column.__or__, [name.ilike(f"%{p}%") for p in parts])
+    # fixed values: parts of names by tag, in order
+    return (
+        F.when(has("email"), "pii_email")
+        .when(has("phone", "mobile"), "pii_phone")
+        .when(has("ssn", "social_security"), "pii_ssn")
+        .when(has("tax_id", "ein"), "pii_tax_id")
+        .when(has("address", "street"), "pii_address")
+        .when(has("credit_card", "cc_number"), "pii_credit_card")
+        .when(has("account") & has("number"), "pii_bank_account")
+        .when(has("dob", "birth_date"), "pii_date_of_birth")
+        .when(has("name") & ~has("file"), "pii_name")
+        .when(has("ip_address") | (name == "ip"), "pii_ip_address")
+        .otherwise("pii_generic")
+    )
 
 
 def retention_split(df: DataFrame, date_col: str, days: int, as_of: Column) -> DataFrame:
