@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from driftlake.sources.tables import work_dir
@@ -164,10 +164,11 @@ def retention_log(df: DataFrame, table: str, date_col: str, days: int, as_of: Co
     return df.agg(F.lit(table).alias("table_name"), F.count("*").alias("rows_before"), F.count_if(old).alias("rows_deleted"), F.count_if(~old).alias("rows_after"), F.lit("SUCCESS").alias("status"))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _written(df: DataFrame, name: str, goes_on: str = "true") -> tuple[DataFrame, int]:
+    """df in a table of its own, and how many of its rows go on."""
+    path, seen = work_dir(df.sparkSession, name), Observation()
+    df.observe(seen, F.count_if(F.expr(goes_on)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["n"]
 
 
 def role_hierarchy(edges: DataFrame, depth: int = 10) -> DataFrame:
@@ -177,16 +178,16 @@ def role_hierarchy(edges: DataFrame, depth: int = 10) -> DataFrame:
     Each way is a row. A step extends the ways of the step before alone, and is written before the next one reads it, so that no
     plan grows with the depth and no recursion holds all rows. A way that comes to a role that it has passed is marked is_cycle and
     ends there. Edges of null ends are none; repeated edges count once."""
-    known = _written(edges.select("child", "parent").dropna().distinct(), "edges")
+    known, _ = _written(edges.select("child", "parent").dropna().distinct(), "edges")
     step = known.select(F.col("child").alias("role"), F.col("parent").alias("ancestor"), F.array("child").alias("way"), F.col("child").cast("string").alias("path"))
     out = None
     for n in range(1, depth + 1):
-        step = _written(step.withColumn("is_cycle", F.array_contains("way", F.col("ancestor"))), f"step_{n}")
+        step, left = _written(step.withColumn("is_cycle", F.array_contains("way", F.col("ancestor"))), f"step_{n}", "not is_cycle")
         rows = step.select("role", "ancestor", F.lit(n).alias("steps"), "path", "is_cycle")
         out = rows if out is None else out.unionByName(rows)
-        open_ = step.where("not is_cycle")
-        if n == depth or open_.isEmpty():
+        if n == depth or not left:
             return out
+        open_ = step.where("not is_cycle")
         ahead = open_.join(known, open_["ancestor"] == known["child"])
         step = ahead.select("role", F.col("parent").alias("ancestor"), F.concat("way", F.array("child")).alias("way"), F.concat("path", F.lit(" -> "), F.col("parent").cast("string")).alias("path"))
     return out
@@ -196,13 +197,13 @@ def role_closure(edges: DataFrame, depth: int | None = None) -> DataFrame:
     """Every ancestor of every role once, with the fewest steps to it, and is_cycle where a role comes back to itself.
 
     Pairs that were found before are not followed again: ways that meet don't multiply, cycles end, and depth may be without bound."""
-    known = _written(edges.select("child", "parent").dropna().distinct(), "edges")
-    found = step = _written(known.selectExpr("child AS role", "parent AS ancestor", "1 AS steps"), "step_1")
+    known, left = _written(edges.select("child", "parent").dropna().distinct(), "edges")
+    found = step = known.selectExpr("child AS role", "parent AS ancestor", "1 AS steps")
     n = 1
-    while n != depth and not step.isEmpty():
+    while n != depth and left:
         n += 1
         ahead = step.join(known, step["ancestor"] == known["child"]).select("role", F.col("parent").alias("ancestor")).distinct()
-        step = _written(ahead.join(found, ["role", "ancestor"], "left_anti").withColumn("steps", F.lit(n)), f"step_{n}")
+        step, left = _written(ahead.join(found, ["role", "ancestor"], "left_anti").withColumn("steps", F.lit(n)), f"step_{n}")
         found = found.unionByName(step)
     return found.withColumn("is_cycle", F.col("role") == F.col("ancestor"))
 

@@ -70,6 +70,8 @@ class VersionedTable(Manifests):
 
     def _changed(self, m: dict, batch: DataFrame, as_of: Column, batch_id: str, reload: bool) -> DataFrame:
         schema = StructType.fromJson(m["schema"])
+        if lost := [c for c, _ in m["order"] if c not in batch.columns]:
+            raise ValueError(f"changes of {self.path} lack {lost}, which their order needs")
         values, live = self._values(schema), null_key_filter(batch, self.keys)
         cast = [F.col(c).cast(schema[c].dataType).alias(c) for c in values]
         keys = [F.col(k).cast(schema[k].dataType).alias(k) for k in self.keys]

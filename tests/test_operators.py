@@ -103,6 +103,9 @@ def test_a_table_is_opened_as_it_was_made(spark, tmp_path):
     absorb(again, "cdc", _at())(spark.createDataFrame([(i, "y", "INSERT", True, "r") for i in range(0, 300, 3)], CHANGES), 0)
     rows = again.read().collect()
     assert len(rows) == 300 and sum(r["v"] == "y" for r in rows) == 100
+    with pytest.raises(ValueError, match="lack"):
+        VersionedTable(spark, str(tmp_path / "o"), ["k"], ["seq"]).write(spark.createDataFrame([(1, "a")], "k long, v string"))
+        VersionedTable(spark, str(tmp_path / "o"), ["k"], ["seq"]).append(spark.createDataFrame([(1, "a")], "k long, v string"))
     for wrong in ((["v"], ()), (["k"], ["seq"])):
         with pytest.raises(ValueError, match="has the keys"):
             VersionedTable(spark, table.path, *wrong)
