@@ -164,6 +164,10 @@ def retention_log(df: DataFrame, table: str, date_col: str, days: int, as_of: Co
     return df.agg(F.lit(table).alias("table_name"), F.count("*").alias("rows_before"), F.count_if(old).alias("rows_deleted"), F.count_if(~old).alias("rows_after"), F.lit("SUCCESS").alias("status"))
 
 
+#: Steps of a hierarchy that one job works out.
+TOGETHER = 3
+
+
 def _written(df: DataFrame, name: str, goes_on: str = "true") -> tuple[DataFrame, int]:
     """df in a table of its own, and how many of its rows go on."""
     path, seen = work_dir(df.sparkSession, name), Observation()
@@ -175,22 +179,24 @@ def role_hierarchy(edges: DataFrame, depth: int = 10) -> DataFrame:
     """Ancestors of every role over edges (child, parent), at most depth steps away: role, ancestor, steps, the path there (the role
     and what comes after its parent) and is_cycle.
 
-    Each way is a row. A step extends the ways of the step before alone, and is written before the next one reads it, so that no
-    plan grows with the depth and no recursion holds all rows. A way that comes to a role that it has passed is marked is_cycle and
+    Each way is a row. A step extends the ways of the step before alone, and steps are written, TOGETHER of them at once, before the
+    next one reads them, so that no plan grows with the depth and no recursion holds all rows. A way that comes to a role that it has passed is marked is_cycle and
     ends there. Edges of null ends are none; repeated edges count once."""
     known, _ = _written(edges.select("child", "parent").dropna().distinct(), "edges")
-    step = known.select(F.col("child").alias("role"), F.col("parent").alias("ancestor"), F.array("child").alias("way"), F.col("child").cast("string").alias("path"))
-    out = None
-    for n in range(1, depth + 1):
-        step, left = _written(step.withColumn("is_cycle", F.array_contains("way", F.col("ancestor"))), f"step_{n}", "not is_cycle")
-        rows = step.select("role", "ancestor", F.lit(n).alias("steps"), "path", "is_cycle")
-        out = rows if out is None else out.unionByName(rows)
-        if n == depth or not left:
-            return out
-        open_ = step.where("not is_cycle")
-        ahead = open_.join(known, open_["ancestor"] == known["child"])
-        step = ahead.select("role", F.col("parent").alias("ancestor"), F.concat("way", F.array("child")).alias("way"), F.concat("path", F.lit(" -> "), F.col("parent").cast("string")).alias("path"))
-    return out
+    told = lambda rows, n: rows.withColumns({"is_cycle": F.array_contains("way", F.col("ancestor")), "steps": F.lit(n)})
+    text = F.col("parent").cast("string")
+    step = told(known.select(F.col("child").alias("role"), F.col("parent").alias("ancestor"), F.array("child").alias("way"), F.col("child").cast("string").alias("path")), 1)
+    out, n, left = step, 1, 1
+    while n < depth and left:
+        ahead = []
+        for n in range(n + 1, min(n + TOGETHER, depth) + 1):
+            open_ = step.where("not is_cycle")
+            met = open_.join(known, open_["ancestor"] == known["child"])
+            step = told(met.select("role", F.col("parent").alias("ancestor"), F.concat("way", F.array("child")).alias("way"), F.concat("path", F.lit(" -> "), text).alias("path")), n)
+            ahead.append(step)
+        both, left = _written(reduce(DataFrame.unionByName, ahead), f"step_{n}", f"steps = {n} and not is_cycle")
+        out, step = out.unionByName(both), both.where(F.col("steps") == n)
+    return out.select("role", "ancestor", "steps", "path", "is_cycle")
 
 
 def role_closure(edges: DataFrame, depth: int | None = None) -> DataFrame:

@@ -16,7 +16,10 @@ SORTED_ROWS = 1 << 21
 
 
 def _hot(rows: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether any key has more than SORTED_ROWS rows, from counts."""
+    """Whether any key has more than SORTED_ROWS rows, from counts; an input of few bytes isn't counted."""
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(size) <= 8 * SORTED_ROWS:
+        return False
     return (rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > SORTED_ROWS
 
 
@@ -119,8 +122,15 @@ def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str, a
     """Legs that lie strictly inside no other leg (of among, if given) of the same keys: with starts in order, a running maximum of the ends of
     those that start earlier tells. Legs of one start, or one end, don't contain each other.
 
-    The maximum runs over the distinct starts, each with its latest end. Where a key has more of them than a task may
-    sort (SORTED_ROWS), they are parted into ranges that take over the maximum of those before."""
+    With many legs of a key (or others to lie in) the maximum runs over the distinct starts, each with its latest end; where a key has
+    more of them than a task may sort (SORTED_ROWS), they are parted into ranges that take over the maximum of those before."""
+    if among is None and not _hot(legs.select(*keys), keys):
+        w = Window.partitionBy(*keys).orderBy(start)
+        before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        rows = legs.withColumns({"__m": before, "__n": F.row_number().over(w)})
+        # of legs of one start the first has seen none of the others
+        first = F.first("__m").over(Window.partitionBy(*keys, start).orderBy("__n"))
+        return rows.withColumn("__m", first).where(F.col("__m").isNull() | F.col(end).isNull() | (F.col("__m") <= F.col(end))).drop("__m", "__n")
     others = legs.select(*keys, start, F.col(end).alias("__z"))
     if among is not None:
         others = others.withColumn("__z", F.lit(None).cast(legs.schema[end].dataType)).unionByName(among.select(*keys, start, F.col(end).alias("__z")))
