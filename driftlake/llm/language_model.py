@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from driftlake.llm.scratch import ship, write_shared
 from driftlake.llm.words import LOWER, WHITE, Block, signed, text_blocks, tidy
 
-#: Bytes of the longest contexts; bytes of those that root the tree's parts; grams to a part; words and
-#: grams whose scores tasks hold, at most.
-DEPTH, ROOT, PART, HOT, HOT_GRAMS = 6, 2, 1 << 18, 1 << 19, 1 << 21
+#: Bytes of the longest contexts; bytes of the shortest that root the tree's parts; words and grams whose scores tasks hold,
+#: at most.
+DEPTH, ROOT, HOT, HOT_GRAMS = 6, 2, 1 << 19, 1 << 21
+#: Grams below a root, and how many roots of one length may be too heavy: with more grams than CROWN of that size, roots grow.
+UNDER, CROWN = 1 << 17, 2048
 #: Documents of a block; counts that a task sums before it sends them.
 DOCS, HELD = 256, 1 << 22
 SPACE, END = 32, 10
@@ -196,9 +198,9 @@ def _above(low: Level) -> Level:
     return up
 
 
-def _part_levels(grams: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[Level]]:
+def _part_levels(grams: np.ndarray, n: np.ndarray, bit: int, root: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[Level]]:
     """Of one binary decision of the last byte of each gram (in order): the grams by bits so far and context, their bits and
-    leaves, and the levels from DEPTH to ROOT."""
+    leaves, and the levels from DEPTH to root bytes."""
     byte = (grams & np.uint64(255)).astype(np.uint8)
     order = np.argsort(byte >> np.uint8(8 - bit) if bit else np.zeros(len(byte), np.uint8), kind="stable")
     byte = byte[order].astype(np.uint64)
@@ -208,7 +210,7 @@ def _part_levels(grams: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray
     first, leaf, n = np.flatnonzero(new), np.cumsum(new) - 1, n[order]
     levels = [Level(key[first], np.add.reduceat(np.where(one, 0, n), first), np.add.reduceat(np.where(one, n, 0), first))]
     levels[0].log_w, levels[0].part = _log_kt(levels[0].a, levels[0].b), np.ones(len(first))
-    while len(levels) <= DEPTH - ROOT:
+    while len(levels) <= DEPTH - root:
         levels.append(_above(levels[-1]))
     return order, one, leaf, levels
 
@@ -222,46 +224,56 @@ def _descend(level: Level, given: np.ndarray, share: np.ndarray, ones: np.ndarra
     return given + share * level.part * kt, share * (1 - level.part), np.where(seen, given + share * kt, ones)
 
 
-def _part_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _part_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
     grams, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy().astype(float)
     order = np.argsort(grams)
-    return grams[order], n[order]
+    return grams[order], n[order], table["root"][0].as_py()
 
 
 def _roots(table: pa.Table) -> pa.Table:
-    """The nodes of ROOT bytes of a part of the tree, weighed over all that is below."""
-    grams, n = _part_columns(table)
+    """The roots of a part of the tree, weighed over all that is below."""
+    grams, n, root = _part_columns(table)
     grams, n = grams[n > 0], n[n > 0]
-    tops = [_part_levels(grams, n, bit)[3][-1] for bit in range(8)] if len(grams) else []
+    tops = [_part_levels(grams, n, bit, root)[3][-1] for bit in range(8)] if len(grams) else []
     columns = [np.concatenate([getattr(t, c) for t in tops] or [np.zeros(0)]) for c in ("keys", "a", "b", "log_w")]
-    return pa.table([pa.array(columns[0].astype(np.int64)), *(pa.array(c) for c in columns[1:])], names=["node", "a", "b", "log_w"])
+    return pa.table([pa.array(np.full(len(columns[0]), root, np.int32)), pa.array(columns[0].astype(np.int64)), *(pa.array(c) for c in columns[1:])], names=["root", "node", "a", "b", "log_w"])
+
+
+def _joined(above: Level, low: Level, roots: Level) -> Level:
+    """The nodes of one length: those above longer ones, and roots; low.up follows them."""
+    order = np.argsort(np.r_[above.keys, roots.keys])
+    low.up = np.argsort(order)[low.up]
+    both = lambda c: np.r_[getattr(above, c), getattr(roots, c)][order]
+    return Level(both("keys"), both("a"), both("b"), None, both("log_w"), both("part"))
 
 
 def _crown(roots: pa.Table) -> list[tuple[np.ndarray, ...]]:
-    """Of the contexts of 0 to ROOT - 1 bytes: keys, what is settled, the share left and the chance of a one."""
-    keys = roots["node"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    levels = [Level(keys[order], *(roots[c].to_numpy()[order] for c in "ab"))]
-    levels[0].log_w = roots["log_w"].to_numpy()[order]
-    if not len(keys):
+    """Of the contexts above all roots, by length: keys, what is settled, the share left and the chance of a one."""
+    if not roots.num_rows:
         return []
-    while len(levels) <= ROOT:
-        levels.append(_above(levels[-1]))
-    out, below = [], levels[:0:-1]
-    given, share, ones = np.zeros(len(below[0].keys)), np.ones(len(below[0].keys)), np.full(len(below[0].keys), 0.5)
-    for i, level in enumerate(below):
-        if i:
-            given, share, ones = (x[level.up] for x in (given, share, ones))
-        given, share, ones = _descend(level, given, share, ones)
-        out.append((level.keys, given, share, ones))
+    length, node = roots["root"].to_numpy(), roots["node"].to_numpy().view(np.uint64)
+    a, b, log_w = (roots[c].to_numpy() for c in ("a", "b", "log_w"))
+    levels, low = [], None
+    for d in range(int(length.max()), -1, -1):
+        mine = np.flatnonzero(length == d)
+        mine = mine[np.argsort(node[mine])]
+        own = Level(node[mine], a[mine], b[mine], None, log_w[mine], np.ones(len(mine)))
+        low = _joined(_above(low), low, own) if low else own
+        levels.append((low, np.isin(low.keys, own.keys)))
+    out, passed = [], None
+    for level, is_root in levels[:0:-1]:
+        n = len(level.keys)
+        passed = (np.zeros(n), np.ones(n), np.full(n, 0.5)) if passed is None else tuple(x[level.up] for x in passed)
+        passed = _descend(level, *passed)
+        out.append(tuple(x[~is_root] for x in (level.keys, *passed)))
     return out
 
 
-def _passed(crown: list[tuple[np.ndarray, ...]], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What the crown passes on to nodes of ROOT bytes."""
+def _passed(crown: list[tuple[np.ndarray, ...]], keys: np.ndarray, root: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What the crown passes on to nodes of root bytes."""
     given, share, ones = np.zeros(len(keys)), np.ones(len(keys)), np.full(len(keys), 0.5)
-    for d, (known, *values) in enumerate(crown):
-        want = keys >> np.uint64(8 * (ROOT - d))
+    for d, (known, *values) in enumerate(crown[:root]):
+        want = keys >> np.uint64(8 * (root - d))
         at = np.minimum(np.searchsorted(known, want), len(known) - 1)
         hit = known[at] == want
         for out, x in zip((given, share, ones), values, strict=True):
@@ -273,11 +285,11 @@ def _part_scores(shared):
     """Log10 of the probability of each gram's last byte after its context: at each bit, the deepest node that is known."""
 
     def go(table: pa.Table) -> pa.Table:
-        grams, n = _part_columns(table)
+        grams, n, root = _part_columns(table)
         total = np.zeros(len(grams))
         for bit in range(8):
-            order, one, leaf, levels = _part_levels(grams, n, bit)
-            passed = _descend(levels[-1], *_passed(shared.value, levels[-1].keys))
+            order, one, leaf, levels = _part_levels(grams, n, bit, root)
+            passed = _descend(levels[-1], *_passed(shared.value, levels[-1].keys, root))
             for level in levels[-2::-1]:
                 passed = _descend(level, *(x[level.up] for x in passed))
             p = passed[2][leaf]
@@ -287,19 +299,37 @@ def _part_scores(shared):
     return go
 
 
-def score_grams(grams: DataFrame) -> DataFrame:
+def _cut(grams: DataFrame, under: int) -> DataFrame:
+    """Grams with the length of their root: ROOT bytes, or as many more as leave no more than `under` grams below it.
+
+    A gram starts with the byte next to its own, so that those under one root share their first bytes. Only roots that are too
+    heavy come to the driver: of each length at most the number of grams over `under`."""
+    first = lambda length: F.shiftrightunsigned("key", 8 * (DEPTH - length + 1))
+    root, rest = F.lit(ROOT), grams
+    for length in range(ROOT, DEPTH):
+        heavy = [r[0] for r in rest.groupBy(first(length).alias("first")).count().where(F.col("count") > under).select("first").collect()]
+        if not heavy:
+            break
+        # what is under a heavy root is under heavy ones of all shorter lengths
+        split = first(length).isin(heavy)
+        root, rest = root + split.cast("int"), rest.where(split)
+    return grams.select(root.alias("root"), "key", "n").withColumn("first", F.expr(f"shiftrightunsigned(key, 8 * ({DEPTH + 1} - root))"))
+
+
+def score_grams(grams: DataFrame, under: int = UNDER) -> DataFrame:
     """Weigh the tree of all grams (key, n) and score each: key, n, tree (log10).
 
-    Nothing is left out: the tree is cut at its contexts of ROOT bytes into parts of about PART grams, which tasks weigh from
-    the leaves up; the driver weighs the nodes above, as many as the alphabet allows; tasks then go down from these."""
-    parts = max(8, grams.count() // PART)
-    # a gram starts with the byte next to it, so that the contexts under one root are in one part
-    part = F.pmod(F.hash(F.shiftrightunsigned("key", 8 * (DEPTH - ROOT + 1))), F.lit(parts))
-    cut = grams.select(part.alias("part"), "key", "n")
+    Nothing is left out: the tree is cut at roots of ROOT bytes, or of more where over `under` grams share one, so that no part is
+    bound to be larger than that. Tasks weigh parts of about twice as many from the leaves up; the driver weighs the nodes
+    above the roots, at most CROWN heavy ones of each length; tasks then go down from these."""
+    n_grams = grams.count()
+    under = max(under, n_grams // CROWN)
+    parts = max(8, n_grams // (2 * under))
+    cut = _cut(grams, under).select("root", F.pmod(F.xxhash64("root", "first"), F.lit(parts)).alias("part"), "key", "n")
     ship(grams.sparkSession)
-    roots = cut.groupBy("part").applyInArrow(lambda t: _roots(t), "node long, a double, b double, log_w double").toArrow()
+    roots = cut.groupBy("root", "part").applyInArrow(lambda t: _roots(t), "root int, node long, a double, b double, log_w double").toArrow()
     crown = grams.sparkSession.sparkContext.broadcast(_crown(roots))
-    return cut.groupBy("part").applyInArrow(_part_scores(crown), "key long, n long, tree double")
+    return cut.groupBy("root", "part").applyInArrow(_part_scores(crown), "key long, n long, tree double")
 
 
 class Held:

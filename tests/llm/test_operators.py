@@ -227,6 +227,24 @@ def test_tree_keeps_every_context(spark):
     assert [got[k] for k in some] == pytest.approx([want[k] for k in some])
 
 
+@pytest.mark.parametrize("under", [20, 300])
+def test_heavy_roots_of_the_tree_are_split(spark, under):
+    """Most grams share their nearest bytes: no part's root has more than `under`, and scores are those of the whole tree."""
+    from driftlake.llm import language_model as m
+
+    r = random.Random(7)
+    near = [bytes(r.choices(b"eeeeeeet ", k=m.DEPTH)) for _ in range(3000)] + [bytes(r.choices(b"abcdefgh", k=m.DEPTH)) for _ in range(300)]
+    grams = {(c, r.choice(b"abcdefghxyz")): r.choice([0, 1, 2, 700]) for c in near for _ in range(3)}
+    grams |= {(b"qqqqqq", x): 0 for x in range(120)}
+    code = {int.from_bytes(c + bytes([x]), "big"): (c, x) for c, x in grams}
+    df = spark.createDataFrame([(k, grams[v]) for k, v in code.items()], "key long, n long")
+    sizes = m._cut(df, under).groupBy("root", "first").count().collect()
+    assert all(x["count"] <= under or x["root"] == m.DEPTH for x in sizes) and sum(x["count"] for x in sizes) == len(grams)
+    assert {x["root"] for x in sizes} > {m.ROOT}
+    got = {code[x["key"]]: x["tree"] for x in m.score_grams(df, under).collect()}
+    assert got == pytest.approx(plain_tree({k: n for k, n in grams.items() if n}, grams, m.DEPTH))
+
+
 def test_language_model_reads_across_words(hard):
     """The tree's scores are those of the running text, whether grams are held by tasks or joined."""
     from driftlake.llm.language_model import DEPTH
