@@ -30,6 +30,8 @@ LEAD = r"^(?:[^A-Za-z0-9+@(]|\((?![0-9]+\)[\x20.-]*[0-9]))*+"
 NEAR, SUPPORT, CONFIDENT, SETTLED = 48, 5, 5 / 6, 1e-6
 #: Texts with added spans that are few enough to be sent to all tasks; more are joined by a shuffle, to the same result.
 SMALL = 10_000
+#: Contexts that are few enough to be sent to all tasks, which look for the plain words after them; more are joined by a shuffle.
+SENT = 100_000
 #: Code points of the pieces that a long text is taken apart into, and spans that are gathered in one array at a time: an array
 #: that grows by one is copied each time, so that only short ones may.
 PIECE, GATHERED = 2000, 256
@@ -149,7 +151,7 @@ def _occurrences(texts: DataFrame) -> DataFrame:
     skipped = F.length(F.regexp_extract("found", LEAD, 0))
     start = F.col("s.start") + F.when(F.col("s.kind") == "", skipped).otherwise(0)
     value = F.when(F.col("s.kind") == "", trimmed).otherwise(F.col("found"))
-    left = F.lower(F.regexp_extract("before", r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
+    left = F.lower(F.regexp_replace(F.regexp_extract("before", r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1), r"[\x20\x09-\x0D]+", " "))
     near = F.lower(F.regexp_extract("before", r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
     right = F.lower(F.regexp_extract("after", r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
     shape = F.regexp_replace(F.regexp_replace(value, "[A-Za-z]+", "a"), "[0-9]+", "9")
@@ -164,18 +166,40 @@ def _fits(kind: Column, value: Column) -> Column:
     return F.when(kind == "email", mail).when(kind == "ip", value.rlike(r"^[0-9]{1,3}(?:[.:_-][0-9]{1,3}){3}$")).when(kind == "card", digits.between(12, 19)).otherwise(digits.between(7, 15) & ~mail)
 
 
-def discover(occurrences: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:
-    """Score patterns and values in turn over their graph; spans (key, start, end, kind) that no seed pattern finds.
+def _plain_words(texts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Words without a digit or @ that stand right after one of the contexts (one column, pattern): pattern, value, each once."""
+
+    def led(words: Column) -> Column:
+        n = F.size(words)
+        here = F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n), lambda near, value: F.struct(near.alias("near"), value.alias("value")))
+        return F.zip_with(F.slice(F.concat(F.array(F.lit(None)), words), F.lit(1), n - 1), here, lambda far, x: F.struct(far.alias("far"), x["near"].alias("near"), x["value"].alias("value")))
+
+    words = F.filter(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = texts.select(F.explode(_let(words, lambda w: F.when(F.size(w) > 1, led(w)))).alias("w")).select("w.*").where(~F.col("value").rlike("[0-9@]"))
+    patterns = F.array_compact(F.array(F.concat(F.lit("next:"), "near"), F.concat(F.lit("before:"), "far", F.lit(" "), "near")))
+    rows = rows.select(F.explode(patterns).alias("pattern"), "value")
+    if contexts.limit(SENT + 1).count() <= SENT:
+        return rows.join(F.broadcast(contexts), "pattern", "left_semi").distinct()
+    # each task has put its repeats together before they meet the contexts
+    return rows.distinct().join(contexts, "pattern", "left_semi")
+
+
+def discover(texts: DataFrame, support: int = SUPPORT, confident: float = CONFIDENT) -> DataFrame:
+    """Score patterns and values of texts (key, text) in turn over their graph; spans (key, start, end, kind) that no seed finds.
 
     A pattern's score for a kind is the mean score of the distinct values in it, drawn towards 0 as if one more did not
     fit; a seed's score is 1, another value's 1 - (1 - score) over its patterns, or 0 if it can't be of the kind. Patterns
     need `support` distinct seeds. Each round solves a pattern's score exactly given the others', so that values that only it
-    has don't weigh: it is seeds / (seeds + values that don't fit + 1) at first, and only rises, until all have settled.
+    has don't weigh: it is seeds / (seeds + values that don't fit + 1) at first, and only rises, until all have settled. Plain
+    words that follow a context are values that don't fit, so that "of" and "|" are no labels though numbers follow them too.
     Patterns and values are only counted, summed and joined: a context that a third of all rows have sends a row a task.
     """
-    occurrences = write_shared(occurrences, "occurrences")
+    occurrences = write_shared(_occurrences(texts), "occurrences")
     graph = occurrences.groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
     seeds = graph.where(F.col("kind").isNotNull()).groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= support)
+    seeds = write_shared(seeds, "contexts")
+    led = _plain_words(texts, seeds.where(~F.col("pattern").startswith("after:")).select("pattern").distinct())
+    graph = graph.unionByName(led.withColumn("kind", F.lit(None).cast("string")))
     kept = graph.withColumnRenamed("kind", "own").join(seeds, "pattern")
     kept = write_shared(kept.select("pattern", "value", "kind", "seeds", (F.col("own").isNull() & _fits(F.col("kind"), F.col("value"))).alias("open")), "graph")
     # values not open are seeds of the kind, or speak against it
@@ -215,7 +239,7 @@ def find(docs: DataFrame, text_col: str = "text", base: str = "base", spans: str
         spans += "_"
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.xxhash64(text, F.lit(9))
-    new = discover(_occurrences(docs.select(key.alias("key"), text.alias("text"))))
+    new = discover(docs.select(key.alias("key"), text.alias("text")))
     rank = F.array_position(F.lit(list(KINDS)), F.col("kind")).cast("int") - 1
     added = new.groupBy("key").agg(F.collect_set(F.struct("start", rank.alias("rank"), "end", "kind")).cast(SPAN).alias("__added"))
     added = write_shared(added.withColumnRenamed("key", "__pii_key"), "added")
