@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -166,6 +167,8 @@ def retention_log(df: DataFrame, table: str, date_col: str, days: int, as_of: Co
 
 #: Steps of a hierarchy that one job works out.
 TOGETHER = 3
+#: Edges for each bucket of a closure, about, and buckets at most.
+BUCKET_EDGES, MOST_BUCKETS = 1 << 15, 1 << 16
 
 
 def _written(df: DataFrame, name: str, goes_on: str = "true") -> tuple[DataFrame, int]:
@@ -202,15 +205,32 @@ def role_hierarchy(edges: DataFrame, depth: int = 10) -> DataFrame:
 def role_closure(edges: DataFrame, depth: int | None = None) -> DataFrame:
     """Every ancestor of every role once, with the fewest steps to it, and is_cycle where a role comes back to itself.
 
-    Pairs that were found before are not followed again: ways that meet don't multiply, cycles end, and depth may be without bound."""
+    Pairs that were found before are not followed again: ways that meet don't multiply, cycles end, and depth may be without bound.
+    A step hands what it found for a role on to the role's children. All steps are one table in buckets of its pairs, so that
+    pairs are shuffled in the step that finds them, and not again in each that must not find them once more."""
+    spark = edges.sparkSession
     known, left = _written(edges.select("child", "parent").dropna().distinct(), "edges")
-    found = step = known.selectExpr("child AS role", "parent AS ancestor", "1 AS steps")
-    n = 1
-    while n != depth and left:
-        n += 1
-        ahead = step.join(known, step["ancestor"] == known["child"]).select("role", F.col("parent").alias("ancestor")).distinct()
-        step, left = _written(ahead.join(found, ["role", "ancestor"], "left_anti").withColumn("steps", F.lit(n)), f"step_{n}")
-        found = found.unionByName(step)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(max(min(parts, 1 + left // (BUCKET_EDGES // 8)), 1 + left // BUCKET_EDGES), MOST_BUCKETS)
+    pairs, path = f"pairs_{uuid.uuid4().hex}", work_dir(spark, "pairs")
+
+    def add(rows: DataFrame, n: int) -> bool:
+        dealt = rows.repartition(buckets, "role", "ancestor") if n == 1 else rows
+        dealt.withColumn("steps", F.lit(n)).write.mode("append").format("parquet").option("path", path).bucketBy(buckets, "role", "ancestor").saveAsTable(pairs)
+        return not spark.table(pairs).where(F.col("steps") == n).isEmpty()
+
+    try:
+        n = 1
+        left = add(known.selectExpr("child AS role", "parent AS ancestor"), n)
+        while n != depth and left:
+            found = spark.table(pairs)
+            step = found.where(F.col("steps") == n).select(F.col("role").alias("parent"), "ancestor")
+            n += 1
+            ahead = step.join(known, "parent").select(F.col("child").alias("role"), "ancestor").repartition(buckets, "role", "ancestor").distinct()
+            left = add(ahead.join(found.select("role", "ancestor"), ["role", "ancestor"], "left_anti"), n)
+        found = spark.read.schema(spark.table(pairs).schema).parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {pairs}")
     return found.withColumn("is_cycle", F.col("role") == F.col("ancestor"))
 
 

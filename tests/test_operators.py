@@ -18,6 +18,17 @@ def _at():
     return F.lit(T).cast("timestamp")
 
 
+def _shuffled(spark, action):
+    """Rows written to shuffles while action runs, and its result."""
+    sc = spark.sparkContext
+    store, none = sc._jsc.sc().statusStore(), sc._gateway.new_array(sc._jvm.double, 0)
+    stages = lambda: [(s.stageId(), s.shuffleWriteRecords()) for s in (lambda l: [l.apply(i) for i in range(l.size())])(store.stageList(None, False, False, none, None))]
+    first = max([n for n, _ in stages()], default=-1)
+    out = action()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(rows for n, rows in stages() if n > first), out
+
+
 def _table(spark, rows, tmp_path, order=(), **how):
     table = VersionedTable(spark, str(tmp_path / "t"), ["k"], order, **how)
     table.write(cdc.new_target(spark.createDataFrame(rows, "k long, v string"), _at(), "B0"))
@@ -250,6 +261,26 @@ def test_a_long_chain_of_roles(spark):
     assert {r["steps"]: r["count"] for r in got} == {k: n - k + 1 for k in range(1, 11)}
 
 
+def test_pairs_of_a_closure_are_not_shuffled_in_every_step(spark):
+    """All pairs of 60 chains of 20 steps; nothing is left of the tables that were made for them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.range(1200).selectExpr("id AS child", "id + 60 AS parent")
+        rows, got = _shuffled(spark, lambda: governance.role_closure(edges).groupBy("steps").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert {r["steps"]: r["count"] for r in got} == {k: 60 * (21 - k) for k in range(1, 21)}
+    # 20 times the edges, and each pair before its join and after it, but not what was found before
+    assert rows < 20 * 1200 + 3 * 12_600 + 10_000
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("pairs_")]
+
+
+def test_a_closure_of_no_edges(spark):
+    assert governance.role_closure(spark.createDataFrame([], "child long, parent long")).collect() == []
+
+
 def test_cycles_of_roles_end_and_are_told(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "b"), ("d", "d"), ("a", None)], "child string, parent string")
     got = {(r["role"], r["ancestor"], r["steps"], r["is_cycle"]) for r in governance.role_hierarchy(edges).collect()}
