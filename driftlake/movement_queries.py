@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from driftlake.operators import movement_mart as mart
 from driftlake.registry import Registry
-from driftlake.sources.tables import scan, work_dir
+from driftlake.sources.tables import scan, work_dir, written
 
 R = Registry()
 _DAYS = 2
@@ -47,7 +47,8 @@ def _measures():
 
 def _facts(spark, sf):
     events, consists = _tables(spark, sf)
-    return mart.facts(mart.stage(events, consists), consists, _DAYS)
+    staging = written(mart.stage(events, consists), "staging")
+    return written(mart.facts(staging, consists, _DAYS), "facts")
 
 
 def movement_stage(spark, sf):

@@ -76,26 +76,31 @@ def orphan_match(events: DataFrame, changes: DataFrame, on: dict[str, str], even
 
     Of several the greatest id stays, and of that the greatest version (rank: id and version); a null one only among nulls. A change is
     left aside whose own time, carry[0], is after the event, unless it is the least of all changes that events of the same
-    `within` columns met (all columns of on, if none are named). Ties stay side by side, and so do repeated rows."""
+    `within` columns met (all columns of on, if none are named). Ties stay side by side, and so do repeated rows.
+    Changes of one place are folded first, so that an event meets one row of them and then only those that it is matched with."""
     ident, version = rank
-    e = events.withColumn("__row", F.monotonically_increasing_id())
-    # the number must hold from one use to the next
-    path = work_dir(events.sparkSession, "orphans")
-    e.write.parquet(path)
-    e = events.sparkSession.read.schema(e.schema).parquet(path)
     columns = list(dict.fromkeys([ident, version, *carry]))
+    at = [*[f"__c{i}" for i in range(len(on))], "__ct"]
     c = changes.select(*[F.col(v).alias(f"__c{i}") for i, v in enumerate(on.values())], F.col(change_ts).alias("__ct"), *[F.col(x).alias(f"matched_{x}") for x in columns])
     equal = reduce(Column.__and__, [F.col(k) == F.col(f"__c{i}") for i, k in enumerate(on)], F.col(event_ts) == F.col("__ct"))
-    met = e.join(c, equal, "left")
+    which = F.struct(F.col(f"matched_{ident}").alias("i"), F.col(f"matched_{version}").alias("v"))
+    # changes of one place, folded before events meet them: the greatest that is not after its time, and of the least ones
     if carry:
         own = F.col(f"matched_{carry[0]}")
+        early = own.isNull() | (F.col("__ct") >= own)
+        places = c.groupBy(*at, own.alias("__own")).agg(F.max(which).alias("__which"), F.max(early).alias("__early"))
+        places = places.groupBy(*at).agg(F.max(F.when(F.col("__early"), F.col("__which"))).alias("__fit"), F.min("__own").alias("__own"), F.min_by("__which", "__own").alias("__of_own"))
         by = list(within or on)
-        least = met.groupBy(*by).agg(F.min(own).alias("__least"))
-        met = _beside(met, least, by)
-        met = met.where(F.col(event_ts).isNull() | (F.col(event_ts) >= F.coalesce(own, F.col(event_ts))) | (own == F.col("__least")))
-    top = met.groupBy("__row").agg(F.max(F.struct(F.col(f"matched_{ident}").alias("i"), F.col(f"matched_{version}").alias("v"))).alias("__top"))
-    kept = met.join(top, "__row").where(F.col(f"matched_{ident}").eqNullSafe(F.col("__top.i")) & F.col(f"matched_{version}").eqNullSafe(F.col("__top.v")))
-    return kept.select(*events.columns, *[f"matched_{x}" for x in columns])
+        met = events.join(places.withColumn("__met", F.lit(True)), equal, "left").drop(*at)
+        met = _beside(met, met.groupBy(*by).agg(F.min("__own").alias("__least")), by)
+        top = F.greatest("__fit", F.when(F.col("__own") == F.col("__least"), F.col("__of_own")))
+        taken = early | (own == F.col("__least"))
+    else:
+        met = events.join(c.groupBy(*at).agg(F.max(which).alias("__fit")).withColumn("__met", F.lit(True)), equal, "left").drop(*at)
+        top, taken = F.col("__fit"), F.lit(True)
+    met = met.withColumn("__top", top).where(F.col("__met").isNull() | F.col("__top").isNotNull())
+    same = F.col(f"matched_{ident}").eqNullSafe(F.col("__top.i")) & F.col(f"matched_{version}").eqNullSafe(F.col("__top.v"))
+    return met.join(c, equal & same & taken, "left").select(*events.columns, *[f"matched_{x}" for x in columns])
 
 
 def movement_legs(events: DataFrame, keys: Sequence[str], ts: str, tie: str, carry: Sequence[str], ahead: Sequence[str] = (), unknown: dict[str, object] | None = None) -> DataFrame:
@@ -108,14 +113,42 @@ def movement_legs(events: DataFrame, keys: Sequence[str], ts: str, tie: str, car
     return events.withColumns(beside).where(F.col(f"from_{ts}").isNotNull())
 
 
-def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str, ts: str, differs: tuple[str, str], leg_id: str, bucket: str = "day") -> DataFrame:
-    """Legs during which no event of the same keys has another value of differs (leg's column, event's column).
-
-    A time bucket joins the keys, so that a hot key meets only what is near. A leg that ends before it starts has no time in it."""
-    span = legs.where(F.col(end) >= F.col(start)).select(leg_id, *keys, start, end, F.col(differs[0]).alias("__own"), F.explode(F.sequence(F.date_trunc(bucket, start), F.date_trunc(bucket, end), F.expr(f"INTERVAL 1 {bucket}"))).alias("__b"))
-    near = events.select(*keys, F.col(ts).alias("__t"), F.col(differs[1]).alias("__other"), F.date_trunc(bucket, ts).alias("__b"))
-    hit = span.join(near, [*keys, "__b"]).where(F.col("__t").between(F.col(start), F.col(end)) & (F.col("__own") != F.col("__other"))).select(leg_id).distinct()
-    return legs.join(hit, leg_id, "left_anti")
+def _last_two(rows: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """rows with the last event (`__v` at `__t`, where that isn't null) up to each of them in an order of time, the last before it of another
+    value (`__last` and `__other`), and their number."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("__last", F.last(F.when(F.col("__v").isNotNull(), F.struct("__t", "__v")), True).over(run))
+    rows = rows.withColumn("__was", F.lag("__last").over(w))
+    turned = F.when(F.col("__v") != F.col("__was.__v"), F.col("__was"))
+    return rows.withColumns({"__other": F.last(turned, True).over(run), "__n": F.row_number().over(w)}).drop("__was")
+
+
+def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str, ts: str, differs: tuple[str, str], leg_id: str = "") -> DataFrame:
+    """Legs during which no event of the same keys has another value of differs (leg's column, event's column). Each leg is judged by
+    itself, also where several have one leg_id.
+
+    Events and the ends of legs stand in one order by key and time: the last event up to a leg's end tells, or, if that has the leg's value, the last
+    one before it of another. So legs and events make no pairs. Where a key has more rows than a task may sort (SORTED_ROWS), its times are
+    parted into ranges that take over both from those before. A leg that ends before it starts has no time in it."""
+    told = events.select(*keys, F.col(ts).alias("__t"), F.lit(0).alias("__side"), F.col(differs[1]).alias("__v"))
+    told = told.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, "__t", "__v")]))
+    rows = told.unionByName(legs.select(*keys, F.col(end).alias("__t"), F.lit(1).alias("__side"), F.struct(*legs.columns).alias("__leg")), True)
+    last, other, own = F.col("__last"), F.col("__other"), F.col("__leg")[differs[0]]
+    if _hot(rows, keys):
+        rows = _last_two(_parted(rows, keys, ["__t", "__side"]), [*keys, "__part"], ["__t", "__side"])
+        ends = rows.groupBy(*keys, "__part").agg(F.max_by(F.array("__other", "__last"), "__n").alias("__two"))
+        two = ends.select(*keys, "__part", F.posexplode("__two").alias("__at", "__e")).select(*keys, "__part", "__at", "__e.*")
+        two = _last_two(two, keys, ["__part", "__at"]).where("__at = 1")
+        before = Window.partitionBy(*keys).orderBy("__part")
+        carry = two.select(*keys, "__part", F.lag("__last").over(before).alias("__last0"), F.lag("__other").over(before).alias("__other0"))
+        rows = _beside(rows, carry, [*keys, "__part"])
+        taken = F.when(last.isNull(), F.col("__other0")).when(F.col("__last0.__v") != F.col("__last.__v"), F.col("__last0")).otherwise(F.col("__other0"))
+        rows = rows.withColumns({"__other": F.coalesce(other, taken), "__last": F.coalesce(last, "__last0")})
+    else:
+        rows = _last_two(rows, keys, ["__t", "__side"])
+    hit = own.isNotNull() & (F.col("__leg")[start] <= F.when(last["__v"] != own, last["__t"]).otherwise(other["__t"]))
+    return rows.where((F.col("__side") == 1) & ~F.coalesce(hit, F.lit(False))).select("__leg.*")
 
 
 def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str, among: DataFrame | None = None) -> DataFrame:

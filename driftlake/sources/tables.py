@@ -28,6 +28,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{at}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df worked out once, into a table of its own, which later steps read."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _landed(lines: DataFrame) -> DataFrame:
     data = F.try_parse_json("value")
     return lines.withColumn("data", data).where(F.col("data").isNotNull() | (F.trim("value") == "null")).drop("value")

@@ -246,6 +246,37 @@ def test_legs_that_end_before_they_start_conflict_with_nothing(spark):
     assert [r["id"] for r in movement.anti_conflicting(legs, events, ["k"], "s", "e", "t", ("train", "train"), "id").collect()] == [1]
 
 
+def test_conflicts_of_a_hot_key_make_no_pairs(spark, monkeypatch):
+    """As a plain loop finds them, whole and in ranges; no join of legs and events is left."""
+    rng = random.Random(7)
+    pick = lambda values: rng.choice(values)
+    at = lambda: pick([None, *[T + datetime.timedelta(minutes=m) for m in range(40)]])
+    legs = [(i, pick([None, 1, 2]), at(), at(), pick([None, "a", "b", "c"])) for i in range(150)]
+    legs += [(1, 1, T, T, "a"), (1, 1, T, T, "b")]
+    events = [(pick([None, 1, 2]), at(), pick([None, "a", "a", "a", "b", "c"])) for _ in range(60)]
+    hit = lambda leg: any(e[0] == leg[1] and None not in (*leg, *e) and leg[2] <= e[1] <= leg[3] and e[2] != leg[4] for e in events)
+    want = sorted(map(repr, [leg for leg in legs if not hit(leg)]))
+    ours = (spark.createDataFrame(legs, "id int, k int, s timestamp, e timestamp, train string"), spark.createDataFrame(events, "k int, t timestamp, train string"))
+    run = lambda: movement.anti_conflicting(*ours, ["k"], "s", "e", "t", ("train", "train"), "id")
+    assert sorted(repr(tuple(r)) for r in run().collect()) == want and 10 < len(want) < len(legs) - 10
+    monkeypatch.setattr(movement, "_hot", lambda rows, keys: True)
+    assert sorted(repr(tuple(r)) for r in run().collect()) == want
+    monkeypatch.undo()
+    many = spark.range(4000).selectExpr("id", "1 AS k", "timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id) AS t", "if(id < 0, 'b', 'a') AS train")
+    met = movement.anti_conflicting(many.selectExpr("id", "k", "timestamp'2024-01-01' AS s", "t", "train"), many.selectExpr("k", "t AS at", "train"), ["k"], "s", "t", "at", ("train", "train"), "id")
+    assert met.count() == 4000
+    assert not [p for p in met._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in p]
+
+
+def test_orphans_of_one_place_make_no_pairs(spark):
+    """2,000 events and 2,000 changes of one place and time: each event meets what the changes are folded to, and its match."""
+    events = spark.range(2000).selectExpr("id", "'a' AS k", "timestamp'2024-01-01' AS t")
+    changes = spark.range(2000).selectExpr("'a' AS ck", "timestamp'2024-01-01' AS reported", "id div 2 AS cid", "id % 2 AS version", "timestamp'2024-01-01' + make_dt_interval(0, 0, 0, id - 1500) AS changed")
+    find = lambda: movement.orphan_match(events, changes, {"k": "ck"}, "id", "t", "reported", ("cid", "version"), ["changed"], ["id"]).groupBy("matched_cid", "matched_version").count().collect()
+    rows, got = _shuffled(spark, find)
+    assert [tuple(r) for r in got] == [(750, 0, 2000)] and rows < 20_000
+
+
 def test_orphans_with_ties_nulls_and_repeated_rows(spark):
     at = lambda h: T + datetime.timedelta(hours=h)
     events = spark.createDataFrame([(1, "a", "s", at(5)), (1, "a", "s", at(5)), (2, "a", None, at(5)), (3, "a", "s", at(6)), (4, "b", "s", at(5)), (5, "c", "s", at(5))], "id int, k string, station string, t timestamp")
