@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftlake.sources.tables import work_dir
+from driftlake.sources.tables import work_dir, written
 
 
 #: Rows of one key that one task may sort; keys with more are parted by time.
 SORTED_ROWS = 1 << 21
+#: Stretches whose join one task sorts, about.
+TASK_ROWS = 1 << 18
 
 
 def _hot(rows: DataFrame, keys: Sequence[str]) -> bool:
@@ -180,19 +182,26 @@ def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str, a
     return rows.where(F.col("__m").isNull() | F.col(end).isNull() | (F.col("__m") <= F.col(end))).drop("__m")
 
 
-def range_zone_join(rows: DataFrame, zones: DataFrame, row_id: Sequence[str], key: str, low: str, high: str, zone_low: str, zone_high: str, span: int) -> DataFrame:
+def range_zone_join(rows: DataFrame, zones: DataFrame, key: str, low: str, high: str, zone_low: str, zone_high: str, span: int) -> DataFrame:
     """Rows with the zones of their key whose range holds their low end (the zone's high end aside), or their high end.
 
-    Both sides meet by key and by buckets of `span` of the zone's range, not by the condition alone; rows without a zone stay.
-    row_id: columns that tell rows apart."""
-    bucket = lambda c: F.floor(F.col(c) / span)
-    z = zones.withColumn("__b", F.explode(F.sequence(bucket(zone_low), bucket(zone_high))))
-    ends = F.array_distinct(F.array_compact(F.array(bucket(low), bucket(high))))
-    r = rows.select(*dict.fromkeys([*row_id, key, low, high])).withColumn("__b", F.explode(ends))
-    fits = (F.col(low) >= F.col(zone_low)) & (F.col(low) < F.col(zone_high)) | (F.col(high) >= F.col(zone_low)) & (F.col(high) <= F.col(zone_high))
+    A row meets the zones of its key in the buckets of `span` that its ends lie in, as a list for each bucket (which holds what such a
+    bucket has of zones); rows without a zone stay. The lists are written first, so that Spark knows their size: where they are small, rows aren't
+    shuffled by the few keys and buckets that many of them share."""
+    bucket = lambda c: F.floor(c / span)
     extra = [c for c in zones.columns if c != key]
-    met = r.join(z, [key, "__b"]).where(fits).select(*row_id, *extra).distinct()
-    return rows.join(met, list(row_id), "left")
+    spread = zones.distinct().withColumn("__b", F.explode(F.sequence(bucket(F.col(zone_low)), bucket(F.col(zone_high)))))
+    lists = written(spread.groupBy(key, "__b").agg(F.collect_list(F.struct(*extra)).alias("__z")), "zones")
+    for end in (low, high):
+        near = lists.select(F.col(key).alias("__k"), "__b", F.col("__z").alias(f"__of_{end}"))
+        rows = rows.join(near, (F.col(key) == F.col("__k")) & (bucket(F.col(end)) == F.col("__b")), "left").drop("__k", "__b")
+    at, to = F.col(low), F.col(high)
+    fits = lambda z: (at >= z[zone_low]) & (at < z[zone_high]) | (to >= z[zone_low]) & (to <= z[zone_high])
+    # of the high end's zones those that the low end's bucket hasn't
+    met = lambda z: F.coalesce(bucket(at).between(bucket(z[zone_low]), bucket(z[zone_high])), F.lit(False))
+    found = [F.filter(f"__of_{low}", fits), F.filter(f"__of_{high}", lambda z: fits(z) & ~met(z))]
+    both = F.concat(*[F.coalesce(f, F.array().cast(lists.schema["__z"].dataType)) for f in found])
+    return rows.withColumn("__z", F.explode_outer(both)).drop(f"__of_{low}", f"__of_{high}").select("*", *[F.col("__z")[c].alias(c) for c in extra]).drop("__z")
 
 
 def od_subdivision_miles(stretches: DataFrame, breakdown: DataFrame, zones: DataFrame, span: int = 100) -> DataFrame:
@@ -204,9 +213,11 @@ def od_subdivision_miles(stretches: DataFrame, breakdown: DataFrame, zones: Data
     own = stretches.where("is_active").groupBy("od_id", "subdivision_nbr", "subdivision_name").agg(F.sum("miles").alias("miles"))
     own = own.withColumns({"subdivision_name": F.coalesce("subdivision_name", F.lit("X")), "subdivision_nbr": F.coalesce("subdivision_nbr", F.lit(0))})
     ends = breakdown.where("from_nbr = to_nbr").groupBy("od_id", "from_nbr", "from_name").agg(F.min("low_miles").alias("least"), F.max("high_miles").alias("most"))
-    both = own.join(ends.withColumnRenamed("from_nbr", "subdivision_nbr"), ["od_id", "subdivision_nbr"], "left")
-    both = both.withColumn("__row", F.struct("od_id", "subdivision_nbr", "subdivision_name", F.coalesce("from_name", F.lit("")), "miles"))
-    met = range_zone_join(both, zones, ["__row"], "subdivision_nbr", "least", "most", "low_mile", "high_mile", span)
+    ends = ends.withColumnRenamed("from_nbr", "subdivision_nbr")
+    # as many tasks as there are rows for: Spark would put together what compresses well
+    n = 1 + stretches.count() // TASK_ROWS
+    both = own.repartition(n, "od_id", "subdivision_nbr").join(ends.repartition(n, "od_id", "subdivision_nbr"), ["od_id", "subdivision_nbr"], "left")
+    met = range_zone_join(both, zones, "subdivision_nbr", "least", "most", "low_mile", "high_mile", span)
     miles, least, low, high = (F.col(c) for c in ("miles", "least", "low_mile", "high_mile"))
     turned = F.abs(F.abs(high - miles) - miles)
     first = F.when(F.abs(high - least) > miles, F.least(miles, turned)).otherwise(F.abs(high - least))

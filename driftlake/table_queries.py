@@ -419,7 +419,7 @@ def range_zone_join(spark, sf):
     part = scan(spark, sf, "part")
     zones = part.selectExpr("p_size % 7 AS nbr").distinct().selectExpr("nbr", "explode(sequence(0, 3)) AS part").selectExpr("nbr", "concat('Z', nbr, '_', part) AS zone", "CAST(part * 10 AS BIGINT) AS zlo", "CAST(part * 10 + 15 AS BIGINT) AS zhi")
     rows = part.selectExpr("p_partkey", "p_size % 9 AS nbr", "p_partkey % 40 AS lo", "p_partkey % 40 + p_size % 12 AS hi")
-    return movement.range_zone_join(rows, zones, ["p_partkey"], "nbr", "lo", "hi", "zlo", "zhi", 20)
+    return movement.range_zone_join(rows, zones, "nbr", "lo", "hi", "zlo", "zhi", 20)
 
 
 _OD = "SELECT l_orderkey AS od_id, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_suppkey % 6 END AS subdivision_nbr, CASE WHEN l_linenumber = 2 THEN NULL ELSE l_returnflag END AS subdivision_name, l_quantity AS miles, l_linestatus = 'O' OR l_linenumber > 2 AS is_active FROM lineitem"

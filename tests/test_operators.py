@@ -268,6 +268,34 @@ def test_conflicts_of_a_hot_key_make_no_pairs(spark, monkeypatch):
     assert not [p for p in met._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in p]
 
 
+def test_zones_are_met_without_a_shuffle_of_rows(spark):
+    """As a plain loop finds them, with nulls, repeated rows and zones of several buckets; 5,000 rows of one key stay where they are."""
+    rng = random.Random(5)
+    num = lambda: rng.choice([None, *range(60)])
+    zones = sorted({(rng.randrange(3), i % 9, rng.randrange(50), rng.randrange(50)) for i in range(25)})
+    rows = [(rng.choice([None, 0, 1, 2, 3]), num(), num()) for _ in range(120)]
+    rows += rows[:10]
+    holds = lambda x, lo, hi, last: x is not None and (lo <= x < hi or last and x == hi and lo <= x)
+    fit = lambda r: [z for z in zones if z[0] == r[0] and (holds(r[1], z[2], z[3], False) or holds(r[2], z[2], z[3], True))]
+    want = [(*r, *z[1:]) for r in rows for z in fit(r) or [(None,) * 4]]
+    z = spark.createDataFrame(zones, "k int, name int, zlo int, zhi int")
+    got = movement.range_zone_join(spark.createDataFrame(rows, "k int, lo int, hi int"), z, "k", "lo", "hi", "zlo", "zhi", 10).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    many = spark.range(5000).selectExpr("1 AS k", "id % 60 AS lo", "id % 60 + 7 AS hi")
+    n, _ = _shuffled(spark, lambda: movement.range_zone_join(many, z, "k", "lo", "hi", "zlo", "zhi", 10).write.format("noop").mode("overwrite").save())
+    assert n < 1000
+
+
+def test_miles_are_split_by_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(movement, "TASK_ROWS", 100, raising=False)
+    st = spark.range(1000).selectExpr("id AS od_id", "id % 3 AS subdivision_nbr", "'a' AS subdivision_name", "1D AS miles", "true AS is_active")
+    br = st.selectExpr("od_id", "subdivision_nbr AS from_nbr", "'a' AS from_name", "subdivision_nbr AS to_nbr", "1D AS low_miles", "2D AS high_miles")
+    zones = spark.createDataFrame([(1, "r", "z", "d", 0.0, 9.0)], "subdivision_nbr long, region string, zone string, division string, low_mile double, high_mile double")
+    got = movement.od_subdivision_miles(st, br, zones)
+    assert got.rdd.getNumPartitions() == 11
+    assert got.groupBy("region", "miles").count().where("region is not null").collect() == [("r", 1.0, 333)]
+
+
 def test_orphans_of_one_place_make_no_pairs(spark):
     """2,000 events and 2,000 changes of one place and time: each event meets what the changes are folded to, and its match."""
     events = spark.range(2000).selectExpr("id", "'a' AS k", "timestamp'2024-01-01' AS t")
