@@ -50,3 +50,11 @@ def test_windows_end_with_the_log(spark, tmp_path):
     hours = {r["hour"]: (r["runs"], r["failed"], r["mean_seconds"], r["most_seconds"]) for r in QUERIES["execution_stats_last_24h"](spark, sf).collect()}
     assert len(hours) == 6 and hours[t] == (2, 2, 0.5, 1.0)
     assert {(str(r["day"]), r["user_id"]): (r["runs"], r["mean_value"]) for r in QUERIES["pipeline_trend_last_7d"](spark, sf).collect()} == {("2024-03-30", 1): (6, 5.0), ("2024-03-30", 2): (1, 1.0), ("2024-03-27", 2): (1, 1.0), ("2024-03-24", 2): (1, 1.0)}
+
+
+def test_facts_are_worked_out_once(spark):
+    """Leads and summary read facts three times and more, from a table."""
+    from driftlake import movement_queries
+
+    plan = movement_queries._facts(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "parquet" in plan
