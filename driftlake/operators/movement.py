@@ -17,12 +17,12 @@ SORTED_ROWS = 1 << 21
 TASK_ROWS = 1 << 18
 
 
-def _hot(rows: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether any key has more than SORTED_ROWS rows, from counts; an input of few bytes isn't counted."""
+def _hot(rows: DataFrame, keys: Sequence[str], times: int = 1) -> bool:
+    """Whether any key has more than SORTED_ROWS rows (times each of rows), from counts; an input of few bytes isn't counted."""
     size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(size) <= 8 * SORTED_ROWS:
+    if times * int(size) <= 8 * SORTED_ROWS:
         return False
-    return (rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > SORTED_ROWS
+    return times * (rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > SORTED_ROWS
 
 
 def _parted(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -47,17 +47,18 @@ def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(named, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]), how).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
-def asof_match(events: DataFrame, changes: DataFrame, keys: Sequence[str], event_id: str, event_ts: str, change_ts: str, version: Sequence[str]) -> DataFrame:
-    """Each event with the greatest version among changes of its keys at or before it, else of the earliest change.
+def asof_match(events: DataFrame, changes: DataFrame, keys: Sequence[str], event_id: str, event_ts: str, change_ts: str, version: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Each event (with its columns of carry) with the greatest version among changes of its keys at or before it, else of the earliest change.
 
     Both sides stand in one order by key and time, and a running maximum tells, so that hot keys make no pairs. Where a key has more
     rows than a task may sort (SORTED_ROWS), its times are parted into ranges, each takes over the maximum of those before it
     and has a task of its own. Events without any change of their keys are left out."""
     v = F.struct(*version)
-    left = events.select(*keys, F.col(event_ts).alias("__t"), F.lit(1).alias("__side"), F.col(event_id).alias("__e"), F.lit(None).cast(changes.select(v.alias("v")).schema["v"].dataType).alias("__v"))
-    right = changes.select(*keys, F.col(change_ts).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(events.schema[event_id].dataType).alias("__e"), v.alias("__v"))
-    rows = left.unionByName(right)
-    back = lambda by: Window.partitionBy(*by).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = events.select(*keys, F.col(event_ts).alias("__t"), F.lit(1).alias("__side"), F.struct(event_id, *carry).alias("__e"), F.lit(None).cast(changes.select(v.alias("v")).schema["v"].dataType).alias("__v"))
+    right = changes.select(*keys, F.col(change_ts).alias("__t"), F.lit(0).alias("__side"), v.alias("__v"))
+    rows = left.unionByName(right, True)
+    order = lambda by: Window.partitionBy(*by).orderBy("__t", "__side", F.desc("__v"))
+    back = lambda by: order(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if _hot(rows, keys):
         rows = _parted(rows, keys, ["__t", "__side"])
         first = rows.where("__side = 0 and __t is not null").groupBy(*keys, "__t").agg(F.max("__v").alias("__v")).groupBy(*keys).agg(F.min_by("__v", "__t").alias("__f"), F.min("__t").alias("__first"))
@@ -66,19 +67,21 @@ def asof_match(events: DataFrame, changes: DataFrame, keys: Sequence[str], event
         rows = rows.withColumn("__m", F.max("__v").over(back([*keys, "__part"])))
         rows = _beside(rows, carry, [*keys, "__part"]).withColumn("__m", F.greatest("__m", "__carry"))
     else:
-        whole = Window.partitionBy(*keys)
-        rows = rows.withColumn("__m", F.max("__v").over(back(keys))).withColumn("__first", F.min(F.when(F.col("__side") == 0, F.col("__t"))).over(whole))
-        rows = rows.withColumn("__f", F.max(F.when((F.col("__side") == 0) & (F.col("__t") == F.col("__first")), F.col("__v"))).over(whole))
+        # the first change in this order is the greatest of the earliest ones, so that one sort and one pass tell both
+        whole = order(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        change = F.when((F.col("__side") == 0) & F.col("__t").isNotNull(), F.struct("__t", "__v"))
+        rows = rows.withColumns({"__m": F.max("__v").over(back(keys)), "__one": F.first(change, True).over(whole)}).withColumns({"__first": F.col("__one.__t"), "__f": F.col("__one.__v")})
     best = F.coalesce("__m", "__f")
-    return rows.where("__side = 1 and __first is not null").select(*keys, F.col("__e").alias(event_id), F.col("__t").alias(event_ts), *[best[c].alias(f"matched_{c}") for c in version])
+    return rows.where("__side = 1 and __first is not null").select(*keys, F.col("__e")[event_id].alias(event_id), F.col("__t").alias(event_ts), *[F.col("__e")[c].alias(c) for c in carry], *[best[c].alias(f"matched_{c}") for c in version])
 
 
-def orphan_match(events: DataFrame, changes: DataFrame, on: dict[str, str], event_id: str, event_ts: str, change_ts: str, rank: tuple[str, str], carry: Sequence[str] = (), within: Sequence[str] = ()) -> DataFrame:
+def orphan_match(events: DataFrame, changes: DataFrame, on: dict[str, str], event_id: str, event_ts: str, change_ts: str, rank: tuple[str, str], carry: Sequence[str] = (), within: Sequence[str] | None = (), once: bool = False) -> DataFrame:
     """Events with the change that has exactly their time and equal columns of on (event's: change's), or with nulls if there is none.
 
     Of several the greatest id stays, and of that the greatest version (rank: id and version); a null one only among nulls. A change is
     left aside whose own time, carry[0], is after the event, unless it is the least of all changes that events of the same
-    `within` columns met (all columns of on, if none are named). Ties stay side by side, and so do repeated rows.
+    `within` columns met (all columns of on, if none are named; None: that the event itself met). Ties stay side by side, and so do
+    repeated rows; once: each event stands once, with id and version alone, which needs no second meeting.
     Changes of one place are folded first, so that an event meets one row of them and then only those that it is matched with."""
     ident, version = rank
     columns = list(dict.fromkeys([ident, version, *carry]))
@@ -92,15 +95,20 @@ def orphan_match(events: DataFrame, changes: DataFrame, on: dict[str, str], even
         early = own.isNull() | (F.col("__ct") >= own)
         places = c.groupBy(*at, own.alias("__own")).agg(F.max(which).alias("__which"), F.max(early).alias("__early"))
         places = places.groupBy(*at).agg(F.max(F.when(F.col("__early"), F.col("__which"))).alias("__fit"), F.min("__own").alias("__own"), F.min_by("__which", "__own").alias("__of_own"))
-        by = list(within or on)
         met = events.join(places.withColumn("__met", F.lit(True)), equal, "left").drop(*at)
-        met = _beside(met, met.groupBy(*by).agg(F.min("__own").alias("__least")), by)
+        if within is None:
+            met = met.withColumn("__least", F.col("__own"))
+        else:
+            by = list(within or on)
+            met = _beside(met, met.groupBy(*by).agg(F.min("__own").alias("__least")), by)
         top = F.greatest("__fit", F.when(F.col("__own") == F.col("__least"), F.col("__of_own")))
         taken = early | (own == F.col("__least"))
     else:
         met = events.join(c.groupBy(*at).agg(F.max(which).alias("__fit")).withColumn("__met", F.lit(True)), equal, "left").drop(*at)
         top, taken = F.col("__fit"), F.lit(True)
     met = met.withColumn("__top", top).where(F.col("__met").isNull() | F.col("__top").isNotNull())
+    if once:
+        return met.select(*events.columns, F.col("__top.i").alias(f"matched_{ident}"), F.col("__top.v").alias(f"matched_{version}"))
     same = F.col(f"matched_{ident}").eqNullSafe(F.col("__top.i")) & F.col(f"matched_{version}").eqNullSafe(F.col("__top.v"))
     return met.join(c, equal & same & taken, "left").select(*events.columns, *[f"matched_{x}" for x in columns])
 
@@ -120,24 +128,25 @@ def _last_two(rows: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataF
     value (`__last` and `__other`), and their number."""
     w = Window.partitionBy(*by).orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("__last", F.last(F.when(F.col("__v").isNotNull(), F.struct("__t", "__v")), True).over(run))
-    rows = rows.withColumn("__was", F.lag("__last").over(w))
+    told = F.when(F.col("__v").isNotNull(), F.struct("__t", "__v"))
+    rows = rows.withColumns({"__last": F.last(told, True).over(run), "__was": F.last(told, True).over(w.rowsBetween(Window.unboundedPreceding, -1))})
     turned = F.when(F.col("__v") != F.col("__was.__v"), F.col("__was"))
     return rows.withColumns({"__other": F.last(turned, True).over(run), "__n": F.row_number().over(w)}).drop("__was")
 
 
-def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str, ts: str, differs: tuple[str, str], leg_id: str = "") -> DataFrame:
+def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], start: str, end: str, ts: str, differs: tuple[str, str], leg_id: str = "", of_events: bool = False) -> DataFrame:
     """Legs during which no event of the same keys has another value of differs (leg's column, event's column). Each leg is judged by
     itself, also where several have one leg_id.
 
     Events and the ends of legs stand in one order by key and time: the last event up to a leg's end tells, or, if that has the leg's value, the last
     one before it of another. So legs and events make no pairs. Where a key has more rows than a task may sort (SORTED_ROWS), its times are
-    parted into ranges that take over both from those before. A leg that ends before it starts has no time in it."""
+    parted into ranges that take over both from those before. A leg that ends before it starts has no time in it.
+    of_events: each leg is of another one of events and has its keys, so that counts of events tell how many rows a key has at most."""
     told = events.select(*keys, F.col(ts).alias("__t"), F.lit(0).alias("__side"), F.col(differs[1]).alias("__v"))
     told = told.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, "__t", "__v")]))
     rows = told.unionByName(legs.select(*keys, F.col(end).alias("__t"), F.lit(1).alias("__side"), F.struct(*legs.columns).alias("__leg")), True)
     last, other, own = F.col("__last"), F.col("__other"), F.col("__leg")[differs[0]]
-    if _hot(rows, keys):
+    if _hot(told, keys, 2) if of_events else _hot(rows, keys):
         rows = _last_two(_parted(rows, keys, ["__t", "__side"]), [*keys, "__part"], ["__t", "__side"])
         ends = rows.groupBy(*keys, "__part").agg(F.max_by(F.array("__other", "__last"), "__n").alias("__two"))
         two = ends.select(*keys, "__part", F.posexplode("__two").alias("__at", "__e")).select(*keys, "__part", "__at", "__e.*")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from driftlake.operators.movement import anti_conflicting, anti_contained, asof_match, dst_local_time, movement_legs, orphan_match, train_level_summary
 from driftlake.sources.dated import DatedTable
-from driftlake.sources.tables import work_dir
 
 # fixed values: events that move equipment, states of a consist that an event is matched with, and states of a dead locomotive
 CODES = ("ARIL", "ARRI", "DFLC", "ICHR", "ICHD")
@@ -28,12 +27,11 @@ _CONSIST = ["cnst_id", "version", "equipment"]
 def stage(events: DataFrame, consists: DataFrame) -> DataFrame:
     """Step 1: moving events with the consist that they belong to: as of their time by train and equipment, or, without a train,
     by equipment, station and exact time (and then also those that match nothing). With local time and the train's name."""
-    e = events.where(F.col("code").isin(*CODES))
+    e = events.where(F.col("code").isin(*CODES) & F.col("event_id").isNotNull())
     moved = consists.where(F.col("status").isin(*STATUSES))
-    known = asof_match(e.where("train is not null"), moved, ["train", "equipment"], "event_id", "report_ts", "change_ts", ["cnst_id", "version"])
-    lone = orphan_match(e.where("train is null"), moved, {"equipment": "equipment", "station": "station"}, "event_id", "report_ts", "reported_ts", ("cnst_id", "version"), ["change_ts"], ["event_id"])
-    both = known.select("event_id", "matched_cnst_id", "matched_version").unionByName(lone.select("event_id", "matched_cnst_id", "matched_version")).distinct()
-    rows = e.join(both.toDF("event_id", "cnst_id", "version"), "event_id").withColumn("local_ts", dst_local_time(F.col("report_ts"), F.col("zone")))
+    known = asof_match(e.where("train is not null"), moved, ["train", "equipment"], "event_id", "report_ts", "change_ts", ["cnst_id", "version"], ["kind", "station", "code", "zone"])
+    lone = orphan_match(e.where("train is null"), moved, {"equipment": "equipment", "station": "station"}, "event_id", "report_ts", "reported_ts", ("cnst_id", "version"), ["change_ts"], None, True)
+    rows = known.unionByName(lone.select(*known.columns)).withColumnsRenamed({"matched_cnst_id": "cnst_id", "matched_version": "version"}).withColumn("local_ts", dst_local_time(F.col("report_ts"), F.col("zone")))
     return rows.join(consists.select(*_CONSIST, "train_name"), _CONSIST, "left").select("event_id", "kind", "equipment", "train", "station", "code", "report_ts", "local_ts", "zone", "cnst_id", "version", "train_name")
 
 
@@ -42,7 +40,7 @@ def facts(staging: DataFrame, consists: DataFrame, longest: int = LONGEST) -> Da
     legs = movement_legs(staging, ["equipment", "train"], "report_ts", "event_id", ["station", "code", "train", "local_ts"], (), {"train": 0})
     near = F.col("from_report_ts") >= F.col("report_ts") - F.make_dt_interval(F.lit(longest))
     legs = legs.where(near & (F.col("from_code") != "ICHD") & (F.col("from_station") != F.col("station")) & F.col("train_name").isNotNull())
-    legs = anti_conflicting(legs, staging.where("train_name is not null"), ["equipment"], "from_report_ts", "report_ts", "report_ts", ("train_name", "train_name"), "event_id")
+    legs = anti_conflicting(legs, staging.where("train_name is not null"), ["equipment"], "from_report_ts", "report_ts", "report_ts", ("train_name", "train_name"), "event_id", True)
     rows = legs.join(consists.select(*_CONSIST, "sqnc", "tare", "net", "lead_ind", "loco_status", "lead_equipment"), _CONSIST, "left")
     role = F.when(F.col("kind") != "LCMTV", "NA").when(F.col("lead_ind") == "Y", "LD").when(F.col("loco_status").isin(*DEAD), "DH").otherwise("LT")
     return rows.select(
@@ -90,16 +88,18 @@ class MovementMart:
 
     def run(self, events: DataFrame, consists: DataFrame, measures: dict[str, Column]) -> dict[str, list[datetime.date]]:
         """Take in a load's events; the days of each table that were worked out again."""
-        path, n = work_dir(self.spark, "staged"), self.longest
-        stage(events, consists).write.parquet(path)
-        new = self.spark.read.parquet(path)
-        days = sorted(r[0] for r in new.select(F.to_date("report_ts")).distinct().collect() if r[0])
+        n, new = self.longest, self.staging.aside()
+        staged = stage(events, consists)
+        new.add(staged)
+        days = new.days()
+        if days:
+            old = self.staging.read(staged.schema, days=days)
+            new.add(old.join(new.read(staged.schema).select("event_id"), "event_id", "left_anti").select(*staged.columns))
+        self.staging.take(new, days)
         if not days:
             return {}
-        old = self.staging.read(new.schema, days=days).join(new.select("event_id"), "event_id", "left_anti")
-        self.staging.refresh(old.unionByName(new), days)
         changed, around = self._around(days, 0, n), self._around(days, n, n)
-        rows = facts(self.staging.read(new.schema, days=around), consists, n)
+        rows = facts(self.staging.read(staged.schema, days=around), consists, n)
         self.facts.refresh(rows, changed)
         kept = self.facts.read(rows.schema, days=around)
         led = missing_leads(kept, self.facts.read(rows.schema, days=self._around(days, n, 2 * n)))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from driftlake.sources.tables import work_dir
-
 DAY = "on_day"
 
 
@@ -42,14 +41,25 @@ class DatedTable:
         """Write the days of df's rows, in place of what these days had."""
         self._dealt(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(self.path)
 
+    def aside(self) -> DatedTable:
+        """A new table in a hidden folder of this one, from which days can be taken."""
+        return DatedTable(self.spark, f"{self.path}/_aside-{uuid.uuid4().hex}", self.ts_col)
+
+    def take(self, aside: DatedTable, days: Sequence[datetime.date]) -> None:
+        """Put the folders of days of a table aside in the place of one's own; days that it hasn't go. It is removed then."""
+        there = set(aside.days())
+        for d in days:
+            name = f"{DAY}={d.isoformat()}"
+            self._fs.delete(self._at(name), True)
+            if d in there and not self._fs.rename(aside._at(name), self._at(name)):
+                raise OSError(f"{aside.path}/{name} can't be put in its place")
+        self._fs.delete(aside._at(""), True)
+
     def refresh(self, df: DataFrame, days: Sequence[datetime.date]) -> None:
-        """Make df's rows all that these days have: df is worked out first, as it may read them; days without rows go."""
-        path = work_dir(self.spark, "refreshed")
-        df.write.parquet(path)
-        rows = self.spark.read.schema(df.schema).parquet(path).where(F.to_date(self.ts_col).isin(list(days)) if days else F.lit(False))
-        left = {r[0] for r in rows.select(F.to_date(self.ts_col)).distinct().collect()}
-        self.replace(rows)
-        self.drop([d for d in self.days() if d in set(days) - left])
+        """Make df's rows all that these days have. df, which may read them, is written once, aside, before they go."""
+        aside = self.aside()
+        aside.add(df.where(F.to_date(self.ts_col).isin(list(days)) if days else F.lit(False)))
+        self.take(aside, days)
 
     def add(self, df: DataFrame) -> None:
         self._dealt(df).write.mode("append").partitionBy(DAY).parquet(self.path)

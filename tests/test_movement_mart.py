@@ -1,6 +1,7 @@
 import os
 
 from driftlake import movement_queries as q
+from driftlake.operators import movement
 from driftlake.operators import movement_mart as mart
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +38,24 @@ def test_the_chain_without_events(spark, tmp_path):
     events, consists = q._tables(spark, SF)
     assert mart.MovementMart(spark, str(tmp_path), 2).run(events.limit(0), consists, q._measures()) == {}
     assert mart.facts(mart.stage(events.limit(0), consists), consists).count() == 0
+
+
+def test_events_are_matched_where_they_stand(spark):
+    """No join brings matches back to events, so that rows of one id keep their own ones; of the earliest changes the greatest counts."""
+    events, consists = q._tables(spark, SF)
+    staged = mart.stage(events, consists)
+    assert staged._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    event = spark.sql("select 7L as event_id, 'EQPMV' as kind, 1L as equipment, train, 3L as station, 'ARRI' as code, timestamp_ntz'2024-01-05' + make_dt_interval(d) as report_ts, 'ET' as zone from values (2L, 0), (2L, 3), (2L, -3), (cast(null as bigint), 0) as v(train, d)")
+    consist = spark.sql("select 2L as train, 1L as equipment, 3L as station, timestamp_ntz'2024-01-04' + make_dt_interval(d) as change_ts, timestamp_ntz'2024-01-05' as reported_ts, c as cnst_id, 1L as version, 'T' || c as train_name, 'ARRIVED' as status from values (0, 4L), (0, 5L), (3, 6L) as v(d, c)")
+    got = sorted((str(r["train"]), r["report_ts"].day, r["train_name"]) for r in mart.stage(event, consist).collect())
+    assert got == [("2", 2, "T5"), ("2", 5, "T5"), ("2", 8, "T6"), ("None", 5, "T5")]
+
+
+def test_legs_are_not_worked_out_to_be_counted(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr(movement, "_hot", lambda rows, *how: counted.append(rows._jdf.queryExecution().optimizedPlan().toString()) or False)
+    events, consists = q._tables(spark, SF)
+    staging = mart.stage(events, consists)
+    counted.clear()
+    mart.facts(spark.createDataFrame([], staging.schema), consists)
+    assert len(counted) == 1 and "Window" not in counted[0]

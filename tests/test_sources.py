@@ -122,3 +122,20 @@ def test_tree_diff_is_row_diff(spark, monkeypatch):
     assert quality.tree_diff(a, a.select("y", "x", "k"), ["k"]).collect() == []
     monkeypatch.setattr(quality, "NAMED", 2)
     assert sorted(map(tuple, quality.tree_diff(a, b, ["k"]).collect())) == want
+
+
+def test_days_are_written_once(spark, tmp_path, monkeypatch):
+    """A refresh from the table's own rows writes them once, drops a day without rows and leaves nothing beside the days."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    table, rows = _dated(spark, tmp_path / "t")
+    before, writes, plain = _files(tmp_path / "t"), [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *how: writes.append(path) or plain(self, path, *how))
+    days = [datetime.date(2024, 1, d) for d in (1, 2, 3)]
+    table.refresh(table.read().where("id % 2 = 0 and id not between 8 and 11"), days)
+    assert len(writes) == 1 and days[2] not in table.days()
+    assert sorted(r["id"] for r in table.read().collect()) == sorted([2, 4, 6, *[i for i, ts in rows if ts is None or ts.day > 3]])
+    kept = {f for f in before if not any(f"on_day={d}" in f for d in days)}
+    assert kept and all(_files(tmp_path / "t").get(f) == before[f] for f in kept) and not [p for p in os.listdir(tmp_path / "t") if p.startswith("_aside")]
+    table.refresh(table.read(), [])
+    assert kept <= set(_files(tmp_path / "t")) and not [p for p in os.listdir(tmp_path / "t") if p.startswith("_aside")]
