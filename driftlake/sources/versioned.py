@@ -16,6 +16,8 @@ from driftlake.sources.manifests import Manifests
 BUCKET_ROWS, MOST_BITS = 1 << 20, 15
 #: Change files after which they become one, and after which the base takes them in once they hold a quarter of its rows.
 MANY, SOME = 16, 4
+#: Rows of change files that a read may meet twice with the base, to spare it a shuffle.
+FEW = 1 << 16
 #: What stands first of an order that is equal: a loaded row, its deletion, a deletion, a put, a reload.
 LOADED, LOADED_CUT, CUT, PUT, RELOAD = range(5)
 
@@ -93,12 +95,12 @@ class VersionedTable(Manifests):
         least = [F.min(c).alias(c) for c in ("_first", "_new") if c in states.columns]
         return states.groupBy(*self.keys).agg(*last, *least).select(*states.columns)
 
-    def _with(self, base: DataFrame, changes: DataFrame) -> DataFrame:
-        """The base's states with those of changes (one a key): a left join, in which a small side of changes is not shuffled with
+    def _with(self, base: DataFrame, changes: DataFrame, few: bool) -> DataFrame:
+        """The base's states with those of changes (one a key): one full join; of few changes a left join, in which Spark need not shuffle
         the base, and the changes of new keys, which come from a join of keys alone."""
         rest = [c for c in base.columns if c not in self.keys]
         d = changes.select(*self.keys, F.struct(*rest).alias("__d"))
-        both = base.join(d, self.keys, "left")
+        both = base.join(d, self.keys, "left" if few else "full")
         new = lambda c: F.col(f"__d.{c}")
         cols = []
         for c in rest:
@@ -107,6 +109,8 @@ class VersionedTable(Manifests):
                 cols.append(F.when(new(c).isNotNull() & later, new(c)).otherwise(F.col(c)).alias(c))
             else:
                 cols.append(F.least(F.col(c), new(c)).alias(c))
+        if not few:
+            return both.select(*self.keys, *cols)
         known = base.select(*self.keys).join(changes.select(*self.keys), self.keys, "left_semi")
         return both.select(*self.keys, *cols).unionByName(changes.join(known, self.keys, "left_anti"))
 
@@ -138,17 +142,19 @@ class VersionedTable(Manifests):
             return None
         paths = [f"{self.path}/data/{d['at']}" for d in m["deltas"]]
         rows = self.spark.read.schema(StructType.fromJson(m["states"])).parquet(*paths)
-        return self._folded(rows) if len(paths) > 1 else rows
+        # a file has a key once, so that its rows are dealt out before they are folded
+        return self._folded(rows.repartition(*self.keys)) if len(paths) > 1 else rows
 
     def _states(self, m: dict) -> DataFrame:
         base, changes = self._base(m), self._changes(m)
         if changes is None:
             return base.drop("prefix")
+        few = sum(d["rows"] for d in m["deltas"]) <= FEW
         touched = sorted({p for d in m["deltas"] for p in _numbers(d["touched"])})
         if len(touched) < 1 << m["base"]["bits"]:
             cold = base.where(~F.col("prefix").isin(touched)).drop("prefix")
-            return self._with(base.where(F.col("prefix").isin(touched)).drop("prefix"), changes).unionByName(cold)
-        return self._with(base.drop("prefix"), changes)
+            return self._with(base.where(F.col("prefix").isin(touched)).drop("prefix"), changes, few).unionByName(cold)
+        return self._with(base.drop("prefix"), changes, few)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table at a version (the newest)."""
@@ -190,7 +196,9 @@ class VersionedTable(Manifests):
         if m["schema"] is None:
             raise ValueError(f"{self.path} has no version yet")
         m = {**m, "version": m["version"] + 1, "applied": {**m["applied"], **(applied or {})}}
-        delta = self._new_delta(m, self._changed(m, batch, F.current_timestamp() if as_of is None else as_of, batch_id, reload))
+        states = self._changed(m, batch, F.current_timestamp() if as_of is None else as_of, batch_id, reload)
+        # a reload has about a row a key: folding before the shuffle would only sort it twice
+        delta = self._new_delta(m, states.repartition(*self.keys) if reload else states)
         return self._commit({**m, "deltas": [*m["deltas"], *([delta] if delta["rows"] else [])]})
 
     def tend(self) -> int:

@@ -66,7 +66,8 @@ def stream_offset_recovery(spark: SparkSession, changes: DataFrame, base: DataFr
     applied = table.manifest()["applied"]
     if there or name not in applied:
         return "SUCCESS", stream_cdc_apply(changes, table, checkpoint, None, as_of, name)
-    table.append(initial_snapshot(base, table.keys), as_of, f"RECOVERY_{name}", {name: -1}, reload=True)
+    # a key's reloaded rows would all have the same row_id, which thus orders nothing and isn't stored
+    table.append(initial_snapshot(base, table.keys).withColumn("row_id", F.lit("")), as_of, f"RECOVERY_{name}", {name: -1}, reload=True)
     return "RECOVERY", stream_cdc_apply(changes, table, checkpoint, None, as_of, name)
 
 

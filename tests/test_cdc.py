@@ -72,3 +72,35 @@ def test_stream_equals_batch(spark, target, tmp_path):
     stream_cdc_apply(spark.readStream.schema(b.schema).parquet(str(tmp_path / "in")), table, str(tmp_path / "c")).awaitTermination()
     want = cdc.cdc_merge(target, b, ["k"], at("2024-02-01"), "B1")
     assert sorted(table.read().select("k", "v", "cdc_operation").collect()) == sorted(want.select("k", "v", "cdc_operation").collect())
+
+
+def test_many_changes_meet_the_base_once(spark, target, tmp_path, monkeypatch):
+    """As few changes do, with new, deleted and null keys: in one full join, where a join for the base and two for new keys were."""
+    from driftlake.sources import versioned
+
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    table.write(target.unionByName(cdc.new_target(spark.createDataFrame([(None, "n")], "k long, v string"), at("2024-01-01"), "B0")))
+    table.append(batch(spark, [(1, "A", "INSERT", True, "r1"), (2, None, "DELETE", False, "r2"), (9, None, "DELETE", False, "r9"), (4, "d", "INSERT", False, "r4")]), at("2024-02-01"), "B1")
+    table.append(batch(spark, [(1, "AA", "INSERT", True, "r5"), (4, None, "DELETE", False, "r6"), (5, "e", "INSERT", False, "r7")]), at("2024-02-02"), "B2")
+    few = sorted(map(repr, table.read().collect()))
+    assert len(few) == 6
+    monkeypatch.setattr(versioned, "FEW", 0)
+    many = table.read()
+    assert sorted(map(repr, many.collect())) == few
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_a_reload_stores_no_row_ids(spark, target, tmp_path):
+    """They would be the same for a key's rows; the reloaded rows stand last all the same."""
+    from driftlake.streaming.apply import stream_offset_recovery
+
+    table = VersionedTable(spark, str(tmp_path / "t"), ["k"])
+    table.write(target, {"cdc": 3})
+    b = batch(spark, [(2, None, "DELETE", False, "r2")])
+    b.write.parquet(str(tmp_path / "in"))
+    base = spark.createDataFrame([(1, "A"), (2, "B"), (4, "d")], "k long, v string")
+    status, stream = stream_offset_recovery(spark, spark.readStream.schema(b.schema).parquet(str(tmp_path / "in")), base, table, str(tmp_path / "none"), at("2024-02-01"))
+    stream.awaitTermination()
+    assert status == "RECOVERY" and sorted((r["k"], r["v"], r["cdc_operation"]) for r in table.read().collect()) == [(1, "A", "RELOADED"), (2, "B", "DELETE"), (3, "c", "INSERT"), (4, "d", "INSERT")]
+    reloaded = spark.read.parquet(f"{table.path}/data/{table.manifest()['deltas'][0]['at']}")
+    assert reloaded.count() == 3 and {r[0] for r in reloaded.select("_put.o.tie").collect()} == {""}
