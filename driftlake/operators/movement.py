@@ -62,10 +62,9 @@ def asof_match(events: DataFrame, changes: DataFrame, keys: Sequence[str], event
     if _hot(rows, keys):
         rows = _parted(rows, keys, ["__t", "__side"])
         first = rows.where("__side = 0 and __t is not null").groupBy(*keys, "__t").agg(F.max("__v").alias("__v")).groupBy(*keys).agg(F.min_by("__v", "__t").alias("__f"), F.min("__t").alias("__first"))
-        carry = _carried(rows, keys, "__v")
-        carry = _beside(carry, first, keys)
+        taken = _beside(_carried(rows, keys, "__v"), first, keys)
         rows = rows.withColumn("__m", F.max("__v").over(back([*keys, "__part"])))
-        rows = _beside(rows, carry, [*keys, "__part"]).withColumn("__m", F.greatest("__m", "__carry"))
+        rows = _beside(rows, taken, [*keys, "__part"]).withColumn("__m", F.greatest("__m", "__carry"))
     else:
         # the first change in this order is the greatest of the earliest ones, so that one sort and one pass tell both
         whole = order(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -59,3 +59,10 @@ def test_legs_are_not_worked_out_to_be_counted(spark, monkeypatch):
     counted.clear()
     mart.facts(spark.createDataFrame([], staging.schema), consists)
     assert len(counted) == 1 and "Window" not in counted[0]
+
+
+def test_staging_of_hot_keys_is_parted(spark, monkeypatch):
+    events, consists = q._tables(spark, SF)
+    whole = _rows(mart.stage(events, consists))
+    monkeypatch.setattr(movement, "_hot", lambda rows, *how: True)
+    assert _rows(mart.stage(events, consists)) == whole
