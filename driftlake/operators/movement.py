@@ -161,12 +161,22 @@ def anti_conflicting(legs: DataFrame, events: DataFrame, keys: Sequence[str], st
     return rows.where((F.col("__side") == 1) & ~F.coalesce(hit, F.lit(False))).select("__leg.*")
 
 
-def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str, among: DataFrame | None = None) -> DataFrame:
+def anti_contained(legs: DataFrame, keys: Sequence[str], start: str, end: str, among: DataFrame | None = None, most: DataFrame | None = None) -> DataFrame:
     """Legs that lie strictly inside no other leg (of among, if given) of the same keys: with starts in order, a running maximum of the ends of
     those that start earlier tells. Legs of one start, or one end, don't contain each other.
 
-    With many legs of a key (or others to lie in) the maximum runs over the distinct starts, each with its latest end; where a key has
-    more of them than a task may sort (SORTED_ROWS), they are parted into ranges that take over the maximum of those before."""
+    Others to lie in stand in one order with the legs, each after the legs of its start, so that legs are worked out once and nothing is joined
+    back. With many rows of a key the maximum runs over the distinct starts, each with its latest end; where a key has
+    more of them than a task may sort (SORTED_ROWS), they are parted into ranges that take over the maximum of those before.
+    most: rows with the keys, of which a key has at least as many as legs and among have together; they are counted instead of these."""
+    if among is not None:
+        told = among.select(*keys, start, F.col(end).alias("__z"), F.lit(1).alias("__side"))
+        both = legs.withColumns({"__z": F.lit(None).cast(among.schema[end].dataType), "__side": F.lit(0)}).unionByName(told, True)
+        if not _hot(both.select(*keys) if most is None else most, keys):
+            run = Window.partitionBy(*keys).orderBy(start, "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            rows = both.withColumn("__m", F.max("__z").over(run)).where("__side = 0")
+            return rows.where(F.col("__m").isNull() | F.col(end).isNull() | (F.col("__m") <= F.col(end))).select(*legs.columns)
+        legs = written(legs, "legs")
     if among is None and not _hot(legs.select(*keys), keys):
         w = Window.partitionBy(*keys).orderBy(start)
         before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))

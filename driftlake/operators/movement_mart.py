@@ -57,9 +57,11 @@ def missing_leads(rows: DataFrame, among: DataFrame) -> DataFrame:
     by = ["train_name", "train", "start_station", "end_station", "cnst_id", "day"]
     dated = rows.withColumn("day", F.to_date("end_ts"))
     bare = dated.groupBy(*by).agg(F.min("event_id").alias("event_id"), F.count_if(F.col("lead_trail") == "LD").alias("leads")).where("leads = 0")
-    first = rows.join(bare.select("event_id").distinct(), "event_id", "left_semi").where("lead_equipment is not null")
+    first = rows.join(bare.select("event_id"), "event_id", "left_semi").where("lead_equipment is not null")
     led = first.withColumns({"equipment": F.col("lead_equipment"), "kind": F.lit("LCMTV"), "lead_trail": F.lit("LD"), "sqnc": F.coalesce("sqnc", F.lit(1))})
-    return anti_contained(led.select(*rows.columns), ["equipment", "train_name"], "start_ts", "end_ts", among)
+    keys = ["equipment", "train_name"]
+    most = rows.where("lead_equipment is not null").select(F.col("lead_equipment").alias("equipment"), "train_name").unionByName(among.select(*keys))
+    return anti_contained(led.select(*rows.columns), keys, "start_ts", "end_ts", among, most)
 
 
 def summary(rows: DataFrame, measures: dict[str, Column]) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import random
 
 from driftlake import movement_queries as q
 from driftlake.operators import movement
@@ -66,3 +67,30 @@ def test_staging_of_hot_keys_is_parted(spark, monkeypatch):
     whole = _rows(mart.stage(events, consists))
     monkeypatch.setattr(movement, "_hot", lambda rows, *how: True)
     assert _rows(mart.stage(events, consists)) == whole
+
+
+def test_missing_leads_are_worked_out_once(spark, monkeypatch):
+    """Neither to be counted nor to be joined back: facts are read for the first ones, for their trains and to lie in, and joined once."""
+    counted = []
+    monkeypatch.setattr(movement, "_hot", lambda rows, *how: counted.append(rows._jdf.queryExecution().optimizedPlan().toString()) or False)
+    rows = q._facts(spark, SF)
+    counted.clear()
+    plan = mart.missing_leads(rows, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(counted) == 1 and "Join " not in counted[0] and "Aggregate " not in counted[0]
+    assert plan.count("Relation ") == 3 and plan.count("Join ") == 1
+
+
+def test_legs_inside_others(spark, monkeypatch):
+    """As a plain loop finds them, in one order, over distinct starts, and in ranges: repeated rows, null keys and ends, and starts and ends that others share."""
+    rng = random.Random(11)
+    pick = lambda n: [(i % 45, rng.choice([None, 1, 1, 2]), s := rng.randrange(30), rng.choice([None, *range(s, s + 9)]), "x") for i in range(n)]
+    legs, others = pick(90), pick(60)
+    inside = lambda r: any(o[1] == r[1] and o[2] < r[2] and None not in (o[3], r[3]) and o[3] > r[3] for o in others)
+    want = sorted(map(repr, [r for r in legs if not inside(r)]))
+    assert 20 < len(want) < 80
+    ours = [spark.createDataFrame(r, "id int, k int, s int, e int, more string") for r in (legs, others)]
+    run = lambda *most: sorted(repr(tuple(r)) for r in movement.anti_contained(ours[0], ["k"], "s", "e", ours[1], *most).collect())
+    assert run() == want
+    answers = iter([True, False, True, True])
+    monkeypatch.setattr(movement, "_hot", lambda rows, *how: next(answers))
+    assert run() == want and run(ours[0].select("k")) == want
